@@ -75,10 +75,10 @@ def rank_in_groups(
     )
     inside = Window.partitionBy(*groups, "_slice").orderBy(*order)
     return (
-        cut.withColumn("_rn", F.row_number().over(inside))
+        cut.withColumn("_inside", F.row_number().over(inside))
         .join(offsets, [*groups, "_slice"])
-        .withColumn(name, (F.col("_before") + F.col("_rn")).cast("bigint"))
-        .drop("_slice", "_rn", "_before")
+        .withColumn(name, (F.col("_before") + F.col("_inside")).cast("bigint"))
+        .drop("_slice", "_inside", "_before")
     )
 
 

@@ -228,7 +228,7 @@ def hs4_available(spark, sf_dir):
 
 @query
 def heading_rows(spark, sf_dir):
-    return S.of_heading(V.shipments(spark, sf_dir), "901.0").select("ord", "hs_code")
+    return S.of_heading(V.shipments(spark, sf_dir), "9.01").select("ord", "hs_code")
 
 
 @query
