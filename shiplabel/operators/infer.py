@@ -98,11 +98,8 @@ def first_values(
     pairs = F.array(
         *(F.struct(F.lit(c).alias("column"), X.strip(cell_text(df, c)).alias("value")) for c in columns)
     )
-    melted = (
-        df.select(by, ord_column, F.explode(pairs).alias("p"))
-        .select(by, ord_column, "p.column", "p.value")
-        .where("value IS NOT NULL AND value <> ''")
-    )
+    filled = F.filter(pairs, lambda p: p["value"].isNotNull() & (p["value"] != ""))
+    melted = df.select(by, ord_column, F.inline(filled))
     first_seen = (
         melted.groupBy(by, "column", F.lower("value").alias("_key"))
         .agg(F.min(F.struct(ord_column, "value")).alias("_first"))

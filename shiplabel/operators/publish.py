@@ -16,6 +16,7 @@ from shiplabel.operators.dictionary import KEY
 from shiplabel.operators.scale import PART_SIZE, lists_in_parts, rank_in_groups, skew_join
 
 GOODS = [*KEY, "goods_shipped"]
+FILE_ITSELF = -1
 
 # --- fixed values -----------------------------------------------------------
 PREFIX = "attr_"
@@ -132,7 +133,8 @@ def observed_values(wide: DataFrame, ord_column: str = "ord", file_column: str =
     """``file, c, attr, value, first_ord``: distinct cleaned values of each attribute column.
 
     Case is ignored, the first spelling in row order is kept. ``c`` is the place of
-    the column among the attribute columns.
+    the column among the attribute columns; a further row with ``FILE_ITSELF`` there
+    keeps files without any value.
     """
     cells = F.array(
         *(
@@ -142,11 +144,12 @@ def observed_values(wide: DataFrame, ord_column: str = "ord", file_column: str =
                 X.clean_value(F.col(f"`{c}`")).alias("value"),
             )
             for i, c in enumerate(attribute_columns(wide))
-        )
+        ),
+        F.struct(F.lit(FILE_ITSELF).alias("c"), F.lit("").alias("attr"), F.lit("").alias("value")),
     )
-    melted = wide.select(file_column, ord_column, F.inline(cells))
+    present = F.filter(cells, lambda x: x["value"].isNotNull())
     return (
-        melted.where("value IS NOT NULL")
+        wide.select(file_column, ord_column, F.inline(present))
         .groupBy(file_column, "c", "attr", F.lower(X.strip("value")).alias("_key"))
         .agg(F.min(F.struct(F.col(ord_column).alias("first_ord"), "value")).alias("_first"))
         .select(file_column, "c", "attr", "_first.value", "_first.first_ord")
@@ -171,18 +174,19 @@ def schema_master(
     names = _constants(wide, [X.attr_to_snake(F.lit(c)) for c in attribute_columns(wide)])
     # of columns with the same snake-case name the last one counts
     counted = sorted({name: i for i, name in enumerate(names)}.values())
-    values = observed_values(wide, ord_column).where(F.col("c").isin(counted))
-    ranked = rank_in_groups(values, ["file", "attr"], ["first_ord", "value"], "_rn")
+    values = observed_values(wide, ord_column).where(F.col("c").isin([FILE_ITSELF, *counted]))
+    ranked = rank_in_groups(values, ["file", "c", "attr"], ["first_ord", "value"], "_rn")
     per_part = (
-        ranked.withColumn("part", F.floor((F.col("_rn") - 1) / part_size).cast("bigint"))
+        ranked.where(F.col("c") != FILE_ITSELF)
+        .withColumn("part", F.floor((F.col("_rn") - 1) / part_size).cast("bigint"))
         .groupBy("file", "part", "attr")
         .agg(F.array_sort(F.collect_list(F.struct("_rn", "value")))["value"].alias("values"))
         .groupBy("file", "part")
         .agg(F.map_from_entries(F.collect_list(F.struct("attr", "values"))).alias("seen"))
     )
     files = (
-        wide.select("file")
-        .distinct()
+        ranked.where(F.col("c") == FILE_ITSELF)
+        .select("file")
         .join(per_part, "file", "left")
         .withColumn("part", F.coalesce("part", F.lit(0)).cast("bigint"))
     )

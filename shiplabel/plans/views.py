@@ -25,6 +25,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores on a scan with fewer splits than cores, as of one small file.
+
+    A larger scan has more splits than that and stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def shipments(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """Line items as shipment records: all HS code shapes, negation, densities, blanks."""
     t = lambda name: table(spark, sf_dir, name)
@@ -32,7 +43,7 @@ def shipments(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = Non
     text = lambda c, width: F.lpad(F.col(c).cast("string"), width, "0")
     shape, code = key % 7, key % 4
     return (
-        (lineitem if lineitem is not None else t("lineitem"))
+        spread(lineitem if lineitem is not None else t("lineitem"), "l_orderkey", "l_linenumber")
         .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shiplabel.operators import publish
-from shiplabel.operators.dictionary import KEY
+from shiplabel.operators.dictionary import KEY, fits_broadcast
 from shiplabel.operators.matching import full_map, match_goods
 from shiplabel.operators.scale import checkpoint_folder
 from shiplabel.plans import views
@@ -21,8 +21,11 @@ GOODS = [*KEY, "goods_shipped"]
 def match_stream(stream: DataFrame, attr_dict: DataFrame, negation: str = "documented") -> DataFrame:
     """Stated values of arriving rows: a projection next to a broadcast, hence stateless.
 
-    ``stream`` has ``hs_code, product, goods_shipped`` and further columns.
+    ``stream`` has ``hs_code, product, goods_shipped`` and further columns. A
+    dictionary too large to broadcast needs :func:`run_incrementally`.
     """
+    if not fits_broadcast(attr_dict):
+        raise ValueError("dictionary is too large to broadcast; use run_incrementally")
     return match_goods(stream, attr_dict, negation=negation, strategy="broadcast")
 
 
