@@ -349,10 +349,10 @@ def inferred_schema(
     )
 
 
-def inferred_dictionary(schema: DataFrame, hs4: str, by: str = "category") -> DataFrame:
-    """An inferred schema as an attribute dictionary."""
+def inferred_dictionary(schema: DataFrame, by: str = "category") -> DataFrame:
+    """An inferred schema (with its ``hs_code``) as an attribute dictionary."""
     return schema.select(
-        F.lit(hs4).alias("hs_code"),
+        "hs_code",
         F.col(by).alias("product"),
         "attr",
         "attr_ord",

@@ -273,12 +273,53 @@ def pending_goods(rows: DataFrame, stored: DataFrame) -> DataFrame:
     return rows.select(*GOODS).distinct().join(stored.select(*GOODS), GOODS, "left_anti")
 
 
-def write_table(df: DataFrame, path: str, format: str = "parquet", partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+def write_table(
+    df: DataFrame,
+    path: str,
+    format: str = "parquet",
+    partition_by: Sequence[str] = (),
+    mode: str = "overwrite",
+) -> None:
     """Parquet as the main copy; CSV comes with a header, JSON as lines."""
-    writer = df.write.mode(mode).partitionBy(*partition_by) if partition_by else df.write.mode(mode)
+    writer = df.write.mode(mode).partitionBy(*partition_by)
     if format == "csv":
         writer.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
     elif format in ("json", "parquet"):
         getattr(writer, format)(path)
     else:
         raise ValueError(f"format must be csv, json or parquet, not {format!r}")
+
+
+def export_per_product(flat: DataFrame, attr_dict: DataFrame, folder: str) -> list[str]:
+    """A CSV file folder ``hs_<heading>_<product>.csv`` per product, with its own columns.
+
+    Loops over the products of the dictionary, which is configuration; each export
+    is one filtered, distributed write.
+    """
+    listed = (
+        attr_dict.groupBy(*KEY, "attr")
+        .agg(F.min("attr_ord").alias("attr_ord"))
+        .groupBy(*KEY)
+        .agg(F.array_sort(F.collect_list(F.struct("attr_ord", "attr"))).alias("attrs"))
+        .withColumn("file", X.product_file("hs_code", "product"))
+        .orderBy(*KEY)
+    )
+    written = []
+    for row in listed.toLocalIterator():
+        own = [f"{PREFIX}{a['attr']}" for a in row["attrs"]]
+        flags = [f"{c}{FLAG_SUFFIX}" for c in own if f"{c}{FLAG_SUFFIX}" in flat.columns]
+        mine = flat.where((F.col("hs_code") == row["hs_code"]) & (F.col("product") == row["product"]))
+        columns = [*KEY, "shipment_id", "goods_shipped", *own, *flags]
+        write_table(mine.select(*(f"`{c}`" for c in columns)), f"{folder}/{row['file']}", "csv")
+        written.append(row["file"])
+    return written
+
+
+def write_shipment_map(merged: DataFrame, path: str) -> None:
+    """Sorted by shipment; ``.json`` gets lines of id and attributes, else CSV with JSON text."""
+    ordered = merged.orderBy("shipment_id")
+    if path.endswith(".json"):
+        write_table(ordered.select("shipment_id", "attrs"), path, "json")
+    else:
+        text = ordered.select("shipment_id", "product", F.to_json("attrs").alias("attrs_json"))
+        write_table(text, path, "csv")

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from shiplabel.functions import text as X
 from shiplabel.operators import batches, infer, labels, publish, replies, requests
 from shiplabel.operators.dictionary import KEY, attach_dictionary
-from shiplabel.operators.matching import match_goods, stated
+from shiplabel.operators.matching import match_goods
+from shiplabel.operators.scale import durable, skew_join
 from shiplabel.sources import shipments as S
 
 GOODS = [*KEY, "goods_shipped"]
@@ -44,9 +45,16 @@ class Options:
     stages: Sequence[str] = field(default=("load", "label", "extract", "publish"))
 
 
-def load(raw: DataFrame) -> DataFrame:
-    """Clean, checked shipments."""
-    rows = S.clean(raw)
+def load(raw: DataFrame, path: str) -> DataFrame:
+    """Clean, checked shipments, written to ``path``.
+
+    A table without an ``ord`` column gets one that follows the order it is read in;
+    being written, it is the same for all later stages.
+    """
+    if "ord" not in raw.columns:
+        raw = raw.withColumn("ord", F.monotonically_increasing_id())
+    publish.write_table(S.clean(raw), path)
+    rows = raw.sparkSession.read.parquet(path)
     S.validate(rows)
     return rows
 
@@ -135,15 +143,6 @@ def extract(
     return settled.unionByName(answered)
 
 
-def deterministic_rows(rows: DataFrame, attr_dict: DataFrame, options: Options) -> DataFrame:
-    """Rows with ``attributes`` from the dictionary alone, in one pass without batches."""
-    attached = attach_dictionary(
-        rows, attr_dict, min_len=options.min_len, strategy=options.strategy
-    )
-    found = stated(F.col("attrs"), F.col("goods_shipped"), options.negation)
-    return attached.withColumn("found", found).drop("attrs")
-
-
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -153,112 +152,189 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def infer_definition(
+    rows: DataFrame, hs_code: str, answer: Callable[[DataFrame], DataFrame]
+) -> list[tuple[str, str | None]]:
+    """Product categories of a heading, proposed for samples of its descriptions."""
+    mine = S.of_heading(rows, hs_code).withColumn("hs4", X.hs4_digits("hs_code"))
+    asked = requests.product_inference_requests(infer.sample_goods(mine, "hs4"))
+    if asked.isEmpty():
+        known = [r["hs4"] for r in S.available_headings(rows).orderBy("hs4").limit(50).collect()]
+        raise ValueError(f"no descriptions of heading {hs_code}; the table has {known}")
+    # a definition is configuration: a handful of names that become request text
+    found = infer.inferred_products(answer(asked)).orderBy("ord").collect()
+    if not found:
+        raise ValueError("the reply proposes no product category")
+    return [(r["category"], r["description"]) for r in found]
+
+
+def infer_dictionary(
+    labelled: DataFrame,
+    hs_code: str,
+    definition: Sequence[tuple[str, str | None]],
+    answer: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Attributes of every category from replies and columns (``inferred_schema``)."""
+    heading = labelled.sparkSession.range(1).select(X.hs4_strict(F.lit(hs_code))).first()[0]
+    rows = labelled.where(F.col("category").isin([c for c, _ in definition]))
+    asked = requests.attribute_inference_requests(
+        infer.sample_goods(rows, "category"), infer.category_summary(rows), heading
+    )
+    replied = (
+        answer(asked)
+        if answer is not None
+        else asked.select("category", F.lit('{"attributes":[]}').alias("reply"))
+    )
+    return infer.inferred_schema(rows, replied).withColumn("hs_code", F.lit(heading))
+
+
+def label_stage(
+    spark: SparkSession,
+    folder: str,
+    definition: Sequence[tuple[str, str | None]],
+    scorer: Callable[[list[str]], list[str]] | None,
+    options: Options,
+) -> None:
+    rows = spark.read.parquet(f"{folder}/shipments")
+    known = _stored(spark, f"{folder}/labels") if options.resume else None
+    done = None if known is None else known.where("category <> ''")
+    publish.write_table(label(rows, definition, scorer, done), f"{folder}/labelled")
+    fresh = (
+        spark.read.parquet(f"{folder}/labelled")
+        .where("category <> ''")
+        .select("goods_shipped", "category")
+        .distinct()
+    )
+    if done is not None:
+        fresh = fresh.join(done, "goods_shipped", "left_anti")
+    mode = "append" if options.resume else "overwrite"
+    publish.write_table(fresh, f"{folder}/labels", mode=mode)
+
+
+def extract_stage(
+    spark: SparkSession,
+    folder: str,
+    run_id: str,
+    attr_dict: DataFrame,
+    attr_defs: DataFrame | None,
+    answer: Callable[[DataFrame], DataFrame] | None,
+    options: Options,
+) -> None:
+    """Classify what is pending; everything a run adds carries its ``run`` folder.
+
+    A repeated run of the same id replaces what it had written.
+    """
+
+    def earlier(name: str) -> DataFrame | None:
+        table = _stored(spark, f"{folder}/{name}") if options.resume else None
+        return None if table is None else table.where(F.col("run") != run_id).drop("run")
+
+    mine = lambda name: f"{folder}/{name}/run={run_id}"
+    rows = extraction_rows(spark.read.parquet(f"{folder}/labelled"), attr_dict, options)
+    stored, pairs, spent = earlier("classified"), earlier("goods_shipments"), earlier("token_usage")
+    items = durable(extraction_items(rows, attr_dict, options, stored))
+    replied, costs = None, spark.range(0).select(F.col("id").alias("cost"))
+    if answer is not None:
+        used = 0 if spent is None else spent.agg(F.sum("cost")).first()[0] or 0
+        asked = extraction_requests(items, attr_dict, attr_defs, options, used)
+        publish.write_table(asked, mine("requests"))
+        asked = spark.read.parquet(mine("requests"))
+        publish.write_table(answer(asked), mine("replies"))
+        replied = spark.read.parquet(mine("replies"))
+        costs = asked.join(replied, [*KEY, "batch_no"]).select(
+            requests.request_cost("prompt", "reply").alias("cost")
+        )
+    publish.write_table(costs, mine("token_usage"))
+    publish.write_table(extract(items, attr_dict, replied, options), mine("classified"))
+    done = spark.read.parquet(mine("classified")).select(*GOODS)
+    if stored is not None:
+        done = done.unionByName(stored.select(*GOODS))
+    seen = skew_join(rows.select(*GOODS, "shipment_id"), done.distinct(), GOODS, "left_semi")
+    added = seen if pairs is None else publish.new_shipments(pairs, seen)
+    publish.write_table(added, mine("goods_shipments"))
+
+
+def publish_stage(
+    spark: SparkSession, folder: str, attr_dict: DataFrame, options: Options
+) -> dict[str, DataFrame]:
+    classified = spark.read.parquet(f"{folder}/classified").drop("run")
+    pairs = spark.read.parquet(f"{folder}/goods_shipments").drop("run")
+    names = publish.attribute_names(attr_dict)
+    rows = publish.with_shipments(classified, pairs)
+    flat = publish.per_product(rows, names, options.custom_flags)
+    publish.write_table(flat, f"{folder}/flat", partition_by=["hs_code"])
+    flat = spark.read.schema(flat.schema).parquet(f"{folder}/flat")
+    # inside a file, descriptions and then shipments are in sorted order
+    ordered = flat.withColumn("ord", F.struct("goods_shipped", "shipment_id"))
+    lists = publish.goods_to_shipments(
+        pairs.withColumn("ord", F.col("shipment_id")), part_size=publish.PART_SIZE
+    )
+    tables = {
+        "schema_master": publish.schema_master(ordered),
+        "shipment_attributes": publish.shipment_attributes(ordered),
+        "nested": publish.nested_records(classified, lists),
+        "completed": publish.completed_products(classified),
+        "validation": replies.validation_stats(classified),
+        "metadata": publish.run_metadata(
+            classified,
+            spark.read.parquet(f"{folder}/token_usage"),
+            options.token_budget,
+            options.batch_size,
+        ),
+    }
+    for name, table in tables.items():
+        publish.write_table(table, f"{folder}/{name}")
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in tables} | {"flat": flat}
+
+
 def run(
     spark: SparkSession,
     raw: DataFrame | None,
     folder: str,
     *,
     run_id: str,
-    attr_dict: DataFrame | None,
+    attr_dict: DataFrame | None = None,
     definition: Sequence[tuple[str, str | None]] = (),
     attr_defs: DataFrame | None = None,
     scorer: Callable[[list[str]], list[str]] | None = None,
     answer: Callable[[DataFrame], DataFrame] | None = None,
     infer_hs: str | None = None,
-    infer_replies: Callable[[DataFrame], DataFrame] | None = None,
+    answer_products: Callable[[DataFrame], DataFrame] | None = None,
+    answer_attributes: Callable[[DataFrame], DataFrame] | None = None,
     options: Options | None = None,
 ) -> dict[str, DataFrame]:
-    """Run the chosen stages; returns the published tables by name.
+    """Run the chosen stages on tables under ``folder``; returns the published tables.
 
-    ``answer`` turns the request table into the reply table (any batch-inference
-    job); without it only batches the dictionary settles are classified. With
-    ``infer_hs`` the dictionary is inferred from the labelled rows by
-    ``infer_replies`` and the columns. A skipped stage needs its table from an
-    earlier run; a failing stage ends the run with its error.
+    ``answer`` turns the attribute requests into replies (any batch-inference job);
+    without it only batches the dictionary settles are classified. ``infer_hs``
+    infers the dictionary of a heading from labelled rows, and its categories, too,
+    where ``answer_products`` is given. A skipped stage needs its table from an
+    earlier run; an error ends the run.
     """
     options = options or Options()
     stages = set(options.stages)
     if infer_hs and "label" not in stages:
-        raise ValueError("inferring the dictionary needs the label stage")
-
+        raise ValueError("inferring a dictionary needs the label stage")
     if "load" in stages:
-        publish.write_table(load(raw), f"{folder}/shipments")
-    if "label" in stages:
+        load(raw, f"{folder}/shipments")
+    if infer_hs and answer_products is not None:
         rows = spark.read.parquet(f"{folder}/shipments")
-        known = _stored(spark, f"{folder}/labels") if options.resume else None
-        done = None if known is None else known.where("category <> ''").select("goods_shipped", "category").distinct()
-        labelled = label(rows, definition, scorer, done)
-        publish.write_table(labelled, f"{folder}/labelled")
-        fresh = spark.read.parquet(f"{folder}/labelled").select("goods_shipped", "category").distinct()
-        if done is not None:
-            fresh = fresh.join(done, "goods_shipped", "left_anti")
-        publish.write_table(
-            fresh, f"{folder}/labels", mode="append" if options.resume else "overwrite"
-        )
-    labelled = spark.read.parquet(f"{folder}/labelled")
-
+        definition = infer_definition(rows, infer_hs, answer_products)
+    if "label" in stages:
+        if not definition:
+            raise ValueError("the label stage needs at least one product category")
+        label_stage(spark, folder, definition, scorer, options)
     if infer_hs:
-        samples = infer.sample_goods(labelled, "category")
-        asked = requests.attribute_inference_requests(samples, infer.category_summary(labelled), infer_hs)
-        answers = infer_replies(asked) if infer_replies else asked.select("category", F.lit('{"attributes":[]}').alias("reply"))
-        schema = infer.inferred_schema(labelled, answers)
+        labelled = spark.read.parquet(f"{folder}/labelled")
+        schema = infer_dictionary(labelled, infer_hs, definition, answer_attributes)
         publish.write_table(schema, f"{folder}/inferred_schema")
         schema = spark.read.parquet(f"{folder}/inferred_schema")
-        attr_dict = infer.inferred_dictionary(schema, infer_hs)
+        if schema.isEmpty():
+            raise ValueError("no attributes could be inferred")
+        attr_dict = infer.inferred_dictionary(schema)
         attr_defs = infer.inferred_definitions(schema, [c for c, _ in definition])
-
-    tables: dict[str, DataFrame] = {"labelled": labelled}
     if "extract" in stages:
-        rows = extraction_rows(labelled, attr_dict, options)
-        stored = _stored(spark, f"{folder}/classified") if options.resume else None
-        pairs = _stored(spark, f"{folder}/goods_shipments") if options.resume else None
-        items = extraction_items(rows, attr_dict, options, stored)
-        used = 0
-        if stored is not None:
-            used = _stored(spark, f"{folder}/token_usage").agg(F.sum("cost")).first()[0] or 0
-        replied = None
-        if answer is not None:
-            publish.write_table(
-                extraction_requests(items, attr_dict, attr_defs, options, used),
-                f"{folder}/requests/run={run_id}",
-            )
-            asked = spark.read.parquet(f"{folder}/requests/run={run_id}")
-            publish.write_table(answer(asked), f"{folder}/replies/run={run_id}")
-            replied = spark.read.parquet(f"{folder}/replies/run={run_id}")
-            costs = asked.join(replied, [*KEY, "batch_no"]).select(
-                requests.request_cost("prompt", "reply").alias("cost")
-            )
-        else:
-            costs = spark.range(0).select(F.col("id").alias("cost"))
-        mode = "append" if options.resume else "overwrite"
-        publish.write_table(costs, f"{folder}/token_usage", mode=mode)
-        classified = extract(items, attr_dict, replied, options).withColumn("run_id", F.lit(run_id))
-        publish.write_table(classified, f"{folder}/classified", mode=mode)
-        classified = spark.read.parquet(f"{folder}/classified")
-        mine = rows.join(classified.select(*GOODS), GOODS, "left_semi").select(*GOODS, "shipment_id")
-        if pairs is None:
-            publish.write_table(mine, f"{folder}/goods_shipments", mode=mode)
-        else:
-            merged = publish.merge_shipments(pairs, mine)
-            added = merged.exceptAll(pairs.select(*merged.columns))
-            publish.write_table(added, f"{folder}/goods_shipments", mode="append")
+        extract_stage(spark, folder, run_id, attr_dict, attr_defs, answer, options)
     if "publish" in stages:
-        classified = spark.read.parquet(f"{folder}/classified")
-        pairs = spark.read.parquet(f"{folder}/goods_shipments")
-        names = publish.attribute_names(attr_dict)
-        rows = publish.with_shipments(classified, pairs)
-        flat = publish.per_product(rows, names, options.custom_flags)
-        publish.write_table(flat, f"{folder}/flat", partition_by=["hs_code"])
-        flat = spark.read.parquet(f"{folder}/flat")
-        ordered = flat.withColumn("ord", F.struct("goods_shipped", "shipment_id"))
-        tables["flat"] = flat
-        tables["schema_master"] = publish.schema_master(S.missing_as_null(flat).withColumn("ord", F.struct("goods_shipped", "shipment_id")))
-        tables["shipment_attributes"] = publish.shipment_attributes(ordered)
-        tables["validation"] = replies.validation_stats(classified)
-        tables["metadata"] = publish.run_metadata(
-            classified, spark.read.parquet(f"{folder}/token_usage"), options.token_budget, options.batch_size
-        )
-        for name in ("schema_master", "shipment_attributes"):
-            publish.write_table(tables[name], f"{folder}/{name}")
-            tables[name] = spark.read.parquet(f"{folder}/{name}")
-    return tables
+        return publish_stage(spark, folder, attr_dict, options)
+    return {}

@@ -1,4 +1,4 @@
-"""Reading published tables back, from a folder of per-product CSV files or a table."""
+"""Reading published per-product CSV files back as one wide table."""
 
 from __future__ import annotations
 
@@ -8,72 +8,55 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiplabel.operators.publish import PREFIX
 from shiplabel.sources.shipments import missing_as_null, require_columns
 
 
-def read_folder(spark: SparkSession, folder: str, skip: Sequence[str] = ()) -> DataFrame:
-    """All ``*.csv`` files of a folder (not of its sub-folders) as one wide table.
+def _reader(spark: SparkSession):
+    return spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+
 
-    ``file`` is the file name and ``ord`` the place of the row: bytes come in file
-    order, so (partition, row) numbers order the rows of a file. Columns are
-    matched by name, absent ones stay empty. Files are listed by the file source;
-    a folder without any gives an error.
+def read_folder(
+    spark: SparkSession, folder: str, pattern: str = "*.[cC][sS][vV]", skip: Sequence[str] = ()
+) -> DataFrame:
+    """The CSV files of a folder, not of its sub-folders, as one wide table.
+
+    A file may also be a Spark output folder of that name. ``file`` is its name
+    and ``ord`` the place of a row in it. Columns are matched by name, absent ones
+    stay empty; files named in ``skip`` are left out; no file at all is an error.
     """
-    files = [
-        r["path"]
-        for r in spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .option("recursiveFileLookup", False)
-        .load(folder)
-        .select("path")
-        .orderBy("path")
-        .collect()
-    ]
-    names = {path: path.rsplit("/", 1)[-1] for path in files}
-    kept = [path for path in files if names[path] not in set(skip)]
-    if not kept:
-        raise FileNotFoundError(f"no CSV files in {folder}")
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]")
+    paths = [r[0] for r in listing.load(f"{folder}/{pattern}").select("path").orderBy("path").collect()]
+    inside = paths[0].find(folder.rstrip("/")) + len(folder.rstrip("/")) + 1 if paths else 0
+    paths = [p for p in paths if p[inside:].split("/")[0] not in set(skip)]
+    if not paths:
+        raise FileNotFoundError(f"no files in {folder} match {pattern}")
 
     # files with the same header are read together
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in kept:
-        header = _reader(spark).csv(path).columns
-        by_header.setdefault(tuple(header), []).append(path)
+    for path in paths:
+        by_header.setdefault(tuple(_reader(spark).csv(path).columns), []).append(path)
+    source = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     tables = [
         _reader(spark)
-        .csv(paths)
+        .csv(same)
         .withColumns(
             {
-                "file": F.col("_metadata.file_name"),
+                "file": F.regexp_extract(source, r"([^/]+\.[cC][sS][vV])(?:/[^/]*)?$", 1),
                 "ord": F.struct(
-                    F.col("_metadata.file_block_start").alias("block"),
-                    F.monotonically_increasing_id().alias("row"),
+                    source.alias("path"), F.monotonically_increasing_id().alias("row")
                 ),
             }
         )
-        for paths in by_header.values()
+        for same in by_header.values()
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-def _reader(spark: SparkSession):
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-
-
 def for_schema_master(wide: DataFrame) -> DataFrame:
     """Cells as the schema summary reads them: every spelling of a missing cell is missing."""
     return missing_as_null(wide)
 
 
-def for_shipment_map(wide: DataFrame) -> DataFrame:
-    """Checks what the shipment map needs; its cells are taken as they are."""
-    return require_columns(wide, ["shipment_id"])
-
-
-def read_flat_table(spark: SparkSession, path: str) -> DataFrame:
-    """The flat table as parquet, its attribute columns first checked."""
-    table = spark.read.parquet(path)
-    if not any(c.startswith(PREFIX) for c in table.columns):
-        raise ValueError(f"{path} has no {PREFIX}* column")
-    return table
+def for_shipment_map(wide: DataFrame, id_column: str = "shipment_id") -> DataFrame:
+    """Cells as the shipment map reads them: as they are, under a required id column."""
+    return require_columns(wide, [id_column])
