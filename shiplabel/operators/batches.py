@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplabel.operators.dictionary import KEY
-from shiplabel.operators.scale import rank_in_groups, running_total, skew_join
+from shiplabel.operators.scale import rank_in_groups, running_total
 
 # --- fixed values -----------------------------------------------------------
 BATCH_SIZE = 10
@@ -44,8 +44,7 @@ def batch_table(items: DataFrame, groups: Sequence[str] = tuple(KEY)) -> DataFra
         total = batches.agg(F.count("*")).scalar()
         return batches.withColumn("total_batches", total)
     totals = batches.groupBy(*groups).agg(F.count("*").alias("total_batches"))
-    counts = totals.withColumnRenamed("total_batches", "_rows")
-    return skew_join(batches, totals, groups, spread_by=["batch_no"], counts=counts)
+    return batches.join(totals, groups)
 
 
 def first_goods(rows: DataFrame, n: int, ord_column: str = "ord") -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplabel.functions import text as X
-from shiplabel.operators.scale import skew_join
+from shiplabel.operators.scale import salted_join
 
 KEY = ["hs_code", "product"]
 
@@ -37,6 +37,8 @@ DENSITY_UNIT = r"\s*(?:g|gr|grams)\s*/?\s*(?:l|liter)"
 BROADCAST_BYTES = 64 << 20
 VALUES_PER_PRODUCT = 2_000
 GRAM = 3
+# A word may stand in a large share of all texts; its rows are spread over as many tasks.
+ANCHOR_SALTS = 16
 
 
 def mark_runs(c: Column) -> Column:
@@ -128,7 +130,8 @@ def attach_dictionary(
     ``broadcast`` ships the rolled dictionary to the rows: no shuffle of the goods.
     ``anchored`` serves dictionaries of any size: rows and values meet in an
     equi-join on tokens a matching text must contain, and ``attrs`` holds only the
-    values that share a token with the row. ``auto`` measures and decides.
+    values that share a token with the row; it wants distinct descriptions (see
+    ``match_rows``). ``auto`` measures and decides.
     ``replied`` (array of strings) names further values whose membership matters.
     Rows of products without a dictionary are dropped by ``how="inner"``.
     """
@@ -225,7 +228,7 @@ def _attach_by_anchor(
     keyed = goods.withColumn("_gid", F.xxhash64(*identity))
     tokens = keyed.dropDuplicates(["_gid"]).select(*KEY, "_gid", F.explode(anchors).alias("anchor"))
     found = (
-        skew_join(tokens, value_anchors(compiled, gram), [*KEY, "anchor"], spread_by=["_gid"])
+        salted_join(tokens, value_anchors(compiled, gram), [*KEY, "anchor"], ["_gid"], ANCHOR_SALTS)
         .groupBy("_gid")
         .agg(F.collect_set(F.struct("attr", _value_struct().alias("value"))).alias("_found"))
     )
@@ -235,7 +238,7 @@ def _attach_by_anchor(
         .groupBy(*KEY)
         .agg(F.array_sort(F.collect_list(F.struct("attr_ord", "attr"))).alias("_names"))
     )
-    with_names = skew_join(keyed, names, KEY, how, spread_by=["_gid"])
+    with_names = keyed.join(names, KEY, how)
     attrs = F.transform(
         "_names",
         lambda n: F.struct(
@@ -252,7 +255,7 @@ def _attach_by_anchor(
         ),
     )
     return (
-        skew_join(with_names, found, ["_gid"], "left")
+        with_names.join(found, "_gid", "left")
         .withColumn("attrs", attrs)
         .drop("_gid", "_names", "_found")
     )

@@ -12,7 +12,7 @@ from shiplabel.operators.dictionary import (
     attach_dictionary,
     mark_runs,
 )
-from shiplabel.operators.scale import skew_join
+from shiplabel.operators.scale import durable, skew_join
 
 GOODS_KEY = ["hs_code", "product", "goods_shipped"]
 
@@ -119,7 +119,7 @@ def match_rows(
     Each distinct description is matched once and the result joined back; a
     description that holds a large share of the rows is spread over many tasks.
     """
-    goods = rows.groupBy(GOODS_KEY).agg(F.count("*").alias("_rows"))
+    goods = durable(rows.groupBy(GOODS_KEY).agg(F.count("*").alias("_rows")))
     matched = match_goods(
         goods, attr_dict, negation=negation, min_len=min_len, window=window, strategy=strategy
     )

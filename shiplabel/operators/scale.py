@@ -148,6 +148,19 @@ def lists_in_parts(
     )
 
 
+def hot_keys(counts: DataFrame, on: Sequence[str], floor: int = HOT_FLOOR) -> list[tuple[int, int]]:
+    """(key hash, number of salts) of the keys that hold more than their share of rows.
+
+    ``counts`` has the ``on`` columns and ``_rows``. A key is hot above ``floor`` rows
+    and above 1/HOT_KEYS of all rows, so the list fetched here has a fixed bound.
+    """
+    per_key = counts.groupBy(F.xxhash64(*on).alias("key")).agg(F.sum("_rows").alias("rows"))
+    share = per_key.agg((F.sum("rows") / HOT_KEYS).cast("bigint")).scalar()
+    salts = F.least(F.ceil(F.col("rows") / floor), F.lit(HOT_KEYS)).cast("int")
+    hot = per_key.where(F.col("rows") > F.greatest(share, F.lit(floor))).select("key", salts)
+    return [tuple(r) for r in hot.collect()]
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -157,42 +170,32 @@ def skew_join(
     counts: DataFrame | None = None,
     floor: int = HOT_FLOOR,
 ) -> DataFrame:
-    """Equi-join of a skewed ``left`` side; hot keys are spread by salting.
-
-    Only the right rows of hot keys are repeated, once per salt. ``how`` may be
-    ``inner``, ``left``, ``left_semi`` or ``left_anti``. The salt is a hash of the
-    ``spread_by`` columns (all hashable ones by default), so a recomputed task
-    salts its rows as before. ``counts`` (the ``on`` columns and ``_rows``) saves
-    the pass over ``left`` that finds the hot keys.
+    """Equi-join whose ``left`` side may hold very many rows of one key.
+
+    One job finds the hot keys; without any this is a plain join. Else left rows
+    of hot keys get a salt and the right rows of these keys are repeated, once per
+    salt. ``how`` may be ``inner``, ``left``, ``left_semi`` or ``left_anti``. The
+    salt is a hash of the ``spread_by`` columns (all hashable ones by default), so
+    a recomputed task salts its rows as before. ``counts`` (the ``on`` columns and
+    ``_rows``) saves the pass over ``left``.
     """
     on = list(on)
+    if counts is None:
+        counts = left.groupBy(*on).agg(F.count("*").alias("_rows"))
+    found = hot_keys(counts, on, floor)
+    if not found:
+        return left.join(right, on, how)
     spread_by = spread_by or [
         f.name
         for f in left.schema
         if isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)
     ]
-    keyed = left.withColumn("_key", F.xxhash64(*on))
-    if counts is None:
-        per_key = keyed.groupBy("_key").agg(F.count("*").alias("_rows"))
-    else:
-        per_key = counts.groupBy(F.xxhash64(*on).alias("_key")).agg(F.sum("_rows").alias("_rows"))
-    limit = F.greatest(
-        per_key.agg((F.sum("_rows") / HOT_KEYS).cast("bigint")).scalar(), F.lit(floor)
-    )
-    hot = per_key.where(F.col("_rows") > limit).select(
-        "_key", F.least(F.ceil(F.col("_rows") / floor), F.lit(HOT_KEYS)).cast("int").alias("_salts")
-    )
+    hot = left.sparkSession.createDataFrame(found, "_key long, _salts int")
+    salt = F.pmod(F.xxhash64(F.lit("salt"), *spread_by), F.col("_salts")).cast("int")
     spread = (
-        keyed.join(F.broadcast(hot), "_key", "left")
-        .withColumn(
-            "_salt",
-            F.when(
-                F.col("_salts").isNotNull(),
-                F.pmod(F.xxhash64(F.lit("salt"), *spread_by), F.col("_salts")),
-            )
-            .otherwise(0)
-            .cast("int"),
-        )
+        left.withColumn("_key", F.xxhash64(*on))
+        .join(F.broadcast(hot), "_key", "left")
+        .withColumn("_salt", F.coalesce(salt, F.lit(0)))
         .drop("_key", "_salts")
     )
     repeated = (
@@ -202,3 +205,16 @@ def skew_join(
         .drop("_key", "_salts")
     )
     return spread.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def salted_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], salts: int
+) -> DataFrame:
+    """Inner join with every right row repeated ``salts`` times, without a counting pass.
+
+    For a left side that is dear to compute twice and a right side that is small
+    in comparison.
+    """
+    salt = F.pmod(F.xxhash64(F.lit("salt"), *spread_by), F.lit(salts)).cast("int")
+    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.withColumn("_salt", salt).join(repeated, [*on, "_salt"]).drop("_salt")

@@ -70,7 +70,7 @@ def label(
     Without a ``scorer`` the lexical one is used. ``done`` (``goods_shipped,
     category``) are labels of earlier runs, which are not scored again.
     """
-    goods = labels.distinct_goods(rows)
+    goods = durable(labels.distinct_goods(rows))
     todo = goods if done is None else goods.join(done, "goods_shipped", "left_anti")
     if scorer is None:
         scored = todo.select(
