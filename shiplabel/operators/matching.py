@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,17 +115,21 @@ def match_rows(
     min_len: int = MIN_VALUE_LENGTH,
     window: int = NEGATION_WINDOW,
     strategy: str = "auto",
+    derive: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """:func:`match_goods` for tables in which descriptions repeat.
 
     Each distinct description is matched once and the result joined back; a
     description that holds a large share of the rows is spread over many tasks.
+    ``derive`` names columns computed from ``found`` that are joined instead of it.
     """
     goods = durable(rows.groupBy(GOODS_KEY).agg(F.count("*").alias("_rows")))
     matched = match_goods(
         goods, attr_dict, negation=negation, min_len=min_len, window=window, strategy=strategy
     )
-    return skew_join(rows, matched.drop("_rows"), GOODS_KEY, counts=goods)
+    results = {"found": F.col("found")} if derive is None else derive
+    narrow = matched.select(*GOODS_KEY, *(c.alias(name) for name, c in results.items()))
+    return skew_join(rows, narrow, GOODS_KEY, counts=goods)
 
 
 def match_goods(
@@ -143,10 +149,17 @@ def match_goods(
     )
 
 
+def found_values(found: str = "found") -> Column:
+    """``array<struct<attr, value>>`` of the attributes a text states."""
+    hits = F.filter(found, lambda f: f["value"].isNotNull())
+    return F.transform(
+        hits, lambda f: F.struct(f["attr"].alias("attr"), f["value"].alias("value"))
+    )
+
+
 def found_map(found: str = "found") -> Column:
     """The stated values as a map; attributes without one are absent."""
-    hits = F.filter(found, lambda f: f["value"].isNotNull())
-    return F.map_from_entries(F.transform(hits, lambda f: F.struct(f["attr"], f["value"])))
+    return F.map_from_entries(found_values(found))
 
 
 def full_map(found: str = "found") -> Column:

@@ -16,6 +16,7 @@ from shiplabel.operators import publish as P
 from shiplabel.operators import replies as R
 from shiplabel.operators import requests as Q
 from shiplabel.operators.dictionary import KEY, attach_dictionary, compile_values
+from shiplabel.operators.scale import durable
 from shiplabel.plans import runs
 from shiplabel.plans import views as V
 from shiplabel.sources import config as C
@@ -43,13 +44,14 @@ def items(spark: SparkSession, sf_dir: str, only=tuple(V.ATTRIBUTES), size: int
     known = V.attr_dict(spark, only)
     goods = rows(spark, sf_dir).select(*GOODS).distinct()
     batched = B.number_batches(goods.join(known.select(*KEY).distinct(), KEY, "left_semi"), size)
-    return R.gate_batches(M.match_goods(batched, known))
+    # requests and replies both start from the items
+    return durable(R.gate_batches(M.match_goods(batched, known)))
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat rows with their per-product file, from the dictionary alone."""
     known = V.attr_dict(spark)
-    matched = M.match_rows(rows(spark, sf_dir), known).withColumn("attributes", M.full_map())
+    matched = M.match_rows(rows(spark, sf_dir), known, derive={"attributes": M.full_map()})
     return P.per_product(matched, list(V.ATTRIBUTES))
 
 
@@ -262,25 +264,29 @@ def dedup_stats(spark, sf_dir):
 
 
 def _long(matched: DataFrame, *keys: str) -> DataFrame:
-    return matched.select(*keys, F.explode("found").alias("f")).select(*keys, "f.attr", "f.value").where("value IS NOT NULL")
+    return matched.select(*keys, F.inline("hits"))
+
+
+HITS = {"hits": M.found_values()}
 
 
 @query
 def deterministic_match(spark, sf_dir):
-    return _long(M.match_rows(rows(spark, sf_dir), V.attr_dict(spark)), "ord", *KEY)
+    matched = M.match_rows(rows(spark, sf_dir), V.attr_dict(spark), derive=HITS)
+    return _long(matched, "ord", *KEY)
 
 
 @query
 def deterministic_match_anchored(spark, sf_dir):
     """The same matches by the join that serves dictionaries too large to broadcast."""
-    matched = M.match_rows(rows(spark, sf_dir), V.attr_dict(spark), strategy="anchored")
+    matched = M.match_rows(rows(spark, sf_dir), V.attr_dict(spark), strategy="anchored", derive=HITS)
     return _long(matched, "ord", *KEY)
 
 
 @query
 def density_match(spark, sf_dir):
     known = V.attr_dict(spark, ("Density",))
-    return _long(M.match_rows(rows(spark, sf_dir), known), "ord", *KEY)
+    return _long(M.match_rows(rows(spark, sf_dir), known, derive=HITS), "ord", *KEY)
 
 
 @query
@@ -327,7 +333,8 @@ def document_match(spark, sf_dir):
         .select("*", F.explode(F.array(*(F.struct(*(F.lit(x) for x in entry)) for entry in listed))).alias("v"))
         .select(*KEY, *(F.col(f"v.col{i + 1}").alias(c) for i, c in enumerate(values.columns)))
     )
-    return _long(M.match_goods(documents, known, min_len=2), "doc_id")
+    matched = M.match_goods(documents, known, min_len=2)
+    return _long(matched.withColumns(HITS), "doc_id")
 
 
 @query
@@ -497,13 +504,13 @@ def validation_stats(spark, sf_dir):
 @query
 def flat_attributes(spark, sf_dir):
     known = V.attr_dict(spark)
-    matched = M.match_rows(rows(spark, sf_dir), known).withColumn("attributes", M.full_map())
+    matched = M.match_rows(rows(spark, sf_dir), known, derive={"attributes": M.full_map()})
     return P.flat_attributes(matched, P.attribute_names(known))
 
 
 @query
 def wide_per_product(spark, sf_dir):
-    records = _records(spark, sf_dir)
+    records = durable(_records(spark, sf_dir))
     published = P.with_shipments(records, P.goods_shipments(rows(spark, sf_dir)))
     return P.per_product(published, list(V.ATTRIBUTES), flags=True)
 

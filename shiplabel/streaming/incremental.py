@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shiplabel.operators import publish
 from shiplabel.operators.dictionary import KEY, fits_broadcast
-from shiplabel.operators.matching import full_map, match_goods
+from shiplabel.operators.matching import found_values, full_map, match_goods
 from shiplabel.operators.scale import checkpoint_folder
 from shiplabel.plans import views
 from shiplabel.sources import shipments as S
@@ -83,11 +83,7 @@ def match_available(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = S.with_goods(S.classified_input(views.shipments(spark, sf_dir, lineitem=stream)))
     matched = match_stream(rows, views.attr_dict(spark))
-    long = (
-        matched.select("ord", *KEY, F.explode("found").alias("f"))
-        .select("ord", *KEY, "f.attr", "f.value")
-        .where("value IS NOT NULL")
-    )
+    long = matched.select("ord", *KEY, F.inline(found_values()))
     written = (
         long.writeStream.format("parquet")
         .option("path", f"{folder}/table")
