@@ -267,26 +267,27 @@ def _long(matched: DataFrame, *keys: str) -> DataFrame:
     return matched.select(*keys, F.inline("hits"))
 
 
-HITS = {"hits": M.found_values()}
+def hits() -> dict:
+    return {"hits": M.found_values()}
 
 
 @query
 def deterministic_match(spark, sf_dir):
-    matched = M.match_rows(rows(spark, sf_dir), V.attr_dict(spark), derive=HITS)
+    matched = M.match_rows(rows(spark, sf_dir), V.attr_dict(spark), derive=hits())
     return _long(matched, "ord", *KEY)
 
 
 @query
 def deterministic_match_anchored(spark, sf_dir):
     """The same matches by the join that serves dictionaries too large to broadcast."""
-    matched = M.match_rows(rows(spark, sf_dir), V.attr_dict(spark), strategy="anchored", derive=HITS)
+    matched = M.match_rows(rows(spark, sf_dir), V.attr_dict(spark), strategy="anchored", derive=hits())
     return _long(matched, "ord", *KEY)
 
 
 @query
 def density_match(spark, sf_dir):
     known = V.attr_dict(spark, ("Density",))
-    return _long(M.match_rows(rows(spark, sf_dir), known, derive=HITS), "ord", *KEY)
+    return _long(M.match_rows(rows(spark, sf_dir), known, derive=hits()), "ord", *KEY)
 
 
 @query
@@ -334,7 +335,7 @@ def document_match(spark, sf_dir):
         .select(*KEY, *(F.col(f"v.col{i + 1}").alias(c) for i, c in enumerate(values.columns)))
     )
     matched = M.match_goods(documents, known, min_len=2)
-    return _long(matched.withColumns(HITS), "doc_id")
+    return _long(matched.withColumns(hits()), "doc_id")
 
 
 @query

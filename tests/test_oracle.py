@@ -1,5 +1,9 @@
 """Every query against its SQL counterpart, and the contract of the entry module."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import oracle_check
 import pytest
 
@@ -22,6 +26,11 @@ def test_query(spark, con, name):
     assert oracle_check.compare(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) == []
 
 
+def test_import_needs_no_session():
+    code = "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], cwd=Path(entry.__file__).parent, check=True)
+
+
 def test_entry(spark):
     flat = entry.entry(spark)
     assert flat.count() > 0 and "attr_Color" in flat.columns
