@@ -227,9 +227,10 @@ def extract_stage(
 
     def earlier(name: str) -> DataFrame | None:
         table = _stored(spark, f"{folder}/{name}") if options.resume else None
-        return None if table is None else table.where(F.col("run") != run_id).drop("run")
+        return None if table is None else table.where(F.col("run") != this_run).drop("run")
 
-    mine = lambda name: f"{folder}/{name}/run={run_id}"
+    this_run = f"id-{run_id}"  # never read back as a number or a date
+    mine = lambda name: f"{folder}/{name}/run={this_run}"
     rows = extraction_rows(spark.read.parquet(f"{folder}/labelled"), attr_dict, options)
     stored, pairs, spent = earlier("classified"), earlier("goods_shipments"), earlier("token_usage")
     items = durable(extraction_items(rows, attr_dict, options, stored))
