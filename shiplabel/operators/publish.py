@@ -134,14 +134,18 @@ def observed_values(wide: DataFrame, ord_column: str = "ord", file_column: str =
 
     Case is ignored, the first spelling in row order is kept. ``c`` is the place of
     the column among the attribute columns; a further row with ``FILE_ITSELF`` there
-    keeps files without any value.
+    keeps files without any value. An empty value tells that the file has the column
+    (a cell that is not NULL), whatever values it takes.
     """
     cells = F.array(
         *(
             F.struct(
                 F.lit(i).alias("c"),
                 X.attr_to_snake(F.lit(c)).alias("attr"),
-                X.clean_value(F.col(f"`{c}`")).alias("value"),
+                F.when(
+                    F.col(f"`{c}`").isNotNull(),
+                    F.coalesce(X.clean_value(F.col(f"`{c}`")), F.lit("")),
+                ).alias("value"),
             )
             for i, c in enumerate(attribute_columns(wide))
         ),
@@ -168,19 +172,26 @@ def schema_master(
 ) -> DataFrame:
     """``product, file, part, schema_json``: the values each attribute of a file takes.
 
-    A file whose values exceed ``part_size`` for an attribute continues in further
+    An attribute all of whose cells are NULL is none of the file's; one that only
+    spells "no value" is listed as empty. A file whose values exceed ``part_size`` for an attribute continues in further
     parts; joining the lists of the parts gives the whole schema.
     """
     names = _constants(wide, [X.attr_to_snake(F.lit(c)) for c in attribute_columns(wide)])
     # of columns with the same snake-case name the last one counts
     counted = sorted({name: i for i, name in enumerate(names)}.values())
     values = observed_values(wide, ord_column).where(F.col("c").isin([FILE_ITSELF, *counted]))
-    ranked = rank_in_groups(values, ["file", "c", "attr"], ["first_ord", "value"], "_rn")
+    ranked = rank_in_groups(
+        values.withColumn("empty", F.col("value") == ""),
+        ["file", "c", "attr", "empty"],
+        ["first_ord", "value"],
+        "_rn",
+    )
+    value = F.when(~F.col("empty"), F.struct("_rn", "value"))
     per_part = (
         ranked.where(F.col("c") != FILE_ITSELF)
         .withColumn("part", F.floor((F.col("_rn") - 1) / part_size).cast("bigint"))
         .groupBy("file", "part", "attr")
-        .agg(F.array_sort(F.collect_list(F.struct("_rn", "value")))["value"].alias("values"))
+        .agg(F.array_sort(F.collect_list(value))["value"].alias("values"))
         .groupBy("file", "part")
         .agg(F.map_from_entries(F.collect_list(F.struct("attr", "values"))).alias("seen"))
     )
@@ -190,18 +201,16 @@ def schema_master(
         .join(per_part, "file", "left")
         .withColumn("part", F.coalesce("part", F.lit(0)).cast("bigint"))
     )
-    # the first part lists every attribute, also one without any value
+    # in the order of the columns
     listed = [F.lit(n) for n in dict.fromkeys(names)]
-    none = F.array().cast("array<string>")
-    whole = F.map_from_arrays(
-        F.array(*listed), F.array(*(F.coalesce(F.col("seen")[n], none) for n in listed))
-    )
-    rest = F.map_filter(whole, lambda k, v: (F.col("part") == 0) | (F.size(v) > 0))
+    whole = F.map_from_arrays(F.array(*listed), F.array(*(F.col("seen")[n] for n in listed)))
+    own = F.map_filter(whole, lambda k, v: v.isNotNull())
+    schema = F.coalesce(own, F.create_map().cast("map<string,array<string>>"))
     return files.select(
         X.product_from_file("file").alias("product"),
         "file",
         "part",
-        F.to_json(rest).alias("schema_json"),
+        F.to_json(schema).alias("schema_json"),
     )
 
 

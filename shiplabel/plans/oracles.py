@@ -674,7 +674,8 @@ lists AS (SELECT hs_code, product, attr, string_agg('"' || value || '"', ',' ORD
 files AS (SELECT DISTINCT hs_code, product FROM flat)""",
     """SELECT product, 'hs_' || hs_code || '_' || product || '.csv' AS file, CAST(0 AS BIGINT) AS part,
        '{' || string_agg('"' || snake || '":[' || coalesce(listed, '') || ']', ',' ORDER BY attr_no) || '}' AS schema_json
-       FROM files CROSS JOIN named LEFT JOIN lists USING (hs_code, product, attr) GROUP BY hs_code, product""",
+       FROM files JOIN attrs USING (hs_code, product) JOIN named USING (attr)
+            LEFT JOIN lists USING (hs_code, product, attr) GROUP BY hs_code, product""",
 )
 ORACLES["shipment_attributes"] = cte(
     f"""{FLAT},

@@ -4,28 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiplabel.sources.shipments import missing_as_null, require_columns
+from shiplabel.functions import text as X
+from shiplabel.operators.publish import attribute_columns, schema_master
+from shiplabel.sources.shipments import CSV_MISSING, require_columns
+
+ANY_CSV = "*.[cC][sS][vV]"
 
 
 def _reader(spark: SparkSession):
     return spark.read.option("header", True).option("multiLine", True).option("escape", '"')
 
 
+def _paths(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    files = spark.read.option("pathGlobFilter", ANY_CSV).text(f"{folder}/{pattern}").inputFiles()
+    return sorted(unquote(path) for path in files)
+
+
 def read_folder(
-    spark: SparkSession, folder: str, pattern: str = "*.[cC][sS][vV]", skip: Sequence[str] = ()
+    spark: SparkSession, folder: str, pattern: str = ANY_CSV, skip: Sequence[str] = ()
 ) -> DataFrame:
     """The CSV files of a folder, not of its sub-folders, as one wide table.
 
     A file may also be a Spark output folder of that name. ``file`` is its name
     and ``ord`` the place of a row in it. Columns are matched by name, absent ones
-    stay empty; files named in ``skip`` are left out; no file at all is an error.
+    are NULL, empty cells of a file's own columns are ''. Files named in ``skip`` are
+    left out; no file at all is an error.
     """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]")
-    paths = [r[0] for r in listing.load(f"{folder}/{pattern}").select("path").orderBy("path").collect()]
+    paths = _paths(spark, folder, pattern)
     inside = paths[0].find(folder.rstrip("/")) + len(folder.rstrip("/")) + 1 if paths else 0
     paths = [p for p in paths if p[inside:].split("/")[0] not in set(skip)]
     if not paths:
@@ -39,6 +49,7 @@ def read_folder(
     tables = [
         _reader(spark)
         .csv(same)
+        .na.fill("")
         .withColumns(
             {
                 "file": F.regexp_extract(source, r"([^/]+\.[cC][sS][vV])(?:/[^/]*)?$", 1),
@@ -53,8 +64,24 @@ def read_folder(
 
 
 def for_schema_master(wide: DataFrame) -> DataFrame:
-    """Cells as the schema summary reads them: every spelling of a missing cell is missing."""
-    return missing_as_null(wide)
+    """Cells as the schema summary reads them: every spelling of a missing cell is empty."""
+    missing = lambda c: F.when(F.col(f"`{c}`").isin(CSV_MISSING), "").otherwise(F.col(f"`{c}`"))
+    return wide.withColumns({c: missing(c) for c in attribute_columns(wide)})
+
+
+def folder_schema_master(spark: SparkSession, folder: str) -> DataFrame:
+    """The schema summary of a folder; a file that cannot be read is listed with its error."""
+    names = {path.rsplit("/", 1)[-1]: _reader(spark).csv(path).columns for path in _paths(spark, folder, ANY_CSV)}
+    broken = [name for name, columns in names.items() if not columns]
+    errors = spark.createDataFrame([(name,) for name in broken], "file string").select(
+        X.product_from_file("file").alias("product"),
+        "file",
+        F.lit(0).cast("bigint").alias("part"),
+        F.lit('{"__error__":["No columns to parse from file"]}').alias("schema_json"),
+    )
+    if len(broken) == len(names):
+        return errors
+    return schema_master(for_schema_master(read_folder(spark, folder, skip=broken))).unionByName(errors)
 
 
 def for_shipment_map(wide: DataFrame, id_column: str = "shipment_id") -> DataFrame:

@@ -24,7 +24,7 @@ def wide(spark):
             ("b.csv", 1, "s1", "Q", None, "peru", "2"),
             ("b.csv", 2, "s1", " ", None, "Peru", "none"),
             ("b.csv", 3, " ", "Q", "x", "x", "x"),
-            ("c.csv", 1, "s2", "R", None, None, None),
+            ("c.csv", 1, "s2", "R", None, None, "None"),
         ],
         WIDE,
     )
@@ -37,7 +37,8 @@ def test_schema_master(spark, wide):
     assert got == {
         "a.csv": ("a", {"origin_country": ["Chad"], "x": ["1"]}),
         "b.csv": ("b", {"origin_country": ["peru", "x"], "x": ["2", "x"]}),
-        "c.csv": ("c", {"origin_country": [], "x": []}),
+        # a column without any cell is none of the file's
+        "c.csv": ("c", {"x": []}),
     }
 
 
@@ -146,7 +147,7 @@ def test_per_product_files_and_back(spark, classified, pairs, tmp_path):
     }
     summary = P.schema_master(published.for_schema_master(back)).orderBy("file").collect()
     assert [r["product"] for r in summary] == ["Mate", "Tea Green"]
-    # absent columns of a file are listed as empty, the published "None" is no value
+    assert json.loads(summary[0]["schema_json"]) == {"x": ["3"]}  # only the file's own columns
     assert json.loads(summary[1]["schema_json"]) == {"x": ["1"], "y": ["2"]}
     merged = P.shipment_attributes(published.for_shipment_map(back))
     P.write_shipment_map(merged, f"{tmp_path}/map.json")
@@ -168,6 +169,13 @@ def test_plain_files_keep_row_order(spark, tmp_path):
     (tmp_path / "sub" / "c.csv").write_text("shipment_id,attr_Z\ns,9\n")
     back = published.read_folder(spark, str(tmp_path))
     assert P.shipment_attributes(back).first()["attrs"] == {"x": "3", "y": "5"}
+    (tmp_path / "hs_1_Empty.csv").write_text("")
+    (tmp_path / "hs_1_NA.csv").write_text("attr_X,attr_Y\nNA,\n")
+    master = {r["product"]: json.loads(r["schema_json"]) for r in published.folder_schema_master(spark, str(tmp_path)).collect()}
+    assert master == {
+        "A": {"x": ["1\n2", "3"]}, "B": {"y": ["5"]}, "NA": {"x": [], "y": []},
+        "Empty": {"__error__": ["No columns to parse from file"]},
+    }
     with pytest.raises(ValueError, match="missing required"):
         published.for_shipment_map(back.drop("shipment_id"))
 
