@@ -1 +1,8 @@
 """Operators for training-data pipelines: filtering, deduplication, scanning, sharding and packing of text corpora."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with the job: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

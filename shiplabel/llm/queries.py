@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiplabel.llm import secrets, sharding
+from shiplabel.llm import decontaminate, secrets, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,15 +17,26 @@ def op5_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(_table(spark, sf_dir, "documents"))
 
 
+def op7_simhash_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secret_ledger": op5_secret_ledger,
+    "op7_simhash_vantage_points": op7_simhash_vantage_points,
     "op9_feistel_shards": op9_feistel_shards,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {
     "op5_secret_ledger": secrets.ORACLE_SQL,
+    "op10_decontamination": decontaminate.ORACLE_SQL,
 }
