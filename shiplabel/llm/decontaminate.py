@@ -298,15 +298,15 @@ item AS (
       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 sized AS (SELECT *, least(10, len(w)) AS width FROM item WHERE len(w) > 0),
 win AS (
-  SELECT DISTINCT item_id, width, array_to_string(w[at:at + width - 1], ' ') AS gram
-  FROM (SELECT item_id, width, w, unnest(range(1, len(w) - width + 2)) AS at FROM sized)),
+  SELECT DISTINCT item_id, width, array_to_string(w[pos:pos + width - 1], ' ') AS gram
+  FROM (SELECT item_id, width, w, unnest(range(1, len(w) - width + 2)) AS pos FROM sized)),
 gram AS (
-  SELECT row_id, width, at, array_to_string(w[at:at + width - 1], ' ') AS gram
-  FROM (SELECT row_id, w, width, unnest(range(1, len(w) - width + 2)) AS at
+  SELECT row_id, width, pos, array_to_string(w[pos:pos + width - 1], ' ') AS gram
+  FROM (SELECT row_id, w, width, unnest(range(1, len(w) - width + 2)) AS pos
         FROM doc, (SELECT DISTINCT width FROM sized) WHERE len(w) >= width)),
-hit AS (SELECT row_id, at, gram.width, item_id FROM gram JOIN win ON gram.gram = win.gram AND gram.width = win.width),
+hit AS (SELECT row_id, pos, gram.width, item_id FROM gram JOIN win ON gram.gram = win.gram AND gram.width = win.width),
 word AS (SELECT row_id, count(DISTINCT place) AS n_hit
-  FROM (SELECT row_id, unnest(range(at, at + width)) AS place FROM (SELECT DISTINCT row_id, at, width FROM hit)) GROUP BY row_id),
+  FROM (SELECT row_id, unnest(range(pos, pos + width)) AS place FROM (SELECT DISTINCT row_id, pos, width FROM hit)) GROUP BY row_id),
 named AS (SELECT row_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
   FROM (SELECT DISTINCT row_id, item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY row_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
