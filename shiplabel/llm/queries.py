@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiplabel.llm import decontaminate, secrets, sharding, simhash
+from shiplabel.llm import decontaminate, langid, secrets, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op5_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(_table(spark, sf_dir, "documents"))
 
 
+def op6_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(_table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secret_ledger": op5_secret_ledger,
+    "op6_language_bitmask": op6_language_bitmask,
     "op7_simhash_vantage_points": op7_simhash_vantage_points,
     "op9_feistel_shards": op9_feistel_shards,
     "op10_decontamination": op10_decontamination,
