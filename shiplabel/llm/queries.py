@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiplabel.llm import decontaminate, langid, secrets, sharding, simhash
+from shiplabel.llm import decontaminate, fingerprints, langid, secrets, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op7_simhash_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_one_permutation_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprinted(_table(spark, sf_dir, "documents"))
+
+
 def op9_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secret_ledger": op5_secret_ledger,
     "op6_language_bitmask": op6_language_bitmask,
     "op7_simhash_vantage_points": op7_simhash_vantage_points,
+    "op8_one_permutation_minhash": op8_one_permutation_minhash,
     "op9_feistel_shards": op9_feistel_shards,
     "op10_decontamination": op10_decontamination,
 }
