@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiplabel.llm import decontaminate, fingerprints, html_extract, langid, secrets, sharding, simhash, toxicity
+from shiplabel.llm import decontaminate, fingerprints, html_extract, langid, packing, secrets, sharding, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"))
+
+
 def op2_html_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_table(spark, sf_dir, "pages"))
 
@@ -46,6 +50,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_retrieval_packing": op1_retrieval_packing,
     "op2_html_field": op2_html_field,
     "op3_toxicity_grammar": op3_toxicity_grammar,
     "op5_secret_ledger": op5_secret_ledger,
