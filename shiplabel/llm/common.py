@@ -46,6 +46,18 @@ def id_remainder(parts: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def hash_sample(df: DataFrame, key: str, rows: int, salt: int) -> DataFrame:
+    """About ``rows`` rows of ``df`` (all, if it has no more), those whose key hashes low: the same at every run.
+
+    A filter, so nothing is sorted or moved; the number is binomial around ``rows``.
+    """
+    total = df.count()
+    if total <= rows:
+        return df
+    span = 1 << 40
+    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(span)) < span * rows // total)
+
+
 def numbered(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
     """Add a gapless ``name`` from 0 in the given order, without a window over all rows.
 

@@ -6,7 +6,7 @@ Over a text the set bits are counted by language; a language whose filter has a
 bits set answers by chance with probability p = f ** hashes, so of N n-grams with C answers
 (C - N p) / (1 - p) are taken to be real. The largest corrected count decides.
 
-Training takes a bounded sample of labelled rows (TRAIN_ROWS in the order of a hash, all of them
+Training takes a bounded sample of labelled rows (about TRAIN_ROWS by a hash of the id, all of them
 if there are fewer). A language's n-grams are those with at least 1/SHARE of the language's
 occurrences, hence at most SHARE of them: long and short training texts give filters of the same
 kind, and what is collected has a bound. Counting is a Spark aggregation.
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplabel.llm.common import id_remainder, text_or_empty, written
+from shiplabel.llm.common import hash_sample, id_remainder, text_or_empty, written
 
 NGRAM = 4
 HASHES = 2
@@ -137,11 +137,10 @@ def chunks(texts: list[str], size: int = CHARS) -> Iterator[list[str]]:
 
 
 def train(labelled: DataFrame, rows: int = TRAIN_ROWS, share: int = SHARE) -> Model:
-    """Fit on ``labelled`` (doc_id, text, lang), at most ``rows`` of it."""
+    """Fit on ``labelled`` (doc_id, text, lang), about ``rows`` of it."""
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = [F.xxhash64("doc_id", F.lit(7)), "doc_id"]
-    chosen = usable.select("doc_id").orderBy(*order).limit(rows).distinct()
-    # At most ``rows`` ids: a bounded broadcast, so the texts are read in place.
+    chosen = hash_sample(usable.select("doc_id"), "doc_id", rows, 7).distinct()
+    # About ``rows`` ids: a bounded broadcast, so the texts are read in place.
     sample = usable.join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@
    the labelled rows and drawn to fixed prior weights, so circumstances that no row shows keep
    their prior.
 
-Training reads at most TRAIN_ROWS labelled rows (in the order of a hash, all if fewer): the
+Training reads about TRAIN_ROWS labelled rows (by a hash of the id, all if fewer): the
 bound of the sample. Texts are scanned whole. Null and empty texts have no match and get the
 score of such a text. Rows of ``labels`` that repeat an id count once, with the higher label;
 without usable labels the prior decides. Repeated documents are scored each, other columns are
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplabel.llm.common import id_remainder, text_or_empty, written
+from shiplabel.llm.common import hash_sample, id_remainder, text_or_empty, written
 
 TRAIN_ROWS = 20_000
 FOLDS, HELD_OUT = 3, 1
@@ -186,15 +186,11 @@ def held_out() -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(text, toxic) of at most ``rows`` labelled documents outside the held-out fold."""
+    """(text, toxic) of about ``rows`` labelled documents outside the held-out fold."""
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    chosen = (
-        usable.groupBy("doc_id")
-        .agg(F.max("toxic").cast("int").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id")
-        .limit(rows)
-    )
-    # At most ``rows`` ids and labels: a bounded broadcast, so the texts are read in place.
+    each = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    chosen = hash_sample(each, "doc_id", rows, 3)
+    # About ``rows`` ids and labels: a bounded broadcast, so the texts are read in place.
     texts = docs.select("doc_id", text_or_empty().alias("text"))
     return written(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "labelled")
 
