@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiplabel.llm import decontaminate, fingerprints, html_extract, langid, packing, secrets, sharding, simhash, toxicity
+from shiplabel.llm import decontaminate, fingerprints, html_extract, langid, licenses, packing, secrets, sharding, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licences(_table(spark, sf_dir, "documents"))
+
+
 def op5_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_retrieval_packing": op1_retrieval_packing,
     "op2_html_field": op2_html_field,
     "op3_toxicity_grammar": op3_toxicity_grammar,
+    "op4_license_paragraphs": op4_license_paragraphs,
     "op5_secret_ledger": op5_secret_ledger,
     "op6_language_bitmask": op6_language_bitmask,
     "op7_simhash_vantage_points": op7_simhash_vantage_points,
