@@ -30,6 +30,9 @@ DENSITY_PARTS = ["g/l", "gr/l", "grams/liter"]
 # Longest file name stem, and the stem of a name with nothing left.
 FILE_STEM_LIMIT = 120
 EMPTY_FILE_STEM = "product"
+# Where a name changes case: the end of an acronym, and a capital after a small letter or digit.
+ACRONYM_END = "([A-Z]+)([A-Z][a-z])"
+CASE_CHANGE = "([a-z0-9])([A-Z])"
 # The published spelling of "no value".
 NO_VALUE = "None"
 # ----------------------------------------------------------------------------
@@ -69,7 +72,7 @@ def hs4_digits(c) -> Column:
 def hs4_strict(c) -> Column:
     """Like :func:`hs4_digits`, but a code without any digit fails the query."""
     code = hs4_digits(c)
-    message = F.concat(F.lit("HS code must contain at least 1 digit: "), _col(c).cast("string"))
+    message = F.concat(F.lit("no digit in HS code "), _col(c).cast("string"))
     return F.when(code != "", code).otherwise(F.raise_error(message))
 
 
@@ -117,8 +120,8 @@ def product_from_file(c) -> Column:
 def snake_acronym(c) -> Column:
     """``HTTPServer`` and ``Http-Server`` both become ``http_server``."""
     s = F.regexp_replace(_col(c), rf"(?:-|{WS})+", "_")
-    s = F.regexp_replace(s, "([A-Z]+)([A-Z][a-z])", "$1_$2")
-    s = F.regexp_replace(s, "([a-z0-9])([A-Z])", "$1_$2")
+    s = F.regexp_replace(s, ACRONYM_END, "$1_$2")
+    s = F.regexp_replace(s, CASE_CHANGE, "$1_$2")
     s = F.regexp_replace(s, "_+", "_")
     return F.trim(F.lower(s), F.lit("_"))
 
@@ -133,7 +136,7 @@ def attr_to_snake(c, drop_prefix: bool = True) -> Column:
 
 def snake_simple(c) -> Column:
     """Plain rule of the shipment map: ``HTTPServer`` becomes ``httpserver``."""
-    s = F.regexp_replace(strip(c), "([a-z0-9])([A-Z])", "$1_$2")
+    s = F.regexp_replace(strip(c), CASE_CHANGE, "$1_$2")
     s = F.regexp_replace(s, "[^A-Za-z0-9]+", "_")
     return F.lower(F.trim(s, F.lit("_")))
 

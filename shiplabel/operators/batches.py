@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiplabel.operators.dictionary import KEY
-from shiplabel.operators.scale import rank_in_groups, running_total
+from shiplabel.operators.scale import first_in_groups, rank_in_groups, running_total
 
 # --- fixed values -----------------------------------------------------------
 BATCH_SIZE = 10
@@ -47,11 +47,10 @@ def batch_table(items: DataFrame, groups: Sequence[str] = tuple(KEY)) -> DataFra
     return batches.join(totals, groups)
 
 
-def first_goods(rows: DataFrame, n: int, ord_column: str = "ord") -> DataFrame:
+def first_goods(rows: DataFrame, n: int | None, ord_column: str = "ord") -> DataFrame:
     """The first ``n`` distinct descriptions of each (heading, product) in row order."""
     seen = rows.groupBy(*KEY, "goods_shipped").agg(F.min(ord_column).alias("first_ord"))
-    place = F.row_number().over(Window.partitionBy(*KEY).orderBy("first_ord"))
-    return seen.withColumn("place", place.cast("bigint")).where(F.col("place") <= n)
+    return first_in_groups(seen, KEY, ["first_ord", "goods_shipped"], n, "place")
 
 
 def within_budget(

@@ -8,15 +8,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplabel.functions import text as X
+from shiplabel.operators.scale import first_in_groups
 
 # --- fixed values -----------------------------------------------------------
 MAX_SAMPLES = 120
 SAMPLE_SEED = 42
 MIN_ATTRIBUTES = 3
+# A summary is a report of a column's first values.
 SUMMARY_VALUES = 8
-MAX_VALUES = 30
-MAX_REPRESENTATIVES = 4
-SOURCE = "auto_inference"
+# Cuts of the surveyed code. They are arguments here and off (None) unless a caller
+# passes these numbers for identical results.
+PARITY_VALUES = 30
+PARITY_REPRESENTATIVES = 4
 SUMMARY_COLUMNS = [
     "shipment_origin",
     "shipment_destination",
@@ -86,11 +89,11 @@ def cell_text(df: DataFrame, column: str) -> Column:
 def first_values(
     df: DataFrame,
     columns: Sequence[str],
-    limit: int,
+    limit: int | None,
     by: str = "category",
     ord_column: str = "ord",
 ) -> DataFrame:
-    """``by, column, place, value``: each column's first ``limit`` distinct values in row order.
+    """``by, column, place, value``: each column's first ``limit`` (None: all) distinct values in row order.
 
     Distinctness ignores case and outer blanks; the first spelling is kept. All
     columns and groups are done in one pass, partially aggregated before the shuffle.
@@ -105,21 +108,21 @@ def first_values(
         .agg(F.min(F.struct(ord_column, "value")).alias("_first"))
         .select(by, "column", "_first.*")
     )
-    place = F.row_number().over(Window.partitionBy(by, "column").orderBy(ord_column, "value"))
-    return first_seen.withColumn("place", place.cast("bigint")).where(F.col("place") <= limit).select(
-        by, "column", "place", "value"
-    )
+    placed = first_in_groups(first_seen, [by, "column"], [ord_column, "value"], limit, "place")
+    return placed.select(by, "column", "place", "value")
 
 
-def category_summary(df: DataFrame, by: str = "category", ord_column: str = "ord") -> DataFrame:
-    """``by, summary``: lines ``column: v1, v2…`` and a line of the keywords met."""
+def category_summary(
+    df: DataFrame, by: str = "category", ord_column: str = "ord", values: int | None = SUMMARY_VALUES
+) -> DataFrame:
+    """``by, summary``: lines ``column: v1, v2…`` (the first ``values``, or all) and a line of the keywords met."""
     fixed = [c for c in SUMMARY_COLUMNS if c in df.columns]
     dynamic = [c for c in keyword_columns(df.columns) if c not in (by, ord_column)]
     places = {c: i for i, c in enumerate([*fixed, *dynamic])}
     if not places:
         return df.select(by).distinct().withColumn("summary", F.lit(""))
     listed = (
-        first_values(df, list(places), SUMMARY_VALUES, by, ord_column)
+        first_values(df, list(places), values, by, ord_column)
         .groupBy(by, "column")
         .agg(F.array_sort(F.collect_list(F.struct("place", "value")))["value"].alias("values"))
     )
@@ -162,8 +165,7 @@ def sample_goods(
         .agg(F.min(ord_column).alias("first_ord"))
         .withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}|"), "goods_shipped")))
     )
-    drawn = F.row_number().over(Window.partitionBy(by).orderBy("_hash", "goods_shipped"))
-    kept = goods.withColumn("_drawn", drawn).where(F.col("_drawn") <= limit + 1)
+    kept = first_in_groups(goods, [by], ["_hash", "goods_shipped"], limit + 1, "_drawn")
     group = Window.partitionBy(by)
     sampled = F.max("_drawn").over(group) > limit
     by_hash = F.when(F.col("_sampled"), F.col("_hash"))
@@ -180,6 +182,10 @@ def _is_object(v: Column) -> Column:
     return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), F.lit(False))
 
 
+def _cut(values: Column, most: int | None) -> Column:
+    return values if most is None else F.slice(values, 1, most)
+
+
 def _text_at(v: Column, path: str) -> Column:
     return X.strip(F.coalesce(F.try_variant_get(v, path, "string"), F.lit("")))
 
@@ -193,7 +199,7 @@ def _checked(reply: Column, key: str) -> Column:
     ).otherwise(F.raise_error(F.lit("reply holds no JSON payload")))
 
 
-def inferred_products(replies: DataFrame) -> DataFrame:
+def inferred_products(replies: DataFrame, max_representatives: int | None = None) -> DataFrame:
     """``hs_code, ord, category, description, representatives`` from ``hs4, reply``."""
     entries = replies.select(
         F.col("hs4").alias("hs_code"),
@@ -214,7 +220,7 @@ def inferred_products(replies: DataFrame) -> DataFrame:
         "pos",
         _text_at(F.col("v"), "$.name").alias("category"),
         F.nullif(_text_at(F.col("v"), "$.description"), F.lit("")).alias("description"),
-        F.slice(reps, 1, MAX_REPRESENTATIVES).alias("representatives"),
+        _cut(reps, max_representatives).alias("representatives"),
     ).where("category <> ''")
     first = named.groupBy("hs_code", "category").agg(
         F.min(F.struct("pos", "description", "representatives")).alias("e")
@@ -229,7 +235,7 @@ def inferred_products(replies: DataFrame) -> DataFrame:
     )
 
 
-def read_attribute_replies(replies: DataFrame) -> DataFrame:
+def read_attribute_replies(replies: DataFrame, max_values: int | None = None) -> DataFrame:
     """``category, attr, attr_ord, definition, values`` from ``category, reply``; first name wins."""
     entries = replies.select(
         "category", F.posexplode(_checked(F.col("reply"), "attributes")).alias("attr_ord", "v")
@@ -245,9 +251,7 @@ def read_attribute_replies(replies: DataFrame) -> DataFrame:
         "attr_ord",
         F.try_variant_get("v", "$.name", "string").alias("name"),
         F.nullif(_text_at(F.col("v"), "$.definition"), F.lit("")).alias("definition"),
-        F.slice(
-            X.title_values(F.transform(texts, lambda x: x.cast("string"))), 1, MAX_VALUES
-        ).alias("values"),
+        _cut(X.title_values(F.transform(texts, lambda x: x.cast("string"))), max_values).alias("values"),
     ).where("name IS NOT NULL AND name <> ''")
     per_name = named.withColumn("attr", X.attr_name("name")).groupBy("category", "attr")
     # the values of the first mention count; a later mention adds nothing
@@ -256,7 +260,9 @@ def read_attribute_replies(replies: DataFrame) -> DataFrame:
     )
 
 
-def fallback_candidates(df: DataFrame, by: str = "category", ord_column: str = "ord") -> DataFrame:
+def fallback_candidates(
+    df: DataFrame, by: str = "category", ord_column: str = "ord", max_values: int | None = None
+) -> DataFrame:
     """``by, attr, rank, definition, values`` from columns, in the order they are tried."""
     candidates = [(a, c, d) for a, c, d in FALLBACKS if c in df.columns]
     derived = [c for c in keyword_columns(df.columns) if c not in (by, ord_column)]
@@ -266,7 +272,7 @@ def fallback_candidates(df: DataFrame, by: str = "category", ord_column: str = "
             [], f"{by} string, attr string, rank int, definition string, values array<string>"
         )
     observed = (
-        first_values(df, columns, MAX_VALUES, by, ord_column)
+        first_values(df, columns, max_values, by, ord_column)
         .groupBy(by, "column")
         .agg(F.array_sort(F.collect_list(F.struct("place", "value")))["value"].alias("values"))
     )
@@ -296,6 +302,7 @@ def fallback_attributes(
     by: str = "category",
     ord_column: str = "ord",
     minimum: int = MIN_ATTRIBUTES,
+    max_values: int | None = None,
 ) -> DataFrame:
     """Attributes taken from columns for categories with fewer than ``minimum`` from a reply.
 
@@ -303,7 +310,7 @@ def fallback_attributes(
     """
     filled = existing.where(F.size("values") > 0)
     have = filled.groupBy(by).agg(F.count("*").alias("_have"))
-    fresh = fallback_candidates(df, by, ord_column).join(
+    fresh = fallback_candidates(df, by, ord_column, max_values).join(
         filled.select(by, "attr"), [by, "attr"], "left_anti"
     )
     once = fresh.groupBy(by, "attr").agg(
@@ -319,16 +326,20 @@ def fallback_attributes(
 
 
 def inferred_schema(
-    df: DataFrame, replies: DataFrame, by: str = "category", ord_column: str = "ord"
+    df: DataFrame,
+    replies: DataFrame,
+    by: str = "category",
+    ord_column: str = "ord",
+    max_values: int | None = None,
 ) -> DataFrame:
     """``category, attr, attr_ord, definition, values, source`` of every category with rows.
 
     Replied attributes come first, then fallbacks; an attribute nobody has values
     for is dropped, but its replied place is kept when a fallback fills it.
     """
-    read = read_attribute_replies(replies).withColumnRenamed("category", by)
+    read = read_attribute_replies(replies, max_values).withColumnRenamed("category", by)
     read = read.join(df.select(by).distinct(), by, "left_semi")
-    extra = fallback_attributes(df, read, by, ord_column).select(
+    extra = fallback_attributes(df, read, by, ord_column, max_values=max_values).select(
         by, "attr", F.col("rank").alias("_rank"), F.col("definition").alias("_def"), F.col("values").alias("_values")
     )
     both = read.join(extra, [by, "attr"], "full")

@@ -49,12 +49,15 @@ def flat_attributes(rows: DataFrame, attrs: Sequence[str], flags: bool = False)
     return rows.select(*KEY, "shipment_id", "goods_shipped", *kept, *columns)
 
 
-def with_shipments(classified: DataFrame, shipments: DataFrame) -> DataFrame:
-    """One row per description and shipment; a description without any gets a blank one."""
-    pairs = shipments.select(*GOODS, "shipment_id")
+def with_shipments(classified: DataFrame, shipments: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """One row per description and shipment; a description without any gets a blank one.
+
+    ``order`` names columns of ``shipments`` to carry along; they are NULL without a shipment.
+    """
+    pairs = shipments.select(*GOODS, "shipment_id", *order)
     known = skew_join(pairs, classified, GOODS, spread_by=["shipment_id"])
     alone = classified.join(pairs.select(*GOODS).distinct(), GOODS, "left_anti")
-    return known.unionByName(alone.withColumn("shipment_id", F.lit("")))
+    return known.unionByName(alone.withColumn("shipment_id", F.lit("")), allowMissingColumns=True)
 
 
 def goods_shipments(rows: DataFrame) -> DataFrame:
@@ -255,8 +258,8 @@ def shipment_attributes(
     return grouped.select("shipment_id", F.coalesce("_product", F.lit("")).alias("product"), attrs.alias("attrs"))
 
 
-def new_shipments(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """The (description, shipment) rows that ``incoming`` adds to ``stored``.
+def new_shipments(stored: DataFrame, incoming: DataFrame, ord_column: str | None = None) -> DataFrame:
+    """The (description, shipment) rows that ``incoming`` adds to ``stored``, with their ``ord_column`` if named.
 
     New descriptions keep all their rows; a description already stored gains each
     unseen shipment once. Pairs are joined as rows, so no list grows with a
@@ -264,9 +267,11 @@ def new_shipments(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     """
     pair = [*GOODS, "shipment_id"]
     done = stored.select(*GOODS).distinct()
-    arrived = incoming.select(*pair)
+    order = [ord_column] if ord_column else []
+    arrived = incoming.select(*pair, *order)
+    once = arrived.groupBy(*pair).agg(F.min(ord_column).alias(ord_column)) if order else arrived.distinct()
     fresh = skew_join(arrived, done, GOODS, "left_anti")
-    more = skew_join(arrived.distinct(), done, GOODS, "left_semi").join(
+    more = skew_join(once, done, GOODS, "left_semi").join(
         stored.select(*pair).distinct(), pair, "left_anti"
     )
     return fresh.unionByName(more)

@@ -120,7 +120,8 @@ def _one_value(v: Column, values: Column, open_list: bool) -> Column:
         return F.struct(
             F.when(foreign & ~kept, X.NO_VALUE).otherwise(t["text"]).alias("value"),
             kept.alias("custom"),
-            kept.alias("out_of_schema"),
+            # a closed list has nothing outside it to report; what it refuses is invalid
+            (kept & F.lit(open_list)).alias("out_of_schema"),
             (foreign & ~kept).alias("invalid"),
         )
 

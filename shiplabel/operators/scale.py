@@ -19,6 +19,10 @@ from pyspark.sql import types as T
 HOT_KEYS = 1024
 # Below this many rows a key is never worth salting.
 HOT_FLOOR = 100_000
+# A key above this many rows is always split, however small its share of all rows is.
+HOT_ROWS = 5_000_000
+# Slices of a group that a first-n report is taken from.
+FIRST_SLICES = 32
 # Most items one list-valued cell takes; longer lists continue in the next part.
 PART_SIZE = 10_000
 
@@ -82,6 +86,24 @@ def rank_in_groups(
     )
 
 
+def first_in_groups(
+    df: DataFrame, groups: Sequence[str], order: Sequence[str], n: int | None, name: str
+) -> DataFrame:
+    """The first ``n`` rows of each group by ``order``, numbered from 1 as ``name``; all for None.
+
+    Rows are cut to ``n`` within hash slices of a group first, so no task sorts a whole
+    hot group, whatever ``n`` is: the last step sees at most FIRST_SLICES * n rows of one.
+    """
+    if n is None:
+        return rank_in_groups(df, groups, order, name)
+    groups, order = list(groups), list(order)
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(FIRST_SLICES)))
+    inside = F.row_number().over(Window.partitionBy(*groups, "_slice").orderBy(*order))
+    few = sliced.withColumn("_inside", inside).where(F.col("_inside") <= n).drop("_slice", "_inside")
+    place = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
+    return few.withColumn(name, place.cast("bigint")).where(F.col(name) <= n)
+
+
 def running_total(
     df: DataFrame,
     value: str,
@@ -151,13 +173,18 @@ def lists_in_parts(
 def hot_keys(counts: DataFrame, on: Sequence[str], floor: int = HOT_FLOOR) -> list[tuple[int, int]]:
     """(key hash, number of salts) of the keys that hold more than their share of rows.
 
-    ``counts`` has the ``on`` columns and ``_rows``. A key is hot above ``floor`` rows
-    and above 1/HOT_KEYS of all rows, so the list fetched here has a fixed bound.
+    ``counts`` has the ``on`` columns and ``_rows``. A key is hot above ``floor`` rows if
+    it also holds more than 1/HOT_KEYS of all rows or more than HOT_ROWS, so the list
+    fetched here has at most HOT_KEYS entries and one for every HOT_ROWS rows. A salt of
+    such a key takes no more than HOT_ROWS rows on average.
     """
     per_key = counts.groupBy(F.xxhash64(*on).alias("key")).agg(F.sum("_rows").alias("rows"))
     share = per_key.agg((F.sum("rows") / HOT_KEYS).cast("bigint")).scalar()
-    salts = F.least(F.ceil(F.col("rows") / floor), F.lit(HOT_KEYS)).cast("int")
-    hot = per_key.where(F.col("rows") > F.greatest(share, F.lit(floor))).select("key", salts)
+    salts = F.greatest(
+        F.least(F.ceil(F.col("rows") / floor), F.lit(HOT_KEYS)), F.ceil(F.col("rows") / HOT_ROWS)
+    ).cast("int")
+    above = F.greatest(F.least(share, F.lit(HOT_ROWS)), F.lit(floor))
+    hot = per_key.where(F.col("rows") > above).select("key", salts)
     return [tuple(r) for r in hot.collect()]
 
 

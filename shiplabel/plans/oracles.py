@@ -210,7 +210,7 @@ foreigns AS (
 replied AS (
   SELECT {GOODS}, status, attr, attr_ord, batch_no, pos,
          CASE WHEN foreign_value AND NOT ({keep}) THEN 'None' ELSE said END AS value,
-         {keep} AS custom, {keep} AS out_of_schema, foreign_value AND NOT ({keep}) AS invalid
+         {keep} AS custom, ({keep}) AND {str(open_list).lower()} AS out_of_schema, foreign_value AND NOT ({keep}) AS invalid
   FROM foreigns),
 merged AS (
   SELECT r.* REPLACE (CASE WHEN status = 'answered' THEN coalesce(c.value, r.value) ELSE r.value END AS value,
@@ -312,9 +312,9 @@ ORACLES["norm_text"] = f"SELECT doc_id, ' ' || {norm_value('text')} || ' ' AS no
 _FILE = product_file("'9011'", "product")
 ORACLES["file_names"] = f"""
 WITH named AS (SELECT DISTINCT p_type || ' ' || p_name || '/' || p_brand || '  é-x.y' AS product FROM part),
-files AS (SELECT product, {_FILE} AS file, substr(product, 1, 12) AS other FROM named),
+files AS (SELECT product, {_FILE} AS file, product AS other FROM named),
 bases AS (SELECT *, string_split(regexp_replace(file, '\\.[^.]*$', ''), '_') AS parts,
-                 string_split(regexp_replace(other, '^.*/', ''), '_') AS others FROM files)
+                 string_split(regexp_replace(regexp_replace(other, '^.*/', ''), '\\.[^.]*$', ''), '_') AS others FROM files)
 SELECT product, file, trim(replace(array_to_string(parts[3:], ' '), '  ', ' ')) AS from_file,
        trim(replace(array_to_string(CASE WHEN len(others) > 2 THEN others[3:] ELSE others END, ' '), '  ', ' ')) AS from_other
 FROM bases"""
@@ -383,7 +383,7 @@ ORACLES["heading_rows"] = cte(
 )
 
 
-def _first_values(columns, limit: int, source: str = "detailed", by: str = "category") -> str:
+def _first_values(columns, limit: int | None, source: str = "detailed", by: str = "category") -> str:
     melted = " UNION ALL ".join(
         f"SELECT {by}, ord, {_text(c)} AS \"column\", {i} AS rank, {strip(f'CAST(\"{c}\" AS VARCHAR)')} AS value FROM {source}"
         for i, c in enumerate(columns)
@@ -394,7 +394,7 @@ first_seen AS (SELECT {by}, "column", rank, lower(value) AS key, arg_min(value,
 first_values AS (
   SELECT * FROM (SELECT {by}, "column", rank, value,
                         row_number() OVER (PARTITION BY {by}, "column" ORDER BY ord, value) AS place FROM first_seen)
-  WHERE place <= {limit})"""
+  WHERE {'true' if limit is None else f'place <= {limit}'})"""
 
 
 _SUMMARY_COLUMNS = [
@@ -691,7 +691,7 @@ products AS (SELECT shipment_id, arg_max(product, (file, ord)) AS product FROM p
 )
 ORACLES["conversation_attributes"] = f"""
 WITH turns AS (SELECT CAST(conv_id AS VARCHAR) AS shipment_id, turn, role, text,
-                      {strip('substr(text, 1, 20)')} AS reply FROM conversations)
+                      {strip('text')} AS reply FROM conversations)
 SELECT shipment_id, arg_max(role, turn) AS product, arg_max(role, turn) AS last_role,
        arg_max(reply, turn) FILTER (WHERE turn % 2 = 1 AND lower(reply) NOT IN ('', 'nan', 'none', 'null')) AS last_reply,
        arg_max(CAST(length(text) AS VARCHAR), turn) FILTER (WHERE turn = 0) AS first_length
@@ -746,7 +746,7 @@ WITH listed AS (
 firsts AS (SELECT * FROM listed QUALIFY row_number() OVER (PARTITION BY p_brand, p_type ORDER BY pos) = 1)
 SELECT p_brand AS hs_code, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY pos) - 1 AS INTEGER) AS ord,
        p_type AS category, CASE WHEN whole AND p_type <> 'SMALL' THEN 'Goods of type ' || p_type END AS description,
-       CASE WHEN whole THEN 'a,b,c,d' ELSE '' END AS representatives FROM firsts"""
+       CASE WHEN whole THEN 'a,b,c,d,' || p_type ELSE '' END AS representatives FROM firsts"""
 
 # Columns that can stand in for attributes, as (attribute, column, definition).
 _CANDIDATES = [f for f in I.FALLBACKS if f[1] in _SUMMARY_COLUMNS] + [
@@ -764,8 +764,8 @@ replied_attrs AS (
   UNION ALL
   SELECT category, 'Brand_Name', 1, NULL, string_agg(v, '|' ORDER BY k) FROM (
     SELECT category, v, row_number() OVER (PARTITION BY category ORDER BY upper(v)) AS k FROM brands)
-  WHERE category NOT IN ('LARGE', 'SMALL') AND k <= 30 GROUP BY category)"""
-FALLBACK = f"""{_first_values([c for _, c, _ in _CANDIDATES], 30)},
+  WHERE category NOT IN ('LARGE', 'SMALL') GROUP BY category)"""
+FALLBACK = f"""{_first_values([c for _, c, _ in _CANDIDATES], None)},
 candidates(attr, "column", definition, try_order) AS (VALUES {_values([(a, c, d, i) for i, (a, c, d) in enumerate(_CANDIDATES)])}),
 titled AS (SELECT category, "column", place, {initcap('value')} AS t FROM first_values),
 once AS (SELECT category, "column", t, min(place) AS place FROM titled GROUP BY ALL),

@@ -135,7 +135,7 @@ def file_names(spark, sf_dir):
         "product",
         file.alias("file"),
         X.product_from_file(file).alias("from_file"),
-        X.product_from_file(F.concat(F.lit("/a_b/"), F.substring("product", 1, 12))).alias("from_other"),
+        X.product_from_file(F.concat(F.lit("/a_b/"), "product")).alias("from_other"),
     )
 
 
@@ -400,7 +400,7 @@ def product_requests(spark, sf_dir):
 def product_labels(spark, sf_dir):
     clean = S.clean(V.shipments(spark, sf_dir))
     batched = L.label_batches(L.distinct_goods(clean))
-    labelled = L.read_label_replies(batched, V.label_replies(batched))
+    labelled = durable(L.read_label_replies(batched, V.label_replies(batched)))
     return L.propagate_labels(clean, labelled).select("ord", "goods_shipped", "category")
 
 
@@ -529,7 +529,11 @@ def completed_products(spark, sf_dir):
 
 @query
 def schema_master(spark, sf_dir):
-    return P.schema_master(wide(spark, sf_dir))
+    known = V.attr_dict(spark)
+    # a file's values follow from its distinct descriptions and where each is first seen
+    first = rows(spark, sf_dir).groupBy(*GOODS).agg(F.min("ord").alias("ord")).withColumn("shipment_id", F.lit(""))
+    matched = M.match_goods(first, known).withColumn("attributes", M.full_map())
+    return P.schema_master(P.per_product(matched, list(V.ATTRIBUTES)))
 
 
 @query
@@ -547,7 +551,7 @@ def conversation_attributes(spark, sf_dir):
         F.col("conv_id").cast("string").alias("shipment_id"),
         F.col("role").alias("product"),
         F.col("role").alias("attr_LastRole"),
-        F.when(F.col("turn") % 2 == 1, F.substring("text", 1, 20)).otherwise(F.lit("none")).alias("attr_Last reply"),
+        F.when(F.col("turn") % 2 == 1, F.col("text")).otherwise(F.lit("none")).alias("attr_Last reply"),
         F.when(F.col("turn") == 0, F.length("text").cast("string")).alias("attr_first-length"),
     )
     merged = P.shipment_attributes(turns)

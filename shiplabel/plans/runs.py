@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from shiplabel.functions import text as X
 from shiplabel.operators import batches, infer, labels, publish, replies, requests
 from shiplabel.operators.dictionary import KEY, attach_dictionary
-from shiplabel.operators.matching import match_goods
+from shiplabel.operators.matching import NEGATION_WINDOW, match_goods
 from shiplabel.operators.scale import durable, skew_join
 from shiplabel.sources import shipments as S
 
@@ -41,6 +41,12 @@ class Options:
     open_list: bool = True
     custom_flags: bool = False
     strategy: str = "auto"
+    negation_window: int = NEGATION_WINDOW
+    # first values in a column summary; cuts of what replies and columns propose (None: no cut)
+    summary_values: int | None = infer.SUMMARY_VALUES
+    max_values: int | None = None
+    max_representatives: int | None = None
+    sample_size: int = infer.MAX_SAMPLES
     resume: bool = True
     stages: Sequence[str] = field(default=("load", "label", "extract", "publish"))
 
@@ -80,7 +86,8 @@ def label(
         scored = labels.label_by_scorer(todo, scorer)
     if done is not None:
         scored = scored.unionByName(done.select("goods_shipped", "category"))
-    return labels.propagate_labels(rows, scored.join(goods, "goods_shipped"))
+    # durable, so that a paid scorer sees each description once
+    return labels.propagate_labels(rows, durable(scored.join(goods, "goods_shipped")))
 
 
 def extraction_rows(labelled: DataFrame, attr_dict: DataFrame, options: Options) -> DataFrame:
@@ -103,7 +110,12 @@ def extraction_items(
     known = todo.join(attr_dict.select(*KEY).distinct(), KEY, "left_semi")
     items = batches.number_batches(known, options.batch_size)
     matched = match_goods(
-        items, attr_dict, negation=options.negation, min_len=options.min_len, strategy=options.strategy
+        items,
+        attr_dict,
+        negation=options.negation,
+        min_len=options.min_len,
+        window=options.negation_window,
+        strategy=options.strategy,
     )
     if not options.dictionary_first:
         unseen = F.transform("found", lambda f: f.withField("value", F.lit(None).cast("string")))
@@ -153,16 +165,17 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def infer_definition(
-    rows: DataFrame, hs_code: str, answer: Callable[[DataFrame], DataFrame]
+    rows: DataFrame, hs_code: str, answer: Callable[[DataFrame], DataFrame], options: Options | None = None
 ) -> list[tuple[str, str | None]]:
     """Product categories of a heading, proposed for samples of its descriptions."""
+    options = options or Options()
     mine = S.of_heading(rows, hs_code).withColumn("hs4", X.hs4_digits("hs_code"))
-    asked = requests.product_inference_requests(infer.sample_goods(mine, "hs4"))
+    asked = requests.product_inference_requests(infer.sample_goods(mine, "hs4", options.sample_size))
     if asked.isEmpty():
-        known = [r["hs4"] for r in S.available_headings(rows).orderBy("hs4").limit(50).collect()]
+        known = [r["hs4"] for r in S.available_headings(rows).orderBy("hs4").collect()]
         raise ValueError(f"no descriptions of heading {hs_code}; the table has {known}")
     # a definition is configuration: a handful of names that become request text
-    found = infer.inferred_products(answer(asked)).orderBy("ord").collect()
+    found = infer.inferred_products(answer(asked), options.max_representatives).orderBy("ord").collect()
     if not found:
         raise ValueError("the reply proposes no product category")
     return [(r["category"], r["description"]) for r in found]
@@ -173,19 +186,23 @@ def infer_dictionary(
     hs_code: str,
     definition: Sequence[tuple[str, str | None]],
     answer: Callable[[DataFrame], DataFrame] | None = None,
+    options: Options | None = None,
 ) -> DataFrame:
     """Attributes of every category from replies and columns (``inferred_schema``)."""
+    options = options or Options()
     heading = labelled.sparkSession.range(1).select(X.hs4_strict(F.lit(hs_code))).first()[0]
     rows = labelled.where(F.col("category").isin([c for c, _ in definition]))
     asked = requests.attribute_inference_requests(
-        infer.sample_goods(rows, "category"), infer.category_summary(rows), heading
+        infer.sample_goods(rows, "category", options.sample_size),
+        infer.category_summary(rows, values=options.summary_values),
+        heading,
     )
     replied = (
         answer(asked)
         if answer is not None
         else asked.select("category", F.lit('{"attributes":[]}').alias("reply"))
     )
-    return infer.inferred_schema(rows, replied).withColumn("hs_code", F.lit(heading))
+    return infer.inferred_schema(rows, replied, max_values=options.max_values).withColumn("hs_code", F.lit(heading))
 
 
 def label_stage(
@@ -246,13 +263,26 @@ def extract_stage(
             requests.request_cost("prompt", "reply").alias("cost")
         )
     publish.write_table(costs, mine("token_usage"))
-    publish.write_table(extract(items, attr_dict, replied, options), mine("classified"))
+    number = run_number(_stored(spark, f"{folder}/classified") if options.resume else None, this_run)
+    classified = extract(items, attr_dict, replied, options).withColumn("run_no", F.lit(number))
+    publish.write_table(classified, mine("classified"))
     done = spark.read.parquet(mine("classified")).select(*GOODS)
     if stored is not None:
         done = done.unionByName(stored.select(*GOODS))
-    seen = skew_join(rows.select(*GOODS, "shipment_id"), done.distinct(), GOODS, "left_semi")
-    added = seen if pairs is None else publish.new_shipments(pairs, seen)
-    publish.write_table(added, mine("goods_shipments"))
+    seen = skew_join(
+        rows.select(*GOODS, "shipment_id", "ord"), done.distinct(), GOODS, "left_semi", spread_by=["shipment_id", "ord"]
+    )
+    added = seen if pairs is None else publish.new_shipments(pairs, seen, "ord")
+    publish.write_table(added.withColumn("run_no", F.lit(number)), mine("goods_shipments"))
+
+
+def run_number(classified: DataFrame | None, this_run: str) -> int:
+    """A run comes after all others; a repeated one keeps its place."""
+    if classified is None:
+        return 0
+    own = F.max(F.when(F.col("run") == this_run, F.col("run_no")))
+    before, last = classified.agg(own, F.max("run_no")).first()
+    return before if before is not None else 0 if last is None else last + 1
 
 
 def publish_stage(
@@ -261,15 +291,17 @@ def publish_stage(
     classified = spark.read.parquet(f"{folder}/classified").drop("run")
     pairs = spark.read.parquet(f"{folder}/goods_shipments").drop("run")
     names = publish.attribute_names(attr_dict)
-    rows = publish.with_shipments(classified, pairs)
+    # Rows of a file: runs one after the other, descriptions of a run sorted, shipments as they were read.
+    read = F.struct("run_no", "ord")
+    placed = pairs.select(*GOODS, "shipment_id", read.alias("_read"))
+    rows = publish.with_shipments(classified, placed, ["_read"]).withColumn(
+        "ord", F.struct("run_no", "goods_shipped", "_read")
+    )
     flat = publish.per_product(rows, names, options.custom_flags)
     publish.write_table(flat, f"{folder}/flat", partition_by=["hs_code"])
-    flat = spark.read.schema(flat.schema).parquet(f"{folder}/flat")
-    # inside a file, descriptions and then shipments are in sorted order
-    ordered = flat.withColumn("ord", F.struct("goods_shipped", "shipment_id"))
-    lists = publish.goods_to_shipments(
-        pairs.withColumn("ord", F.col("shipment_id")), part_size=publish.PART_SIZE
-    )
+    ordered = spark.read.schema(flat.schema).parquet(f"{folder}/flat")
+    flat = ordered.drop("ord")
+    lists = publish.goods_to_shipments(pairs.withColumn("ord", read), part_size=publish.PART_SIZE)
     tables = {
         "schema_master": publish.schema_master(ordered),
         "shipment_attributes": publish.shipment_attributes(ordered),
@@ -320,14 +352,14 @@ def run(
         load(raw, f"{folder}/shipments")
     if infer_hs and answer_products is not None:
         rows = spark.read.parquet(f"{folder}/shipments")
-        definition = infer_definition(rows, infer_hs, answer_products)
+        definition = infer_definition(rows, infer_hs, answer_products, options)
     if "label" in stages:
         if not definition:
             raise ValueError("the label stage needs at least one product category")
         label_stage(spark, folder, definition, scorer, options)
     if infer_hs:
         labelled = spark.read.parquet(f"{folder}/labelled")
-        schema = infer_dictionary(labelled, infer_hs, definition, answer_attributes)
+        schema = infer_dictionary(labelled, infer_hs, definition, answer_attributes, options)
         publish.write_table(schema, f"{folder}/inferred_schema")
         schema = spark.read.parquet(f"{folder}/inferred_schema")
         if schema.isEmpty():

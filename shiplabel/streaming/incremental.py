@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shiplabel.operators import publish
-from shiplabel.operators.dictionary import KEY, fits_broadcast
-from shiplabel.operators.matching import found_values, full_map, match_goods
-from shiplabel.operators.scale import checkpoint_folder
+from shiplabel.operators.dictionary import KEY, compile_values, fits_broadcast, roll_dictionary
+from shiplabel.operators.matching import NEGATION_WINDOW, found_values, full_map, match_goods, stated
+from shiplabel.operators.scale import checkpoint_folder, durable
 from shiplabel.plans import views
 from shiplabel.sources import shipments as S
 
@@ -19,14 +19,17 @@ GOODS = [*KEY, "goods_shipped"]
 
 
 def match_stream(stream: DataFrame, attr_dict: DataFrame, negation: str = "documented") -> DataFrame:
-    """Stated values of arriving rows: a projection next to a broadcast, hence stateless.
+    """Stated values of arriving rows, without state.
 
-    ``stream`` has ``hs_code, product, goods_shipped`` and further columns. A
-    dictionary too large to broadcast needs :func:`run_incrementally`.
+    ``stream`` has ``hs_code, product, goods_shipped`` and further columns. A small
+    dictionary is broadcast; a larger one, rolled to a row for each product, is joined
+    as a static table. Either way a row meets its product's values by key.
     """
-    if not fits_broadcast(attr_dict):
-        raise ValueError("dictionary is too large to broadcast; use run_incrementally")
-    return match_goods(stream, attr_dict, negation=negation, strategy="broadcast")
+    if fits_broadcast(attr_dict):
+        return match_goods(stream, attr_dict, negation=negation, strategy="broadcast")
+    rolled = durable(roll_dictionary(compile_values(attr_dict)))
+    found = stated(F.col("attrs"), F.col("goods_shipped"), negation, NEGATION_WINDOW)
+    return stream.join(rolled, KEY).withColumn("found", found).drop("attrs")
 
 
 def run_incrementally(

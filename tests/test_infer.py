@@ -64,8 +64,12 @@ def test_products_from_replies(spark):
     }
     got = I.inferred_products(spark.createDataFrame([("0901", "so " + json.dumps(reply))], "hs4 string, reply string"))
     assert [tuple(r) for r in got.orderBy("ord").collect()] == [
-        ("0901", 0, "A", "x", ["1", "2", "3", "4"]), ("0901", 1, "B", None, []),
+        ("0901", 0, "A", "x", ["1", "2", "3", "4", "5"]), ("0901", 1, "B", None, []),
     ]
+    cut = I.inferred_products(
+        spark.createDataFrame([("0901", json.dumps(reply))], "hs4 string, reply string"), I.PARITY_REPRESENTATIVES
+    )
+    assert cut.orderBy("ord").first()["representatives"] == ["1", "2", "3", "4"]
     broken = spark.createDataFrame([("0901", "sorry")], "hs4 string, reply string")
     with pytest.raises(Exception, match="no JSON payload"):
         I.inferred_products(broken).collect()
@@ -133,5 +137,5 @@ def test_requests(spark):
     samples = spark.createDataFrame([("c", 2, "b"), ("c", 1, "a")], "category string, place long, goods_shipped string")
     summaries = spark.createDataFrame([("d", "x: 1")], "category string, summary string")
     got = {r["category"]: r["prompt"] for r in Q.attribute_inference_requests(samples, summaries, "0901").collect()}
-    assert "1. a\n2. b\nColumns:\nNo structured column summary available." in got["c"]
-    assert "1. No direct goods descriptions available\nColumns:\nx: 1" in got["d"]
+    assert "1. a\n2. b\nColumns:\n(none of the columns has a value)" in got["c"]
+    assert "1. (the table holds no description)\nColumns:\nx: 1" in got["d"]

@@ -39,7 +39,7 @@ def test_two_deliveries_equal_one(spark, tmp_path):
     )
     # a description known from the first delivery gains each unseen shipment once
     assert content(both["flat"].distinct(), FLAT) == content(once["flat"].distinct(), FLAT)
-    assert content(both["schema_master"], ["file", "schema_json"]) == content(once["schema_master"], ["file", "schema_json"])
+    assert values(both["schema_master"]) == values(once["schema_master"])
     assert both["shipment_attributes"].count() == once["shipment_attributes"].count() > 1000
     # repeating the last run changes nothing
     before = content(both["flat"], FLAT)
@@ -50,6 +50,57 @@ def test_two_deliveries_equal_one(spark, tmp_path):
     assert once["flat"].count() == spark.read.parquet(f"{tmp_path}/one/goods_shipments").count()
 
 
+def values(master):
+    """The values of each file and attribute; their order tells which run met them first."""
+    return {
+        r["file"]: {k: sorted(v) for k, v in json.loads(r["schema_json"]).items()} for r in master.collect()
+    }
+
+
+def test_order_of_rows_and_runs(spark, tmp_path):
+    """Shipments are listed as they were read; of two runs the later one has the last word."""
+    known = spark.createDataFrame(
+        [("9011", "ECONOMY", "Color", 0, "Red", 0), ("9011", "ECONOMY", "Color", 0, "Blue", 1)], V.ATTR_DICT_SCHEMA
+    )
+
+    def deliver(number, rows):
+        raw = spark.createDataFrame(rows, "ord long, hs_code string, goods_shipped string, shipment_id string")
+        return runs.run(
+            spark, raw, f"{tmp_path}/out", run_id=f"r{number}", attr_dict=known,
+            definition=[("ECONOMY", "red blue z a")], options=options(),
+        )
+
+    def lists(tables):
+        found = [json.loads(r["record"]) for r in tables["nested"].collect()]
+        return {f["goods_shipped"]: f["shipment_ids"] for f in found}
+
+    def colours(tables):
+        return {r["shipment_id"]: r["attrs"]["color"] for r in tables["shipment_attributes"].collect()}
+
+    first = deliver(9, [(0, "9011", "red z", "9"), (1, "9011", "red z", "10"), (2, "9011", "red z", "2")])
+    assert lists(first) == {"red z": ["9", "10", "2"]} and set(colours(first).values()) == {"Red"}
+    # r10 comes after r9, though its name sorts before
+    both = deliver(10, [(0, "9011", "blue a", "10"), (1, "9011", "red z", "1"), (2, "9011", "red z", "9")])
+    assert lists(both) == {"red z": ["9", "10", "2", "1"], "blue a": ["10"]}
+    assert colours(both) == {"9": "Red", "10": "Blue", "2": "Red", "1": "Red"}
+
+
+def test_scorer_sees_each_description_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def scorer(goods):
+        seen.add(len(goods))
+        return ["ECONOMY"] * len(goods)
+
+    raw = V.shipments(spark, SF)
+    runs.run(
+        spark, raw, f"{tmp_path}/out", run_id="0", attr_dict=V.attr_dict(spark), definition=V.DEFINITION, scorer=scorer,
+        options=options(stages=("load", "label")),
+    )
+    distinct = spark.read.parquet(f"{tmp_path}/out/shipments").where("trim(goods_shipped) <> ''").select("goods_shipped").distinct()
+    assert seen.value == distinct.count()
+
+
 def answer_everything(asked):
     """A stand-in for a model: the same values for every item of a batch."""
     item = F.lit('{"attributes":{"Color":{"value":"Red"},"Size":{"custom":"Tiny"}}}')
@@ -140,10 +191,17 @@ def test_incremental_stream(spark, tmp_path):
     assert content(pairs.distinct().drop("batch").distinct(), [*KEY, "shipment_id"]) == content(expected.distinct(), [*KEY, "shipment_id"])
 
 
-def test_large_dictionary_is_refused_on_a_stream(spark, monkeypatch):
+def test_dictionary_of_any_size_on_a_stream(spark, monkeypatch):
+    from shiplabel.operators.matching import found_values
+    from shiplabel.sources import shipments as S
+
+    rows = S.with_goods(S.classified_input(V.shipments(spark, SF)))
+    known = V.attr_dict(spark)
+    long = lambda df: df.select("ord", F.inline(found_values()))
+    small = long(incremental.match_stream(rows, known))
     monkeypatch.setattr(incremental, "fits_broadcast", lambda d: False)
-    with pytest.raises(ValueError, match="too large"):
-        incremental.match_stream(V.shipments(spark, SF), V.attr_dict(spark))
+    large = long(incremental.match_stream(rows, known))
+    assert large.count() > 1000 and large.exceptAll(small).isEmpty() and small.exceptAll(large).isEmpty()
 
 
 def test_formats(spark, tmp_path):

@@ -84,7 +84,7 @@ def test_title_values_keep_first_of_each(spark):
 
 def test_strict_heading_needs_a_digit(spark):
     assert one(spark, X.hs4_strict(F.lit("9.01"))) == "0901"
-    with pytest.raises(Exception, match="at least 1 digit"):
+    with pytest.raises(Exception, match="no digit in HS code"):
         one(spark, X.hs4_strict(F.lit("none")))
 
 
