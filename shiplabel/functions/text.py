@@ -189,6 +189,18 @@ def json_object(c) -> Column:
     return F.try_parse_json(json_payload(c))
 
 
+def reply_items(c) -> Column:
+    """The entries under ``items`` of a reply, each as JSON text; NULL for an unreadable reply.
+
+    Read as leniently as common readers do: the last of repeated keys counts, and NaN and
+    Infinity are taken as texts. Numbers keep their digits (``85.0``). Text between or after
+    two objects makes a reply unreadable, hence the brackets: there must be one value in them.
+    """
+    whole = F.concat(F.lit("["), json_payload(c), F.lit("]"))
+    read = F.from_json(whole, "array<struct<items:array<string>>>")
+    return F.when(F.size(read) == 1, F.get(read, F.lit(0))["items"])
+
+
 def preview_ok(preview, goods) -> Column:
     """Does the echoed beginning of a description agree with the description?"""
     head = F.substring(_col(preview), 1, 15)

@@ -40,26 +40,29 @@ def _is_string(v: Column) -> Column:
     return F.coalesce(F.schema_of_variant(v) == "STRING", F.lit(False))
 
 
+def _is_item(text: Column) -> Column:
+    return F.coalesce(F.startswith(text, F.lit("{")), F.lit(False))
+
+
 def align_replies(items: DataFrame, replies: DataFrame) -> DataFrame:
-    """Add ``status``, ``item`` (VARIANT) and ``preview_ok`` by position in the batch.
+    """Add ``status``, ``item`` (JSON text) and ``preview_ok`` by position in the batch.
 
     Surplus reply items are ignored; an item that is no object leaves its place
     pending; a reply without any usable item is unusable for the whole batch.
     """
-    listed = F.try_variant_get(X.json_object("reply"), "$.items", "array<variant>")
     answers = replies.where("reply IS NOT NULL").select(
-        *BATCH, F.lit(True).alias("_answered"), listed.alias("_items")
+        *BATCH, F.lit(True).alias("_answered"), X.reply_items("reply").alias("_items")
     )
     sized = items.withColumn("_size", F.count("*").over(Window.partitionBy(*BATCH)))
     item = F.get("_items", F.col("pos").cast("int"))
     usable = F.exists(
-        F.slice(F.coalesce("_items", F.array().cast("array<variant>")), F.lit(1), F.col("_size").cast("int")),
-        _is_object,
+        F.slice(F.coalesce("_items", F.array().cast("array<string>")), F.lit(1), F.col("_size").cast("int")),
+        _is_item,
     )
-    preview = F.try_variant_get("item", "$.item_preview", "string")
+    preview = F.from_json("item", "item_preview string")["item_preview"]
     return (
         sized.join(answers, BATCH, "left")
-        .withColumn("item", F.when(_is_object(item), item))
+        .withColumn("item", F.when(_is_item(item), item))
         .withColumn(
             "status",
             F.when(F.col("_answered").isNull(), PENDING)
@@ -75,43 +78,52 @@ def align_replies(items: DataFrame, replies: DataFrame) -> DataFrame:
     )
 
 
+def _given(item: Column) -> Column:
+    """The values of a reply item: ``array<struct<attr, kind, text>>`` in the order given.
+
+    ``kind`` is the value as VARIANT, ``text`` its own spelling. An item whose nested objects
+    repeat keys has no variants; its texts still tell the values.
+    """
+    kinds = F.map_entries(F.from_json(item, "attributes map<string,variant>")["attributes"])
+    texts = F.map_entries(F.from_json(item, "attributes map<string,string>")["attributes"])
+    none = F.array().cast("array<struct<key:string,value:variant>>")
+    return F.zip_with(
+        F.coalesce(texts, F.array().cast("array<struct<key:string,value:string>>")),
+        F.coalesce(kinds, none),
+        lambda t, k: F.struct(t["key"].alias("attr"), k["value"].alias("kind"), t["value"].alias("text")),
+    )
+
+
 def replied_texts(item: Column) -> Column:
     """All texts a reply item could mean as values, for dictionaries joined by anchor."""
-    given = F.map_values(F.try_variant_get(item, "$.attributes", "map<string,variant>"))
+    inside = lambda g, key: F.get_json_object(g["text"], f"$.{key}")
     return F.array_distinct(
         F.filter(
             F.flatten(
-                F.transform(
-                    given,
-                    lambda v: F.array(
-                        F.try_variant_get(v, "$", "string"),
-                        F.try_variant_get(v, "$.value", "string"),
-                        F.try_variant_get(v, "$.custom", "string"),
-                    ),
-                )
+                F.transform(_given(item), lambda g: F.array(g["text"], inside(g, "value"), inside(g, "custom")))
             ),
             lambda t: t.isNotNull(),
         )
     )
 
 
-def _scalar_text(v: Column) -> Column:
-    """Text of a plain reply value; booleans in the spelling of the published tables."""
-    text = v.cast("string")
-    return F.when(F.schema_of_variant(v) == "BOOLEAN", F.initcap(text)).otherwise(text)
-
-
-def _one_value(v: Column, values: Column, open_list: bool) -> Column:
+def _one_value(g: Column, values: Column, open_list: bool) -> Column:
     """Judge one replied value: ``struct<value, custom, out_of_schema, invalid>``."""
+    v = g["kind"]
     inner = F.try_variant_get(v, "$.value", "variant")
     custom = F.try_variant_get(v, "$.custom", "variant")
     nested_custom = _is_object(v) & ~_is_string(inner) & _is_string(custom)
+    # an object that repeats keys: the last value counts
+    untyped = v.isNull() & F.startswith(g["text"], F.lit("{"))
     text = (
-        F.when(v.isNull() | F.is_variant_null(v), X.NO_VALUE)
+        F.when(g.isNull() | g["text"].isNull() | F.coalesce(F.is_variant_null(v), F.lit(False)), X.NO_VALUE)
         .when(_is_object(v) & _is_string(inner), inner.cast("string"))
         .when(nested_custom, custom.cast("string"))
         .when(_is_object(v), X.NO_VALUE)
-        .otherwise(_scalar_text(v))
+        .when(untyped, F.coalesce(F.from_json(g["text"], "value string")["value"], F.lit(X.NO_VALUE)))
+        # truth values in the spelling of the published tables, all others as they were given
+        .when(F.schema_of_variant(v) == "BOOLEAN", F.initcap(g["text"]))
+        .otherwise(g["text"])
     )
 
     def judge(t):
@@ -134,24 +146,23 @@ def _one_value(v: Column, values: Column, open_list: bool) -> Column:
 def normalise_replies(aligned: DataFrame, open_list: bool = True) -> DataFrame:
     """Add ``replied``: one judged value per attribute of each answered or unusable item.
 
-    A value may come plain, as ``{"value": …}`` or as ``{"custom": …}``. With
+    A value may come plain, as ``{"value": …}`` or as ``{"custom": …}``; of a repeated
+    attribute the last counts. Numbers and lists keep the text of the reply. With
     ``open_list`` a value outside the dictionary is kept and flagged, else it is
     invalid; a nested custom value is always kept.
     """
-    given = F.coalesce(
-        F.try_variant_get("item", "$.attributes", "map<string,variant>"),
-        F.create_map().cast("map<string,variant>"),
-    )
     answered = X.let(
-        given,
-        lambda g: F.transform(
+        _given(F.col("item")),
+        lambda given: F.transform(
             "attrs",
             lambda a: X.let(
-                F.element_at(g, a["attr"]),
-                lambda v: F.struct(
+                F.get(F.reverse(F.filter(given, lambda g: g["attr"] == a["attr"])), F.lit(0)),
+                lambda g: F.struct(
                     a["attr"].alias("attr"),
-                    _one_value(v, a["values"], open_list).alias("judged"),
-                    F.when(F.map_contains_key(g, a["attr"]), F.to_json(v)).alias("raw"),
+                    _one_value(g, a["values"], open_list).alias("judged"),
+                    F.coalesce(
+                        F.to_json(g["kind"]), F.when(g.isNotNull(), F.coalesce(g["text"], F.lit("null")))
+                    ).alias("raw"),
                 ),
             ),
         ),

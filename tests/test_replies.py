@@ -211,3 +211,40 @@ def test_requests_show_previews_and_definitions(spark):
     closed = Q.attribute_requests(batch, known, open_list=False).first()
     assert properties(closed)["Y"]["enum"] == ["One", "None"]
     assert "Definition" not in closed["prompt"]
+
+
+def test_lenient_reading(spark):
+    """Repeated keys, values that are no JSON numbers, exact number texts, lists, trailing text."""
+    items = spark.createDataFrame(
+        [("9011", "P", b, i, f"goods {i}") for b in range(4) for i in range(2)],
+        "hs_code string, product string, batch_no long, pos long, goods_shipped string",
+    )
+    replies = spark.createDataFrame(
+        [
+            ("9011", "P", 0, '{"items":[{"attributes":{"X":"Blue","X":"Red","Y":85.0,"Z":1.5e3,"L":["a","b"]}},'
+                             '{"attributes":{"X":NaN,"Y":null,"Z":{"value":"q","value":"r"}}}]}'),
+            ("9011", "P", 1, 'Sure {"items":[{"attributes":{"X":"Red"}}]} or {"items":[]}'),
+            ("9011", "P", 2, '{"items":[],"items":[{"attributes":{"X":"5"}},"skip"]}'),
+            ("9011", "P", 3, '[{"items":[{"attributes":{"X":"Red"}}]}, 2]'),
+        ],
+        "hs_code string, product string, batch_no long, reply string",
+    )
+    known = [(i, a, [(0, "85.0", "85.0", None), (0, "Red", "red", None)]) for i, a in enumerate("XYZL")]
+    kinds = "attrs array<struct<attr_ord:int,attr:string,values:array<struct<rank:int,value:string,lower:string,pattern:string>>>>"
+    attrs = spark.createDataFrame([(known,)], kinds).first()["attrs"]
+    aligned = R.align_replies(items, replies)
+    listed = aligned.join(spark.createDataFrame([("P", attrs)], f"product string, {kinds}"), "product")
+    got = {
+        (r["batch_no"], r["pos"]): (r["status"], r["replied"] and {v["attr"]: (v["value"], v["custom"]) for v in r["replied"]})
+        for r in R.normalise_replies(listed).collect()
+    }
+    assert got[0, 0] == (
+        "answered", {"X": ("Red", False), "Y": ("85.0", False), "Z": ("1500.0", True), "L": ('["a","b"]', True)},
+    )
+    assert got[0, 1] == (
+        "answered", {"X": ("NaN", True), "Y": ("None", False), "Z": ("r", True), "L": ("None", False)},
+    )
+    assert got[1, 0][0] == got[1, 1][0] == "unusable"
+    assert got[2, 0] == ("answered", {"X": ("5", True), "Y": ("None", False), "Z": ("None", False), "L": ("None", False)})
+    assert got[2, 1] == ("pending", None)
+    assert got[3, 0][0] == "answered"
