@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplabel.llm.common import written
+from shiplabel.llm.common import hash_sample, written
 
 SHINGLE = 3
 REACH = 2
@@ -182,8 +182,7 @@ def groups(points: np.ndarray, reach: int) -> np.ndarray:
 def links(nodes: DataFrame, reach: int = REACH) -> DataFrame:
     """Stars (a, b) over the distinct longs ``fingerprint`` of ``nodes`` that join all pairs within ``reach``."""
     total = nodes.count()
-    # Hash order is a sample without bias; take() of so few rows never moves the whole table.
-    sample = nodes.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(SAMPLE).toPandas()["fingerprint"]
+    sample = hash_sample(nodes.select("fingerprint"), "fingerprint", SAMPLE, 5).toPandas()["fingerprint"]
     points = sample.to_numpy(np.int64).view(np.uint64)
     tree, _ = plant(points, max(16, SHARD * len(points) // max(total, 1)), reach)
 
