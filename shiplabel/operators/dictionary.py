@@ -123,6 +123,7 @@ def attach_dictionary(
     min_len: int = MIN_VALUE_LENGTH,
     strategy: str = "auto",
     replied: Column | None = None,
+    heuristic: bool = True,
     how: str = "inner",
 ) -> DataFrame:
     """Add ``attrs`` to every row of ``goods`` (``hs_code, product, goods_shipped, …``).
@@ -132,6 +133,7 @@ def attach_dictionary(
     equi-join on tokens a matching text must contain, and ``attrs`` holds only the
     values that share a token with the row; it wants distinct descriptions (see
     ``match_rows``). ``auto`` measures and decides.
+    ``heuristic`` also brings the values the substring rule may find; matching needs none.
     ``replied`` (array of strings) names further values whose membership matters.
     Rows of products without a dictionary are dropped by ``how="inner"``.
     """
@@ -140,15 +142,15 @@ def attach_dictionary(
     compiled = compile_values(attr_dict, min_len)
     if strategy == "broadcast":
         return goods.join(F.broadcast(roll_dictionary(compiled)), KEY, how)
-    return _attach_by_anchor(goods, compiled, min(min_len, GRAM), replied, how)
+    return _attach_by_anchor(goods, compiled, min(min_len, GRAM), replied, heuristic, how)
 
 
 def _prefixed(prefix: str, values: Column) -> Column:
     return F.transform(values, lambda v: F.concat(F.lit(prefix), v))
 
 
-def text_anchors(goods: Column, gram: int) -> Column:
-    """Tokens of a text that a value found in it can be anchored at."""
+def text_anchors(goods: Column, gram: int, heuristic: bool = True) -> Column:
+    """Tokens of a text that a value found in it can be anchored at; ``heuristic``: also by the substring rule."""
     norm = X.norm_text(goods)
     densities = F.regexp_extract_all(norm, F.lit(DENSITY_MENTION), F.lit(1))
     stretches = F.regexp_extract_all(norm, F.lit(rf"[^a-z0-9]{{{gram},}}"), F.lit(0))
@@ -160,13 +162,14 @@ def text_anchors(goods: Column, gram: int) -> Column:
             ),
         )
     )
+    soft = [_prefixed("s:", F.split(X.soft_text(goods), f"{X.WS}+"))] if heuristic else []
     return F.array_distinct(
         F.concat(
             _prefixed("t:", F.regexp_extract_all(norm, F.lit(RUN), F.lit(0))),
             _prefixed("d:", densities),
             F.when(F.size(densities) > 0, F.array(F.lit("d:*"))).otherwise(F.array().cast("array<string>")),
             _prefixed("g:", grams),
-            _prefixed("s:", F.split(X.soft_text(goods), f"{X.WS}+")),
+            *soft,
         )
     )
 
@@ -174,16 +177,34 @@ def text_anchors(goods: Column, gram: int) -> Column:
 DENSITY_MENTION = f"{NOT_AFTER}([0-9]+){DENSITY_UNIT}{NOT_BEFORE}"
 
 
-def value_anchors(compiled: DataFrame, gram: int) -> DataFrame:
-    """One row per value and anchor; the rarest run of a plain value is its anchor."""
+def _rarest(words: DataFrame, prefix: str) -> DataFrame:
+    """Of the rows of a value, one for each of its words (``_word``), the one whose word the fewest values share."""
+    columns = ["rank", "value", "lower", "pattern"]
+    popularity = words.groupBy(*KEY, "_word").agg(F.count("*").alias("_uses"))
+    return (
+        words.join(popularity, [*KEY, "_word"])
+        .groupBy(*KEY, "attr", "value_ord")
+        .agg(
+            F.min_by(
+                F.struct(*columns, F.concat(F.lit(prefix), F.col("_word")).alias("anchor")),
+                F.struct("_uses", -F.length("_word"), "_word"),
+            ).alias("_best")
+        )
+        .select(*KEY, "attr", "value_ord", "_best.*")
+    )
+
+
+def value_anchors(compiled: DataFrame, gram: int, heuristic: bool = True) -> DataFrame:
+    """One row per value and anchor; the rarest run of a plain value is its anchor.
+
+    For the substring rule a value is also anchored at its rarest word between blanks: all
+    its words stand between blanks in a text that rule finds it in.
+    """
     empty = F.array().cast("array<string>")
     runs = F.array_distinct(F.regexp_extract_all("pattern.norm", F.lit(RUN), F.lit(0)))
     listed = compiled.where("value IS NOT NULL")
     others = F.concat(
-        F.array(
-            F.concat(F.lit("v:"), F.col("value")),
-            F.concat(F.lit("s:"), F.get(F.split("lower", f"{X.WS}+"), F.lit(0))),
-        ),
+        F.array(F.concat(F.lit("v:"), F.col("value"))),
         F.when(
             F.col("pattern.density") & (F.size("pattern.numbers") > 0),
             _prefixed("d:", F.col("pattern.numbers")),
@@ -198,27 +219,21 @@ def value_anchors(compiled: DataFrame, gram: int) -> DataFrame:
     columns = [*KEY, "attr", "value_ord", "rank", "value", "lower", "pattern"]
     direct = listed.select(*columns, F.explode(F.array_distinct(others)).alias("anchor"))
     by_run = listed.where("pattern IS NOT NULL AND NOT pattern.density").select(
-        *columns, F.explode(runs).alias("_run")
-    )
-    popularity = by_run.groupBy(*KEY, "_run").agg(F.count("*").alias("_uses"))
-    rarest = (
-        by_run.join(popularity, [*KEY, "_run"])
-        .groupBy(*KEY, "attr", "value_ord")
-        .agg(
-            F.min_by(
-                F.struct(*columns[4:], F.concat(F.lit("t:"), F.col("_run")).alias("anchor")),
-                F.struct("_uses", -F.length("_run"), "_run"),
-            ).alias("_best")
-        )
-        .select(*KEY, "attr", "value_ord", "_best.*")
+        *columns, F.explode(runs).alias("_word")
     )
-    return direct.unionByName(rarest)
+    anchored = direct.unionByName(_rarest(by_run, "t:"))
+    if not heuristic:
+        return anchored
+    apart = F.split("lower", f"{X.WS}+")
+    spoken = F.filter(apart, lambda w: w != "")
+    by_word = listed.select(*columns, F.explode(F.when(F.size(spoken) > 0, spoken).otherwise(F.array(F.lit("")))).alias("_word"))
+    return anchored.unionByName(_rarest(by_word.distinct(), "s:"))
 
 
 def _attach_by_anchor(
-    goods: DataFrame, compiled: DataFrame, gram: int, replied: Column | None, how: str
+    goods: DataFrame, compiled: DataFrame, gram: int, replied: Column | None, heuristic: bool, how: str
 ) -> DataFrame:
-    anchors = text_anchors(F.col("goods_shipped"), gram)
+    anchors = text_anchors(F.col("goods_shipped"), gram, heuristic)
     identity = [*KEY, "goods_shipped"]
     if replied is not None:
         anchors = F.concat(anchors, _prefixed("v:", F.coalesce(replied, F.array())))
@@ -228,7 +243,7 @@ def _attach_by_anchor(
     keyed = goods.withColumn("_gid", F.xxhash64(*identity))
     tokens = keyed.dropDuplicates(["_gid"]).select(*KEY, "_gid", F.explode(anchors).alias("anchor"))
     found = (
-        salted_join(tokens, value_anchors(compiled, gram), [*KEY, "anchor"], ["_gid"], ANCHOR_SALTS)
+        salted_join(tokens, value_anchors(compiled, gram, heuristic), [*KEY, "anchor"], ["_gid"], ANCHOR_SALTS)
         .groupBy("_gid")
         .agg(F.collect_set(F.struct("attr", _value_struct().alias("value"))).alias("_found"))
     )

@@ -143,7 +143,7 @@ def match_goods(
 ) -> DataFrame:
     """Add ``found`` (see :func:`stated`) to goods; products without dictionary vanish."""
     return (
-        attach_dictionary(goods, attr_dict, min_len=min_len, strategy=strategy)
+        attach_dictionary(goods, attr_dict, min_len=min_len, strategy=strategy, heuristic=False)
         .withColumn("found", stated(F.col("attrs"), F.col("goods_shipped"), negation, window))
         .drop("attrs")
     )

@@ -33,6 +33,7 @@ class Options:
     goods_per_product: int | None = None
     batch_size: int = batches.BATCH_SIZE
     token_budget: int = batches.TOKEN_BUDGET
+    reply_tokens: int = 0  # expected for each item of a reply
     negation: str = "documented"
     min_len: int = 3
     dictionary_first: bool = True
@@ -129,7 +130,9 @@ def extraction_requests(
     """Requests for the batches the dictionary did not settle, as far as the budget reaches."""
     open_items = items.where(~F.col("resolved"))
     table = requests.attribute_requests(open_items, attr_dict, attr_defs, open_list=options.open_list)
-    costed = table.withColumn("cost", F.col("tokens"))
+    # what a reply will cost is only known afterwards; the cut reckons with an expected cost
+    expected = (F.col("batch_size") * options.reply_tokens).cast("bigint")
+    costed = table.withColumn("cost", F.col("tokens") + expected)
     # running totals need gapless positions; settled batches cost nothing
     every = items.select(*KEY, "batch_no").distinct()
     filled = every.join(costed, [*KEY, "batch_no"], "left").withColumn(

@@ -202,3 +202,20 @@ def test_heuristic(spark, strategy):
     attached = attach_dictionary(texts, known, strategy=strategy)
     guess = M.heuristic_value(F.col("attrs")[0]["values"], X.soft_text("goods_shipped"))
     assert results(attached, guess) == [c[2] for c in HEURISTIC_CASES]
+
+
+def test_anchors_of_values_that_share_words(spark):
+    """Thousands of values begin with one word; a text that holds it meets only the values it can state."""
+    from shiplabel.operators.dictionary import attach_dictionary
+
+    known = spark.createDataFrame(
+        [("0901", "P", "Kind", 0, f"model x{i}", i) for i in range(3000)],
+        "hs_code string, product string, attr string, attr_ord int, value string, value_ord int",
+    )
+    goods = spark.createDataFrame([("0901", "P", f"new model x{i * 7} boxed") for i in range(50)], "hs_code string, product string, goods_shipped string")
+    for replied in (None, F.array(F.lit("model x1"))):
+        attached = attach_dictionary(goods, known, strategy="anchored", replied=replied)
+        sizes = [r["n"] for r in attached.select(F.size(F.col("attrs")[0]["values"]).alias("n")).collect()]
+        assert len(sizes) == 50 and max(sizes) <= 2
+    found = M.match_goods(goods, known, strategy="anchored").select("goods_shipped", F.col("found")[0]["value"].alias("v"))
+    assert all(r["v"] in r["goods_shipped"] for r in found.collect())
