@@ -50,20 +50,20 @@ def letters() -> np.ndarray:
 
 def grams(texts: list[str], plain: np.ndarray, n: int = NGRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(n-grams packed into 64 bits, number of the text of each, texts with a letter)."""
-    # A space on either side of a text: its first and last words have n-grams like all others.
-    joined = " " + " ".join(t + " " * (n - 1) for t in texts)
+    # Space on either side of a text: its first and last words have n-grams like all others.
+    joined = "".join(" " + t + " " * (n - 1) for t in texts)
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     # Letters beyond the first plane are rare; they keep sixteen bits of their number.
     folded = plain[points & 0xFFFF]
     beyond = points > 0xFFFF
     if beyond.any():
-        folded[beyond] = [ord(c) & 0xFFFF if c.isalpha() else 32 for c in map(chr, points[beyond])]
+        folded[beyond] = [ord(c) & 0xFFFF | 0x8000 if c.isalpha() else 32 for c in map(chr, points[beyond])]
     owner = np.repeat(np.arange(len(texts)), [len(t) + n for t in texts])
-    owner = np.concatenate([[0], owner])[: len(folded)]
     is_letter = folded != 32
     lettered = np.bincount(owner[is_letter], minlength=len(texts)) > 0
-    # One space in place of several.
-    kept = is_letter | np.concatenate([[True], is_letter[:-1]])
+    # One space in place of several, and one before each text.
+    kept = is_letter | np.concatenate([[False], is_letter])[:-1]
+    kept[np.cumsum([0, *[len(t) + n for t in texts]])[:-1]] = True
     folded, owner = folded[kept], owner[kept]
     size = len(folded) - n + 1
     if size < 1:

@@ -51,6 +51,17 @@ def test_language_filters_answer_all_inserted_grams(spark):
         assert all(((m >> bit) & 1).all() for m in masks)
 
 
+def test_language_score_is_the_texts_own():
+    """Neighbours in a batch change nothing."""
+    plain = langid.letters()
+    rng = random.Random(4)
+    texts = [prose(rng, rng.choice([0, 1, 5, 40])) if rng.random() < 0.8 else rng.choice(["", " ", "..", "a", "Ab  c!"]) for _ in range(60)]
+    packed, owner, lettered = langid.grams(texts, plain)
+    for i, t in enumerate(texts):
+        alone, _, has = langid.grams([t], plain)
+        assert (packed[owner == i] == alone).all() and has[0] == lettered[i] == any(c.isalpha() for c in t)
+
+
 # --- toxicity ---------------------------------------------------------------------------------
 
 
