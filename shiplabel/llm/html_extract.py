@@ -182,7 +182,7 @@ PART_NAMES = {
     "share": "share social sharing follow author byline meta".split(),
 }
 PART_TAGS = {
-    "nav": ["nav", "div", "ul"], "header": ["header", "div"], "footer": ["footer", "div"], "aside": ["aside", "div", "section"],
+    "nav": ["nav", "div", "ul", "td"], "header": ["header", "div"], "footer": ["footer", "div"], "aside": ["aside", "div", "section"],
     "notice": ["div", "section", "aside", "p"], "ad": ["div", "aside", "section", "p"], "form": ["form"],
     "comments": ["section", "div", "ol", "ul", "aside"], "share": ["div", "ul"],
 }
@@ -208,6 +208,8 @@ def labelled_page(number: int, seed: int = 11) -> tuple[str, list[str]]:
         if tag in ("nav", "header", "footer", "aside", "form") and rng.random() < 0.5:
             return f"<{tag}>"
         value = rng.choice(names)
+        if tag in ("div", "section", "ul") and part in ("nav", "header", "footer", "form") and rng.random() < 0.15:
+            return f'<{tag} role="{dict(nav="navigation", header="banner", footer="contentinfo", form="search")[part]}">'
         if rng.random() < 0.3:
             value += rng.choice(["-", "_", " "]) + rng.choice(["box", "content", "inner", "wrapper", "list", "text", "area"])
         return f'<{tag} {rng.choice(["class", "class", "id"])}="{value}">'
@@ -223,12 +225,17 @@ def labelled_page(number: int, seed: int = 11) -> tuple[str, list[str]]:
                 item = f"<p>{phrase(2, 60)}</p>"
                 if rng.random() < 0.4:
                     item = f'<div class="{rng.choice(["author", "user", "meta"])}">{phrase(0, 2, "")}</div>' + item
+                if tag not in ("ol", "ul") and rng.random() < 0.3:
+                    item = f'<{(own := rng.choice(["article", "div"]))} class="{rng.choice(["comment", "reply", "response"])}">{item}</{own}>'
                 inside.append(f"<li>{item}</li>" if tag in ("ol", "ul") else item)
             elif part == "form":
                 inside.append(f"<label>{phrase(0, 3, '')}</label><input name='q'><button>{word()}</button>")
             else:
                 sign = "&copy; " if part == "footer" and rng.random() < 0.6 else ""
                 body = sign + phrase(1, 30)
+                if part == "header" and tag != "p" and rng.random() < 0.5:
+                    inside.append(f"<{(own := rng.choice(['h1', 'h1', 'h2', 'p']))}>{phrase(0, 6, '')}</{own}>")
+                    continue
                 inside.append(body if tag == "p" else rng.choice([f"<p>{body}</p>", body, f"<h3>{body}</h3>", f"<span>{body}</span>"]))
         body = "".join(inside) if tag != "p" else inside[0]
         if part == "nav" and tag != "ul" and rng.random() < 0.6:
@@ -267,8 +274,8 @@ def labelled_page(number: int, seed: int = 11) -> tuple[str, list[str]]:
         body.append(f"<h1>{title}</h1>")
     for _ in range(rng.randint(1, 14)):
         body.append(content())
-        if rng.random() < 0.08:
-            body.append(boiler(rng.choice(["ad", "notice", "aside", "share", "form"])))
+        if rng.random() < 0.16:
+            body.append(boiler(rng.choice(["ad", "ad", "notice", "notice", "aside", "share", "form", "nav"])))
     if rng.random() < 0.35:
         body.append(boiler("comments"))
     inner = "".join(body)

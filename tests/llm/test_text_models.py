@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from helpers import clashing, documents, odd_rows, prose
 from pyspark.sql import functions as F
 
@@ -172,6 +173,36 @@ def test_page_text(spark):
     assert html_extract.extract(pages.where("false")).count() == 0
 
 
+LONG, SHORT = "The quick brown fox jumps over the lazy dog, and runs away. It was never seen again.", "Short one."
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (
+            f"<header><h1>Site</h1></header><article><h1>My title</h1><p>{LONG}</p><p>{SHORT}</p></article><section id='comments'>"
+            f"<article class='comment'><p>{LONG} I think.</p></article><article class='comment'><p>Nice.</p></article></section>",
+            f"My title\n{LONG}\n{SHORT}",
+        ),
+        (
+            f"<nav><a href=x>Home</a></nav><main><article><h2>T</h2><div class='notice'>We use cookies, please agree.</div><p>{LONG}</p>"
+            f"<aside class='sidebar'><h3>Related</h3><ul><li><a href=1>Other</a></li></ul></aside><p>{SHORT}</p><div class='advert'>"
+            f"<p>Buy it now for little money.</p></div><p>{LONG} End</p><form><label>Email</label><input><p>Sign up.</p></form></article></main>",
+            f"T\n{LONG}\n{SHORT}\n{LONG} End",
+        ),
+        (
+            f"<div id='header'><div class='logo'>L</div></div><div id='menu'><ul><li><a href=a>A</a></li></ul></div><div id='content'>"
+            f"<div class='post'><h1>Head</h1><p>{LONG}</p><ul><li>First item here</li><li>Second item</li></ul></div>"
+            f"<div class='comment-list'><p>{LONG} me too</p></div></div><div id='sidebar'><p>{LONG} side</p></div><div id='footer'>&copy;</div>",
+            f"Head\n{LONG}\nFirst item here\nSecond item",
+        ),
+        (f"<p>{LONG}</p><p>{SHORT}</p><p>{LONG} two</p>", f"{LONG}\n{SHORT}\n{LONG} two"),
+    ],
+)
+def test_layouts(html, want):
+    assert html_extract.main_text(f"<html><body>{html}</body></html>", html_extract.trained(), {})[0] == want
+
+
 def test_given_pages(spark):
     """Articles of the given pages, against a reading that knows their one layout."""
     import html as references
