@@ -689,6 +689,32 @@ products AS (SELECT shipment_id, arg_max(product, (file, ord)) AS product FROM p
        '{' || coalesce(string_agg('"' || snake || '":"' || value || '"', ',' ORDER BY attr_no), '') || '}' AS attrs_json
        FROM products LEFT JOIN lasts USING (shipment_id) LEFT JOIN named USING (attr) GROUP BY shipment_id, product""",
 )
+ORACLES["run_shipment_map"] = cte(
+    f"""{FLAT},
+named(attr, snake, attr_no) AS (VALUES {_values(_SNAKE_ATTRS)}),
+placed AS (SELECT *, 'hs_' || hs_code || '_' || product || '.csv' AS file,
+                  min(CAST(shipment_id AS BIGINT) % 2) OVER (PARTITION BY {GOODS}) AS run
+           FROM labelled SEMI JOIN dict USING (hs_code, product)),
+lasts AS (
+  SELECT shipment_id, attr, arg_max(value, (file, run, goods_shipped)) AS value
+  FROM placed JOIN chosen USING ({GOODS}) GROUP BY shipment_id, attr),
+products AS (SELECT shipment_id, arg_max(product, (file, run, goods_shipped)) AS product FROM placed GROUP BY shipment_id)""",
+    """SELECT shipment_id, product,
+       '{' || coalesce(string_agg('"' || snake || '":"' || value || '"', ',' ORDER BY attr_no), '') || '}' AS attrs_json
+       FROM products LEFT JOIN lasts USING (shipment_id) LEFT JOIN named USING (attr) GROUP BY shipment_id, product""",
+)
+ORACLES["run_shipment_lists"] = cte(
+    f"""{FLAT},
+rows_in AS (SELECT *, CAST(shipment_id AS BIGINT) % 2 AS delivery FROM labelled SEMI JOIN dict USING (hs_code, product)),
+told AS (SELECT *, min(delivery) OVER (PARTITION BY {GOODS}) AS known FROM rows_in),
+pairs AS (
+  SELECT {GOODS}, shipment_id, delivery, ord FROM told WHERE delivery = known
+  UNION ALL
+  SELECT {GOODS}, shipment_id, delivery, min(ord) FROM told WHERE delivery > known GROUP BY {GOODS}, shipment_id, delivery)""",
+    """SELECT hs_code || '::' || product AS key, goods_shipped, CAST(0 AS BIGINT) AS part,
+       string_agg(shipment_id, ',' ORDER BY delivery, ord) AS shipment_ids FROM pairs GROUP BY hs_code, product, goods_shipped""",
+)
+ORACLES["csv_round_trip"] = ORACLES["clean_shipments"]
 ORACLES["conversation_attributes"] = f"""
 WITH turns AS (SELECT CAST(conv_id AS VARCHAR) AS shipment_id, turn, role, text,
                       {strip('text')} AS reply FROM conversations)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from shiplabel.operators import publish as P
 from shiplabel.operators import replies as R
 from shiplabel.operators import requests as Q
 from shiplabel.operators.dictionary import KEY, attach_dictionary, compile_values
-from shiplabel.operators.scale import durable
+from shiplabel.operators.scale import checkpoint_folder, durable
 from shiplabel.plans import runs
 from shiplabel.plans import views as V
 from shiplabel.sources import config as C
@@ -651,6 +652,46 @@ def merge_shipments(spark, sf_dir):
     return P.merge_shipments(earlier.select(*GOODS, "shipment_id"), later)
 
 
+def _two_deliveries(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Published tables of two runs: line items of even orders, then those of odd ones."""
+    folder = f"{checkpoint_folder(spark)}/runs-{uuid.uuid4().hex}"
+    labelled = S.clean(V.shipments(spark, sf_dir))
+    options = runs.Options(dictionary_only=True, stages=("extract", "publish"))
+    tables = {}
+    for number in range(2):
+        mine = labelled.where(F.col("shipment_id").cast("bigint") % 2 == number)
+        P.write_table(mine, f"{folder}/labelled")
+        tables = runs.run(
+            spark, None, folder, run_id=f"r{9 + number}", attr_dict=V.attr_dict(spark), options=options
+        )
+    return tables
+
+
+@query
+def run_shipment_map(spark, sf_dir):
+    """The shipment map after two runs: of a shipment's rows the last in (file, run, description) order counts."""
+    merged = _two_deliveries(spark, sf_dir)["shipment_attributes"]
+    return merged.select("shipment_id", "product", F.to_json("attrs").alias("attrs_json"))
+
+
+@query
+def run_shipment_lists(spark, sf_dir):
+    """Shipments of each description after two runs: runs one after the other, rows as they were read."""
+    found = _two_deliveries(spark, sf_dir)["nested"].select(
+        "key", "goods_shipped", "part", F.get_json_object("record", "$.shipment_ids").alias("ids")
+    )
+    return found.select("key", "goods_shipped", "part", F.array_join(F.from_json("ids", "array<string>"), ",").alias("shipment_ids"))
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """Shipments written as CSV and read back, cleaned."""
+    path = f"{checkpoint_folder(spark)}/csv-{uuid.uuid4().hex}"
+    columns = ["ord", "hs_code", "goods_shipped", "shipment_id"]
+    V.shipments(spark, sf_dir).select(*columns).write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return S.clean(S.read_csv(spark, path)).select(*columns)
+
+
 @query
 def streamed_match(spark, sf_dir):
     """Matches of line items that arrive as a stream, through to a table."""

@@ -34,11 +34,15 @@ def missing_as_null(df: DataFrame) -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """CSV with a header; every cell stays text, so codes keep their leading zeros."""
+def read_csv(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:
+    """CSV with a header; every cell stays text, so codes keep their leading zeros.
+
+    A file whose cells may hold line breaks is read by one task. For large files without
+    such cells pass ``multi_line=False``, and they are split.
+    """
     raw = (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .csv(path)
