@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -111,10 +112,12 @@ def lexical_label(goods, definition: Sequence[tuple[str, str | None]]) -> Column
     return F.when(best["shared"] > 0, best["category"]).otherwise(UNCLASSIFIED)
 
 
-def label_by_scorer(goods: DataFrame, scorer, size: int = 1000) -> DataFrame:
+def label_by_scorer(goods: DataFrame, scorer, size: int = 1000, failures=None) -> DataFrame:
     """``goods_shipped, category`` by a Python scorer (list of texts -> list of labels).
 
-    The scorer runs on Arrow batches inside the tasks, wherever Spark has put them.
+    The scorer runs on Arrow batches inside the tasks, wherever Spark has put them. A failed
+    call leaves its texts unclassified and its error in the task's log; ``failures``, an
+    accumulator, counts those texts.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,6 +127,9 @@ def label_by_scorer(goods: DataFrame, scorer, size: int = 1000) -> DataFrame:
                 try:
                     labels = list(scorer(texts))[: len(texts)]
                 except Exception:  # a failed call fails its batch only
+                    logging.getLogger("shiplabel.labels").exception("scorer failed on %d texts", len(texts))
+                    if failures is not None:
+                        failures.add(len(texts))
                     labels = [UNCLASSIFIED] * len(texts)
                 labels += [NOT_YET] * (len(texts) - len(labels))
                 yield pd.DataFrame({"goods_shipped": texts, "category": labels})

@@ -71,11 +71,13 @@ def label(
     definition: Sequence[tuple[str, str | None]],
     scorer: Callable[[list[str]], list[str]] | None = None,
     done: DataFrame | None = None,
+    failures=None,
 ) -> DataFrame:
     """Rows with ``category``: each distinct description is scored once.
 
     Without a ``scorer`` the lexical one is used. ``done`` (``goods_shipped,
-    category``) are labels of earlier runs, which are not scored again.
+    category``) are labels of earlier runs, which are not scored again. ``failures``, an
+    accumulator, counts the descriptions of failed calls.
     """
     goods = durable(labels.distinct_goods(rows))
     todo = goods if done is None else goods.join(done, "goods_shipped", "left_anti")
@@ -84,7 +86,7 @@ def label(
             "goods_shipped", labels.lexical_label("goods_shipped", definition).alias("category")
         )
     else:
-        scored = labels.label_by_scorer(todo, scorer)
+        scored = labels.label_by_scorer(todo, scorer, failures=failures)
     if done is not None:
         scored = scored.unionByName(done.select("goods_shipped", "category"))
     # durable, so that a paid scorer sees each description once

@@ -185,7 +185,9 @@ def test_scorer_fails_per_batch(spark):
             raise RuntimeError("down")
         return [t.upper() for t in texts][:2]
 
-    got = {r[0]: r[1] for r in L.label_by_scorer(goods, scorer, size=3).collect()}
+    failures = spark.sparkContext.accumulator(0)
+    got = {r[0]: r[1] for r in L.label_by_scorer(goods, scorer, size=3, failures=failures).collect()}
+    assert failures.value == sum(label == L.UNCLASSIFIED for label in got.values()) > 0
     assert got == {"g0": "G0", "g1": "G1", "g2": ""} | {f"g{i}": "Unclassified" for i in (3, 4, 5)}
 
 
