@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplabel.llm.common import hash_sample, written
+from shiplabel.llm.common import hash_sample, text_or_empty, written
 
 SHINGLE = 3
 REACH = 2
@@ -249,12 +249,39 @@ def near_duplicates(docs: DataFrame, reach: int = REACH, shingle: int = SHINGLE)
 
 
 def one_of_each(docs: DataFrame, reach: int = REACH, shingle: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` whose id names their component; repeated rows of that id are one document.
+    """One row of ``docs`` for each component: of the smallest doc_id, then of the smallest hash of its text.
 
-    Rows without an id are kept: they cannot be told apart from their group by id.
+    Ids that are null or stand for several texts are told apart by the text's hash, so a row goes
+    only if another row of its component stays.
     """
-    groups_ = near_duplicates(docs, reach, shingle)
-    gone = groups_.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    repeated = groups_.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1)
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id"])
+    key = F.struct("doc_id", F.xxhash64(text_or_empty()).alias("content")).alias("doc_id")
+    prints = fingerprints(docs.select(key, "text"), shingle).select("doc_id.*", F.col("fingerprint").alias("node"))
+    prints = written(prints, "fingerprints")
+    nodes = written(prints.select(F.col("node").alias("fingerprint")).distinct(), "nodes")
+    return _first_rows(docs, prints, components(links(nodes, reach)))
+
+
+def _first_rows(docs: DataFrame, prints: DataFrame, rooted: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each root: ``prints`` has (doc_id, content, node), ``rooted`` the nodes that are no root."""
+    # Null ids come last.
+    name = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")
+    texts = prints.groupBy("doc_id", "content", "node").agg(F.count("*").alias("copies"))
+    nodes = prints.groupBy("node").agg(F.min(name).alias("first"))
+    named = nodes.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    firsts = named.groupBy("root").agg(F.min("first").alias("first"))
+    stays = named.select("node", "root").join(firsts, "root").select("node", "first")
+    fate = (
+        texts.join(stays, "node")
+        .withColumn("stays", name.eqNullSafe(F.col("first")))
+        .where(~F.col("stays") | (F.col("copies") > 1))
+        .select(F.col("doc_id").alias("__id"), F.col("content").alias("__content"), "stays")
+    )
+    fate = written(fate, "fate")
+    here = docs.withColumn("__hash", F.xxhash64(text_or_empty()))
+    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__content"))
+    kept = here.join(fate, on, "left_anti").select(*docs.columns)
+    repeated = fate.where("stays")
+    if repeated.isEmpty():
+        return kept
+    once = here.join(repeated, on, "left_semi").dropDuplicates(["doc_id", "__hash"]).select(*docs.columns)
+    return kept.unionByName(once)

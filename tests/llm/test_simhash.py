@@ -103,6 +103,17 @@ def test_one_of_each(spark):
     assert None in kept
 
 
+def test_one_of_each_keeps_a_row_of_every_component(spark):
+    import random
+
+    rng = random.Random(12)
+    texts = [prose(rng, 40) for _ in range(5)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (3, texts[3]), (None, texts[3]), (9, texts[4]), (9, texts[4])]
+    got = sorted(((r["doc_id"], r["text"]) for r in simhash.one_of_each(documents(spark, rows)).collect()), key=repr)
+    # Two texts without an id, text 2 of id 7 (its text 3 is id 3's), one of the repeated rows of id 9.
+    assert got == sorted([(None, texts[0]), (None, texts[1]), (7, texts[2]), (3, texts[3]), (9, texts[4])], key=repr)
+
+
 def test_empty(spark):
     assert simhash.near_duplicates(documents(spark, [])).count() == 0
     assert simhash.components(spark.createDataFrame([], "a long, b long")).count() == 0
