@@ -39,6 +39,8 @@ INLINE = set(
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = set("script style head title noscript template svg math iframe object canvas audio video select textarea button".split())
+# What may stand in a head; any other start tag, and text, ends it.
+HEAD = set("base basefont bgsound head link meta noscript script style template title".split())
 # A start tag on the left ends open elements on the right, up to the nearest element of SCOPE.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"},
@@ -72,7 +74,16 @@ class Blocks(HTMLParser):
                 self.found.append((text, path, parent, min(1.0, self.linked / len(text))))
             self.held, self.linked = [], 0
 
+    def end_head(self, anywhere: bool) -> None:
+        """The end tag of a head may be missing."""
+        for at in range(len(self.open) - 1, -1 if anywhere else max(-1, len(self.open) - 2), -1):
+            if self.open[at][0] == "head":
+                self.leave(at)
+                return
+
     def handle_starttag(self, tag, attrs):
+        if self.silent and tag not in HEAD:
+            self.end_head(tag in ("body", "frameset"))
         if tag not in INLINE:
             self.flush()
             ended = CLOSES.get(tag, set()) | {"p"}
@@ -114,6 +125,8 @@ class Blocks(HTMLParser):
         del self.open[at:]
 
     def handle_data(self, data):
+        if self.silent and not data.isspace():
+            self.end_head(False)
         if not self.silent:
             self.held.append(data)
             if self.links:

@@ -203,6 +203,23 @@ def test_layouts(html, want):
     assert html_extract.main_text(f"<html><body>{html}</body></html>", html_extract.trained(), {})[0] == want
 
 
+@pytest.mark.parametrize(
+    "head",
+    [
+        "<html><head><title>T</title><body>",
+        "<html><head><title>T</title><meta charset=x><link rel=y><style>p{}</style><script>var a='<p>';</script>",
+        "<head><title>T</title><noscript><img src=x></noscript><body class=b>",
+        "<head><title>T</title><template><p>Not this.</p></template></head><body>",
+        "<html><head><body>",
+    ],
+)
+def test_open_heads(head):
+    page = head + f"<article><h1>My title</h1><p>{LONG}</p><p>{SHORT}</p></article>"
+    assert html_extract.main_text(page, html_extract.trained(), {})[0] == f"My title\n{LONG}\n{SHORT}"
+    assert [b[0] for b in html_extract.blocks_of("<head><title>T</title>Bare text<p>Next")] == ["Bare text", "Next"]
+    assert all("head" not in [tag for tag, _ in b[1]] for b in html_extract.blocks_of(page))
+
+
 def test_given_pages(spark):
     """Articles of the given pages, against a reading that knows their one layout."""
     import html as references
