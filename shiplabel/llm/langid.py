@@ -15,7 +15,8 @@ n-grams run over letters in lower case; anything else is one space. A null text
 without a letter is ``und`` with score 0; without training rows every text is. A text that no
 language knows gets the language with most training rows and score 0. Ties go to the language
 first by name. Repeated rows are scored each, extra columns are not read, an empty table gives
-no rows.
+no rows. The filter ``known_language`` goes by the share of n-grams that are explained, so it rejects
+texts in languages that were not learnt, too.
 """
 
 from __future__ import annotations
@@ -37,6 +38,10 @@ SHARE = 30_000
 TRAIN_ROWS = 20_000
 FOLDS, HELD_OUT = 4, 2
 UNDETERMINED = "und"
+# A text is in no learnt language if less than MARGIN of what all but one in STRAYS labelled texts reach is explained.
+STRAYS = 1000
+MARGIN = 0.5
+SURE = 3.0
 # Code points handled at once inside a task.
 CHARS = 4_000_000
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -92,7 +97,8 @@ class Model:
     chance: np.ndarray
     fallback: int
 
-    def decide(self, texts: list[str], plain: np.ndarray) -> tuple[list[str], list[float]]:
+    def explained(self, texts: list[str], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(corrected counts by language and text, n-grams of each text, texts with a letter)."""
         packed, owner, lettered = grams(texts, plain)
         total = np.bincount(owner, minlength=len(texts)).astype(float)
         real = np.zeros((len(self.languages), len(texts)))
@@ -105,6 +111,15 @@ class Model:
                 bit = (answer >> answer.dtype.type(k % 64)) & answer.dtype.type(1)
                 count = np.bincount(owner, weights=bit, minlength=len(texts))
                 real[k] = np.maximum(0, (count - total * self.chance[k]) / (1 - self.chance[k]))
+        return real, total, lettered
+
+    def known(self, texts: list[str], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(n-grams of each text that its best language explains, all n-grams of each, texts with a letter)."""
+        real, total, lettered = self.explained(texts, plain)
+        return np.minimum(real.max(axis=0, initial=0.0), total), total, lettered
+
+    def decide(self, texts: list[str], plain: np.ndarray) -> tuple[list[str], list[float]]:
+        real, total, lettered = self.explained(texts, plain)
         names, scores = [], []
         for i in range(len(texts)):
             if not lettered[i] or not self.languages:
@@ -222,17 +237,42 @@ def identified(docs: DataFrame) -> DataFrame:
     return predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def least_known(labelled: DataFrame, model: Model, rows: int = TRAIN_ROWS) -> float:
+    """MARGIN of the share of n-grams that all but one in STRAYS of ``labelled`` (about ``rows`` of it) have explained."""
+    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text")
+    shared = labelled.sparkSession.sparkContext.broadcast(vars(model))
+
+    def batches(arriving: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain, fitted = letters(), Model(**shared.value)
+        for batch in arriving:
+            for part in chunks(batch.column("text").to_pylist()):
+                best, total, _ = fitted.known(part, plain)
+                some = total > 0
+                yield pa.RecordBatch.from_arrays([pa.array(best[some] / total[some], pa.float64())], ["known"])
+
+    shares = hash_sample(usable, "text", rows, 9).mapInArrow(batches, "known double")
+    return MARGIN * (shares.agg(F.percentile("known", F.lit(1 / STRAYS))).first()[0] or 0.0)
+
+
 def known_language(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text has a language; ``und`` rows go. All columns are kept."""
+    """The rows of ``docs`` whose text is in a learnt language. All columns are kept.
+
+    Rows without a letter go, and rows of whose n-grams the best language explains less than the
+    share ``least_known`` that the held-out labelled rows give, by more than SURE standard deviations:
+    a few n-grams tell nothing. Without labelled rows all rows with a letter stay.
+    """
     model = train(docs.where(~held_out()).select("doc_id", "text", "lang"))
+    least = least_known(docs.where(held_out()), model) if model.languages else 0.0
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def batches(arriving: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain, fitted = letters(), Model(**shared.value)
         for batch in arriving:
-            names: list[str] = []
+            kept: list[bool] = []
             for part in chunks([t or "" for t in batch.column("text").to_pylist()]):
-                names += fitted.decide(part, plain)[0]
-            yield batch.filter(pa.array([n != UNDETERMINED for n in names], pa.bool_()))
+                best, total, lettered = fitted.known(part, plain)
+                slack = SURE * np.sqrt(total * least * (1 - least))
+                kept += (lettered & (best + slack >= least * total)).tolist()
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(batches, docs.schema)

@@ -41,6 +41,16 @@ def test_language_without_training_rows(spark):
     assert langid.identified(documents(spark, [])).count() == 0
 
 
+def test_known_language_rejects_unlearned_texts(spark):
+    rng = random.Random(8)
+    rows = [(i, prose(rng, rng.choice([5, 40, 200]), lang), lang) for i, lang in enumerate(["en", "de"] * 60)]
+    odd = ["xqzk vbnmq wrtpl kjhgf zzxcv qqwrt plmkj " * 5, "Это русский текст о погоде и реках. " * 4, "日本語の文章はここにあります " * 5]
+    docs = documents(spark, rows + [(500 + i, t, None) for i, t in enumerate(odd)])
+    assert {r["doc_id"] for r in langid.known_language(docs).collect()} == set(range(120))
+    none = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert langid.known_language(none).count() == 123
+
+
 def test_language_filters_answer_all_inserted_grams(spark):
     docs = documents(spark, [(i, "the river and the house", "en") for i in range(8)] + [(20 + i, "der fluss und das haus", "de") for i in range(8)])
     model = langid.train(docs)
