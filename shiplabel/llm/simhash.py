@@ -17,7 +17,7 @@ give one row each. An empty table gives no rows. Only doc_id and text are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -42,6 +42,13 @@ CHUNK = 8_192
 # Fingerprints compared at once inside a task, and shingles counted at once.
 BLOCK = 512
 COUNTED = 32_768
+# Near copies by exact shingle sets: words of a shingle, least Jaccard similarity, reach on the first 64 bits and on all
+# 128 (recall in test_simhash.py), ratio of neighbouring size bands (above 1 / SIMILAR), shingles of a verifying task.
+SIMILAR_SHINGLE = 5
+SIMILAR = 0.8
+SIMILAR_REACH, SIMILAR_REACH_ALL = 20, 36
+BAND = 1.26
+VERIFIED = 1_000_000
 # A split must save this part of the comparisons, else the shard stays whole.
 GAIN = 0.2
 VANTAGES = 12
@@ -150,8 +157,11 @@ def _flat(parent: np.ndarray) -> np.ndarray:
         parent = up
 
 
-def groups(points: np.ndarray, reach: int) -> np.ndarray:
-    """For each of the sorted distinct points the index of the first point of its group."""
+def groups(points: np.ndarray, reach: int, also: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> np.ndarray:
+    """For each of the sorted distinct points the index of the first point of its group.
+
+    ``also`` says which pairs within reach, given by their indexes, are links.
+    """
     parent = np.arange(len(points))
     todo = [np.arange(len(points))]
     while todo:
@@ -165,7 +175,11 @@ def groups(points: np.ndarray, reach: int) -> np.ndarray:
             for j in range(i, len(held), BLOCK):
                 rows, cols = held[i : i + BLOCK], held[j : j + BLOCK]
                 a, b = np.nonzero(np.bitwise_count(points[rows][:, None] ^ points[cols]) <= reach)
-                a, b = parent[rows[a]], parent[cols[b]]
+                a, b = rows[a], cols[b]
+                if also is not None:
+                    linked = also(a, b)
+                    a, b = a[linked], b[linked]
+                a, b = parent[a], parent[b]
                 apart = a != b
                 if not apart.any():
                     continue
@@ -248,12 +262,192 @@ def near_duplicates(docs: DataFrame, reach: int = REACH, shingle: int = SHINGLE)
     )
 
 
-def one_of_each(docs: DataFrame, reach: int = REACH, shingle: int = SHINGLE) -> DataFrame:
+def shingle_set(text: str | None, shingle: int = SIMILAR_SHINGLE, seed: int = SEED) -> np.ndarray:
+    """The distinct XXH64 hashes of a text's word shingles, sorted."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(words)
+    stops = list(accumulate(len(w) + 1 for w in words))
+    starts = [0, *stops]
+    digest = xxhash.xxh64_digest
+    spans = zip(starts, stops[shingle - 1 :]) if len(words) > shingle else [(0, len(joined) + 1)]
+    return np.unique(np.frombuffer(b"".join([digest(joined[a : b - 1], seed) for a, b in spans]), np.uint64))
+
+
+def set_print(hashes: np.ndarray) -> tuple[int, int]:
+    """128 majority bits of a set of hashes: of the hashes, and of the hashes mixed once more."""
+    out = []
+    with np.errstate(over="ignore"):
+        mixed = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        mixed ^= mixed >> np.uint64(31)
+    for part in (hashes, mixed):
+        counts = np.zeros(BITS, np.int64)
+        for at in range(0, len(part), COUNTED):
+            bits = np.unpackbits(part[at : at + COUNTED].view(np.uint8).reshape(-1, BITS // 8), axis=1)
+            counts += bits.sum(axis=0, dtype=np.uint32)
+        out.append(int.from_bytes(np.packbits(counts * 2 > len(part)).tobytes(), "big", signed=True))
+    return out[0], out[1]
+
+
+def set_prints(docs: DataFrame, shingle: int = SIMILAR_SHINGLE) -> DataFrame:
+    """doc_id, content, node (a hash of the shingle set), its size, and both halves of its print, of every document."""
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            rows = []
+            for text in batch.column("text"):
+                hashes = shingle_set(text.as_py(), shingle)
+                rows.append((xxhash.xxh64_intdigest(hashes.tobytes()), len(hashes), *set_print(hashes)))
+            values = np.array([r[0] for r in rows], np.uint64).view(np.int64)
+            columns = [pa.array(values), *[pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2, 3)]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("content"), *columns],
+                ["doc_id", "content", "node", "size", "first", "second"],
+            )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("content"), "text")
+    return rows.mapInArrow(batches, f"doc_id {kind}, content long, node long, size long, first long, second long")
+
+
+def likely_links(nodes: DataFrame, least: float, reach: int, reach_all: int) -> DataFrame:
+    """Stars (a, b) over the nodes (node, size, first, second) that join all pairs within both reaches whose sizes allow ``least``.
+
+    Shards of the vantage-point tree are cut into bands of set sizes, as a pair's sizes differ by
+    the factor ``least`` at most: a node is at home in its band and a guest in the next.
+    """
+    total = nodes.count()
+    sample = hash_sample(nodes.select("first"), "first", SAMPLE, 5).toPandas()["first"]
+    points = np.unique(sample.to_numpy(np.int64).view(np.uint64))
+    tree, _ = plant(points, max(16, SHARD * len(points) // max(total, 1)), reach)
+    names = ["node", "size", "first", "second"]
+
+    def dealt(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in found:
+            band = np.floor(np.log(np.maximum(frame["size"].to_numpy(), 1)) / np.log(BAND)).astype(np.int64)
+            for shard, at in shards_of(frame["first"].to_numpy(np.int64).view(np.uint64), tree, reach):
+                for guest in (0, 1):
+                    yield frame.iloc[at].assign(shard=shard * 256 + band[at] + guest)
+
+    in_shards = written(
+        nodes.select(*names).mapInPandas(dealt, "node long, size long, first long, second long, shard long"), "shards"
+    )
+    # A row for each shard and band: no more than the sample allows.
+    chunks = in_shards.groupBy("shard").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    paired = (
+        in_shards.join(F.broadcast(chunks), "shard")
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .select("shard", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), *names)
+    )
+
+    def joined(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("node")
+        node, size = frame["node"].to_numpy(np.int64), frame["size"].to_numpy(np.int64)
+        first, second = (frame[n].to_numpy(np.int64).view(np.uint64) for n in ("first", "second"))
+
+        def also(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            apart = np.bitwise_count(first[a] ^ first[b]) + np.bitwise_count(second[a] ^ second[b])
+            return (apart <= reach_all) & (np.minimum(size[a], size[b]) >= least * np.maximum(size[a], size[b]))
+
+        star = groups(first, reach, also)
+        linked = star != np.arange(len(node))
+        return pd.DataFrame({"a": node[linked], "b": node[star[linked]]})
+
+    return paired.groupBy("shard", "low", "high").applyInPandas(joined, "a long, b long").distinct()
+
+
+def alike(sets: list[np.ndarray], least: float) -> np.ndarray:
+    """For each of the sets the index of the first set of its group; Jaccard similarities from ``least`` link, exactly."""
+    parent = np.arange(len(sets))
+    size = np.array([len(s) for s in sets])
+    _, terms = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), size)
+    holders = owner[np.argsort(terms, kind="stable")]
+    starts = np.concatenate([[0], np.cumsum(np.bincount(terms))])
+    place = np.concatenate([[0], np.cumsum(size)])
+    for i in range(len(sets) - 1):
+        # A set that is in one group with all that could link to it needs no comparison.
+        able = (np.minimum(size[i], size) >= least * np.maximum(size[i], size)) & (parent != parent[i])
+        able[:i] = False
+        if not able.any():
+            continue
+        own = terms[place[i] : place[i + 1]]
+        n = starts[own + 1] - starts[own]
+        at = np.arange(int(n.sum())) + np.repeat(starts[own] - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
+        both = np.bincount(holders[at], minlength=len(sets))
+        found = np.flatnonzero(able & (both >= least * (size[i] + size - both) - 1e-9))
+        if len(found):
+            roots = np.unique(np.append(parent[found], parent[i]))
+            parent[np.isin(parent, roots)] = roots[0]
+    return parent
+
+
+def similar(docs: DataFrame, prints: DataFrame, least: float, reach: int, reach_all: int, shingle: int) -> DataFrame:
+    """(node, root) of all nodes of ``prints`` that exact similarities from ``least`` join to a smaller one.
+
+    Sets that the prints join, directly or by others, are compared exactly. Their texts are dealt
+    to tasks of VERIFIED shingles; a larger group goes to several tasks by pairs of chunks.
+    """
+    by_id = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")
+    nodes = prints.groupBy("node").agg(
+        *[F.first(n).alias(n) for n in ("size", "first", "second")], F.min(by_id).alias("holder")
+    )
+    nodes = written(nodes, "nodes")
+    # Four shingles or fewer are only as similar as that if they are equal, and equal sets are one node.
+    fewest = next(n for n in range(1, 1000) if n >= least * (n + 1))
+    likely = components(likely_links(nodes.where(F.col("size") >= fewest), least, reach, reach_all))
+    likely = likely.union(likely.select("root", "root")).distinct().toDF("node", "likely")
+    members = written(nodes.join(likely, "node").select("node", "size", "holder", "likely"), "members")
+    sizes = members.groupBy("likely").agg(F.sum("size").alias("total"))
+    sizes = sizes.withColumn("chunks", F.ceil(F.col("total") / VERIFIED).cast("int"))
+    tasks = max(1, -(-(members.agg(F.sum("size")).first()[0] or 0) // VERIFIED))
+    many = F.col("chunks") > 1
+    deal = members.join(sizes, "likely").select(
+        "node",
+        "likely",
+        "chunks",
+        many.alias("many"),
+        F.when(many, F.col("likely")).otherwise(F.pmod(F.xxhash64("likely"), F.lit(tasks))).alias("task"),
+        F.col("holder.doc_id").alias("__id"),
+        F.col("holder.content").alias("__content"),
+    )
+    here = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("__hash"), "text")
+    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__content"))
+    texts = (
+        here.join(deal, on)
+        .withColumn("own", F.pmod(F.xxhash64("node", F.lit(3)), F.col("chunks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .select("many", "task", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "likely", "node", "text")
+    )
+
+    def verified(frame: pd.DataFrame) -> pd.DataFrame:
+        # Rows that repeat the holder's id and text are one node.
+        frame = frame.drop_duplicates("node").sort_values(["likely", "node"])
+        stars = []
+        for _, group in frame.groupby("likely", sort=False):
+            node = group["node"].to_numpy(np.int64)
+            if len(node) > 1:
+                root = alike([shingle_set(t, shingle) for t in group["text"]], least)
+                linked = root != np.arange(len(node))
+                stars.append(pd.DataFrame({"a": node[linked], "b": node[root[linked]]}))
+        return pd.concat(stars) if stars else pd.DataFrame({"a": [], "b": []}).astype("int64")
+
+    return components(texts.groupBy("many", "task", "low", "high").applyInPandas(verified, "a long, b long"))
+
+
+def one_of_each(docs: DataFrame, reach: int = REACH, shingle: int = SHINGLE, least: float | None = None) -> DataFrame:
     """One row of ``docs`` for each component: of the smallest doc_id, then of the smallest hash of its text.
 
     Ids that are null or stand for several texts are told apart by the text's hash, so a row goes
-    only if another row of its component stays.
+    only if another row of its component stays. With ``least`` prints within ``reach`` are only
+    likely, and components link texts whose exact sets of shingles have at least this similarity.
     """
+    if least is not None:
+        prints = written(set_prints(docs, shingle), "prints")
+        return _first_rows(docs, prints, similar(docs, prints, least, reach, SIMILAR_REACH_ALL, shingle))
     key = F.struct("doc_id", F.xxhash64(text_or_empty()).alias("content")).alias("doc_id")
     prints = fingerprints(docs.select(key, "text"), shingle).select("doc_id.*", F.col("fingerprint").alias("node"))
     prints = written(prints, "fingerprints")

@@ -114,6 +114,68 @@ def test_one_of_each_keeps_a_row_of_every_component(spark):
     assert got == sorted([(None, texts[0]), (None, texts[1]), (7, texts[2]), (3, texts[3]), (9, texts[4])], key=repr)
 
 
+def jaccard(a, b):
+    a, b = (set(simhash.shingle_set(t).tolist()) for t in (a, b))
+    return len(a & b) / max(1, len(a | b))
+
+
+def edited(rng, text, edits):
+    words = text.split()
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = f"w{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def pairs_from(rng, low, high, n):
+    """Pairs of a text and an edited copy whose similarity is in the range."""
+    out = []
+    while len(out) < n:
+        base = prose(rng, rng.choice([30, 60, 150, 400]))
+        other = edited(rng, base, rng.randint(1, 12))
+        if low <= jaccard(base, other) < high:
+            out.append((base, other))
+    return out
+
+
+def test_recall_of_set_prints():
+    import random
+
+    pairs = pairs_from(random.Random(21), 0.8, 0.86, 1500)
+    missed = 0
+    for pair in pairs:
+        (a, b), (c, d) = (simhash.set_print(simhash.shingle_set(t)) for t in pair)
+        mask = 2**64 - 1
+        first = ((a ^ c) & mask).bit_count()
+        missed += first > simhash.SIMILAR_REACH or first + ((b ^ d) & mask).bit_count() > simhash.SIMILAR_REACH_ALL
+    print(f"recall of pairs of similarity 0.80 to 0.86: {1 - missed / len(pairs):.4f}")
+    assert missed <= 0.01 * len(pairs)
+
+
+def test_near_copies_by_exact_similarity(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(simhash, "VERIFIED", 2000)  # the large group is dealt by pairs of chunks
+    monkeypatch.setattr(simhash, "CHUNK", 60)
+    rng = random.Random(22)
+    near, apart = pairs_from(rng, 0.8, 0.95, 25), pairs_from(rng, 0.55, 0.79, 25)
+    base = prose(rng, 120)
+    texts = [t for p in near + apart for t in p] + [base, *[edited(rng, base, 1) for _ in range(60)], "a b c", "a b d", "", None]
+    rows = list(enumerate(texts))
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if jaccard(texts[i], texts[j]) >= 0.8 or not (texts[i] or texts[j]):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    docs = documents(spark, rows)
+    got = simhash.one_of_each(docs, simhash.SIMILAR_REACH, simhash.SIMILAR_SHINGLE, simhash.SIMILAR)
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(set(root))
+    import corpus_pipeline
+
+    assert dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, "").count() == len(set(root))
+    assert simhash.one_of_each(docs.where("false"), simhash.SIMILAR_REACH, simhash.SIMILAR_SHINGLE, simhash.SIMILAR).count() == 0
+
+
 def test_empty(spark):
     assert simhash.near_duplicates(documents(spark, [])).count() == 0
     assert simhash.components(spark.createDataFrame([], "a long, b long")).count() == 0
