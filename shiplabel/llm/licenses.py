@@ -1,13 +1,17 @@
 """Licence scans: a trained paragraph classifier with template confirmation.
 
-A paragraph (a line of a text) is a set of word n-grams (one to three words, lower case). A
+Paragraphs are cut at blank lines. A paragraph is read by its lines, each alone and each joined with
+the words around it (as many as the longest template has), so notices are found however they are
+wrapped. Such a unit is a set of word n-grams (one to three words, lower case). A
 multinomial logistic regression over the n-grams of known licence notices tells licence families
 and an unknown class apart. It is fitted with Spark's machine-learning library on variants of the
 notices (words dropped, ordinary text around them) and on a bounded sample of ordinary
 paragraphs. A part kept back calibrates it: a temperature for the probabilities, and the family
 probability that all but one in a thousand of the kept ordinary paragraphs stay below; what does
 not reach it is unknown. A prediction is confirmed by the templates of its family: the paragraph
-must hold at least SIMILARITY of the three-word shingles of one.
+must hold at least SIMILARITY of the three-word shingles of one, and no notice of a kindred family
+(the GPL family, Creative Commons) may be more alike around that line. Bare names ("MIT License")
+count as whole lines only.
 
 Scoring is DataFrame functions only. A paragraph without any distinctive word cannot hold enough
 shingles of a template (``anchors`` are chosen so), so only the others are cut into n-grams.
@@ -66,6 +70,27 @@ TEMPLATES = {
     "CC0": ["Dedicated to the public domain under CC0 1.0 Universal.", "This is free and unencumbered software released into the public domain."],
     "Proprietary": ["All rights reserved.", "Copyright. All rights reserved. No part may be reproduced without permission."],
 }
+SPDX = {
+    "MIT": ["MIT"], "Apache": ["Apache-2.0"], "GPL": ["GPL"], "LGPL": ["LGPL"], "AGPL": ["AGPL"], "BSD": ["BSD"], "MPL": ["MPL-2.0"],
+    "CC-BY": ["CC-BY-4.0"], "CC-BY-SA": ["CC-BY-SA-4.0"], "CC-BY-NC": ["CC-BY-NC-4.0"], "CC0": ["CC0-1.0", "Unlicense"],
+}
+# Names that are a notice if a line holds nothing else: between the signs for its start and end.
+BARE = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "License: MIT"],
+    "Apache": ["Apache License", "Apache License 2.0", "Apache License, Version 2.0", "License: Apache 2.0"],
+    "GPL": ["GNU General Public License", "GNU GPL", "License: GPL"],
+    "LGPL": ["GNU Lesser General Public License", "GNU LGPL", "License: LGPL"],
+    "AGPL": ["GNU Affero General Public License", "GNU AGPL", "License: AGPL"],
+    "BSD": ["BSD License", "BSD 2-Clause License", "BSD 3-Clause License", "License: BSD"],
+    "MPL": ["Mozilla Public License", "Mozilla Public License 2.0", "License: MPL 2.0"],
+    "CC-BY": ["CC BY 4.0", "License: CC BY 4.0"],
+    "CC-BY-SA": ["CC BY-SA 4.0", "License: CC BY-SA 4.0"],
+    "CC-BY-NC": ["CC BY-NC 4.0", "License: CC BY-NC 4.0"],
+    "CC0": ["CC0 1.0", "CC0 1.0 Universal", "License: CC0"],
+}
+START, END = "^", "$"
+# Families whose notices share most of their words.
+KIN = {"LGPL": "GPL", "AGPL": "GPL", "CC-BY-SA": "CC-BY", "CC-BY-NC": "CC-BY"}
 FAMILIES = [*TEMPLATES, UNKNOWN]
 # Words that ordinary text holds as well; all other template words are anchors.
 COMMON = set(
@@ -83,15 +108,30 @@ def grams_of(words: list[str], sizes: range = range(1, GRAMS + 1)) -> list[str]:
     return list(dict.fromkeys(" ".join(words[i : i + n]) for n in sizes for i in range(len(words) - n + 1)))
 
 
+def notices() -> list[tuple[int, list[str], bool]]:
+    """(family, words, whether all of them must be there) of every template."""
+    out = []
+    for k, (family, texts) in enumerate(TEMPLATES.items()):
+        out += [(k, words_of(t), False) for t in texts]
+        out += [(k, words_of(f"SPDX-License-Identifier: {name}"), False) for name in SPDX.get(family, [])]
+        out += [(k, [START, *words_of(t), END], True) for t in BARE.get(family, [])]
+    return out
+
+
+def longest() -> int:
+    return max(len(w) for _, w, _ in notices())
+
+
 def anchors() -> list[str]:
     """Template words such that any SIMILARITY of a template's shingles holds one of them."""
-    found = sorted({w for ts in TEMPLATES.values() for t in ts for w in words_of(t) if w not in COMMON and not w.isdigit() and len(w) > 1})
-    for ts in TEMPLATES.values():
-        for t in ts:
-            shingles = grams_of(words_of(t), range(GRAMS, GRAMS + 1))
-            bare = sum(not set(s.split()) & set(found) for s in shingles)
-            if bare >= SIMILARITY * len(shingles):
-                raise ValueError(f"no anchors in {t!r}")
+    found = sorted(
+        {w for _, ws, _ in notices() for w in ws if w not in COMMON and w not in (START, END) and not w.isdigit() and len(w) > 1}
+    )
+    for _, ws, _ in notices():
+        shingles = grams_of(ws, range(GRAMS, GRAMS + 1))
+        bare = sum(not set(s.split()) & set(found) for s in shingles)
+        if bare >= SIMILARITY * len(shingles):
+            raise ValueError(f"no anchors in {ws!r}")
     return found
 
 
@@ -112,22 +152,46 @@ def _joined(column: str, starts: Column, n: int) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(column, i, n), " "))
 
 
+def blocks(text: Column) -> Column:
+    """The paragraphs of a text, cut at blank lines."""
+    return F.split(text, r"\n(?:[^\S\n]*\n)+")
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, content, paragraph (number from 0) and its words, of paragraphs with an anchor."""
+    """doc_id, content, paragraph (number from 0), line, wide and its words, of lines with an anchor, alone and with the words around."""
     pattern = r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(anchors()) + r")(?![\p{L}\p{N}])"
     text = text_or_empty()
-    lines = F.transform(F.split(text, "\n"), lambda p, i: F.struct(i.alias("paragraph"), p.alias("line")))
+    paragraphs_ = F.transform(blocks(text), lambda p, i: F.struct(i.alias("paragraph"), p.alias("block")))
+    numbered = F.transform("lines", lambda p, i: F.struct(i.alias("line"), p.alias("text")))
+    # A line has a word at least, so so many lines hold all words of a notice around this one.
+    reach = longest()
+    before = words(F.array_join(F.slice("lines", F.greatest(F.col("p.line") - reach, F.lit(0)) + 1, F.least(F.col("p.line"), F.lit(reach))), " "))
+    after = words(F.array_join(F.slice("lines", F.col("p.line") + 2, F.lit(reach)), " "))
+    alone = F.concat(F.array(F.lit(START)), words(F.col("p.text")), F.array(F.lit(END)))
+    around = F.concat(
+        F.slice("before", F.greatest(F.size("before") - reach, F.lit(0)) + 1, F.lit(reach)),
+        words(F.col("p.text")),
+        F.slice("after", 1, reach),
+    )
+    units = F.array(
+        F.struct(F.lit(False).alias("wide"), alone.alias("words")),
+        F.when(F.size("lines") > 1, F.struct(F.lit(True).alias("wide"), around.alias("words"))),
+    )
     return (
         docs.select("doc_id", F.xxhash64(text).alias("content"), text.alias("text"))
         .where(F.col("text").rlike(pattern))
-        .select("doc_id", "content", F.explode(F.filter(lines, lambda p: p.line.rlike(pattern))).alias("p"))
-        .select("doc_id", "content", "p.paragraph", words(F.col("p.line")).alias("words"))
+        .select("doc_id", "content", F.explode(F.filter(paragraphs_, lambda p: p.block.rlike(pattern))).alias("b"))
+        .select("doc_id", "content", "b.paragraph", F.split("b.block", "\n").alias("lines"))
+        .select("*", F.explode(F.filter(numbered, lambda p: p.text.rlike(pattern))).alias("p"))
+        .select("*", before.alias("before"), after.alias("after"))
+        .select("doc_id", "content", "paragraph", "p.line", F.explode(F.filter(units, lambda u: u.isNotNull())).alias("u"))
+        .select("doc_id", "content", "paragraph", "line", "u.wide", "u.words")
         .distinct()
     )
 
 
 def vocabulary() -> list[str]:
-    return list(dict.fromkeys(g for ts in TEMPLATES.values() for t in ts for g in grams_of(words_of(t))))
+    return list(dict.fromkeys(g for _, ws, _ in notices() for g in grams_of(ws)))
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -142,13 +206,11 @@ def training_rows(docs: DataFrame) -> DataFrame:
     ordinary = written(cut.select("words", grams("words").alias("grams"), number.alias("number")), "ordinary")
     # A sampled paragraph that shows a notice is no ordinary one.
     ordinary = ordinary.where(~F.arrays_overlap("grams", F.array(*[F.lit(s) for s in shingles])))
-    notices = spark.createDataFrame(
-        [(k, words_of(t)) for k, ts in enumerate(TEMPLATES.values()) for t in ts], "label int, notice array<string>"
-    )
+    known = spark.createDataFrame([(k, ws) for k, ws, _ in notices()], "label int, notice array<string>")
     # Each variant drops a share of words of its own and stands in the ordinary words of its number, if any.
     around = ordinary.groupBy("number").agg(F.min("words").alias("around"))
     variants = (
-        notices.withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))))
+        known.withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))))
         .withColumn("number", F.pmod(F.xxhash64("notice", "variant"), F.lit(VARIANTS * 50)).cast("int"))
         .withColumn(
             "notice",
@@ -212,12 +274,17 @@ def paragraphs(docs: DataFrame, model: Model) -> DataFrame:
     names = list(range(len(FAMILIES)))
     table = spark.createDataFrame(model.weights, "gram string, w array<double>")
     table = table.select("gram", *[F.col("w")[k].alias(f"w{k}") for k in names])
-    templates = [(k, j, t) for k, ts in enumerate(TEMPLATES.values()) for j, t in enumerate(ts)]
     shingles = spark.createDataFrame(
-        [(k, j, g, len(gs)) for k, j, t in templates for gs in [grams_of(words_of(t), range(GRAMS, GRAMS + 1))] for g in gs],
-        "label int, template int, gram string, shingles int",
+        [
+            (k, list(TEMPLATES).index(KIN.get(FAMILIES[k], FAMILIES[k])), j, g, len(gs), 1.0 if whole else SIMILARITY)
+            for j, (k, ws, whole) in enumerate(notices())
+            for gs in [grams_of(ws, range(GRAMS, GRAMS + 1))]
+            for g in gs
+        ],
+        "label int, kin int, template int, gram string, shingles int, least double",
     )
-    key = ["doc_id", "content", "paragraph"]
+    line = ["doc_id", "content", "paragraph", "line"]
+    key = [*line, "wide"]
     found = written(candidates(docs), "paragraphs")
     each = found.select(*key, F.explode(grams("words")).alias("gram"))
     # Vocabulary and templates are constants of this module: a bounded broadcast.
@@ -235,17 +302,27 @@ def paragraphs(docs: DataFrame, model: Model) -> DataFrame:
     )
     alike = (
         each.join(F.broadcast(shingles), "gram")
-        .groupBy(*key, "label", "template")
-        .agg((F.count("*") / F.max("shingles")).alias("similarity"))
-        .groupBy(*key, "label")
+        .groupBy(*key, "label", "kin", "template")
+        .agg((F.count("*") / F.max("shingles")).alias("similarity"), F.max("least").alias("least"))
+        .where(F.col("similarity") >= F.col("least"))
+        .groupBy(*key, "label", "kin")
         .agg(F.max("similarity").alias("similarity"))
-        .where(F.col("similarity") >= SIMILARITY)
+    )
+    alike = written(alike, "alike")
+    rivals = alike.groupBy(*line, "kin").agg(F.max("similarity").alias("top"))
+    rivals = rivals.select(*[F.col(k).alias(f"{k}_") for k in [*line, "kin"]], "top")
+    beside = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in [*line, "kin"]]
+    alike = (
+        alike.join(rivals, beside)
+        .where(F.col("similarity") >= F.col("top"))
         .select(*[F.col(k).alias(f"{k}_") for k in key], F.col("label").alias("label_"), "similarity")
     )
     same = [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in [*key, "label"]]
     spelt = F.array(*[F.lit(f) for f in FAMILIES])
-    return predicted.join(alike, same).select(
-        *key, spelt[F.col("label")].alias("family"), "probability", "similarity"
+    return (
+        predicted.join(alike, same)
+        .groupBy("doc_id", "content", "paragraph", spelt[F.col("label")].alias("family"))
+        .agg(F.max("probability").alias("probability"), F.max("similarity").alias("similarity"))
     )
 
 
@@ -257,7 +334,7 @@ def licences(docs: DataFrame, model: Model | None = None) -> DataFrame:
         paragraphs(docs, model)
         .groupBy("doc_id", "content")
         .agg(
-            F.count("*").alias("n_licensed"),
+            F.count_distinct("paragraph").alias("n_licensed"),
             F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"),
             F.max("probability").alias("probability"),
         )
@@ -265,7 +342,7 @@ def licences(docs: DataFrame, model: Model | None = None) -> DataFrame:
         .withColumnRenamed("content", "content_")
     )
     return (
-        docs.select("doc_id", F.xxhash64(text).alias("content"), F.size(F.split(text, "\n")).cast("bigint").alias("n_paragraphs"))
+        docs.select("doc_id", F.xxhash64(text).alias("content"), F.size(blocks(text)).cast("bigint").alias("n_paragraphs"))
         .join(found, F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("content") == F.col("content_")), "left")
         .select(
             "doc_id",

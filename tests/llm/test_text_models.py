@@ -124,6 +124,26 @@ def test_licences(spark):
     assert found == {100: "MIT", 101: "Apache", 102: "GPL,Proprietary", 103: "CC-BY-NC"}
 
 
+def test_wrapped_and_short_licences(spark):
+    rng = random.Random(16)
+    gpl = (
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU {}General Public License as "
+        "published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version."
+    )
+    mit = "Permission is hereby\ngranted, free of charge, to any person\nobtaining a copy of this software"
+    wanted = {
+        gpl.format(""): "GPL", gpl.format("Lesser "): "LGPL", gpl.format("Affero "): "AGPL", "# " + mit.replace("\n", "\n# "): "MIT",
+        "MIT License": "MIT", "CC BY 4.0": "CC-BY", "CC BY-SA 4.0": "CC-BY-SA", "// SPDX-License-Identifier: MIT": "MIT",
+        "SPDX-License-Identifier: GPL-3.0-or-later": "GPL", "SPDX-License-Identifier: Apache-2.0": "Apache",
+        "The lawyers of GPL and MIT license their texts now and then": "", "Next to\n\nthe GNU Lesser": "",
+    }
+    rows = [(i, prose(rng, 50) + "\n\n" + prose(rng, 20)) for i in range(1, 40)]
+    rows += [(100 + i, f"{prose(rng, 20)}\n \n{t}\n\n{prose(rng, 20)}") for i, t in enumerate(wanted)]
+    got = {r["doc_id"]: r for r in licenses.licences(documents(spark, rows)).collect()}
+    assert {t: got[100 + i]["families"] for i, t in enumerate(wanted)} == wanted
+    assert got[100]["n_paragraphs"] == 3 and got[100]["n_licensed"] == 1
+
+
 def test_licence_anchors_and_empty_table(spark):
     assert "mit" in licenses.anchors()
     assert licenses.licences(documents(spark, [])).count() == 0
