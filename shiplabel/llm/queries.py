@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiplabel.llm import decontaminate, fingerprints, html_extract, langid, licenses, packing, secrets, sharding, simhash, toxicity
+from shiplabel.llm import (
+    decontaminate,
+    fingerprints,
+    html_extract,
+    langid,
+    licenses,
+    packing,
+    secrets,
+    sharding,
+    simhash,
+    toxicity,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +65,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_retrieval_packing": op1_retrieval_packing,
     "op2_html_field": op2_html_field,
@@ -64,9 +80,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_one_permutation_minhash": op8_one_permutation_minhash,
     "op9_feistel_shards": op9_feistel_shards,
     "op10_decontamination": op10_decontamination,
+    "op11_warc_ranges": op11_warc_ranges,
 }
 
 ORACLES: dict[str, str] = {
     "op5_secret_ledger": secrets.ORACLE_SQL,
     "op10_decontamination": decontaminate.ORACLE_SQL,
+    "op11_warc_ranges": warc.ORACLE_SQL,
 }

@@ -18,7 +18,7 @@ def test_against_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op1_retrieval_packing"}))
 def test_one_row_for_each_row(spark, name):
-    table = "pages" if name.startswith("op2_") else "documents"
+    table = "pages" if name.startswith(("op2_", "op11_")) else "documents"
     assert queries.QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
 
 
