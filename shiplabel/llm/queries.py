@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shiplabel.llm import (
+    collocations,
     decontaminate,
     fingerprints,
     html_extract,
     langid,
     licenses,
     packing,
+    search,
     secrets,
     sharding,
     simhash,
@@ -69,6 +71,14 @@ def op11_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(_table(spark, sf_dir, "pages"))
 
 
+def op12_tiled_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_retrieval_packing": op1_retrieval_packing,
     "op2_html_field": op2_html_field,
@@ -81,10 +91,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_feistel_shards": op9_feistel_shards,
     "op10_decontamination": op10_decontamination,
     "op11_warc_ranges": op11_warc_ranges,
+    "op12_tiled_collocations": op12_tiled_collocations,
+    "op13_hybrid_search": op13_hybrid_search,
 }
 
 ORACLES: dict[str, str] = {
     "op5_secret_ledger": secrets.ORACLE_SQL,
     "op10_decontamination": decontaminate.ORACLE_SQL,
     "op11_warc_ranges": warc.ORACLE_SQL,
+    "op12_tiled_collocations": collocations.ORACLE_SQL,
+    "op13_hybrid_search": search.ORACLE_SQL,
 }
