@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplabel.functions import text as X
-from shiplabel.operators.scale import salted_join
+from shiplabel.operators.scale import durable, skew_join
 
 KEY = ["hs_code", "product"]
 
@@ -33,12 +33,12 @@ RUN = "[a-z0-9]+"
 DENSITY_UNIT = r"\s*(?:g|gr|grams)\s*/?\s*(?:l|liter)"
 # ----------------------------------------------------------------------------
 
+DENSITY_MENTION = f"{NOT_AFTER}([0-9]+){DENSITY_UNIT}{NOT_BEFORE}"
 # A dictionary is broadcast only below both limits; else it is joined by anchor.
 BROADCAST_BYTES = 64 << 20
 VALUES_PER_PRODUCT = 2_000
 GRAM = 3
-# A word may stand in a large share of all texts; its rows are spread over as many tasks.
-ANCHOR_SALTS = 16
+TEXT_ID = ["_text_id", "_text_id2"]
 
 
 def mark_runs(c: Column) -> Column:
@@ -50,6 +50,38 @@ def mark_runs(c: Column) -> Column:
     return F.regexp_replace(c, RUN, "\x01$0\x02")
 
 
+def text_forms(goods: Column) -> Column:
+    """The forms of a text that patterns are looked for in."""
+    return X.let(
+        X.norm_text(goods),
+        lambda norm: F.struct(
+            norm.alias("norm"),
+            mark_runs(norm).alias("marked"),
+            F.regexp_extract_all(norm, F.lit(DENSITY_MENTION), F.lit(1)).alias("densities"),
+        ),
+    )
+
+
+def occurs(text: Column, pattern: Column) -> Column:
+    """Does a text (``text_forms``) state the value with this pattern?"""
+    as_density = F.when(F.size(pattern["numbers"]) > 0, F.arrays_overlap(pattern["numbers"], text["densities"])).otherwise(
+        F.size(text["densities"]) > 0
+    )
+    as_words = F.contains(text["marked"], pattern["mark"]) & (
+        pattern["plain"] | F.rlike(text["norm"], pattern["regex"])
+    )
+    return pattern.isNotNull() & F.when(pattern["density"], as_density).otherwise(as_words)
+
+
+def bounded(lower: Column, soft: Column) -> Column:
+    """Is the first occurrence of a value in a soft text bounded by whitespace?"""
+    start = F.position(lower, soft)
+    after = start + F.length(lower)
+    left_ok = (start == 1) | F.rlike(F.substring(soft, start - 1, F.lit(1)), F.lit(X.WS))
+    right_ok = (after > F.length(soft)) | F.rlike(F.substring(soft, after, F.lit(1)), F.lit(X.WS))
+    return (lower != "") & (start > 0) & left_ok & right_ok
+
+
 def compile_values(attr_dict: DataFrame, min_len: int = MIN_VALUE_LENGTH) -> DataFrame:
     """Add what matching needs: ``rank``, ``lower`` and ``pattern`` (NULL: never matched)."""
     norm = X.norm_value("value")
@@ -130,9 +162,9 @@ def attach_dictionary(
 
     ``broadcast`` ships the rolled dictionary to the rows: no shuffle of the goods.
     ``anchored`` serves dictionaries of any size: rows and values meet in an
-    equi-join on tokens a matching text must contain, and ``attrs`` holds only the
-    values that share a token with the row; it wants distinct descriptions (see
-    ``match_rows``). ``auto`` measures and decides.
+    equi-join on tokens a matching text must contain, pairs are verified there, and
+    ``attrs`` holds only values that the row states (or the substring rule or a reply
+    brings); it wants distinct descriptions (see ``match_rows``). ``auto`` measures and decides.
     ``heuristic`` also brings the values the substring rule may find; matching needs none.
     ``replied`` (array of strings) names further values whose membership matters.
     Rows of products without a dictionary are dropped by ``how="inner"``.
@@ -174,9 +206,6 @@ def text_anchors(goods: Column, gram: int, heuristic: bool = True) -> Column:
     )
 
 
-DENSITY_MENTION = f"{NOT_AFTER}([0-9]+){DENSITY_UNIT}{NOT_BEFORE}"
-
-
 def _rarest(words: DataFrame, prefix: str) -> DataFrame:
     """Of the rows of a value, one for each of its words (``_word``), the one whose word the fewest values share."""
     columns = ["rank", "value", "lower", "pattern"]
@@ -230,30 +259,62 @@ def value_anchors(compiled: DataFrame, gram: int, heuristic: bool = True) -> Dat
     return anchored.unionByName(_rarest(by_word.distinct(), "s:"))
 
 
+def anchored_pairs(texts: DataFrame, anchors: Column, values: DataFrame) -> DataFrame:
+    """Texts (``TEXT_ID`` and more) and values (``value_anchors``) that share an anchor; a pair may come twice.
+
+    How many texts hold an anchor is counted first: those of a common one are dealt to as many
+    tasks as their number asks for.
+    """
+    tokens = durable(texts.select(*KEY, *TEXT_ID, anchors.alias("_anchors"))).select(
+        *KEY, *TEXT_ID, F.explode("_anchors").alias("anchor")
+    )
+    return skew_join(tokens, values, [*KEY, "anchor"], spread_by=[TEXT_ID[0]])
+
+
+def with_text_id(goods: DataFrame, *more: Column) -> DataFrame:
+    """``goods`` with ``TEXT_ID``, 128 bits that stand for product and description (and ``more``)."""
+    identity = [*KEY, "goods_shipped", *more]
+    return goods.withColumns(
+        {TEXT_ID[0]: F.xxhash64(*identity), TEXT_ID[1]: F.xxhash64(F.lit("second"), *identity)}
+    )
+
+
+def with_names(goods: DataFrame, compiled: DataFrame, how: str = "inner") -> DataFrame:
+    """``goods`` (with ``TEXT_ID``) and ``_names``, the attributes of their product in order."""
+    names = (
+        compiled.groupBy(*KEY, "attr")
+        .agg(F.min("attr_ord").alias("attr_ord"))
+        .groupBy(*KEY)
+        .agg(F.array_sort(F.collect_list(F.struct("attr_ord", "attr"))).alias("_names"))
+    )
+    return skew_join(goods, names, KEY, how, spread_by=[TEXT_ID[0]])
+
+
 def _attach_by_anchor(
     goods: DataFrame, compiled: DataFrame, gram: int, replied: Column | None, heuristic: bool, how: str
 ) -> DataFrame:
     anchors = text_anchors(F.col("goods_shipped"), gram, heuristic)
-    identity = [*KEY, "goods_shipped"]
+    more = []
     if replied is not None:
         anchors = F.concat(anchors, _prefixed("v:", F.coalesce(replied, F.array())))
-        identity = [*identity, replied]
-    # A 64-bit key is enough: rows that share one by chance share candidates, and
-    # candidates are verified against each row's own text.
-    keyed = goods.withColumn("_gid", F.xxhash64(*identity))
-    tokens = keyed.dropDuplicates(["_gid"]).select(*KEY, "_gid", F.explode(anchors).alias("anchor"))
+        more = [replied]
+    keyed = with_text_id(goods, *more)
+    texts = durable(keyed.dropDuplicates(TEXT_ID))
+    pairs = anchored_pairs(texts, anchors, value_anchors(compiled, gram, heuristic))
+    # Only what the text states, the substring rule finds or a reply names goes on.
+    by_reply = F.startswith("anchor", F.lit("v:"))
+    states = by_reply | occurs(F.col("_text"), F.col("pattern"))
+    if heuristic:
+        states |= bounded(F.col("lower"), F.col("_soft"))
+    read = texts.select(*TEXT_ID, text_forms(F.col("goods_shipped")).alias("_text"), X.soft_text("goods_shipped").alias("_soft"))
     found = (
-        salted_join(tokens, value_anchors(compiled, gram, heuristic), [*KEY, "anchor"], ["_gid"], ANCHOR_SALTS)
-        .groupBy("_gid")
-        .agg(F.collect_set(F.struct("attr", _value_struct().alias("value"))).alias("_found"))
-    )
-    names = (
-        compiled.groupBy(*KEY, "attr")
-        .agg(F.min("attr_ord").alias("attr_ord"))
-        .groupBy(*KEY)
-        .agg(F.array_sort(F.collect_list(F.struct("attr_ord", "attr"))).alias("_names"))
+        pairs.join(read, TEXT_ID)
+        .where(states)
+        .groupBy(*TEXT_ID, "attr", "rank", "value")
+        .agg(F.min_by(_value_struct(), "value_ord").alias("_value"))
+        .groupBy(*TEXT_ID)
+        .agg(F.collect_list(F.struct("attr", F.col("_value").alias("value"))).alias("_found"))
     )
-    with_names = keyed.join(names, KEY, how)
     attrs = F.transform(
         "_names",
         lambda n: F.struct(
@@ -270,7 +331,8 @@ def _attach_by_anchor(
         ),
     )
     return (
-        with_names.join(found, "_gid", "left")
+        with_names(keyed, compiled, how)
+        .join(found, TEXT_ID, "left")
         .withColumn("attrs", attrs)
-        .drop("_gid", "_names", "_found")
+        .drop(*TEXT_ID, "_names", "_found")
     )

@@ -9,10 +9,20 @@ from pyspark.sql import functions as F
 
 from shiplabel.functions import text as X
 from shiplabel.operators.dictionary import (
-    DENSITY_MENTION,
+    GRAM,
     MIN_VALUE_LENGTH,
+    TEXT_ID,
+    anchored_pairs,
     attach_dictionary,
-    mark_runs,
+    bounded,
+    compile_values,
+    fits_broadcast,
+    occurs,
+    text_anchors,
+    text_forms,
+    value_anchors,
+    with_names,
+    with_text_id,
 )
 from shiplabel.operators.scale import durable, skew_join
 
@@ -28,27 +38,6 @@ NEGATION_WINDOW = 28
 NEGATED = "(?:^| )(?:" + "|".join(n.replace("/", " ").replace("-", " ") for n in NEGATORS) + ")$"
 
 
-def _text(goods: Column) -> Column:
-    return X.let(
-        X.norm_text(goods),
-        lambda norm: F.struct(
-            norm.alias("norm"),
-            mark_runs(norm).alias("marked"),
-            F.regexp_extract_all(norm, F.lit(DENSITY_MENTION), F.lit(1)).alias("densities"),
-        ),
-    )
-
-
-def _occurs(text: Column, pattern: Column) -> Column:
-    as_density = F.when(F.size(pattern["numbers"]) > 0, F.arrays_overlap(pattern["numbers"], text["densities"])).otherwise(
-        F.size(text["densities"]) > 0
-    )
-    as_words = F.contains(text["marked"], pattern["mark"]) & (
-        pattern["plain"] | F.rlike(text["norm"], pattern["regex"])
-    )
-    return pattern.isNotNull() & F.when(pattern["density"], as_density).otherwise(as_words)
-
-
 def _negated(text: Column, pattern: Column, window: int) -> Column:
     """Is the first occurrence of the pattern directly preceded by a negator?"""
     # Plain values are located in the marked text, which needs no regex per value.
@@ -77,7 +66,7 @@ def stated(
         raise ValueError(f"negation must be 'documented' or 'inert', not {negation!r}")
 
     def per_attr(text, a):
-        hits = F.filter(a["values"], lambda v: _occurs(text, v["pattern"]))
+        hits = F.filter(a["values"], lambda v: occurs(text, v["pattern"]))
         if negation == "inert":
             return F.struct(
                 a["attr"].alias("attr"),
@@ -104,7 +93,7 @@ def stated(
             ),
         )
 
-    return X.let(_text(goods), lambda text: F.transform(attrs, lambda a: per_attr(text, a)))
+    return X.let(text_forms(goods), lambda text: F.transform(attrs, lambda a: per_attr(text, a)))
 
 
 def match_rows(
@@ -141,7 +130,15 @@ def match_goods(
     window: int = NEGATION_WINDOW,
     strategy: str = "auto",
 ) -> DataFrame:
-    """Add ``found`` (see :func:`stated`) to goods; products without dictionary vanish."""
+    """Add ``found`` (see :func:`stated`) to goods; products without dictionary vanish.
+
+    ``broadcast`` ships the dictionary to the rows, ``anchored`` is :func:`match_by_tokens`,
+    ``auto`` measures the dictionary and decides.
+    """
+    if strategy == "auto":
+        strategy = "broadcast" if fits_broadcast(attr_dict) else "anchored"
+    if strategy == "anchored":
+        return match_by_tokens(goods, attr_dict, negation=negation, min_len=min_len, window=window)
     return (
         attach_dictionary(goods, attr_dict, min_len=min_len, strategy=strategy, heuristic=False)
         .withColumn("found", stated(F.col("attrs"), F.col("goods_shipped"), negation, window))
@@ -149,6 +146,58 @@ def match_goods(
     )
 
 
+def match_by_tokens(
+    goods: DataFrame,
+    attr_dict: DataFrame,
+    *,
+    negation: str = "documented",
+    min_len: int = MIN_VALUE_LENGTH,
+    window: int = NEGATION_WINDOW,
+) -> DataFrame:
+    """``found`` by a join, for dictionaries of any size.
+
+    Texts and values meet on tokens a matching text must contain; each pair is verified
+    against the text, and an aggregation keeps the best value of each text and attribute.
+    What it holds are verified hits, partially reduced to one before the shuffle: a minimum, and
+    the refused values, of which a text has no more than negators.
+    """
+    if negation not in ("documented", "inert"):
+        raise ValueError(f"negation must be 'documented' or 'inert', not {negation!r}")
+    compiled = compile_values(attr_dict, min_len)
+    gram = min(min_len, GRAM)
+    keyed = with_text_id(goods)
+    texts = durable(keyed.select(*TEXT_ID, *GOODS_KEY).dropDuplicates(TEXT_ID))
+    values = value_anchors(compiled, gram, heuristic=False).where("pattern IS NOT NULL AND NOT startswith(anchor, 'v:')")
+    pairs = anchored_pairs(texts, text_anchors(F.col("goods_shipped"), gram, heuristic=False), values)
+    text, pattern = F.col("_text"), F.col("pattern")
+    read = texts.select(*TEXT_ID, text_forms(F.col("goods_shipped")).alias("_text"))
+    negated = _negated(text, pattern, window) if negation == "documented" else F.lit(False)
+    hits = (
+        pairs.select(*TEXT_ID, "attr", "rank", "value", "pattern")
+        .join(read, TEXT_ID)
+        .where(occurs(text, pattern))
+        .select(*TEXT_ID, "attr", F.struct("rank", "value").alias("place"), negated.alias("negated"))
+    )
+    best = hits.groupBy(*TEXT_ID, "attr").agg(
+        F.min(F.when(~F.col("negated"), F.col("place"))).alias("best"),
+        F.array_distinct(F.collect_list(F.when(F.col("negated"), F.col("place")))).alias("refused"),
+    )
+    before = F.filter("refused", lambda r: F.col("best").isNull() | (r < F.col("best")))
+    result = F.struct(F.col("best.value").alias("value"), F.size(before).alias("blocked"))
+    found = best.groupBy(*TEXT_ID).agg(F.map_from_entries(F.collect_list(F.struct("attr", result.alias("result")))).alias("_found"))
+    of_attr = lambda n: F.struct(
+        n["attr"].alias("attr"),
+        F.col("_found")[n["attr"]]["value"].alias("value"),
+        F.coalesce(F.col("_found")[n["attr"]]["blocked"], F.lit(0)).alias("blocked"),
+    )
+    return (
+        with_names(keyed, compiled)
+        .join(found, TEXT_ID, "left")
+        .withColumn("found", F.transform("_names", of_attr))
+        .drop(*TEXT_ID, "_names", "_found")
+    )
+
+
 def found_values(found: str = "found") -> Column:
     """``array<struct<attr, value>>`` of the attributes a text states."""
     hits = F.filter(found, lambda f: f["value"].isNotNull())
@@ -199,13 +248,4 @@ def coverage(matched: DataFrame) -> DataFrame:
 def heuristic_value(values: Column, soft: Column) -> Column:
     """Best value whose first occurrence in a soft text is bounded by whitespace, or NULL."""
 
-    def bounded(v):
-        start = F.position(v["lower"], soft)
-        after = start + F.length(v["lower"])
-        left_ok = (start == 1) | F.rlike(F.substring(soft, start - 1, F.lit(1)), F.lit(X.WS))
-        right_ok = (after > F.length(soft)) | F.rlike(
-            F.substring(soft, after, F.lit(1)), F.lit(X.WS)
-        )
-        return (v["lower"] != "") & (start > 0) & left_ok & right_ok
-
-    return F.get(F.filter(values, bounded)["value"], F.lit(0))
+    return F.get(F.filter(values, lambda v: bounded(v["lower"], soft))["value"], F.lit(0))

@@ -434,6 +434,15 @@ _PER_ROW = f"SELECT ord, hs_code, product, attr, value FROM labelled JOIN chosen
 _MATCH = cte(f"{ROWS}, {dictionary()}, {matches()}", _PER_ROW)
 for _name in ("deterministic_match", "deterministic_match_anchored", "streamed_match"):
     ORACLES[_name] = _MATCH
+_LOT = "shipment_id || ' ' || split_part(ord, '|', 2)"
+ORACLES["match_of_lots"] = cte(
+    f"""{ROWS.replace('labelled AS', 'named AS', 1).split('goods AS')[0]} labelled AS (
+  SELECT ord, hs_code, product, goods_shipped || ' lot ' || {_LOT} AS goods_shipped, shipment_id FROM named WHERE hs_code = '9011'),
+goods AS (SELECT DISTINCT hs_code, product, goods_shipped FROM labelled), {dictionary()}, {matches()}""",
+    f"""{_PER_ROW} UNION ALL
+  SELECT ord, hs_code, product, 'Lot' AS attr, 'Lot ' || {_LOT} AS value FROM labelled
+  WHERE CAST(shipment_id AS BIGINT) % 5 <> 0 AND product IN ({', '.join(_text(x) for x in V.PRODUCTS)})""",
+)
 ORACLES["density_match"] = cte(f"{ROWS}, {dictionary(('Density',))}, {matches()}", _PER_ROW)
 
 

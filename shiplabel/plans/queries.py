@@ -285,6 +285,16 @@ def deterministic_match_anchored(spark, sf_dir):
     return _long(matched, "ord", *KEY)
 
 
+@query
+def match_of_lots(spark, sf_dir):
+    """Matches against a dictionary with a value for nearly every line item: tens of thousands for each product."""
+    lot = F.concat(
+        "goods_shipped", F.lit(" lot "), "shipment_id", F.lit(" "), F.substring_index(F.substring_index("ord", "|", 2), "|", -1)
+    )
+    goods = rows(spark, sf_dir).where("hs_code = '9011'").withColumn("goods_shipped", lot)
+    return _long(M.match_rows(goods, V.lots(spark, sf_dir), derive=hits()), "ord", *KEY)
+
+
 @query
 def density_match(spark, sf_dir):
     known = V.attr_dict(spark, ("Density",))

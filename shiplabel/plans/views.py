@@ -93,6 +93,20 @@ def attr_dict(spark: SparkSession, only: tuple[str, ...] = tuple(ATTRIBUTES)) ->
     return spark.createDataFrame(rows, ATTR_DICT_SCHEMA)
 
 
+def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dictionary of heading 9011 and, as values of each of its products, a lot for every line item but each fifth."""
+    known = attr_dict(spark).where("hs_code = '9011'")
+    line = table(spark, sf_dir, "lineitem").where("l_orderkey % 5 <> 0")
+    lot = line.select(
+        F.concat_ws(" ", F.lit("Lot"), "l_orderkey", "l_linenumber").alias("value"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("int").alias("value_ord"),
+    ).distinct()
+    listed = lot.withColumn("product", F.explode(F.array(*(F.lit(p) for p in PRODUCTS)))).select(
+        F.lit("9011").alias("hs_code"), "product", F.lit("Lot").alias("attr"), F.lit(99).alias("attr_ord"), "value", "value_ord"
+    )
+    return known.unionByName(listed)
+
+
 # Attributes some products do not have, so that published tables get empty cells.
 LACKING = {("SMALL", "Density"), ("PROMO", "Short")}
 DEFINITION = [

@@ -219,3 +219,32 @@ def test_anchors_of_values_that_share_words(spark):
         assert len(sizes) == 50 and max(sizes) <= 2
     found = M.match_goods(goods, known, strategy="anchored").select("goods_shipped", F.col("found")[0]["value"].alias("v"))
     assert all(r["v"] in r["goods_shipped"] for r in found.collect())
+
+
+def test_only_verified_values_are_kept(spark):
+    """Values that share words with a text, but are not stated in it, do not reach the row."""
+    values = [f"ring {a} {b}" for a in ("red", "blue", "old") for b in range(100, 140)]
+    texts = ["ring red 101", "red 101 ring", "old ring blue 139", "blue 120 ring red 120"]
+    attached = attach_dictionary(
+        goods(spark, texts), dictionary(spark, {"A": values}), strategy="anchored", heuristic=False
+    )
+    kept = {r["goods_shipped"]: [v["value"] for v in r["attrs"][0]["values"]] for r in attached.collect()}
+    assert kept == {t: [v for v in values if v in t] for t in texts}
+
+
+@pytest.mark.parametrize("mode", ["documented", "inert"])
+def test_strategies_agree_on_refused_values_and_common_words(spark, monkeypatch, mode):
+    """A word that most texts hold is dealt to several tasks; counts of refused values stay the same."""
+    from shiplabel.operators import scale
+
+    monkeypatch.setattr(scale.skew_join, "__defaults__", (*scale.skew_join.__defaults__[:-1], 20))
+    rng = random.Random(9)
+    words = ["no", "without", "red", "dark red", "ring", "old ring", "500 g/l", "non", "tea"]
+    texts = sorted({" ".join(rng.choice(words) for _ in range(rng.randint(1, 7))) for _ in range(400)})
+    known = dictionary(spark, {"A": ["Red", "Dark Red"], "B": ["Ring", "Old Ring", "Red Ring"], "C": ["500 G/L", "Tea"], "D": None})
+    both = [
+        {r["goods_shipped"]: r["found"] for r in M.match_goods(goods(spark, texts), known, negation=mode, strategy=s).collect()}
+        for s in ("broadcast", "anchored")
+    ]
+    assert both[0] == both[1] and len(both[0]) == len(texts)
+    assert mode == "inert" or any(f["blocked"] for found in both[1].values() for f in found)
