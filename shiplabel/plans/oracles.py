@@ -434,6 +434,10 @@ _PER_ROW = f"SELECT ord, hs_code, product, attr, value FROM labelled JOIN chosen
 _MATCH = cte(f"{ROWS}, {dictionary()}, {matches()}", _PER_ROW)
 for _name in ("deterministic_match", "deterministic_match_anchored", "streamed_match"):
     ORACLES[_name] = _MATCH
+ORACLES["two_streamed_deliveries"] = cte(
+    f"{ROWS}, {dictionary()}, {matches()}",
+    f"SELECT DISTINCT {GOODS}, shipment_id, attr, value FROM labelled JOIN chosen USING ({GOODS})",
+)
 _LOT = "shipment_id || ' ' || split_part(ord, '|', 2)"
 ORACLES["match_of_lots"] = cte(
     f"""{ROWS.replace('labelled AS', 'named AS', 1).split('goods AS')[0]} labelled AS (

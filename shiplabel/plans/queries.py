@@ -693,6 +693,15 @@ def run_shipment_lists(spark, sf_dir):
     return found.select("key", "goods_shipped", "part", F.array_join(F.from_json("ids", "array<string>"), ",").alias("shipment_ids"))
 
 
+@query
+def two_streamed_deliveries(spark, sf_dir):
+    """Stated values of each recorded shipment, after line items of even and of odd orders have been streamed."""
+    lines = rows(spark, sf_dir).select(*GOODS, "shipment_id")
+    even = F.col("shipment_id").cast("bigint") % 2 == 0
+    out = incremental.run_deliveries(spark, [lines.where(even), lines.where(~even)], V.attr_dict(spark))
+    return out.select(*GOODS, "shipment_id", F.explode("attributes").alias("attr", "value")).where(F.col("value") != X.NO_VALUE)
+
+
 @query
 def csv_round_trip(spark, sf_dir):
     """Shipments written as CSV and read back, cleaned."""
