@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +59,35 @@ def hash_sample(df: DataFrame, key: str, rows: int, salt: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(span)) < span * rows // total)
 
 
+def bit_table(df: DataFrame, name: str, bits: int) -> np.ndarray:
+    """``bits`` truth values: is there a row whose column ``name`` (a hash) has this remainder? ``bits`` / 8 bytes are fetched."""
+    # Bits and buckets count from 1.
+    place = df.select((F.pmod(F.col(name), F.lit(bits).cast("long")) + 1).alias("place"))
+    rows = (
+        place.groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("held"))
+        .collect()
+    )
+    out = np.zeros(bits, bool)
+    for r in rows:
+        held = np.unpackbits(np.frombuffer(r["held"], np.uint8), bitorder="little")
+        at = (r["bucket"] - 1) * len(held) + np.flatnonzero(held)
+        out[at[at < bits]] = True
+    return out
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of ``df`` has, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+        taken.add(name)
+    return out
+
+
 def numbered(df: DataFrame, order: Sequence[Column | str], name: str) -> DataFrame:
     """Add a gapless ``name`` from 0 in the given order, without a window over all rows.
 
