@@ -27,7 +27,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shiplabel.llm.common import new_path, text_or_empty
+from shiplabel.llm.common import new_path, text_or_empty, unused
 
 
 @dataclass(frozen=True)
@@ -62,7 +62,8 @@ EXTRA = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 1),
+    # It starts where a run of its characters starts: a long run is read once, not from every "eyJ" in it.
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]++", 0, 1, version=2),
 )
 RULES = BASE + EXTRA
 # What is masked: of a private key all lines, to the END line or, without one, to the end of the base64 lines. It goes
@@ -243,24 +244,23 @@ def redact(docs: DataFrame, ledger: str | None = None, rules: Sequence[Rule] = M
     ledger = ledger or new_path(docs.sparkSession, "ledger")
     versions = docs.select(F.col("doc_id").alias("path"), "text")
     scan(versions, ledger, rules)
+    # Three helper columns live beside the documents' own for this join only.
+    rules_name, blob_name, own_name = unused(docs, "rules", "blob", "own")
     hit = (
         findings(docs.sparkSession, ledger, rules)
         .groupBy("blob")
-        .agg(F.collect_set("rule").alias("__rules"))
-        .withColumnRenamed("blob", "__blob")
-    )
-    # Three helper columns live beside the documents' own for this join only.
-    out = docs.withColumn("__found", blob_id(text_or_empty())).join(
-        hit, F.col("__found") == F.col("__blob"), "left"
+        .agg(F.collect_set("rule").alias(rules_name))
+        .withColumnRenamed("blob", blob_name)
     )
+    out = docs.withColumn(own_name, blob_id(text_or_empty())).join(hit, F.col(own_name) == F.col(blob_name), "left")
     for r in rules:
         out = out.withColumn(
-            "text", F.when(F.array_contains("__rules", r.key), _masked(F.col("text"), r)).otherwise(F.col("text"))
+            "text", F.when(F.array_contains(rules_name, r.key), _masked(F.col("text"), r)).otherwise(F.col("text"))
         )
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn(
-            "n_chars", F.when(F.col("__rules").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))
+            "n_chars", F.when(F.col(rules_name).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))
         )
     return out.select(*docs.columns)
 
@@ -273,22 +273,26 @@ WITH rules(rank, kind, pattern, grp, least) AS (VALUES
   (3, 'pem', '-----BEGIN [A-Z ]*PRIVATE KEY-----', 0, 1),
   (4, 'github', 'gh[pousr]_[A-Za-z0-9]{36,}', 0, 1),
   (5, 'slack', 'xox[abprs]-[A-Za-z0-9-]{10,}', 0, 1),
-  (6, 'jwt', 'eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+', 0, 1)),
+  (6, 'jwt', '(?:^|[^A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+)', 1, 1)),
 doc AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents),
 hit AS (
-  SELECT row_id, rank, kind, least,
+  SELECT row_id, rank, kind, grp, least,
     unnest([length(x) for x in string_split_regex(text, pattern)][:-2]) AS gap,
     unnest([length(x) for x in regexp_extract_all(text, pattern)]) AS whole,
-    unnest([length(x) for x in CASE grp WHEN 2 THEN regexp_extract_all(text, pattern, 2) ELSE regexp_extract_all(text, pattern) END]) AS val,
+    unnest([length(x) for x in CASE grp WHEN 2 THEN regexp_extract_all(text, pattern, 2)
+      WHEN 1 THEN regexp_extract_all(text, pattern, 1) ELSE regexp_extract_all(text, pattern) END]) AS val,
     generate_subscripts(regexp_extract_all(text, pattern), 1) AS nr
   FROM doc, rules WHERE regexp_matches(text, pattern)),
 span AS (
   SELECT *, sum(gap + whole) OVER (PARTITION BY row_id, rank ORDER BY nr)::BIGINT AS stop FROM hit),
-kept AS (SELECT *, kind || ':' || (stop - whole) || ':' || stop AS spelt FROM span WHERE val >= least),
+kept AS (
+  SELECT *, stop - CASE grp WHEN 1 THEN val ELSE whole END AS start,
+    kind || ':' || (stop - CASE grp WHEN 1 THEN val ELSE whole END) || ':' || stop AS spelt
+  FROM span WHERE val >= least),
 per_doc AS (
   SELECT row_id, count(*) FILTER (rank = 0) AS a, count(*) FILTER (rank = 1) AS k, count(*) FILTER (rank = 2) AS h,
-    string_agg(spelt, ',' ORDER BY stop - whole, rank) FILTER (rank < 3) AS base,
-    string_agg(spelt, ',' ORDER BY stop - whole, rank) AS spans
+    string_agg(spelt, ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
+    string_agg(spelt, ',' ORDER BY start, rank) AS spans
   FROM kept GROUP BY row_id)
 SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, sha256(text) AS blob

@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pytest
 from helpers import clashing, documents, odd_rows
 
 from shiplabel.llm import secrets
@@ -95,3 +96,21 @@ def test_redaction_masks_whole_private_keys(spark):
 
 def test_empty(spark):
     assert secrets.secret_spans(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("piece", ["eyJabcdefgh", "eyJabcdefgh-", "a1b2", "password ", "-----BEGIN A ", "ghp_a", "xoxa-"])
+def test_a_long_run_is_read_once(spark, piece):
+    import time
+
+    text = piece * (1_000_000 // len(piece))
+    start = time.perf_counter()
+    secrets.secret_spans(documents(spark, [(1, text)])).collect()
+    secrets.redact(documents(spark, [(1, text)])).collect()
+    assert time.perf_counter() - start < 30
+
+
+def test_tokens_at_run_starts(spark):
+    token = "eyJabcdefgh.abcdefgh.x_y"
+    text = f"{token} {token},x{token} -{token} é{token}"
+    (row,) = secrets.secret_spans(documents(spark, [(1, text)])).collect()
+    assert [s for s in row["spans"].split(",") if s.startswith("jwt")] == ["jwt:0:24", "jwt:25:49", f"jwt:{len(text) - 24}:{len(text)}"]
