@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplabel.llm.common import text_or_empty, written
+from shiplabel.llm.common import text_or_empty, unused, written
 
 WINDOW = 10
 # Benchmark words per broadcast block: with hashes, words and postings some 60 MB.
@@ -259,27 +259,28 @@ def decontaminate(
         raise ValueError(f"remove must be spans or documents, not {remove}")
     content = F.xxhash64(text_or_empty())
     found = hit_spans(docs, benchmark, window, block_words).where(F.size("spans") > 0).dropDuplicates(["doc_id", "content"])
-    hits = written(found.toDF("__id", "__content", "__words", "__spans", "__items"), "hit")
-    here = docs.withColumn("__text_hash", content)
-    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__content"))
+    id_name, content_name, words, spans, items, own = unused(docs, "id", "content", "words", "spans", "items", "own")
+    hits = written(found.toDF(id_name, content_name, words, spans, items), "hit")
+    here = docs.withColumn(own, content)
+    on = F.col("doc_id").eqNullSafe(F.col(id_name)) & (F.col(own) == F.col(content_name))
     clean = here.join(hits, on, "left_anti").select(*docs.columns)
     if remove == "documents" or hits.isEmpty():
         return clean
-    dirty = here.join(hits.drop("__items"), on)
-    n_hit = F.aggregate("__spans", F.lit(0).cast("bigint"), lambda n, s: n + s.stop - s.start)
+    dirty = here.join(hits.drop(items), on)
+    n_hit = F.aggregate(spans, F.lit(0).cast("bigint"), lambda n, s: n + s.stop - s.start)
     schema = docs.schema
 
     def batches(arriving: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arriving:
             texts = [
-                cut(t, [(s["start"], s["stop"]) for s in spans])
-                for t, spans in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist())
+                cut(t, [(s["start"], s["stop"]) for s in found])
+                for t, found in zip(batch.column("text").to_pylist(), batch.column(spans).to_pylist())
             ]
-            columns = {n: batch.column(n) for n in batch.schema.names if n != "__spans"}
+            columns = {n: batch.column(n) for n in batch.schema.names if n != spans}
             columns["text"] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    kept = dirty.where(n_hit <= mostly * F.col("__words")).select(*docs.columns, "__spans")
+    kept = dirty.where(n_hit <= mostly * F.col(words)).select(*docs.columns, spans)
     less = kept.mapInArrow(batches, schema)
     if "n_chars" in docs.columns:
         less = less.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType))

@@ -34,5 +34,5 @@ def clashing(docs: DataFrame) -> DataFrame:
     """``docs`` with further columns named like those that operators work with."""
     from pyspark.sql import functions as F
 
-    names = ["score", "blob", "fingerprint", "shard", "size", "ids", "n", "signature", "spans", "items", "content", "path"]
+    names = ["score", "blob", "fingerprint", "shard", "size", "ids", "n", "signature", "spans", "items", "content", "path", "id", "hash", "own", "words", "rules", "node", "bands", "_id", "_hash", "__id", "__content", "__hash", "__rules"]
     return docs.select("*", *[F.lit("x").alias(n) for n in names])
