@@ -10,6 +10,12 @@
    chunks. A task returns a star for each group it sees, never its pairs.
 4. Stars are contracted to components by alternating large-star and small-star steps.
 
+``one_of_each`` with a least similarity joins near copies by their exact sets of shingles instead. Two
+texts that share 0.8 of their shingles may differ in 20 of 64 bits, a reach at which no vantage
+point splits anything, so pairs are found there by bands of MinHash values: texts that share a band
+are compared on shingle hashes, first with the smallest of the band, then with each other where that
+leaves more than one group. Texts themselves never move.
+
 Null and empty texts have fingerprint zero and link like any other. A component is named by its
 smallest doc_id; null ids belong to components but name none. Repeated rows are one node and
 give one row each. An empty table gives no rows. Only doc_id and text are read.
@@ -17,7 +23,7 @@ give one row each. An empty table gives no rows. Only doc_id and text are read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -28,7 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiplabel.llm.common import hash_sample, text_or_empty, written
+from shiplabel.llm.common import bit_table, hash_sample, text_or_empty, unused, written
+from shiplabel.operators.scale import skew_join
 
 SHINGLE = 3
 REACH = 2
@@ -42,13 +49,15 @@ CHUNK = 8_192
 # Fingerprints compared at once inside a task, and shingles counted at once.
 BLOCK = 512
 COUNTED = 32_768
-# Near copies by exact shingle sets: words of a shingle, least Jaccard similarity, reach on the first 64 bits and on all
-# 128 (recall in test_simhash.py), ratio of neighbouring size bands (above 1 / SIMILAR), shingles of a verifying task.
+# Near copies by exact shingle sets: words of a shingle and least Jaccard similarity; bands and the MinHash values of
+# each (a pair of similarity 0.8 shares a band with probability 0.9996), shingles mixed at once, shingles of a
+# comparing task, bits for the documents whose sets are compared.
 SIMILAR_SHINGLE = 5
 SIMILAR = 0.8
-SIMILAR_REACH, SIMILAR_REACH_ALL = 20, 36
-BAND = 1.26
+BANDS, ROWS = 20, 5
+MIXED = 4_096
 VERIFIED = 1_000_000
+HELD_BITS = 1 << 24
 # A split must save this part of the comparisons, else the shard stays whole.
 GAIN = 0.2
 VANTAGES = 12
@@ -157,11 +166,8 @@ def _flat(parent: np.ndarray) -> np.ndarray:
         parent = up
 
 
-def groups(points: np.ndarray, reach: int, also: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> np.ndarray:
-    """For each of the sorted distinct points the index of the first point of its group.
-
-    ``also`` says which pairs within reach, given by their indexes, are links.
-    """
+def groups(points: np.ndarray, reach: int) -> np.ndarray:
+    """For each of the sorted distinct points the index of the first point of its group."""
     parent = np.arange(len(points))
     todo = [np.arange(len(points))]
     while todo:
@@ -176,9 +182,6 @@ def groups(points: np.ndarray, reach: int, also: Callable[[np.ndarray, np.ndarra
                 rows, cols = held[i : i + BLOCK], held[j : j + BLOCK]
                 a, b = np.nonzero(np.bitwise_count(points[rows][:, None] ^ points[cols]) <= reach)
                 a, b = rows[a], cols[b]
-                if also is not None:
-                    linked = also(a, b)
-                    a, b = a[linked], b[linked]
                 a, b = parent[a], parent[b]
                 apart = a != b
                 if not apart.any():
@@ -275,93 +278,124 @@ def shingle_set(text: str | None, shingle: int = SIMILAR_SHINGLE, seed: int = SE
     return np.unique(np.frombuffer(b"".join([digest(joined[a : b - 1], seed) for a, b in spans]), np.uint64))
 
 
-def set_print(hashes: np.ndarray) -> tuple[int, int]:
-    """128 majority bits of a set of hashes: of the hashes, and of the hashes mixed once more."""
-    out = []
-    with np.errstate(over="ignore"):
-        mixed = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        mixed ^= mixed >> np.uint64(31)
-    for part in (hashes, mixed):
-        counts = np.zeros(BITS, np.int64)
-        for at in range(0, len(part), COUNTED):
-            bits = np.unpackbits(part[at : at + COUNTED].view(np.uint8).reshape(-1, BITS // 8), axis=1)
-            counts += bits.sum(axis=0, dtype=np.uint32)
-        out.append(int.from_bytes(np.packbits(counts * 2 > len(part)).tobytes(), "big", signed=True))
-    return out[0], out[1]
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """BANDS keys of a set: each is made of ROWS MinHash values, so similar sets share some of them."""
+    first, step = hashes.astype(np.uint32), (hashes >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    number = np.arange(BANDS * ROWS, dtype=np.uint32)[:, None]
+    least = np.full(BANDS * ROWS, 2**32 - 1, np.uint32)
+    for at in range(0, len(hashes), MIXED):
+        least = np.minimum(least, (first[at : at + MIXED] + number * step[at : at + MIXED]).min(axis=1))
+    keys = np.zeros(BANDS, np.uint64)
+    for row in least.reshape(BANDS, ROWS).T.astype(np.uint64):
+        keys = (keys ^ row) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(29)
+    return keys.view(np.int64)
 
 
-def set_prints(docs: DataFrame, shingle: int = SIMILAR_SHINGLE) -> DataFrame:
-    """doc_id, content, node (a hash of the shingle set), its size, and both halves of its print, of every document."""
+def set_bands(docs: DataFrame, shingle: int = SIMILAR_SHINGLE) -> DataFrame:
+    """doc_id, content, node (a hash of the shingle set), its size, and the set's band keys, of every document."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            rows = []
+            nodes, sizes, bands = [], [], []
             for text in batch.column("text"):
                 hashes = shingle_set(text.as_py(), shingle)
-                rows.append((xxhash.xxh64_intdigest(hashes.tobytes()), len(hashes), *set_print(hashes)))
-            values = np.array([r[0] for r in rows], np.uint64).view(np.int64)
-            columns = [pa.array(values), *[pa.array([r[k] for r in rows], pa.int64()) for k in (1, 2, 3)]]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("content"), *columns],
-                ["doc_id", "content", "node", "size", "first", "second"],
-            )
+                nodes.append(xxhash.xxh64_intdigest(hashes.tobytes()))
+                sizes.append(len(hashes))
+                bands.append(band_keys(hashes))
+            columns = [
+                batch.column("doc_id"),
+                batch.column("content"),
+                pa.array(np.array(nodes, np.uint64).view(np.int64)),
+                pa.array(sizes, pa.int64()),
+                pa.array(bands, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "content", "node", "size", "bands"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("content"), "text")
-    return rows.mapInArrow(batches, f"doc_id {kind}, content long, node long, size long, first long, second long")
+    return rows.mapInArrow(batches, f"doc_id {kind}, content long, node long, size long, bands array<long>")
 
 
-def likely_links(nodes: DataFrame, least: float, reach: int, reach_all: int) -> DataFrame:
-    """Stars (a, b) over the nodes (node, size, first, second) that join all pairs within both reaches whose sizes allow ``least``.
+def shared_buckets(nodes: DataFrame) -> DataFrame:
+    """(bucket, node, centre): the nodes (node, bands) that share a band key, and the smallest node that does.
 
-    Shards of the vantage-point tree are cut into bands of set sizes, as a pair's sizes differ by
-    the factor ``least`` at most: a node is at home in its band and a guest in the next.
+    Buckets with the same nodes, which near copies have in most bands, are one.
     """
-    total = nodes.count()
-    sample = hash_sample(nodes.select("first"), "first", SAMPLE, 5).toPandas()["first"]
-    points = np.unique(sample.to_numpy(np.int64).view(np.uint64))
-    tree, _ = plant(points, max(16, SHARD * len(points) // max(total, 1)), reach)
-    names = ["node", "size", "first", "second"]
+    keyed = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    heads = keyed.groupBy("band", "key").agg(F.min("node").alias("centre"), F.count("*").alias("n")).where("n > 1")
+    heads = written(heads, "heads")
+    counts = heads.select("band", "key", F.col("n").alias("_rows"))
+    held = skew_join(keyed, heads.drop("n"), ["band", "key"], spread_by=["node"], counts=counts)
+    held = written(held.select(F.xxhash64("band", "key").alias("bucket"), "node", "centre"), "buckets")
+    same = held.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.bit_xor("node").alias("one"), F.bit_xor(F.xxhash64("node")).alias("two")
+    )
+    kept = same.groupBy("n", "one", "two").agg(F.min("bucket").alias("bucket")).select("bucket")
+    return written(skew_join(held, kept, ["bucket"], "left_semi", ["node"], same.select("bucket", F.col("n").alias("_rows"))), "shared")
 
-    def dealt(found: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in found:
-            band = np.floor(np.log(np.maximum(frame["size"].to_numpy(), 1)) / np.log(BAND)).astype(np.int64)
-            for shard, at in shards_of(frame["first"].to_numpy(np.int64).view(np.uint64), tree, reach):
-                for guest in (0, 1):
-                    yield frame.iloc[at].assign(shard=shard * 256 + band[at] + guest)
 
-    in_shards = written(
-        nodes.select(*names).mapInPandas(dealt, "node long, size long, first long, second long, shard long"), "shards"
-    )
-    # A row for each shard and band: no more than the sample allows.
-    chunks = in_shards.groupBy("shard").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    paired = (
-        in_shards.join(F.broadcast(chunks), "shard")
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("shard", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), *names)
-    )
+def sets_of(docs: DataFrame, holders: DataFrame, shingle: int) -> DataFrame:
+    """(node, hashes) for the nodes of ``holders`` (node, doc_id, content), a document of each.
 
-    def joined(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("node")
-        node, size = frame["node"].to_numpy(np.int64), frame["size"].to_numpy(np.int64)
-        first, second = (frame[n].to_numpy(np.int64).view(np.uint64) for n in ("first", "second"))
+    A bitmap of fixed size lets only these documents' texts, and a few more, be cut into shingles;
+    texts themselves are not moved.
+    """
+    wanted = docs.sparkSession.sparkContext.broadcast(bit_table(holders.select("content"), "content", HELD_BITS))
 
-        def also(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            apart = np.bitwise_count(first[a] ^ first[b]) + np.bitwise_count(second[a] ^ second[b])
-            return (apart <= reach_all) & (np.minimum(size[a], size[b]) >= least * np.maximum(size[a], size[b]))
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            content = batch.column("content").to_numpy()
+            at = pa.array(np.flatnonzero(wanted.value[content % HELD_BITS]))
+            few = batch.take(at)
+            sets = [shingle_set(text.as_py(), shingle).tobytes() for text in few.column("text")]
+            columns = [few.column("doc_id"), few.column("content"), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "content", "hashes"])
 
-        star = groups(first, reach, also)
-        linked = star != np.arange(len(node))
-        return pd.DataFrame({"a": node[linked], "b": node[star[linked]]})
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("content"), "text")
+    cut = rows.mapInArrow(batches, f"doc_id {kind}, content long, hashes binary")
+    held = holders.select("node", F.col("doc_id").alias("_holder"), F.col("content").alias("_content"))
+    on = F.col("doc_id").eqNullSafe(F.col("_holder")) & (F.col("content") == F.col("_content"))
+    # Rows that repeat the holder's id and text have the same set.
+    return written(cut.join(held, on).select("node", "hashes").dropDuplicates(["node"]), "sets")
+
+
+def _set(held: bytes) -> np.ndarray:
+    return np.frombuffer(held, np.uint64)
 
-    return paired.groupBy("shard", "low", "high").applyInPandas(joined, "a long, b long").distinct()
 
+def similar_pairs(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(a, b, similar): does the Jaccard similarity of the sets of two nodes reach ``least``, exactly?"""
 
-def alike(sets: list[np.ndarray], least: float) -> np.ndarray:
-    """For each of the sets the index of the first set of its group; Jaccard similarities from ``least`` link, exactly."""
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            out = []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                x, y = _set(x.as_py()), _set(y.as_py())
+                both = 0
+                if min(len(x), len(y)) >= least * max(len(x), len(y)):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                out.append(both >= least * (len(x) + len(y) - both) - 1e-9)
+            columns = [batch.column("a"), batch.column("b"), pa.array(out, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "similar"])
+
+    x = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
+    y = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
+    # The centre of a large group stands in many pairs.
+    both = skew_join(pairs.join(x, "a"), y, ["b"], spread_by=["a"], counts=pairs.groupBy("b").agg(F.count("*").alias("_rows")))
+    return both.mapInArrow(batches, "a long, b long, similar boolean")
+
+
+def alike(sets: list[np.ndarray], least: float, joined: np.ndarray | None = None) -> np.ndarray:
+    """For each of the sets the index of the first set of its group; Jaccard similarities from ``least`` link, exactly.
+
+    ``joined`` names groups that are known: sets with the same number are in one group.
+    """
     parent = np.arange(len(sets))
+    if joined is not None:
+        _, first, group = np.unique(joined, return_index=True, return_inverse=True)
+        parent = first[group]
     size = np.array([len(s) for s in sets])
     _, terms = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(len(sets)), size)
@@ -385,69 +419,69 @@ def alike(sets: list[np.ndarray], least: float) -> np.ndarray:
     return parent
 
 
-def similar(docs: DataFrame, prints: DataFrame, least: float, reach: int, reach_all: int, shingle: int) -> DataFrame:
-    """(node, root) of all nodes of ``prints`` that exact similarities from ``least`` join to a smaller one.
+def within_buckets(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Stars (a, b) of the similar nodes of each bucket (bucket, node, known): all of them are compared, in one task.
 
-    Sets that the prints join, directly or by others, are compared exactly. Their texts are dealt
-    to tasks of VERIFIED shingles; a larger group goes to several tasks by pairs of chunks.
+    Nodes with the same ``known`` are linked already. A bucket above VERIFIED shingles goes to several
+    tasks by pairs of chunks.
     """
-    by_id = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")
-    nodes = prints.groupBy("node").agg(
-        *[F.first(n).alias(n) for n in ("size", "first", "second")], F.min(by_id).alias("holder")
-    )
-    nodes = written(nodes, "nodes")
-    # Four shingles or fewer are only as similar as that if they are equal, and equal sets are one node.
-    fewest = next(n for n in range(1, 1000) if n >= least * (n + 1))
-    likely = components(likely_links(nodes.where(F.col("size") >= fewest), least, reach, reach_all))
-    likely = likely.union(likely.select("root", "root")).distinct().toDF("node", "likely")
-    members = written(nodes.join(likely, "node").select("node", "size", "holder", "likely"), "members")
-    sizes = members.groupBy("likely").agg(F.sum("size").alias("total"))
-    sizes = sizes.withColumn("chunks", F.ceil(F.col("total") / VERIFIED).cast("int"))
-    tasks = max(1, -(-(members.agg(F.sum("size")).first()[0] or 0) // VERIFIED))
-    many = F.col("chunks") > 1
-    deal = members.join(sizes, "likely").select(
-        "node",
-        "likely",
-        "chunks",
-        many.alias("many"),
-        F.when(many, F.col("likely")).otherwise(F.pmod(F.xxhash64("likely"), F.lit(tasks))).alias("task"),
-        F.col("holder.doc_id").alias("__id"),
-        F.col("holder.content").alias("__content"),
-    )
-    here = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("__hash"), "text")
-    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__content"))
-    texts = (
-        here.join(deal, on)
+    dealt = members.join(sets.select("node", (F.octet_length("hashes") / 8).alias("size")), "node")
+    chunks = dealt.groupBy("bucket").agg(F.ceil(F.sum("size") / VERIFIED).cast("int").alias("chunks"))
+    paired = (
+        dealt.join(chunks, "bucket")
         .withColumn("own", F.pmod(F.xxhash64("node", F.lit(3)), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("many", "task", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "likely", "node", "text")
+        .select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", "known")
+        .join(sets, "node")
     )
 
-    def verified(frame: pd.DataFrame) -> pd.DataFrame:
-        # Rows that repeat the holder's id and text are one node.
-        frame = frame.drop_duplicates("node").sort_values(["likely", "node"])
-        stars = []
-        for _, group in frame.groupby("likely", sort=False):
-            node = group["node"].to_numpy(np.int64)
-            if len(node) > 1:
-                root = alike([shingle_set(t, shingle) for t in group["text"]], least)
-                linked = root != np.arange(len(node))
-                stars.append(pd.DataFrame({"a": node[linked], "b": node[root[linked]]}))
-        return pd.concat(stars) if stars else pd.DataFrame({"a": [], "b": []}).astype("int64")
+    def compared(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("node")
+        node = frame["node"].to_numpy(np.int64)
+        root = alike([_set(h) for h in frame["hashes"]], least, frame["known"].to_numpy(np.int64))
+        linked = root != np.arange(len(node))
+        return pd.DataFrame({"a": node[linked], "b": node[root[linked]]})
+
+    return paired.groupBy("bucket", "low", "high").applyInPandas(compared, "a long, b long")
+
 
-    return components(texts.groupBy("many", "task", "low", "high").applyInPandas(verified, "a long, b long"))
+def similar(docs: DataFrame, prints: DataFrame, least: float, shingle: int) -> DataFrame:
+    """(node, root) of all nodes of ``prints`` that exact similarities from ``least`` join to a smaller one.
+
+    Nodes that share a band key are compared: first all of a bucket with its smallest node, which
+    settles buckets of near copies; then, in buckets with other nodes, those with each other.
+    """
+    by_id = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")
+    nodes = prints.groupBy("node").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.min(by_id).alias("holder"))
+    # Four shingles or fewer are only as similar as that if they are equal, and equal sets are one node.
+    fewest = next(n for n in range(1, 1000) if n >= least * (n + 1))
+    nodes = written(nodes.where(F.col("size") >= fewest), "nodes")
+    members = shared_buckets(nodes.select("node", "bands"))
+    needed = members.select("node").distinct()
+    holders = written(nodes.select("node", "holder.doc_id", "holder.content").join(needed, "node", "left_semi"), "holders")
+    sets = sets_of(docs, holders, shingle)
+    stars = members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    judged = written(similar_pairs(stars, sets, least), "judged")
+    # A bucket is open if some of its nodes are not similar to its centre.
+    known = members.join(judged.toDF("node", "centre", "similar"), ["node", "centre"], "left")
+    known = known.select("bucket", "node", F.when(F.col("similar"), F.col("centre")).otherwise(F.col("node")).alias("known"))
+    known = written(known, "known")
+    open_buckets = known.groupBy("bucket").agg(F.min("known").alias("low"), F.max("known").alias("high")).where("low < high")
+    rest = within_buckets(known.join(open_buckets.select("bucket"), "bucket", "left_semi"), sets, least)
+    return components(judged.where("similar").select("a", "b").unionByName(rest))
 
 
 def one_of_each(docs: DataFrame, reach: int = REACH, shingle: int = SHINGLE, least: float | None = None) -> DataFrame:
     """One row of ``docs`` for each component: of the smallest doc_id, then of the smallest hash of its text.
 
     Ids that are null or stand for several texts are told apart by the text's hash, so a row goes
-    only if another row of its component stays. With ``least`` prints within ``reach`` are only
-    likely, and components link texts whose exact sets of shingles have at least this similarity.
+    only if another row of its component stays. With ``least`` components link texts whose exact sets
+    of shingles have at least this similarity; no reach of 64 bits tells these from others, so
+    pairs are found by bands of MinHash values then.
     """
     if least is not None:
-        prints = written(set_prints(docs, shingle), "prints")
-        return _first_rows(docs, prints, similar(docs, prints, least, reach, SIMILAR_REACH_ALL, shingle))
+        prints = written(set_bands(docs, shingle), "prints")
+        return _first_rows(docs, prints, similar(docs, prints, least, shingle))
     key = F.struct("doc_id", F.xxhash64(text_or_empty()).alias("content")).alias("doc_id")
     prints = fingerprints(docs.select(key, "text"), shingle).select("doc_id.*", F.col("fingerprint").alias("node"))
     prints = written(prints, "fingerprints")
@@ -460,22 +494,27 @@ def _first_rows(docs: DataFrame, prints: DataFrame, rooted: DataFrame) -> DataFr
     # Null ids come last.
     name = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")
     texts = prints.groupBy("doc_id", "content", "node").agg(F.count("*").alias("copies"))
-    nodes = prints.groupBy("node").agg(F.min(name).alias("first"))
+    nodes = prints.groupBy("node").agg(F.min(name).alias("first"), F.count("*").alias("n"))
     named = nodes.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
     firsts = named.groupBy("root").agg(F.min("first").alias("first"))
-    stays = named.select("node", "root").join(firsts, "root").select("node", "first")
+    stays = written(named.select("node", "root", "n").join(firsts, "root").select("node", "first.*", "n"), "stays")
+    stays = stays.select("node", F.struct("none", "doc_id", "content").alias("first"), "n")
+    # Many texts may have one set of shingles, as copies do.
+    counts = stays.select("node", F.col("n").alias("_rows"))
+    hash_name, id_name, content_name = unused(docs, "hash", "id", "content")
     fate = (
-        texts.join(stays, "node")
+        skew_join(texts, stays.drop("n"), ["node"], spread_by=["content", "doc_id"], counts=counts)
         .withColumn("stays", name.eqNullSafe(F.col("first")))
         .where(~F.col("stays") | (F.col("copies") > 1))
-        .select(F.col("doc_id").alias("__id"), F.col("content").alias("__content"), "stays")
+        .select(F.col("doc_id").alias(id_name), F.col("content").alias(content_name), "stays")
     )
     fate = written(fate, "fate")
-    here = docs.withColumn("__hash", F.xxhash64(text_or_empty()))
-    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__content"))
-    kept = here.join(fate, on, "left_anti").select(*docs.columns)
-    repeated = fate.where("stays")
+    here = docs.withColumn(hash_name, F.xxhash64(text_or_empty()))
+    gone = fate.drop("stays")
+    on = F.col("doc_id").eqNullSafe(F.col(id_name)) & (F.col(hash_name) == F.col(content_name))
+    kept = here.join(gone, on, "left_anti").select(*docs.columns)
+    repeated = fate.where("stays").drop("stays")
     if repeated.isEmpty():
         return kept
-    once = here.join(repeated, on, "left_semi").dropDuplicates(["doc_id", "__hash"]).select(*docs.columns)
+    once = here.join(repeated, on, "left_semi").dropDuplicates(["doc_id", hash_name]).select(*docs.columns)
     return kept.unionByName(once)

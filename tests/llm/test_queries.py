@@ -2,6 +2,7 @@
 
 import oracle_check
 import pytest
+from helpers import clashing
 from test_decontaminate import words
 from test_secrets import brute as secret_spans
 
@@ -23,7 +24,7 @@ def test_one_row_for_each_row(spark, name):
 
 
 def test_pipeline_stages(spark, tmp_path):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = clashing(spark.read.parquet(f"{SF}/documents.parquet"))
     columns = docs.columns
     kept = {}
     for name, stage in corpus_pipeline.STAGES:
@@ -37,13 +38,13 @@ def test_pipeline_stages(spark, tmp_path):
         kept[name] = {r["doc_id"]: r["text"] for r in docs.collect()}
     everything = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     assert set(kept["language"]) == {i for i, t in everything.items() if any(c.isalpha() for c in t)}
-    prints = {i: simhash.fingerprint(t) for i, t in kept["language"].items()}
-    group = {i: i for i in prints}
-    for _ in range(5):
-        for i, p in prints.items():
-            for j, q in prints.items():
-                if ((p ^ q) & (2**64 - 1)).bit_count() <= 2:
-                    group[i] = group[j] = min(group[i], group[j])
+    sets = {i: set(simhash.shingle_set(t).tolist()) for i, t in kept["language"].items()}
+    group = {i: i for i in sets}
+    for i, a in sets.items():
+        for j, b in sets.items():
+            if j < i and group[i] != group[j] and (a == b or len(a & b) >= 0.8 * len(a | b)):
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = {k: new if g == old else g for k, g in group.items()}
     assert set(kept["near_duplicates"]) == set(group.values())
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     table = decontaminate.Windows([(str(i), t) for i, t in items], 10)

@@ -137,25 +137,22 @@ def pairs_from(rng, low, high, n):
     return out
 
 
-def test_recall_of_set_prints():
+def test_recall_of_bands():
     import random
 
     pairs = pairs_from(random.Random(21), 0.8, 0.86, 1500)
     missed = 0
     for pair in pairs:
-        (a, b), (c, d) = (simhash.set_print(simhash.shingle_set(t)) for t in pair)
-        mask = 2**64 - 1
-        first = ((a ^ c) & mask).bit_count()
-        missed += first > simhash.SIMILAR_REACH or first + ((b ^ d) & mask).bit_count() > simhash.SIMILAR_REACH_ALL
+        a, b = (simhash.band_keys(simhash.shingle_set(t)) for t in pair)
+        missed += not (a == b).any()
     print(f"recall of pairs of similarity 0.80 to 0.86: {1 - missed / len(pairs):.4f}")
-    assert missed <= 0.01 * len(pairs)
+    assert missed <= 0.005 * len(pairs)
 
 
 def test_near_copies_by_exact_similarity(spark, monkeypatch):
     import random
 
     monkeypatch.setattr(simhash, "VERIFIED", 2000)  # the large group is dealt by pairs of chunks
-    monkeypatch.setattr(simhash, "CHUNK", 60)
     rng = random.Random(22)
     near, apart = pairs_from(rng, 0.8, 0.95, 25), pairs_from(rng, 0.55, 0.79, 25)
     base = prose(rng, 120)
@@ -168,12 +165,12 @@ def test_near_copies_by_exact_similarity(spark, monkeypatch):
                 old, new = max(root[i], root[j]), min(root[i], root[j])
                 root = [new if r == old else r for r in root]
     docs = documents(spark, rows)
-    got = simhash.one_of_each(docs, simhash.SIMILAR_REACH, simhash.SIMILAR_SHINGLE, simhash.SIMILAR)
+    got = simhash.one_of_each(docs, shingle=simhash.SIMILAR_SHINGLE, least=simhash.SIMILAR)
     assert sorted(r["doc_id"] for r in got.collect()) == sorted(set(root))
     import corpus_pipeline
 
     assert dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, "").count() == len(set(root))
-    assert simhash.one_of_each(docs.where("false"), simhash.SIMILAR_REACH, simhash.SIMILAR_SHINGLE, simhash.SIMILAR).count() == 0
+    assert simhash.one_of_each(docs.where("false"), shingle=simhash.SIMILAR_SHINGLE, least=simhash.SIMILAR).count() == 0
 
 
 def test_empty(spark):
