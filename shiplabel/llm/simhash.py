@@ -58,6 +58,8 @@ BANDS, ROWS = 20, 5
 MIXED = 4_096
 VERIFIED = 1_000_000
 HELD_BITS = 1 << 24
+# Most rows of the table that says which documents may go.
+PARTS = 1 << 20
 # A split must save this part of the comparisons, else the shard stays whole.
 GAIN = 0.2
 VANTAGES = 12
@@ -512,9 +514,16 @@ def _first_rows(docs: DataFrame, prints: DataFrame, rooted: DataFrame) -> DataFr
     here = docs.withColumn(hash_name, F.xxhash64(text_or_empty()))
     gone = fate.drop("stays")
     on = F.col("doc_id").eqNullSafe(F.col(id_name)) & (F.col(hash_name) == F.col(content_name))
-    kept = here.join(gone, on, "left_anti").select(*docs.columns)
+    # Of at most PARTS remainders it is known whether a text that goes has them; only documents with such a one are moved.
+    (part,) = unused(here, "part")
+    of_part = lambda name: F.pmod(F.col(name), F.lit(PARTS).cast("long"))
+    parts = F.broadcast(gone.select(of_part(content_name).alias(part)).distinct())
+    same_part = of_part(hash_name) == F.col(part)
+    apart = here.join(parts, same_part, "left_anti").select(*docs.columns)
+    moved = here.join(parts, same_part, "left_semi").join(gone, on, "left_anti").select(*docs.columns)
+    kept = apart.unionByName(moved)
     repeated = fate.where("stays").drop("stays")
     if repeated.isEmpty():
         return kept
-    once = here.join(repeated, on, "left_semi").dropDuplicates(["doc_id", hash_name]).select(*docs.columns)
+    once = here.join(parts, same_part, "left_semi").join(repeated, on, "left_semi").dropDuplicates(["doc_id", hash_name]).select(*docs.columns)
     return kept.unionByName(once)
