@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shiplabel.functions import text as X
 from shiplabel.operators.dictionary import KEY
-from shiplabel.operators.scale import PART_SIZE, lists_in_parts, rank_in_groups, skew_join
+from shiplabel.operators.scale import PART_SIZE, durable, lists_in_parts, rank_in_groups, skew_join
 
 GOODS = [*KEY, "goods_shipped"]
 FILE_ITSELF = -1
@@ -297,6 +297,9 @@ def write_table(
     """Parquet as the main copy; CSV comes with a header, JSON as lines."""
     writer = df.write.mode(mode).partitionBy(*partition_by)
     if format == "csv":
+        # As they are: without these options Spark trims values.
+        for side in ("Leading", "Trailing"):
+            writer = writer.option(f"ignore{side}WhiteSpace", False)
         writer.option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
     elif format in ("json", "parquet"):
         getattr(writer, format)(path)
@@ -307,26 +310,48 @@ def write_table(
 def export_per_product(flat: DataFrame, attr_dict: DataFrame, folder: str) -> list[str]:
     """A CSV file folder ``hs_<heading>_<product>.csv`` per product, with its own columns.
 
-    Loops over the products of the dictionary, which is configuration; each export
-    is one filtered, distributed write.
+    Products with the same columns are written together: one scan of ``flat`` and one write for each
+    distinct list of columns, however many products there are; then every product's part of
+    the output takes its name. With an ``ord`` column the rows of a product follow it.
     """
-    listed = (
+    listed = durable(
         attr_dict.groupBy(*KEY, "attr")
         .agg(F.min("attr_ord").alias("attr_ord"))
         .groupBy(*KEY)
-        .agg(F.array_sort(F.collect_list(F.struct("attr_ord", "attr"))).alias("attrs"))
+        .agg(F.array_sort(F.collect_list(F.struct("attr_ord", "attr")))["attr"].alias("attrs"))
         .withColumn("file", X.product_file("hs_code", "product"))
-        .orderBy(*KEY)
     )
-    written = []
-    for row in listed.toLocalIterator():
-        own = [f"{PREFIX}{a['attr']}" for a in row["attrs"]]
+    spark = flat.sparkSession
+    rows = flat.drop("file")
+    order = [c for c in ("ord",) if c in flat.columns]
+    files = []
+    # Both lists come from the dictionary, which is configuration.
+    for number, row in enumerate(listed.select("attrs").distinct().orderBy("attrs").collect()):
+        own = [f"{PREFIX}{a}" for a in row["attrs"]]
         flags = [f"{c}{FLAG_SUFFIX}" for c in own if f"{c}{FLAG_SUFFIX}" in flat.columns]
-        mine = flat.where((F.col("hs_code") == row["hs_code"]) & (F.col("product") == row["product"]))
+        same = listed.where(F.col("attrs") == F.array(*(F.lit(a) for a in row["attrs"]))).select(*KEY, "file")
         columns = [*KEY, "shipment_id", "goods_shipped", *own, *flags]
-        write_table(mine.select(*(f"`{c}`" for c in columns)), f"{folder}/{row['file']}", "csv")
-        written.append(row["file"])
-    return written
+        mine = rows.join(same, KEY).repartitionByRange("file", *order).sortWithinPartitions("file", *order)
+        target = f"{folder}/.columns-{number}"
+        write_table(mine.select("file", *(f"`{c}`" for c in columns)), target, "csv", ["file"])
+        names = [r["file"] for r in same.select("file").distinct().collect()]
+        _take_names(spark, target, folder, names, mine.select(*(f"`{c}`" for c in columns)))
+        files += names
+    return sorted(files)
+
+
+def _take_names(spark: SparkSession, written: str, folder: str, names: Sequence[str], shape: DataFrame) -> None:
+    """Rename the parts ``file=<name>`` of a partitioned output to ``<name>``; a product without rows gets a header only."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in names:
+        source, target = path(f"{written}/file={name}"), path(f"{folder}/{name}")
+        fs.delete(target, True)
+        if fs.exists(source):
+            fs.rename(source, target)
+        else:
+            write_table(shape.limit(0), f"{folder}/{name}", "csv")
+    fs.delete(path(written), True)
 
 
 def write_shipment_map(merged: DataFrame, path: str) -> None:

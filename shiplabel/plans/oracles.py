@@ -690,6 +690,7 @@ files AS (SELECT DISTINCT hs_code, product FROM flat)""",
        FROM files JOIN attrs USING (hs_code, product) JOIN named USING (attr)
             LEFT JOIN lists USING (hs_code, product, attr) GROUP BY hs_code, product""",
 )
+ORACLES["folder_schema_master"] = ORACLES["schema_master"]
 ORACLES["shipment_attributes"] = cte(
     f"""{FLAT},
 named(attr, snake, attr_no) AS (VALUES {_values(_SNAKE_ATTRS)}),

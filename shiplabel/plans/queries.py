@@ -21,6 +21,7 @@ from shiplabel.operators.scale import checkpoint_folder, durable
 from shiplabel.plans import runs
 from shiplabel.plans import views as V
 from shiplabel.sources import config as C
+from shiplabel.sources import published
 from shiplabel.sources import shipments as S
 from shiplabel.streaming import incremental
 
@@ -547,6 +548,14 @@ def schema_master(spark, sf_dir):
     return P.schema_master(P.per_product(matched, list(V.ATTRIBUTES)))
 
 
+@query
+def folder_schema_master(spark, sf_dir):
+    """The schema summary of the per-product files, written and read back."""
+    folder = f"{checkpoint_folder(spark)}/files-{uuid.uuid4().hex}"
+    P.export_per_product(wide(spark, sf_dir), V.attr_dict(spark), folder)
+    return published.folder_schema_master(spark, folder)
+
+
 @query
 def shipment_attributes(spark, sf_dir):
     merged = P.shipment_attributes(wide(spark, sf_dir))
@@ -707,7 +716,7 @@ def csv_round_trip(spark, sf_dir):
     """Shipments written as CSV and read back, cleaned."""
     path = f"{checkpoint_folder(spark)}/csv-{uuid.uuid4().hex}"
     columns = ["ord", "hs_code", "goods_shipped", "shipment_id"]
-    V.shipments(spark, sf_dir).select(*columns).write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    P.write_table(V.shipments(spark, sf_dir).select(*columns), path, "csv")
     return S.clean(S.read_csv(spark, path)).select(*columns)
 
 

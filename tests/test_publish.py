@@ -180,6 +180,45 @@ def test_plain_files_keep_row_order(spark, tmp_path):
         published.for_shipment_map(back.drop("shipment_id"))
 
 
+# Beyond 32 files Spark lists them in a job of its own.
+@pytest.mark.parametrize("n", [40, 120])
+def test_a_folder_is_read_in_the_same_number_of_jobs(spark, tmp_path, n):
+    for i in range(n):
+        (tmp_path / f"hs_1_P{i:03}.csv").write_text(f'shipment_id,attr_A{i},attr_A{i},,x y\ns{i}," v,{i}",w\n\ns,"a ""b""",c,d,e,f\n')
+    spark.sparkContext.setJobGroup(f"folder-{n}", "")
+    rows = published.read_folder(spark, str(tmp_path)).collect()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"folder-{n}"))
+    spark.sparkContext.setJobGroup("", "")
+    JOBS.setdefault("folder", jobs)
+    assert jobs == JOBS["folder"]
+    assert len(rows) == 2 * n
+    one = sorted((r for r in rows if r["file"] == "hs_1_P001.csv"), key=lambda r: r["ord"])
+    assert [(r["shipment_id"], r["attr_A11"], r["attr_A12"], r["_c3"], r["x y"], r["attr_A21"]) for r in one] == [
+        ("s1", " v,1", "w", "", "", None), ("s", 'a "b"', "c", "d", "e", None),
+    ]
+
+
+JOBS: dict = {}
+
+
+def test_products_with_the_same_columns_are_written_together(spark, tmp_path, monkeypatch):
+    known = spark.createDataFrame([("0901", f"P{i}", "X" if i % 2 else "Y", 0, "1", 0) for i in range(12)], ATTR_DICT_SCHEMA)
+    flat = spark.createDataFrame(
+        [("0901", f"P{i % 11}", f"s{i}", " outer blanks ", f"{i:03}", "1", "2") for i in range(200)],
+        "hs_code string, product string, shipment_id string, goods_shipped string, ord string, attr_X string, attr_Y string",
+    )
+    writes = []
+    plain = P.write_table
+    monkeypatch.setattr(P, "write_table", lambda df, path, *a, **k: (writes.append(path), plain(df, path, *a, **k)))
+    files = P.export_per_product(flat, known, str(tmp_path))
+    assert files == sorted(f"hs_0901_P{i}.csv" for i in range(12))
+    assert len(writes) == 3  # two lists of columns, and the product without rows
+    back = published.read_folder(spark, str(tmp_path))
+    assert back.count() == 200
+    mine = [(r["shipment_id"], r["goods_shipped"], r["attr_X"]) for r in back.where("file = 'hs_0901_P3.csv'").orderBy("ord").collect()]
+    assert mine == [(f"s{i}", " outer blanks ", "1") for i in range(200) if i % 11 == 3]
+
+
 def test_merge_shipments(spark):
     cols = "hs_code string, product string, goods_shipped string, shipment_id string"
     row = lambda g, s: ("0901", "P", g, s)
