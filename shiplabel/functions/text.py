@@ -189,16 +189,25 @@ def json_object(c) -> Column:
     return F.try_parse_json(json_payload(c))
 
 
-def reply_items(c) -> Column:
-    """The entries under ``items`` of a reply, each as JSON text; NULL for an unreadable reply.
+def reply_list(text, key: str) -> Column:
+    """The entries under ``key`` of the one JSON object in a text, each as text: objects as JSON, others as they read.
 
     Read as leniently as common readers do: the last of repeated keys counts, and NaN and
-    Infinity are taken as texts. Numbers keep their digits (``85.0``). Text between or after
-    two objects makes a reply unreadable, hence the brackets: there must be one value in them.
+    Infinity are taken as texts. Numbers keep their digits (``85.0``). NULL for a text that is
+    no JSON object or has no list there. Text before, between or after objects makes a reply unreadable,
+    hence the brackets: there must be one value in them.
     """
-    whole = F.concat(F.lit("["), json_payload(c), F.lit("]"))
-    read = F.from_json(whole, "array<struct<items:array<string>>>")
-    return F.when(F.size(read) == 1, F.get(read, F.lit(0))["items"])
+    whole = F.concat(F.lit("["), _col(text), F.lit("]"))
+    read = F.from_json(whole, f"array<struct<{key}:array<string>>>")
+    entries = F.get(read, F.lit(0))[key]
+    # Spark quotes them.
+    plain = F.transform(entries, lambda e: F.regexp_replace(e, r'\A"(NaN|-?Infinity)"\z', "$1"))
+    return F.when(F.size(read) == 1, plain)
+
+
+def reply_items(c) -> Column:
+    """The entries under ``items`` of a reply (:func:`reply_list` of its payload); NULL for an unreadable reply."""
+    return reply_list(json_payload(c), "items")
 
 
 def preview_ok(preview, goods) -> Column:

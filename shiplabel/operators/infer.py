@@ -178,25 +178,26 @@ def sample_goods(
     )
 
 
-def _is_object(v: Column) -> Column:
-    return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), F.lit(False))
-
-
 def _cut(values: Column, most: int | None) -> Column:
     return values if most is None else F.slice(values, 1, most)
 
 
-def _text_at(v: Column, path: str) -> Column:
-    return X.strip(F.coalesce(F.try_variant_get(v, path, "string"), F.lit("")))
+def _text_at(entry: Column, key: str) -> Column:
+    return X.strip(F.coalesce(F.from_json(entry, f"{key} string")[key], F.lit("")))
 
 
 def _checked(reply: Column, key: str) -> Column:
-    """The list under ``key`` of a reply; a reply without readable JSON fails the query."""
-    parsed = X.json_object(reply)
-    return F.when(
-        parsed.isNotNull(),
-        F.coalesce(F.try_variant_get(parsed, f"$.{key}", "array<variant>"), F.array().cast("array<variant>")),
-    ).otherwise(F.raise_error(F.lit("reply holds no JSON payload")))
+    """The entries under ``key`` of a reply as texts; a reply without readable JSON fails the query."""
+    entries = X.reply_list(X.json_payload(reply), key)
+    none = F.when(X.json_object(reply).isNotNull(), F.array().cast("array<string>"))
+    return F.coalesce(entries, none, F.raise_error(F.lit("reply holds no JSON payload")).cast("array<string>"))
+
+
+def _texts_at(entry: Column, key: str) -> Column:
+    """The strings of a list, without its numbers and other values; NaN and Infinity count as numbers, quoted or not."""
+    typed = F.from_json(entry, f"{key} array<variant>")[key]
+    strings = F.transform(F.filter(typed, lambda x: F.schema_of_variant(x) == "STRING"), lambda x: x.cast("string"))
+    return F.filter(F.coalesce(strings, F.array().cast("array<string>")), lambda x: ~x.isin("NaN", "Infinity", "-Infinity"))
 
 
 def inferred_products(replies: DataFrame, max_representatives: int | None = None) -> DataFrame:
@@ -204,22 +205,16 @@ def inferred_products(replies: DataFrame, max_representatives: int | None = None
     entries = replies.select(
         F.col("hs4").alias("hs_code"),
         F.posexplode(_checked(F.col("reply"), "product_categories")).alias("pos", "v"),
-    ).where(_is_object(F.col("v")))
+    ).where(F.startswith("v", F.lit("{")))
+    listed = F.from_json("v", "representative_goods array<string>")["representative_goods"]
     reps = F.filter(
-        F.transform(
-            F.coalesce(
-                F.try_variant_get("v", "$.representative_goods", "array<variant>"),
-                F.array().cast("array<variant>"),
-            ),
-            lambda r: X.strip(r.cast("string")),
-        ),
-        lambda r: r != "",
+        F.transform(F.coalesce(listed, F.array().cast("array<string>")), lambda r: X.strip(r)), lambda r: r != ""
     )
     named = entries.select(
         "hs_code",
         "pos",
-        _text_at(F.col("v"), "$.name").alias("category"),
-        F.nullif(_text_at(F.col("v"), "$.description"), F.lit("")).alias("description"),
+        _text_at(F.col("v"), "name").alias("category"),
+        F.nullif(_text_at(F.col("v"), "description"), F.lit("")).alias("description"),
         _cut(reps, max_representatives).alias("representatives"),
     ).where("category <> ''")
     first = named.groupBy("hs_code", "category").agg(
@@ -239,19 +234,13 @@ def read_attribute_replies(replies: DataFrame, max_values: int | None = None) ->
     """``category, attr, attr_ord, definition, values`` from ``category, reply``; first name wins."""
     entries = replies.select(
         "category", F.posexplode(_checked(F.col("reply"), "attributes")).alias("attr_ord", "v")
-    ).where(_is_object(F.col("v")))
-    texts = F.filter(
-        F.coalesce(
-            F.try_variant_get("v", "$.values", "array<variant>"), F.array().cast("array<variant>")
-        ),
-        lambda x: F.schema_of_variant(x) == "STRING",
-    )
+    ).where(F.startswith("v", F.lit("{")))
     named = entries.select(
         "category",
         "attr_ord",
-        F.try_variant_get("v", "$.name", "string").alias("name"),
-        F.nullif(_text_at(F.col("v"), "$.definition"), F.lit("")).alias("definition"),
-        _cut(X.title_values(F.transform(texts, lambda x: x.cast("string"))), max_values).alias("values"),
+        F.from_json("v", "name string")["name"].alias("name"),
+        F.nullif(_text_at(F.col("v"), "definition"), F.lit("")).alias("definition"),
+        _cut(X.title_values(_texts_at(F.col("v"), "values")), max_values).alias("values"),
     ).where("name IS NOT NULL AND name <> ''")
     per_name = named.withColumn("attr", X.attr_name("name")).groupBy("category", "attr")
     # the values of the first mention count; a later mention adds nothing

@@ -38,13 +38,13 @@ def read_label_replies(
 ) -> DataFrame:
     """Add ``category`` from replies ``(batch_no, reply)`` by position in the batch.
 
-    A reply without usable ``classifications`` labels its whole batch as failed;
-    a short reply leaves the tail unlabelled, as does a batch without reply.
+    A reply without usable ``classifications`` labels its whole batch as failed; repeated keys
+    and NaN are read (:func:`~shiplabel.functions.text.reply_list`). A short reply leaves the tail unlabelled, as does a batch without reply.
     ``allowed`` additionally turns labels outside the list into failures.
     """
-    labels = F.try_variant_get(F.try_parse_json("reply"), "$.classifications", "array<variant>")
+    labels = X.reply_list("reply", "classifications")
     read = replies.select("batch_no", F.lit(True).alias("_answered"), labels.alias("_labels"))
-    label = F.get("_labels", F.col("pos").cast("int")).cast("string")
+    label = F.get("_labels", F.col("pos").cast("int"))
     if allowed is not None:
         label = F.when(label.isin(list(allowed)) | label.isNull(), label).otherwise(UNCLASSIFIED)
     return (

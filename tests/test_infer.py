@@ -139,3 +139,27 @@ def test_requests(spark):
     got = {r["category"]: r["prompt"] for r in Q.attribute_inference_requests(samples, summaries, "0901").collect()}
     assert "1. a\n2. b\nColumns:\n(none of the columns has a value)" in got["c"]
     assert "1. (the table holds no description)\nColumns:\nx: 1" in got["d"]
+
+
+def test_replies_with_repeated_keys_and_nan_are_read(spark):
+    reply = 'Sure: {"product_categories":[],"product_categories":[{"name":"x","name":"Tea","score":NaN,"representative_goods":["a",1,NaN]},"junk"]}'
+    got = I.inferred_products(spark.createDataFrame([("0901", reply)], "hs4 string, reply string")).collect()
+    assert [(r["category"], r["representatives"]) for r in got] == [("Tea", ["a", "1", "NaN"])]
+    reply = '{"attributes":[{"name":"Grade","weight":-Infinity,"values":["aa",7,true,"bb"],"values":["b c",85.5,"d"]},{"name":"Odd","values":["e",NaN,4]}]}'
+    got = I.read_attribute_replies(spark.createDataFrame([("Tea", reply)], "category string, reply string")).orderBy("attr_ord").collect()
+    assert [(r["attr"], r["values"]) for r in got] == [("Grade", ["B C", "D"]), ("Odd", ["E"])]
+    for broken in ("no payload", "{oops}", '{"attributes":[{"name":"x"}'):
+        with pytest.raises(Exception, match="no JSON payload"):
+            I.read_attribute_replies(spark.createDataFrame([("Tea", broken)], "category string, reply string")).collect()
+    assert I.read_attribute_replies(spark.createDataFrame([("Tea", '{"attributes":7}')], "category string, reply string")).count() == 0
+
+
+def test_label_replies_with_repeated_keys_and_nan_are_read(spark):
+    from shiplabel.operators import labels as L
+
+    items = spark.createDataFrame([(b, p) for b in range(6) for p in range(2)], "batch_no long, pos long")
+    replies = ['{"classifications":["x"],"classifications":["a","b"]}', '{"score":NaN,"classifications":["a",NaN]}', '{"classifications":["a","b"]} done', '{"classifications":[7,null]}', "{oops", '{"classifications":["a"']
+    table = spark.createDataFrame(list(enumerate(replies)), "batch_no long, reply string")
+    got = [r["category"] for r in L.read_label_replies(items, table).orderBy("batch_no", "pos").collect()]
+    failed = ["Unclassified"] * 2
+    assert got == ["a", "b", "a", "NaN", *failed, "7", "", *failed, *failed]
