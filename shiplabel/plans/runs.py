@@ -6,12 +6,14 @@ stage whose input exists, and a later run only works on what is new.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shiplabel.functions import text as X
 from shiplabel.operators import batches, infer, labels, publish, replies, requests
@@ -21,6 +23,7 @@ from shiplabel.operators.scale import durable, skew_join
 from shiplabel.sources import shipments as S
 
 GOODS = [*KEY, "goods_shipped"]
+LOG = logging.getLogger(__name__)
 
 
 @dataclass
@@ -290,9 +293,23 @@ def run_number(classified: DataFrame | None, this_run: str) -> int:
     return before if before is not None else 0 if last is None else last + 1
 
 
+# Tables that help readers; without them the others are still published.
+HELPERS = ("schema_master", "shipment_attributes")
+STATUS = "version bigint, name string, error string"
+
+
 def publish_stage(
     spark: SparkSession, folder: str, attr_dict: DataFrame, options: Options
 ) -> dict[str, DataFrame]:
+    """Publish all tables as a new version, and switch readers to it once all of them are written.
+
+    Each version has a folder of its own. A last append to ``manifest`` makes it the published one, so
+    readers never see tables of two versions, nor half of one. The error of a helper table is
+    recorded there and the others are published; any other error leaves the version before in place.
+    """
+    manifest = _stored(spark, f"{folder}/manifest")
+    version = 0 if manifest is None else manifest.agg(F.max("version")).first()[0] + 1
+    base = f"{folder}/published/{version}"
     classified = spark.read.parquet(f"{folder}/classified").drop("run")
     pairs = spark.read.parquet(f"{folder}/goods_shipments").drop("run")
     names = publish.attribute_names(attr_dict)
@@ -303,26 +320,49 @@ def publish_stage(
         "ord", F.struct("run_no", "goods_shipped", "_read")
     )
     flat = publish.per_product(rows, names, options.custom_flags)
-    publish.write_table(flat, f"{folder}/flat", partition_by=["hs_code"])
-    ordered = spark.read.schema(flat.schema).parquet(f"{folder}/flat")
-    flat = ordered.drop("ord")
+    publish.write_table(flat, f"{base}/flat", partition_by=["hs_code"])
+    ordered = spark.read.schema(flat.schema).parquet(f"{base}/flat")
     lists = publish.goods_to_shipments(pairs.withColumn("ord", read), part_size=publish.PART_SIZE)
     tables = {
-        "schema_master": publish.schema_master(ordered),
-        "shipment_attributes": publish.shipment_attributes(ordered),
-        "nested": publish.nested_records(classified, lists),
-        "completed": publish.completed_products(classified),
-        "validation": replies.validation_stats(classified),
-        "metadata": publish.run_metadata(
+        "nested": lambda: publish.nested_records(classified, lists),
+        "completed": lambda: publish.completed_products(classified),
+        "validation": lambda: replies.validation_stats(classified),
+        "metadata": lambda: publish.run_metadata(
             classified,
             spark.read.parquet(f"{folder}/token_usage"),
             options.token_budget,
             options.batch_size,
         ),
+        "schema_master": lambda: publish.schema_master(ordered),
+        "shipment_attributes": lambda: publish.shipment_attributes(ordered),
     }
+    status = [(version, "flat", None)]
     for name, table in tables.items():
-        publish.write_table(table, f"{folder}/{name}")
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in tables} | {"flat": flat}
+        try:
+            publish.write_table(table(), f"{base}/{name}")
+        except Exception as problem:
+            if name not in HELPERS:
+                raise
+            LOG.warning("table %s of version %s failed: %s", name, version, problem)
+            status.append((version, name, str(problem)))
+        else:
+            status.append((version, name, None))
+    publish.write_table(spark.createDataFrame(status, STATUS).coalesce(1), f"{folder}/manifest", mode="append")
+    return published(spark, folder)
+
+
+def published(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of the last complete version, and ``status``: its tables with their errors."""
+    manifest = spark.read.schema(STATUS).parquet(f"{folder}/manifest")
+    version = manifest.agg(F.max("version")).first()[0]
+    status = manifest.where(F.col("version") == version)
+    sound = [r["name"] for r in status.where("error IS NULL").collect()]
+    tables = {name: spark.read.parquet(f"{folder}/published/{version}/{name}") for name in sound}
+    # The heading is the folder's name, which stays text, leading zeros included.
+    rest = [f for f in tables["flat"].schema if f.name != "hs_code"]
+    shape = T.StructType([T.StructField("hs_code", T.StringType()), *rest])
+    flat = spark.read.schema(shape).parquet(f"{folder}/published/{version}/flat")
+    return {**tables, "flat": flat.select(*shape.names).drop("ord"), "status": status}
 
 
 def run(
@@ -347,7 +387,7 @@ def run(
     without it only batches the dictionary settles are classified. ``infer_hs``
     infers the dictionary of a heading from labelled rows, and its categories, too,
     where ``answer_products`` is given. A skipped stage needs its table from an
-    earlier run; an error ends the run.
+    earlier run; an error ends the run, but that of a helper table is recorded in ``status``.
     """
     options = options or Options()
     stages = set(options.stages)

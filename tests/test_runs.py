@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shiplabel.operators import publish as P
 from shiplabel.plans import runs
 from shiplabel.plans import views as V
+from shiplabel.sources.shipments import clean as S_clean
 from shiplabel.streaming import incremental
 
 SF = "/root/testdata/sf0.001"
@@ -162,6 +163,27 @@ def test_errors_end_a_run(spark, tmp_path):
         runs.infer_definition(raw, "1234", lambda asked: asked)
 
 
+def test_a_failing_helper_is_recorded(spark, tmp_path, monkeypatch):
+    labelled = S_clean(V.shipments(spark, SF).limit(60))
+    P.write_table(labelled, f"{tmp_path}/labelled")
+    only = options(stages=("extract", "publish"))
+    known = V.attr_dict(spark)
+    first = runs.run(spark, None, str(tmp_path), run_id="a", attr_dict=known, options=only)
+    assert first["status"].where("error IS NOT NULL").count() == 0 and first["schema_master"].count() > 0
+    plain = P.schema_master
+    monkeypatch.setattr(P, "schema_master", lambda *a, **k: 1 / 0)
+    second = runs.run(spark, None, str(tmp_path), run_id="b", attr_dict=known, options=only)
+    assert [(r["name"], r["error"]) for r in second["status"].where("error IS NOT NULL").collect()] == [("schema_master", "division by zero")]
+    assert "schema_master" not in second and second["nested"].count() > 0
+    assert content(second["flat"], FLAT) == content(first["flat"], FLAT)
+    monkeypatch.setattr(P, "schema_master", plain)
+    monkeypatch.setattr(P, "nested_records", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        runs.run(spark, None, str(tmp_path), run_id="c", attr_dict=known, options=only)
+    still = runs.published(spark, str(tmp_path))
+    assert {r["version"] for r in still["status"].collect()} == {1} and still["nested"].count() == second["nested"].count()
+
+
 def test_goods_per_product_and_heading_filter(spark):
     labelled = V.shipments(spark, SF)
     few = runs.extraction_rows(labelled, V.attr_dict(spark), options(hs_filter=["0904"], goods_per_product=2))
