@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiplabel.operators.dictionary import KEY
-from shiplabel.operators.scale import first_in_groups, rank_in_groups, running_total
+from shiplabel.operators.scale import first_in_groups, largest_group, rank_in_groups, running_total, skew_join
 
 # --- fixed values -----------------------------------------------------------
 BATCH_SIZE = 10
@@ -50,7 +50,8 @@ def batch_table(items: DataFrame, groups: Sequence[str] = tuple(KEY)) -> DataFra
 def first_goods(rows: DataFrame, n: int | None, ord_column: str = "ord") -> DataFrame:
     """The first ``n`` distinct descriptions of each (heading, product) in row order."""
     seen = rows.groupBy(*KEY, "goods_shipped").agg(F.min(ord_column).alias("first_ord"))
-    return first_in_groups(seen, KEY, ["first_ord", "goods_shipped"], n, "place")
+    largest = None if n is None else largest_group(rows, KEY)
+    return first_in_groups(seen, KEY, ["first_ord", "goods_shipped"], n, "place", largest)
 
 
 def within_budget(

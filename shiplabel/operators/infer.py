@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplabel.functions import text as X
-from shiplabel.operators.scale import first_in_groups
+from shiplabel.operators.scale import durable, first_in_groups, largest_group, smallest_in_groups
 
 # --- fixed values -----------------------------------------------------------
 MAX_SAMPLES = 120
@@ -108,7 +108,9 @@ def first_values(
         .agg(F.min(F.struct(ord_column, "value")).alias("_first"))
         .select(by, "column", "_first.*")
     )
-    placed = first_in_groups(first_seen, [by, "column"], [ord_column, "value"], limit, "place")
+    # A column of a group has no more distinct values than the group has rows.
+    largest = None if limit is None else largest_group(df, [by])
+    placed = first_in_groups(first_seen, [by, "column"], [ord_column, "value"], limit, "place", largest)
     return placed.select(by, "column", "place", "value")
 
 
@@ -156,16 +158,19 @@ def sample_goods(
 
     Small groups come whole in first-seen order, larger ones as a seeded sample
     that does not depend on partitioning: the descriptions with the smallest
-    seeded hashes.
+    seeded hashes. Which hashes are small enough is read off counts of their first digits, so
+    no group is sorted; only about ``limit`` rows of each are.
     """
-    goods = (
+    goods = durable(
         rows.where(F.col("goods_shipped").isNotNull())
         .select(by, X.strip("goods_shipped").alias("goods_shipped"), ord_column)
         .groupBy(by, "goods_shipped")
         .agg(F.min(ord_column).alias("first_ord"))
         .withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}|"), "goods_shipped")))
     )
-    kept = first_in_groups(goods, [by], ["_hash", "goods_shipped"], limit + 1, "_drawn")
+    near = smallest_in_groups(goods, [by], "_hash", limit + 1)
+    drawn = F.row_number().over(Window.partitionBy(by).orderBy("_hash", "goods_shipped"))
+    kept = near.withColumn("_drawn", drawn).where(F.col("_drawn") <= limit + 1)
     group = Window.partitionBy(by)
     sampled = F.max("_drawn").over(group) > limit
     by_hash = F.when(F.col("_sampled"), F.col("_hash"))

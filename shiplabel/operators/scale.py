@@ -7,6 +7,7 @@ lists and joins over such keys go through the functions below.
 
 from __future__ import annotations
 
+import math
 import tempfile
 from collections.abc import Sequence
 
@@ -23,6 +24,10 @@ HOT_FLOOR = 100_000
 HOT_ROWS = 5_000_000
 # Slices of a group that a first-n report is taken from.
 FIRST_SLICES = 32
+# Rows of a group that one task sorts for a first-n report of a measured group, if 2 n is less.
+NODE_ROWS = 100_000
+# Hexadecimal digits of a hash by which rows are counted at a time: 4,096 counts for a group.
+COUNTED_DIGITS = 3
 # Most items one list-valued cell takes; longer lists continue in the next part.
 PART_SIZE = 10_000
 
@@ -87,23 +92,91 @@ def rank_in_groups(
 
 
 def first_in_groups(
-    df: DataFrame, groups: Sequence[str], order: Sequence[str], n: int | None, name: str
+    df: DataFrame, groups: Sequence[str], order: Sequence[str], n: int | None, name: str, largest: int | None = None
 ) -> DataFrame:
     """The first ``n`` rows of each group by ``order``, numbered from 1 as ``name``; all for None.
 
     Rows are cut to ``n`` within hash slices of a group first, so no task sorts a whole
-    hot group, whatever ``n`` is: the last step sees at most FIRST_SLICES * n rows of one.
+    hot group, whatever ``n`` is. Give the rows of the ``largest`` group (``largest_group``, or any
+    bound above it): slices are then as many as it needs, and they meet level by level, so that none
+    holds more than 2 n rows (or NODE_ROWS, if that is more). Without it there is one level of
+    FIRST_SLICES, and the last step sees at most FIRST_SLICES * n rows of a group.
     """
     if n is None:
         return rank_in_groups(df, groups, order, name)
     groups, order = list(groups), list(order)
-    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(FIRST_SLICES)))
-    inside = F.row_number().over(Window.partitionBy(*groups, "_slice").orderBy(*order))
-    few = sliced.withColumn("_inside", inside).where(F.col("_inside") <= n).drop("_slice", "_inside")
+    fan, levels = (FIRST_SLICES, [FIRST_SLICES]) if largest is None else tree_of_slices(n, largest)
+    few = df
+    if levels:
+        few = few.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(levels[0])))
+        inside = F.row_number().over(Window.partitionBy(*groups, "_slice").orderBy(*order))
+        for _ in levels:
+            few = few.withColumn("_inside", inside).where(F.col("_inside") <= n).drop("_inside")
+            few = few.withColumn("_slice", F.floor(F.col("_slice") / fan))
+        few = few.drop("_slice")
     place = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
     return few.withColumn(name, place.cast("bigint")).where(F.col(name) <= n)
 
 
+def tree_of_slices(n: int, largest: int) -> tuple[int, list[int]]:
+    """How many slices meet in one, and the number of slices at each level, for a group of ``largest`` rows.
+
+    A slice of the first level is filled to three quarters on average, because hashes do not
+    spread evenly; a later one takes ``n`` rows at most from each of those that meet in it.
+    """
+    room = max(2 * n, NODE_ROWS)
+    fan = max(2, room // max(n, 1))
+    levels = []
+    slices = math.ceil(4 * largest / (3 * room))
+    while slices > 1:
+        levels.append(slices)
+        slices = math.ceil(slices / fan)
+    return fan, levels
+
+
+def largest_group(df: DataFrame, groups: Sequence[str]) -> int:
+    """Rows of the largest group; one job that reads the ``groups`` columns alone."""
+    sizes = df.groupBy(*groups).agg(F.count("*").alias("_rows"))
+    return sizes.agg(F.coalesce(F.max("_rows"), F.lit(0))).first()[0]
+
+
+def smallest_in_groups(df: DataFrame, groups: Sequence[str], key: str, n: int) -> DataFrame:
+    """The rows of each group with its ``n`` smallest ``key`` values, and a few more; ``key`` is a hash in hexadecimal.
+
+    Nothing is sorted: rows are counted by the first digits of the hash, then the bucket that holds the
+    n-th one by its next digits, and what lies behind is filtered out. A group keeps about ``n`` rows and
+    a 16-millionth of its own; the caller cuts those exactly. The two counts and the filter
+    read ``df`` three times, so give them a written table.
+    """
+    # Rows without a group are a group, too; as text it joins like any other.
+    df, groups = df.withColumn("_group", F.to_json(F.struct(*groups))), ["_group"]
+    last = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+
+    def cut(rows: DataFrame, digits: int, wanted: str | int) -> tuple[DataFrame, DataFrame]:
+        bucket = F.substring(key, 1, digits)
+        wanted = F.lit(wanted) if isinstance(wanted, int) else F.col(wanted)
+        counts = rows.groupBy(*groups, bucket.alias("_bucket")).agg(
+            F.count("*").alias("_rows"), F.max(wanted).alias("_wanted")
+        )
+        before = F.coalesce(F.sum("_rows").over(last), F.lit(0))
+        found = counts.withColumn("_before", before).where(
+            (F.col("_before") < F.col("_wanted")) & (F.col("_before") + F.col("_rows") >= F.col("_wanted"))
+        )
+        return counts, found.select(*groups, "_bucket", (F.col("_wanted") - F.col("_before")).alias("_left"))
+
+    counts, coarse = cut(df, COUNTED_DIGITS, n)
+    # One row for each group of n rows or more; the bucket spreads a hot group over as many keys.
+    bordering = (
+        df.withColumn("_bucket", F.substring(key, 1, COUNTED_DIGITS)).join(coarse, [*groups, "_bucket"]).drop("_bucket")
+    )
+    _, fine = cut(bordering, 2 * COUNTED_DIGITS, "_left")
+    border = fine.select(*groups, F.col("_bucket").alias("_border"))
+    sizes = counts.groupBy(*groups).agg(F.sum("_rows").alias("_rows"))
+    bounded = skew_join(df, border, groups, "left", spread_by=[key], counts=sizes)
+    inside = F.col("_border").isNull() | (F.substring(key, 1, 2 * COUNTED_DIGITS) <= F.col("_border"))
+    return bounded.where(inside).drop("_border", "_group")
+
+
 def running_total(
     df: DataFrame,
     value: str,

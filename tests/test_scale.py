@@ -33,6 +33,54 @@ def test_rank_equals_row_number(spark, skewed, groups):
     assert rows(scale.rank_in_groups(skewed, groups, ["ord"], "k", slices=6)) == rows(plain)
 
 
+@pytest.mark.parametrize("n", [1, 7, 100, 2000])
+@pytest.mark.parametrize("measured", [False, True])
+def test_first_in_groups_equals_row_number(spark, skewed, n, measured, monkeypatch):
+    monkeypatch.setattr(scale, "NODE_ROWS", 10)
+    window = Window.partitionBy("g").orderBy("ord")
+    plain = skewed.withColumn("k", F.row_number().over(window).cast("bigint")).where(F.col("k") <= n)
+    largest = scale.largest_group(skewed, ["g"]) if measured else None
+    assert largest in (None, 666)
+    assert rows(scale.first_in_groups(skewed, ["g"], ["ord"], n, "k", largest)) == rows(plain)
+
+
+@pytest.mark.parametrize("n, largest", [(1_000_000, 70_000_000), (8, 3_000_000_000), (120, 99), (1, 0), (300_000, 10**12)])
+def test_no_slice_takes_more_than_its_room(n, largest):
+    """Slices that meet bring n rows each; the first ones share the group."""
+    fan, levels = scale.tree_of_slices(n, largest)
+    room = max(2 * n, scale.NODE_ROWS)
+    assert largest / (levels or [1])[0] <= 0.75 * room or largest <= 0.75 * room
+    for below, above in zip(levels, [*levels[1:], 1]):
+        assert fan * n <= room and -(-below // fan) == above
+    assert len(levels) <= 25
+
+
+def test_first_million_of_one_group(spark):
+    """The measured slices of a group of 3 million rows hold at most 2 n rows at every level."""
+    n, all_rows = 1_000_000, spark.range(3_000_000).select((F.col("id") * 7919 % 3_000_017).alias("ord"))
+    fan, levels = scale.tree_of_slices(n, 3_000_000)
+    first = all_rows.groupBy(F.pmod(F.xxhash64("ord"), F.lit(levels[0]))).count().agg(F.max("count")).first()[0]
+    assert first <= 2 * n and fan * n <= 2 * n
+    got = scale.first_in_groups(all_rows, [], ["ord"], n, "k", 3_000_000)
+    want = all_rows.orderBy("ord").limit(n).agg(F.count("*"), F.sum("ord"), F.max("ord")).first()
+    assert got.agg(F.count("*"), F.sum("ord"), F.max("ord")).first() == want
+    assert got.where("k = 1").first()["ord"] == all_rows.agg(F.min("ord")).first()[0]
+
+
+@pytest.mark.parametrize("n", [1, 30, 5000])
+def test_smallest_hashes(spark, n):
+    """Every row among the n smallest is kept, hardly any other one, in groups of all sizes and without one."""
+    hashed = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, (F.col("id") % 50).cast("string")).alias("g"),
+        F.md5(F.col("id").cast("string")).alias("h"),
+    )
+    place = Window.partitionBy("g").orderBy("h")
+    first = hashed.withColumn("k", F.row_number().over(place)).where(F.col("k") <= n)
+    want = {(r["g"], r["h"]) for r in first.collect()}
+    got = [(r["g"], r["h"]) for r in scale.smallest_in_groups(hashed, ["g"], "h", n).collect()]
+    assert want <= set(got) and len(got) <= len(want) + 3 and len(got) == len(set(got))
+
+
 def test_a_hot_group_spans_several_slices(spark, skewed):
     cut = skewed.repartitionByRange(6, "g", "ord").withColumn("s", F.spark_partition_id())
     assert cut.where("g = 'hot'").select("s").distinct().count() > 2
