@@ -32,8 +32,13 @@ def number_batches(
     )
 
 
-def batch_table(items: DataFrame, groups: Sequence[str] = tuple(KEY)) -> DataFrame:
-    """One row per batch: its numbered lines, its size and the number of batches of its group."""
+def batch_table(
+    items: DataFrame, groups: Sequence[str] = tuple(KEY), beside: DataFrame | None = None
+) -> DataFrame:
+    """One row per batch: its numbered lines, its size and the number of batches of its group.
+
+    ``beside`` has one row for some groups; its columns come along, batches of other groups go.
+    """
     groups = list(groups)
     line = F.struct("pos", F.concat((F.col("pos") + 1).cast("string"), F.lit(". "), "goods_shipped"))
     batches = items.groupBy(*groups, "batch_no").agg(
@@ -43,8 +48,11 @@ def batch_table(items: DataFrame, groups: Sequence[str] = tuple(KEY)) -> DataFra
     if not groups:
         total = batches.agg(F.count("*")).scalar()
         return batches.withColumn("total_batches", total)
-    totals = batches.groupBy(*groups).agg(F.count("*").alias("total_batches"))
-    return batches.join(totals, groups)
+    # Lines are not needed for the totals, so they are counted from the items alone.
+    totals = items.select(*groups, "batch_no").distinct().groupBy(*groups).agg(F.count("*").alias("total_batches"))
+    of_group = totals if beside is None else totals.join(beside, groups)
+    counts = totals.withColumnRenamed("total_batches", "_rows")
+    return skew_join(batches, of_group, groups, spread_by=["batch_no"], counts=counts)
 
 
 def first_goods(rows: DataFrame, n: int | None, ord_column: str = "ord") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shiplabel.functions import text as X
 from shiplabel.operators.batches import batch_table
 from shiplabel.operators.dictionary import KEY
+from shiplabel.operators.scale import skew_join
 
 # --- fixed values -----------------------------------------------------------
 VALUE_PREVIEW = 25
@@ -29,6 +30,9 @@ ATTRIBUTE_ANSWER = (
     'Answer with JSON only: {"items": [{"item_preview": first 30 characters, '
     '"attributes": {...}}, ...]}, in order.'
 )
+# What the reply holds for an item, and for an attribute beside its name.
+REPLY_ITEM = '{"item_preview": "' + 30 * "." + '", "attributes": {}}, '
+REPLY_VALUE = '"": {"value": ""}, '
 PRODUCT_INFERENCE_TASK = "Propose product categories for the sampled descriptions of heading "
 ATTRIBUTE_INFERENCE_TASK = "Propose attributes and their values for the product "
 
@@ -70,7 +74,10 @@ def product_guides(
     preview: int = VALUE_PREVIEW,
     open_list: bool = True,
 ) -> DataFrame:
-    """``hs_code, product, definitions, previews, reply_schema`` for every product."""
+    """``hs_code, product, definitions, previews, reply_schema, reply_chars`` for every product.
+
+    ``reply_chars`` is the length of an item's reply with empty values.
+    """
     place = Window.partitionBy(*KEY, "attr").orderBy("value_ord")
     previewed = (
         attr_dict.withColumn("_nth", F.row_number().over(place))
@@ -104,11 +111,14 @@ def product_guides(
             F.concat(F.lit("- "), "attr", F.lit(": "), meaning).alias("definition"),
             shown.alias("preview"),
             property_.alias("property"),
+            "attr",
         ).alias("g"),
     )
     whole = rows.groupBy(*KEY).agg(F.array_sort(F.collect_list("g")).alias("g"))
+    lengths = F.transform("g.attr", lambda a: F.length(a) + len(REPLY_VALUE))
     return whole.select(
         *KEY,
+        (F.aggregate(lengths, F.lit(0), lambda total, n: total + n) + len(REPLY_ITEM)).alias("reply_chars"),
         F.array_join("g.definition", "\n").alias("definitions"),
         F.array_join("g.preview", "\n").alias("previews"),
         F.concat(
@@ -121,41 +131,78 @@ def product_guides(
     )
 
 
-def attribute_requests(
+def attribute_request_tables(
     items: DataFrame,
     attr_dict: DataFrame,
     attr_defs: DataFrame | None = None,
     *,
     open_list: bool = True,
-) -> DataFrame:
-    """One request per attribute batch; give it the items of unresolved batches only."""
-    spark = attr_dict.sparkSession
+    preview: int = VALUE_PREVIEW,
+) -> tuple[DataFrame, DataFrame]:
+    """Requests that name their guide, and the guides: what a product's batches share is stored once.
+
+    Requests are one short row per batch: ``hs_code, product, batch_no, batch_size, total_batches, lines,
+    guide_key, prompt_chars, tokens, reply_chars``. Guides are ``guide_key, guide, reply_schema``, with the
+    hash of text and schema as their key, so products with the same attributes share one.
+    """
     no_defs = attr_defs is None
     if no_defs:
-        attr_defs = spark.createDataFrame([], "attr_key string, definition string")
-    guides = product_guides(attr_dict, attr_defs, open_list=open_list)
-    batches = batch_table(items).join(guides, KEY)
+        attr_defs = attr_dict.sparkSession.createDataFrame([], "attr_key string, definition string")
+    meaning = [] if no_defs else ["Attributes:", F.col("definitions")]
+    texts = product_guides(attr_dict, attr_defs, preview=preview, open_list=open_list).withColumn(
+        "guide", lines(*meaning, "Allowed values:", F.col("previews"))
+    )
+    # A line of a guide never starts with a brace, the schema always does.
+    keyed = texts.withColumn("guide_key", F.sha2(F.concat_ws("\n", "guide", "reply_schema"), 256))
+    beside = keyed.select(*KEY, "guide_key", "reply_chars", F.length("guide").alias("_guide"))
+    chars = F.length(_prompt(F.lit(""))) + F.col("_guide")
+    asked = (
+        batch_table(items, beside=beside)
+        .withColumn("prompt_chars", chars)
+        .withColumn("tokens", F.floor(F.col("prompt_chars") / 4).cast("bigint"))
+        .select(*KEY, "batch_no", "batch_size", "total_batches", "lines", "guide_key", "prompt_chars", "tokens", "reply_chars")
+    )
+    return asked, keyed.select("guide_key", "guide", "reply_schema").dropDuplicates(["guide_key"])
+
+
+def _prompt(guide: Column) -> Column:
     head = F.concat(
         F.lit("Heading "), "hs_code", F.lit(" | Product "), "product", F.lit(" | Batch "),
         (F.col("batch_no") + 1).cast("string"), F.lit("/"), F.col("total_batches").cast("string"),
     )
-    meaning = [] if no_defs else ["Attributes:", F.col("definitions")]
-    prompt = lines(
-        ATTRIBUTE_TASK, head, *meaning, "Allowed values:", F.col("previews"),
-        "Descriptions:", F.col("lines"), ATTRIBUTE_ANSWER,
-    )
-    return (
-        batches.withColumn("prompt", prompt)
-        .withColumn("tokens", X.token_estimate("prompt"))
-        .select(*KEY, "batch_no", "batch_size", "total_batches", "prompt", "tokens", "reply_schema")
+    return lines(ATTRIBUTE_TASK, head, guide, "Descriptions:", F.col("lines"), ATTRIBUTE_ANSWER)
+
+
+def rendered(asked: DataFrame, guides: DataFrame) -> DataFrame:
+    """Requests with ``prompt`` and ``reply_schema``, as a model reads them; further columns stay."""
+    whole = skew_join(asked, guides, ["guide_key"], spread_by=[*KEY, "batch_no"])
+    return whole.withColumn("prompt", _prompt(F.col("guide"))).drop(
+        "guide", "guide_key", "lines", "prompt_chars", "reply_chars"
     )
 
 
+def attribute_requests(
+    items: DataFrame,
+    attr_dict: DataFrame,
+    attr_defs: DataFrame | None = None,
+    *,
+    open_list: bool = True,
+    preview: int = VALUE_PREVIEW,
+) -> DataFrame:
+    """One request per attribute batch, whole; give it the items of unresolved batches only."""
+    tables = attribute_request_tables(items, attr_dict, attr_defs, open_list=open_list, preview=preview)
+    return rendered(*tables).select(
+        *KEY, "batch_no", "batch_size", "total_batches", "prompt", "tokens", "reply_schema"
+    )
+
+
+def cost_of(prompt_chars: Column, reply: Column) -> Column:
+    return F.floor((prompt_chars + F.coalesce(F.length(reply), F.lit(0))) / 4).cast("bigint")
+
+
 def request_cost(prompt, reply) -> Column:
     """Tokens of a request and its reply where the service reports none."""
-    return F.floor(
-        (F.length(prompt) + F.coalesce(F.length(reply), F.lit(0))) / 4
-    ).cast("bigint")
+    return cost_of(F.length(prompt), reply)
 
 
 def numbered(goods: Column) -> Column:

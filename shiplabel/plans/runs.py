@@ -36,7 +36,8 @@ class Options:
     goods_per_product: int | None = None
     batch_size: int = batches.BATCH_SIZE
     token_budget: int = batches.TOKEN_BUDGET
-    reply_tokens: int = 0  # expected for each item of a reply
+    reply_tokens: int | None = None  # expected for each item of a reply; None: those of a reply with empty values
+    preview: int = requests.VALUE_PREVIEW  # values of an attribute that a request shows
     negation: str = "documented"
     min_len: int = 3
     dictionary_first: bool = True
@@ -131,19 +132,22 @@ def extraction_items(
 
 def extraction_requests(
     items: DataFrame, attr_dict: DataFrame, attr_defs: DataFrame | None, options: Options, used: int = 0
-) -> DataFrame:
-    """Requests for the batches the dictionary did not settle, as far as the budget reaches."""
+) -> tuple[DataFrame, DataFrame]:
+    """Requests for the batches the dictionary did not settle, as far as the budget reaches, and their guides."""
     open_items = items.where(~F.col("resolved"))
-    table = requests.attribute_requests(open_items, attr_dict, attr_defs, open_list=options.open_list)
+    table, guides = requests.attribute_request_tables(
+        open_items, attr_dict, attr_defs, open_list=options.open_list, preview=options.preview
+    )
     # what a reply will cost is only known afterwards; the cut reckons with an expected cost
-    expected = (F.col("batch_size") * options.reply_tokens).cast("bigint")
-    costed = table.withColumn("cost", F.col("tokens") + expected)
+    of_item = F.col("reply_chars") / 4 if options.reply_tokens is None else F.lit(options.reply_tokens)
+    costed = table.withColumn("cost", F.col("tokens") + F.ceil(F.col("batch_size") * of_item).cast("bigint"))
     # running totals need gapless positions; settled batches cost nothing
     every = items.select(*KEY, "batch_no").distinct()
     filled = every.join(costed, [*KEY, "batch_no"], "left").withColumn(
         "cost", F.coalesce("cost", F.lit(0))
     )
-    return batches.within_budget(filled, options.token_budget, used).where("runs AND prompt IS NOT NULL")
+    within = batches.within_budget(filled, options.token_budget, used).where("runs AND tokens IS NOT NULL")
+    return within, guides
 
 
 def extract(
@@ -262,13 +266,16 @@ def extract_stage(
     replied, costs = None, spark.range(0).select(F.col("id").alias("cost"))
     if answer is not None:
         used = 0 if spent is None else spent.agg(F.sum("cost")).first()[0] or 0
-        asked = extraction_requests(items, attr_dict, attr_defs, options, used)
+        asked, guides = extraction_requests(items, attr_dict, attr_defs, options, used)
         publish.write_table(asked, mine("requests"))
+        publish.write_table(guides, mine("guides"))
         asked = spark.read.parquet(mine("requests"))
-        publish.write_table(answer(asked), mine("replies"))
+        # Whole prompts exist only on their way to the model.
+        whole = requests.rendered(asked, spark.read.parquet(mine("guides")))
+        publish.write_table(answer(whole), mine("replies"))
         replied = spark.read.parquet(mine("replies"))
         costs = asked.join(replied, [*KEY, "batch_no"]).select(
-            requests.request_cost("prompt", "reply").alias("cost")
+            requests.cost_of(F.col("prompt_chars"), F.col("reply")).alias("cost")
         )
     publish.write_table(costs, mine("token_usage"))
     number = run_number(_stored(spark, f"{folder}/classified") if options.resume else None, this_run)

@@ -215,6 +215,25 @@ def test_requests_show_previews_and_definitions(spark):
     assert "Definition" not in closed["prompt"]
 
 
+def test_guides_are_stored_once(spark):
+    """Batch rows hold no guide; products with the same attributes share one; rendering gives the whole prompts."""
+    known = dictionary(spark, {"X": [f"v{i:02d}" for i in range(30)], "Y": ["One"]})
+    twin = known.withColumn("product", F.lit("Twin"))
+    batch = items(spark, ["some text", "more of it"], known)
+    both = batch.unionByName(batch.withColumn("product", F.lit("Twin")))
+    asked, guides = Q.attribute_request_tables(both, known.unionByName(twin), preview=3)
+    assert guides.count() == 1 and asked.select("guide_key").distinct().count() == 1
+    stored = asked.drop("hs_code", "product").collect()
+    assert not any("v00" in str(value) for row in stored for value in row)
+    assert "v02 ..." in guides.first()["guide"] and "v03" not in guides.first()["guide"]
+    whole = Q.rendered(asked, guides).collect()
+    assert len(whole) == len(stored) == 2
+    for row in whole:
+        assert row["tokens"] == len(row["prompt"]) // 4 and "- X: v00, v01, v02 ..." in row["prompt"]
+    empty = json.dumps({"item_preview": 30 * ".", "attributes": {a: {"value": ""} for a in "XY"}})
+    assert all(len(empty) <= r["reply_chars"] <= len(empty) + 4 for r in stored)
+
+
 def test_lenient_reading(spark):
     """Repeated keys, values that are no JSON numbers, exact number texts, lists, trailing text."""
     items = spark.createDataFrame(
