@@ -428,6 +428,9 @@ ORACLES["dedup_stats"] = cte(
        round(count(DISTINCT goods_shipped) / count(*), 6) AS ratio FROM shipments""",
 )
 
+for _name in ("profile_shipments", "dedup_stats", "category_distribution"):
+    ORACLES[_name.removesuffix("_shipments") + "_of_deliveries"] = ORACLES[_name]
+
 # --- dictionary matching -----------------------------------------------------
 
 _PER_ROW = f"SELECT ord, hs_code, product, attr, value FROM labelled JOIN chosen USING ({GOODS})"

@@ -13,6 +13,7 @@ from shiplabel.operators import batches as B
 from shiplabel.operators import infer as I
 from shiplabel.operators import labels as L
 from shiplabel.operators import matching as M
+from shiplabel.operators import profiles
 from shiplabel.operators import publish as P
 from shiplabel.operators import replies as R
 from shiplabel.operators import requests as Q
@@ -262,6 +263,31 @@ def dedup_stats(spark, sf_dir):
     return L.dedup_stats(V.shipments(spark, sf_dir))
 
 
+def _recorded(spark: SparkSession, rows: DataFrame, listed=()) -> str:
+    """Profiles of three deliveries (by shipment), the middle one recorded twice."""
+    folder = f"{checkpoint_folder(spark)}/profiles-{uuid.uuid4().hex}"
+    for number in (1, 0, 1, 2):
+        mine = rows.where(F.pmod(F.col("shipment_id").cast("bigint"), F.lit(3)) == number)
+        profiles.record(mine, folder, f"d{number}", listed=listed)
+    return folder
+
+
+@query
+def profile_of_deliveries(spark, sf_dir):
+    """The profile of all shipments, from what their deliveries left; rows are not read again."""
+    return profiles.profile(spark, _recorded(spark, S.clean(V.shipments(spark, sf_dir))))
+
+
+@query
+def dedup_stats_of_deliveries(spark, sf_dir):
+    return profiles.dedup_stats(spark, _recorded(spark, V.shipments(spark, sf_dir), ("category",)))
+
+
+@query
+def category_distribution_of_deliveries(spark, sf_dir):
+    return profiles.distribution(spark, _recorded(spark, V.shipments(spark, sf_dir), ("category",)))
+
+
 # --- dictionary matching -----------------------------------------------------
 
 
