@@ -37,6 +37,9 @@ CASE_CHANGE = "([a-z0-9])([A-Z])"
 NO_VALUE = "None"
 # ----------------------------------------------------------------------------
 
+# Hexadecimal digits that tell files of products apart whose names are cut.
+FILE_HASH_DIGITS = 12
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -96,15 +99,27 @@ def soft_text(c) -> Column:
     return F.translate(F.lower(_col(c)), SOFT_PUNCTUATION, " " * len(SOFT_PUNCTUATION))
 
 
-def sanitize_filename(c) -> Column:
+def _file_stem(c) -> Column:
     safe = F.regexp_replace(_col(c), r"[^\p{L}\p{N} _-]", "_")
-    stem = F.substring(F.regexp_replace(F.trim(safe), " +", "_"), 1, FILE_STEM_LIMIT)
+    return F.regexp_replace(F.trim(safe), " +", "_")
+
+
+def sanitize_filename(c) -> Column:
+    stem = F.substring(_file_stem(c), 1, FILE_STEM_LIMIT)
     return F.when(stem == "", EMPTY_FILE_STEM).otherwise(stem)
 
 
 def product_file(hs, product) -> Column:
-    """Name of the per-product file of a (heading, product)."""
-    return F.concat(F.lit("hs_"), _col(hs), F.lit("_"), sanitize_filename(product), F.lit(".csv"))
+    """Name of the per-product file of a (heading, product).
+
+    Of a product whose name is cut, the last characters give way to a hash of the whole
+    name, so products that begin alike keep files of their own.
+    """
+    mark = F.concat(F.lit("_"), F.substring(F.sha2(_col(product), 256), 1, FILE_HASH_DIGITS))
+    own = F.concat(F.substring(sanitize_filename(product), 1, FILE_STEM_LIMIT - FILE_HASH_DIGITS - 1), mark)
+    cut = F.length(_file_stem(product)) > FILE_STEM_LIMIT
+    stem = F.when(cut, own).otherwise(sanitize_filename(product))
+    return F.concat(F.lit("hs_"), _col(hs), F.lit("_"), stem, F.lit(".csv"))
 
 
 def product_from_file(c) -> Column:

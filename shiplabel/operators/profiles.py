@@ -1,6 +1,6 @@
 """Profiles that add up: each delivery leaves its counts, sketches and distinct values, and a profile adds those.
 
-``record`` reads the rows of one delivery, once, and writes below ``folder``:
+``record`` reads the rows of one delivery, once for each of two tables below ``folder``:
 
 * ``counts``: one row with the number of rows, the filled cells and a sketch of the distinct values of each column,
 * ``values``: how often each distinct value occurs, under a hash of 128 bits; the text stays only for ``listed`` columns.
@@ -61,8 +61,8 @@ def record(
 ) -> None:
     """Write what a delivery adds to the profile. ``listed`` columns are counted value by value as well.
 
-    All deliveries of a folder take the same columns. The counts are written last: a delivery
-    whose recording stopped before has no part in a profile.
+    All deliveries of a folder take the same columns. The counts are written last: a new delivery
+    whose recording stopped before has no part in a profile. If recording one again stops, repeat it.
     """
     if delivery == "" or "/" in delivery:
         raise ValueError(f"a delivery's name is part of a path, not {delivery!r}")

@@ -82,17 +82,23 @@ def per_product(rows: DataFrame, attrs: Sequence[str], flags: bool = False) -> D
     )
 
 
-def nested_records(classified: DataFrame, lists: DataFrame) -> DataFrame:
+def nested_records(classified: DataFrame, lists: DataFrame, raw: bool = False) -> DataFrame:
     """One JSON record per description (and part of its shipment list).
 
     ``key`` is ``heading::product``; the records of a key form its classification
-    list. No product is ever gathered into one document.
+    list. No product is ever gathered into one document. ``raw`` adds ``raw_attributes``: values as
+    the reply gave them, before they were normalised; what is no JSON value there stays a text.
     """
+    spelled = F.transform_values(
+        "raw_attributes", lambda _, v: F.coalesce(F.try_parse_json(v), v.cast("variant"))
+    )
+    as_replied = [spelled.alias("raw_attributes")] if raw else []
     record = F.struct(
         "goods_shipped",
         "attributes",
         F.when(F.size("custom_attributes") > 0, F.col("custom_attributes")).alias("custom_attributes"),
         F.when(F.size("heuristic_filled") > 0, F.col("heuristic_filled")).alias("heuristic_filled"),
+        *as_replied,
         "shipment_ids",
     )
     joined = classified.join(lists, GOODS, "left").withColumn(

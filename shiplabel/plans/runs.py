@@ -45,6 +45,7 @@ class Options:
     heuristic_fill: bool = True
     open_list: bool = True
     custom_flags: bool = False
+    raw_values: bool = False  # nested records show values as the reply gave them, too
     strategy: str = "auto"
     negation_window: int = NEGATION_WINDOW
     # first values in a column summary; cuts of what replies and columns propose (None: no cut)
@@ -331,7 +332,7 @@ def publish_stage(
     ordered = spark.read.schema(flat.schema).parquet(f"{base}/flat")
     lists = publish.goods_to_shipments(pairs.withColumn("ord", read), part_size=publish.PART_SIZE)
     tables = {
-        "nested": lambda: publish.nested_records(classified, lists),
+        "nested": lambda: publish.nested_records(classified, lists, options.raw_values),
         "completed": lambda: publish.completed_products(classified),
         "validation": lambda: replies.validation_stats(classified),
         "metadata": lambda: publish.run_metadata(

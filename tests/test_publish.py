@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from shiplabel.functions import text as X
 from shiplabel.operators import publish as P
 from shiplabel.plans.views import ATTR_DICT_SCHEMA
 from shiplabel.sources import config as C
@@ -310,3 +311,38 @@ def test_attribute_definitions(spark, tmp_path):
     path.write_text("{broken")
     assert C.read_attribute_definitions(spark, str(path)).collect() == []
     assert C.read_attribute_definitions(spark, str(tmp_path / "none.json")).collect() == []
+
+
+def test_raw_values_are_published_on_demand(spark):
+    """Numbers, truth values and objects keep their form; a text that is no JSON value stays one; settled rows have none."""
+    raw = {"X": '"Red"', "N": "85.5", "T": "true", "O": '{"value":"q"}', "W": "no json", "E": None}
+    classified = spark.createDataFrame(
+        [("0901", "Tea", "a", {"X": "Red"}, ["X"], [], raw), ("0901", "Tea", "b", {"X": "Red"}, [], [], None)],
+        "hs_code string, product string, goods_shipped string, attributes map<string,string>, "
+        "custom_attributes array<string>, heuristic_filled array<string>, raw_attributes map<string,string>",
+    )
+    pairs = spark.createDataFrame(
+        [("0901", "Tea", "a", 0, ["s1"])],
+        "hs_code string, product string, goods_shipped string, part long, shipment_ids array<string>",
+    )
+    read = lambda **o: {
+        r["goods_shipped"]: json.loads(r["record"]) for r in P.nested_records(classified, pairs, **o).collect()
+    }
+    whole = read(raw=True)
+    spelled = whole["a"].pop("raw_attributes")
+    assert (spelled["X"], spelled["N"], spelled["T"], spelled["O"]) == ("Red", 85.5, True, {"value": "q"})
+    assert spelled["W"] == "no json" and spelled.get("E") is None
+    assert "raw_attributes" not in whole["b"] and whole == read()
+    assert whole["a"]["custom_attributes"] == ["X"] and whole["a"]["shipment_ids"] == ["s1"]
+
+
+def test_products_that_begin_alike_keep_their_files(spark):
+    long = "x" * 120
+    names = [long, long + "a", long + "b", "y" * 119 + "  z", "  ", "Tea/Green"]
+    rows = spark.createDataFrame([("0901", n) for n in names], "hs string, product string")
+    files = [r[0] for r in rows.select(X.product_file("hs", "product")).collect()]
+    assert len(set(files)) == len(names)
+    assert files[0] == f"hs_0901_{long}.csv" and files[4:] == ["hs_0901_product.csv", "hs_0901_Tea_Green.csv"]
+    assert all(len(f) <= len("hs_0901_.csv") + 120 for f in files)
+    again = [r[0] for r in rows.select(X.product_file("hs", "product")).collect()]
+    assert again == files
