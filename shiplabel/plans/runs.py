@@ -45,6 +45,7 @@ class Options:
     heuristic_fill: bool = True
     open_list: bool = True
     custom_flags: bool = False
+    dedup_shipments: bool = False  # list a shipment once for a description, however many rows name both
     raw_values: bool = False  # nested records show values as the reply gave them, too
     strategy: str = "auto"
     negation_window: int = NEGATION_WINDOW
@@ -288,6 +289,8 @@ def extract_stage(
     seen = skew_join(
         rows.select(*GOODS, "shipment_id", "ord"), done.distinct(), GOODS, "left_semi", spread_by=["shipment_id", "ord"]
     )
+    if options.dedup_shipments:
+        seen = seen.groupBy(*GOODS, "shipment_id").agg(F.min("ord").alias("ord"))
     added = seen if pairs is None else publish.new_shipments(pairs, seen, "ord")
     publish.write_table(added.withColumn("run_no", F.lit(number)), mine("goods_shipments"))
 

@@ -138,6 +138,37 @@ def test_run_with_answers(spark, tmp_path):
     assert more["metadata"].first()["token_usage"] == meta["token_usage"]
 
 
+def test_options_of_requests_and_records(spark, tmp_path):
+    """Stored requests name their guide; shipments are listed once and raw values published on demand; replies count."""
+    known = spark.createDataFrame(
+        [("9011", "ECONOMY", "Color", 0, v, i) for i, v in enumerate(["Red", "Blue", "Green"])], V.ATTR_DICT_SCHEMA
+    )
+    raw = spark.createDataFrame(
+        [(i, "9011", f"economy box {i % 2}", f"s{i % 3}") for i in range(12)],
+        "ord long, hs_code string, goods_shipped string, shipment_id string",
+    )
+    item = '{"attributes":{"Color":{"custom":"Teal"}}}'
+
+    def answer(asked):
+        assert {"prompt", "reply_schema", "tokens"} <= set(asked.columns) and "guide_key" not in asked.columns
+        assert "- Color: Red, Blue ..." in asked.first()["prompt"]
+        return asked.select("hs_code", "product", "batch_no", F.lit('{"items":[' + item + "," + item + "]}").alias("reply"))
+
+    chosen = runs.Options(preview=2, dedup_shipments=True, raw_values=True)
+    tables = runs.run(
+        spark, raw, f"{tmp_path}/out", run_id="r", attr_dict=known, definition=[("ECONOMY", "box")], answer=answer, options=chosen
+    )
+    stored = spark.read.parquet(f"{tmp_path}/out/requests/run=id-r")
+    assert "prompt" not in stored.columns and spark.read.parquet(f"{tmp_path}/out/guides/run=id-r").count() == 1
+    row = stored.first()
+    assert row["cost"] == row["tokens"] + -(-2 * row["reply_chars"] // 4)
+    records = [json.loads(r["record"]) for r in tables["nested"].orderBy("goods_shipped").collect()]
+    assert [r["shipment_ids"] for r in records] == [["s0", "s2", "s1"], ["s1", "s0", "s2"]]
+    assert all(r["raw_attributes"] == {"Color": {"custom": "Teal"}} for r in records), records
+    spent = spark.read.parquet(f"{tmp_path}/out/token_usage/run=id-r").first()["cost"]
+    assert spent == (row["prompt_chars"] + len('{"items":[,]}') + 2 * len(item)) // 4
+
+
 def test_inferred_run(spark, tmp_path):
     kinds = {"product_categories": [{"name": "Red Goods", "description": "red"}, {"name": "Blue Goods", "description": "blue"}]}
     kind = {"attributes": [{"name": "item", "definition": "What.", "values": ["ring", "rod", "gear", "bolt"]}]}
