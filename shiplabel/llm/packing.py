@@ -25,10 +25,12 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -48,49 +50,25 @@ K1, B = 1.2, 0.75
 SHARD_TOKENS = 1_000_000
 SHARD_DOCS = 512
 PARTITION_TOKENS = 6_000_000
-# Distinct words whose ids are remembered inside a task.
-REMEMBERED = 600_000
-
-
-class _Words(dict):
-    """Ids of a word as bytes, encoded when first met; forgets all when it holds too many.
-
-    Signs after letters are cut off by the tokenizer, too, so they are looked up apart.
-    """
-
-    SIGNED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]+)")
-
-    def __init__(self, encode, before: str, signs: "_Words | None" = None):
-        super().__init__()
-        self.encode, self.before, self.signs = encode, before, self if signs is None else signs
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        parts = self.SIGNED.fullmatch(word)
-        if parts:
-            got = self[parts[1]] + self.signs[parts[2]]
-        else:
-            got = array("H", self.encode(self.before + word)).tobytes()
-        self[word] = got
-        return got
+# Characters of texts that are encoded together.
+TOGETHER = 8_000_000
 
 
 class Encoder:
     """Token ids of whole texts as packed unsigned 16-bit numbers.
 
     Byte-level BPE cuts a text before it merges, and in plain text it cuts at every space (which
-    goes with the word after it) and at every single line break. So words can be encoded apart
-    and remembered. Texts with other white space, runs of it, or letters beyond Latin are encoded
-    as a whole, by the tokenizer itself.
+    goes with the word after it) and at every single line break. So these pieces can be encoded
+    apart: each distinct one of many texts once, all in one call, a line break between them. Texts
+    with other white space, runs of it, or letters beyond Latin are encoded as a whole, by the
+    tokenizer itself.
     """
 
     PLAIN = re.compile("[\n -~¡-¬®-ɏ]*")
 
     def __init__(self, tokenizer: str = TOKENIZER, ranks: str | None = RANKS):
-        self.path, self.whole = tokenizer, None
+        self.path, self.whole, self.fast = tokenizer, None, None
         if ranks is None:
-            self.words = None
             return
         import base64
 
@@ -98,10 +76,8 @@ class Encoder:
 
         with open(ranks, "rb") as lines:
             merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        fast = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
-        self.first = _Words(fast.encode_ordinary, "")
-        self.words = _Words(fast.encode_ordinary, " ", self.first)
-        self.line = self.first["\n"]
+        self.fast = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
+        (self.line,) = self.fast.encode_ordinary("\n")
 
     def by_tokenizer(self, text: str) -> bytes:
         if self.whole is None:
@@ -113,35 +89,89 @@ class Encoder:
                 raise ValueError("token ids must fit into 16 bits")
         return array("H", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def plain(self, text: str) -> bool:
+        return (
+            self.fast is not None
+            and "  " not in text
+            and "\n " not in text
+            and " \n" not in text
+            and "\n\n\n" not in text
+            and not text.endswith((" ", "\n\n"))
+            and self.PLAIN.fullmatch(text) is not None
+        )
+
+    def by_pieces(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of plain texts. They hold no control characters: a zero marks the cuts, a one stands for a line break."""
+        cut = pc.split_pattern(pa.array([t.replace(" ", "\0 ").replace("\n", "\0\1\0") for t in texts], pa.string()), "\0")
+        words = cut.flatten().dictionary_encode()
+        empty, line = pc.equal(words.dictionary, ""), pc.equal(words.dictionary, "\1")
+        # No two line breaks may meet, so an empty piece is not joined as it is.
+        apart = pc.if_else(empty, "\1", words.dictionary)
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(apart)], apart), "\n")[0].as_py()
+        ids = np.append(self.fast.encode_to_numpy(joined).astype(np.uint16), np.uint16(self.line))
+        stops = np.flatnonzero(ids == self.line)
+        firsts = np.concatenate([[0], stops[:-1] + 1])
+        sizes = stops - firsts
+        line = line.to_numpy(zero_copy_only=False)
+        firsts[line], sizes[line] = len(ids) - 1, 1
+        sizes[empty.to_numpy(zero_copy_only=False)] = 0
+        which = words.indices.to_numpy()
+        n = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        at = np.arange(ends[-1]) + np.repeat(firsts[which] - ends[:-1], n)
+        found = ids[at]
+        for first, last in pairwise(ends[cut.offsets.to_numpy()].tolist()):
+            yield found[first:last].tobytes()
+
+    def parts(self, text: str) -> Iterator[str]:
+        """A plain text in parts of about TOGETHER characters, cut before spaces."""
+        start = 0
+        while len(text) - start > 2 * TOGETHER and (stop := text.find(" ", start + TOGETHER)) > 0:
+            yield text[start:stop]
+            start = stop
+        yield text[start:]
+
     def __call__(self, text: str) -> bytes:
-        if (
-            self.words is None
-            or "  " in text
-            or "\n " in text
-            or " \n" in text
-            or "\n\n\n" in text
-            or text.endswith((" ", "\n\n"))
-            or not self.PLAIN.fullmatch(text)
-        ):
+        if not self.plain(text):
             return self.by_tokenizer(text)
-        out = []
-        for line in text.split("\n"):
-            head, *rest = line.split(" ")
-            if head:
-                out.append(self.first[head])
-            out.extend(map(self.words.__getitem__, rest))
-            out.append(self.line)
-        out.pop()
-        return b"".join(out)
+        return b"".join(ids for part in self.parts(text) for ids in self.by_pieces([part]))
+
+    def each(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of every text, in order; plain ones that lie side by side are encoded together."""
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            alone = len(text) > TOGETHER or not self.plain(text)
+            if held and (alone or size + len(text) > TOGETHER):
+                yield from self.by_pieces(held)
+                held, size = [], 0
+            if alone:
+                yield self(text)
+            else:
+                held.append(text)
+                size += len(text)
+        if held:
+            yield from self.by_pieces(held)
+
+
+def distinct(ids: np.ndarray) -> np.ndarray:
+    """The distinct numbers, sorted; short numbers sort by radix, which is faster than hashing them."""
+    ids = np.sort(ids, kind="stable")
+    first = np.ones(len(ids), bool)
+    np.not_equal(ids[1:], ids[:-1], out=first[1:])
+    return ids[first]
 
 
 def _signature(terms: np.ndarray) -> int:
-    """Two MinHash values of the terms, one above the other: like documents sort together."""
+    """Two MinHash values of the terms, one above the other: like documents sort together.
+
+    Long documents have lesser minima, so the minima are mixed once more: no range gets most of the tokens.
+    """
     if not len(terms):
         return 0
     with np.errstate(over="ignore"):
         hashed = [(terms + np.uint64(s)) * np.uint64(m) for s, m in ((1, 0x9E3779B97F4A7C15), (77, 0xC2B2AE3D27D4EB4F))]
-    a, b = (int((h >> np.uint64(33)).min()) for h in hashed)
+    a, b = ((int((h >> np.uint64(33)).min()) * 0x5851F42D4C957F2D >> 16) & 0x7FFFFFFF for h in hashed)
     return a << 31 | b
 
 
@@ -168,9 +198,8 @@ def tokenised(docs: DataFrame, tokenizer: str = TOKENIZER, ranks: str | None = R
         for batch in arriving:
             kind = batch.column("doc_id").type
             values, signatures = [], []
-            for text in batch.column("text"):
-                ids = encode(text.as_py())
-                terms = np.unique(np.frombuffer(ids, np.uint16))
+            for ids in encode.each(text.as_py() for text in batch.column("text")):
+                terms = distinct(np.frombuffer(ids, np.uint16))
                 held[terms] += 1
                 signatures.append(_signature(terms.astype(np.uint64)))
                 values.append(ids + END.to_bytes(2, "little"))
@@ -263,7 +292,7 @@ class Packer:
                     self.query, scores = (self.terms(docs[pick]) if start < len(docs[pick]) else None), None
 
     def terms(self, doc: np.ndarray) -> np.ndarray:
-        found = np.unique(doc)
+        found = distinct(doc)
         return found[self.idf[found] > 0]
 
 

@@ -11,12 +11,27 @@ def test_ids_are_the_tokenizers():
     encode = packing.Encoder()
     rng = random.Random(5)
     parts = ["a", "The", "é", "ß", " ", "\n", "'s", "12", ".", ",", '"', "\t", "日", "🙂", "Ñ", "-", "²", "\r", "don't", "_", "\xa0", "%%%", "|", "<|endoftext|>"]
-    for _ in range(4000):
-        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
-        assert encode(text) == encode.by_tokenizer(text) == packing.Encoder.by_tokenizer(encode, text), text
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(4000)]
+    for text, together in zip(texts, encode.each(texts), strict=True):
+        assert encode(text) == together == encode.by_tokenizer(text), text
     assert packing.Encoder(ranks=None)("The house, é") == encode("The house, é")
 
 
+def test_long_texts_are_cut_between_pieces(monkeypatch):
+    monkeypatch.setattr(packing, "TOGETHER", 50)
+    encode = packing.Encoder()
+    rng = random.Random(6)
+    texts = ["", " a", "x" * 300, *(prose(rng, n, "en") for n in (1, 5, 9, 200, 3, 40)), "a\nb, c\n\nd " * 40 + "e"]
+    assert list(encode.each(texts)) == [encode.by_tokenizer(t) for t in texts]
+
+
+def test_distinct():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 500):
+        ids = rng.integers(0, 50, n).astype(np.uint16)
+        assert (packing.distinct(ids) == np.unique(ids)).all()
+
+
 def test_every_token_once(spark):
     encode = packing.Encoder()
     rows = odd_rows()
