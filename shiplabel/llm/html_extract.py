@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
@@ -48,16 +49,26 @@ CLOSES = {
 }
 SCOPE = set("html body article section main nav aside header footer div table ul ol dl form blockquote figure td th li".split())
 
+# Ancestors of a block that give it features, the nearest ones.
+DEPTH = 64
+
 WORDS_IN_NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Blocks(HTMLParser):
-    """Collects (text, path, parent, share of linked characters); a path lists (tag, name words)."""
+    """Collects (text, path, parent, share of linked characters); a path lists (tag, name words).
+
+    A path has the DEPTH nearest ancestors that are no inline elements, so a block costs the same
+    however many elements a page leaves open.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.found: list[tuple[str, tuple, int, float]] = []
-        self.open: list[tuple[str, tuple[str, ...], int]] = []
+        self.open: list[str] = []
+        self.count: Counter[str] = Counter()
+        # The open elements that are not inline, with name words and a number each.
+        self.outer: list[tuple[str, tuple[str, ...], int]] = []
         self.held: list[str] = []
         self.linked = 0
         self.links = 0
@@ -68,16 +79,15 @@ class Blocks(HTMLParser):
         if self.held:
             text = " ".join("".join(self.held).split())
             if text:
-                path = tuple((tag, names) for tag, names, _ in self.open if tag not in INLINE)
-                parents = [n for tag, _, n in self.open if tag not in INLINE]
-                parent = parents[-2] if len(parents) > 1 else 0
+                path = tuple((tag, names) for tag, names, _ in self.outer[-DEPTH:])
+                parent = self.outer[-2][2] if len(self.outer) > 1 else 0
                 self.found.append((text, path, parent, min(1.0, self.linked / len(text))))
             self.held, self.linked = [], 0
 
     def end_head(self, anywhere: bool) -> None:
         """The end tag of a head may be missing."""
         for at in range(len(self.open) - 1, -1 if anywhere else max(-1, len(self.open) - 2), -1):
-            if self.open[at][0] == "head":
+            if self.open[at] == "head":
                 self.leave(at)
                 return
 
@@ -87,10 +97,13 @@ class Blocks(HTMLParser):
         if tag not in INLINE:
             self.flush()
             ended = CLOSES.get(tag, set()) | {"p"}
-            for at in range(len(self.open) - 1, -1, -1):
-                if self.open[at][0] in ended:
+            left = sum(self.count[e] for e in ended)
+            at = len(self.open)
+            while left and (at := at - 1) >= 0:
+                if self.open[at] in ended:
                     self.leave(at)
-                elif self.open[at][0] in SCOPE:
+                    left -= 1
+                elif self.open[at] in SCOPE:
                     break
         elif tag == "br":
             self.held.append(" ")
@@ -103,25 +116,33 @@ class Blocks(HTMLParser):
             elif key == "hidden" or key == "style" and value and "display:none" in value.replace(" ", "").lower():
                 names += ("hidden",)
         self.serial += 1
-        self.open.append((tag, names, self.serial))
+        self.open.append(tag)
+        self.count[tag] += 1
+        if tag not in INLINE:
+            self.outer.append((tag, names, self.serial))
         self.links += tag == "a"
         self.silent += tag in SILENT
 
     def handle_endtag(self, tag):
         if tag not in INLINE:
             self.flush()
+        if not self.count[tag]:
+            return
         for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
+            if self.open[at] == tag:
                 self.leave(at)
                 return
             # The end of a phrase never ends a section around it.
-            if tag in INLINE and self.open[at][0] in SCOPE:
+            if tag in INLINE and self.open[at] in SCOPE:
                 return
 
     def leave(self, at: int) -> None:
-        for tag, _, _ in self.open[at:]:
+        for tag in self.open[at:]:
+            self.count[tag] -= 1
             self.links -= tag == "a"
             self.silent -= tag in SILENT
+            if tag not in INLINE:
+                self.outer.pop()
         del self.open[at:]
 
     def handle_data(self, data):
@@ -136,6 +157,9 @@ class Blocks(HTMLParser):
 def blocks_of(html: str) -> list[tuple[str, tuple, int, float]]:
     reader = Blocks()
     reader.feed(html)
+    # A comment without an end hides the rest of the page.
+    if reader.rawdata.startswith("<!--"):
+        reader.rawdata = ""
     reader.close()
     reader.flush()
     return reader.found
@@ -278,6 +302,13 @@ def labelled_page(number: int, seed: int = 11) -> tuple[str, list[str]]:
         main.append(text)
         return rng.choice(["<blockquote><p>{}</p></blockquote>", "<pre>{}</pre>", "<table><tr><td>{}</td></tr></table>", "<figure><figcaption>{}</figcaption></figure>", "<div>{}</div>"]).format(text)
 
+    dark = random.Random(f"hidden {seed} {number}")
+
+    def hidden() -> str:
+        text = " ".join("".join(dark.choices("abcdefghilmnoprstuvz", k=dark.randint(2, 9))) for _ in range(dark.randint(4, 60)))
+        tag, how = dark.choice(["p", "div", "span"]), dark.choice(["hidden", 'style="display:none"', 'style="color:red; display: none;"'])
+        return f"<div {how}><p>{text}.</p></div>" if tag == "span" else f"<{tag} {how}>{text}.</{tag}>"
+
     before = [boiler(p) for p in rng.sample(["nav", "header", "notice", "ad", "aside", "form", "share"], rng.randint(1, 5))]
     after_kinds = rng.sample(["footer", "aside", "ad", "notice", "form", "nav", "share"], rng.randint(1, 4))
     body = []
@@ -287,6 +318,8 @@ def labelled_page(number: int, seed: int = 11) -> tuple[str, list[str]]:
         body.append(f"<h1>{title}</h1>")
     for _ in range(rng.randint(1, 14)):
         body.append(content())
+        if dark.random() < 0.06:
+            body.append(hidden())
         if rng.random() < 0.16:
             body.append(boiler(rng.choice(["ad", "ad", "notice", "notice", "aside", "share", "form", "nav"])))
     if rng.random() < 0.35:

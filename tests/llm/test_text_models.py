@@ -1,12 +1,13 @@
 """Language, toxicity, licences and page text: held-out accuracy and odd rows."""
 
 import random
+import time
 
 import pytest
 from helpers import clashing, documents, odd_rows, prose
 from pyspark.sql import functions as F
 
-from shiplabel.llm import html_extract, langid, licenses, toxicity
+from shiplabel.llm import common, html_extract, langid, licenses, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -35,6 +36,16 @@ def test_language_odd_rows(spark):
     assert {9, 10, 11, 14, 90}.isdisjoint(r["doc_id"] for r in kept.collect()) and kept.count() == len(rows) - 5
 
 
+def test_samples_of_repeated_ids_are_bounded(spark):
+    docs = spark.range(3000).selectExpr("1L AS doc_id", "concat('the river ', id) AS text", "'en' AS lang")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    assert 50 < toxicity.sample(docs, labels, 100).count() < 160
+    assert 50 < common.hash_sample(docs, ["doc_id", "text"], 100, 7).count() < 160
+    assert langid.train(docs, 100).languages == ["en"]
+    same = docs.withColumn("text", F.lit("the river"))
+    assert toxicity.sample(same, labels, 100).count() <= 1
+
+
 def test_language_without_training_rows(spark):
     docs = documents(spark, [(1, "the river"), (2, None)]).withColumn("lang", F.lit(None).cast("string"))
     assert {r["lang_pred"] for r in langid.identified(docs).collect()} == {"und"}
@@ -250,6 +261,19 @@ def test_open_heads(head):
     assert all("head" not in [tag for tag, _ in b[1]] for b in html_extract.blocks_of(page))
 
 
+def test_malformed_pages():
+    field = html_extract.trained()
+    text = lambda html: html_extract.main_text(f"<html><body><article>{html}", field, {})[0]
+    assert text(f"<p>{LONG}</p><p>{SHORT}</p><!-- open <p>{LONG}</p></article>") == f"{LONG}\n{SHORT}"
+    for how in ("hidden", 'style="display: none"'):
+        assert text(f"<p>{LONG}</p><p {how}>{SHORT} {LONG}</p><p>{SHORT}</p></article>") == f"{LONG}\n{SHORT}"
+    # Elements that are never closed, and ends of elements that never began: time in proportion to the page.
+    for opened in ("<div>x", "<b>x<p>y", "<div class=one>x<span>", "</section>x</i>", "<font><table><td>x"):
+        began = time.process_time()
+        assert html_extract.blocks_of(opened * 40_000)
+        assert time.process_time() - began < 15
+
+
 def test_given_pages(spark):
     """Articles of the given pages, against a reading that knows their one layout."""
     import html as references
