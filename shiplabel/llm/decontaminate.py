@@ -17,7 +17,7 @@ columns as they are.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiplabel.llm.common import text_or_empty, unused, written
+from shiplabel.operators.scale import skew_join
 
 WINDOW = 10
 # Benchmark words per broadcast block: with hashes, words and postings some 60 MB.
@@ -42,6 +43,35 @@ PLAIN = bytes(
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
+def parts_of(text: str | None, most: int, window: int) -> Iterator[tuple[int, list[bytes]]]:
+    """(number of the first word, words) of parts of a text; each repeats the ``window`` - 1 words before it.
+
+    A part has about ``most`` new words: after every 8 * ``most`` bytes it is cut where no word is.
+    """
+    plain = (text or "").encode("utf-8", "surrogatepass").translate(PLAIN)
+    before: list[bytes] = []
+    number = start = 0
+    while start < len(plain):
+        stop = plain.find(b" ", start + 8 * most)
+        stop = len(plain) if stop < 0 else stop
+        words = plain[start:stop].split()
+        yield number - len(before), before + words
+        number += len(words)
+        before = (before + words)[-(window - 1) :] if window > 1 else []
+        start = stop
+
+
+def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order, those that meet united."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(PLAIN).split()
 
@@ -111,13 +141,7 @@ class Windows:
                     raw.setdefault(d, []).append((at - int(starts[d]), at - int(starts[d]) + width))
                     found[d][1].update(items)
         for d, spans in raw.items():
-            merged: list[tuple[int, int]] = []
-            for a, b in sorted(spans):
-                if merged and a <= merged[-1][1]:
-                    merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-                else:
-                    merged.append((a, b))
-            found[d][0].extend(merged)
+            found[d][0].extend(merged(spans))
         return found
 
 
@@ -147,21 +171,31 @@ def _found(docs: DataFrame, items: list[tuple[str | None, str]], window: int, ke
     def batches(arriving: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Windows(shared.value, window)
         for batch in arriving:
-            texts, counts, hits = [], [], []
+            counts = [0] * batch.num_rows
+            hits: list[tuple[list[tuple[int, int]], set[str]]] = [([], set()) for _ in counts]
+            held: list[tuple[int, int, list[bytes]]] = []
+
+            def match():
+                for (row, first, _), (spans, items) in zip(held, table.hits([part for _, _, part in held]), strict=True):
+                    hits[row][0].extend((first + a, first + b) for a, b in spans)
+                    hits[row][1].update(items)
+                held.clear()
+
             size = 0
-            for text in batch.column("__text"):
-                texts.append(words_of(text.as_py()))
-                counts.append(len(texts[-1]))
-                size += counts[-1]
-                if size >= DOC_WORDS:
-                    hits += table.hits(texts)
-                    texts, size = [], 0
-            hits += table.hits(texts)
+            for row, text in enumerate(batch.column("__text")):
+                for first, part in parts_of(text.as_py(), DOC_WORDS, window):
+                    held.append((row, first, part))
+                    counts[row] = first + len(part)
+                    size += len(part)
+                    if size >= DOC_WORDS:
+                        match()
+                        size = 0
+            match()
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(k) for k in keys],
                     pa.array(counts, pa.int64()),
-                    pa.array([[{"start": a, "stop": b} for a, b in h[0]] for h in hits], span),
+                    pa.array([[{"start": a, "stop": b} for a, b in merged(h[0])] for h in hits], span),
                     pa.array([sorted(h[1]) for h in hits], pa.list_(pa.string())),
                 ],
                 [*keys, "n_words", "spans", "items"],
@@ -178,19 +212,21 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block
     parts = [_found(keyed, items, window, keys) for items in blocks(benchmark, block_words)]
     if len(parts) == 1:
         return parts[0]
-    # Several blocks: what they found in a text is united. Repeated rows are found alike and counted here.
+    # Several blocks: what they found in a text is united. Copies are found alike, so one of each is united.
     united = parts[0].withColumn("block", F.lit(0))
     for k, part in enumerate(parts[1:], 1):
         united = united.union(part.withColumn("block", F.lit(k)))
-    grouped = written(united, "hits").groupBy(*keys).agg(
-        F.max("n_words").alias("n_words"),
-        F.count_if(F.col("block") == 0).alias("copies"),
+    text_key = F.xxhash64(F.col("doc_id").isNull(), *keys).alias("key")
+    united = written(united.select(text_key, "*", F.monotonically_increasing_id().alias("row")), "hits")
+    rows = united.where("block = 0").select("key", *keys, "n_words", "row")
+    hit = united.where(F.size("spans") > 0).dropDuplicates(["key", "block"])
+    grouped = hit.groupBy("key").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("sorted"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
     # Spans sorted by start: the furthest stop before a span decides whether it opens a new one.
     empty = F.array().cast("array<struct<start:bigint,stop:bigint>>")
-    merged = F.aggregate(
+    meeting = F.aggregate(
         "sorted",
         empty,
         lambda held, s: F.when(
@@ -206,10 +242,9 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block
             ),
         ).otherwise(F.concat(held, F.array(s))),
     )
-    each = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    return grouped.withColumn("spans", F.when(F.size("sorted") == 0, empty).otherwise(merged)).select(
-        *keys, "n_words", "spans", "items", each.alias("copy")
-    ).drop("copy")
+    found = skew_join(rows, grouped.select("key", meeting.alias("spans"), "items"), ["key"], "left", ["row"])
+    none = F.array().cast("array<string>")
+    return found.select(*keys, "n_words", F.coalesce("spans", empty).alias("spans"), F.coalesce("items", none).alias("items"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:

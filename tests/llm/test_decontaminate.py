@@ -46,6 +46,26 @@ def test_report_against_brute_force(spark, block_words):
     assert sorted((tuple(r) for r in got), key=repr) == want
 
 
+def test_long_texts_are_read_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "DOC_WORDS", 5)
+    test_report_against_brute_force(spark, 500_000)
+    rng = random.Random(4)
+    for text in (None, "", "one", "ä-b " * 40, prose(rng, 300), "x" * 500 + " " + prose(rng, 30)):
+        for window in (1, 4, 10):
+            got = {}
+            for first, part in decontaminate.parts_of(text, 5, window):
+                assert all(got.get(first + i, w) == w for i, w in enumerate(part))
+                got.update((first + i, w) for i, w in enumerate(part))
+            assert [got[i] for i in sorted(got)] == decontaminate.words_of(text) and list(sorted(got)) == list(range(len(got)))
+
+
+def test_copies_and_several_blocks(spark):
+    rows, items, _, benchmark = tables(spark)
+    rows = rows + [(None, rows[-1][1])] * 30 + [(7, rows[-2][1])] * 30
+    got = decontaminate.report(documents(spark, rows), benchmark, block_words=60).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == sorted(((r[0], *brute(r[1], items)) for r in rows), key=repr)
+
+
 @pytest.mark.parametrize("remove", ["spans", "documents"])
 def test_removal(spark, remove):
     rows, items, docs, benchmark = tables(spark)
