@@ -47,16 +47,17 @@ def id_remainder(parts: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def hash_sample(df: DataFrame, key: str, rows: int, salt: int) -> DataFrame:
-    """About ``rows`` rows of ``df`` (all, if it has no more), those whose key hashes low: the same at every run.
+def hash_sample(df: DataFrame, keys: Sequence[str], rows: int, salt: int) -> DataFrame:
+    """About ``rows`` rows of ``df`` (all, if it has no more), those whose keys hash low: the same at every run.
 
-    A filter, so nothing is sorted or moved; the number is binomial around ``rows``.
+    A filter, so nothing is sorted or moved; the number is binomial around ``rows`` if rows differ in
+    their keys. Rows with equal keys are in the sample together or not at all.
     """
     total = df.count()
     if total <= rows:
         return df
     span = 1 << 40
-    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(span)) < span * rows // total)
+    return df.where(F.pmod(F.xxhash64(*keys, F.lit(salt)), F.lit(span)) < span * rows // total)
 
 
 def bit_table(df: DataFrame, name: str, bits: int) -> np.ndarray:

@@ -152,11 +152,10 @@ def chunks(texts: list[str], size: int = CHARS) -> Iterator[list[str]]:
 
 
 def train(labelled: DataFrame, rows: int = TRAIN_ROWS, share: int = SHARE) -> Model:
-    """Fit on ``labelled`` (doc_id, text, lang), about ``rows`` of it."""
+    """Fit on ``labelled`` (doc_id, text, lang), about ``rows`` of it; equal rows count once."""
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    chosen = hash_sample(usable.select("doc_id"), "doc_id", rows, 7).distinct()
-    # About ``rows`` ids: a bounded broadcast, so the texts are read in place.
-    sample = usable.join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", "text")
+    chosen = hash_sample(usable.select("doc_id", "lang", "text"), ["doc_id", "text"], rows, 7)
+    sample = chosen.dropDuplicates().select("lang", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain = letters()
@@ -250,7 +249,7 @@ def least_known(labelled: DataFrame, model: Model, rows: int = TRAIN_ROWS) -> fl
                 some = total > 0
                 yield pa.RecordBatch.from_arrays([pa.array(best[some] / total[some], pa.float64())], ["known"])
 
-    shares = hash_sample(usable, "text", rows, 9).mapInArrow(batches, "known double")
+    shares = hash_sample(usable, ["text"], rows, 9).mapInArrow(batches, "known double")
     return MARGIN * (shares.agg(F.percentile("known", F.lit(1 / STRAYS))).first()[0] or 0.0)
 
 

@@ -197,10 +197,10 @@ def vocabulary() -> list[str]:
 def training_rows(docs: DataFrame) -> DataFrame:
     """(part, label, grams): variants of the templates in ordinary text, and ordinary paragraphs."""
     spark = docs.sparkSession
-    some = hash_sample(docs.select("doc_id", text_or_empty().alias("text")), "doc_id", ORDINARY, 13)
+    some = hash_sample(docs.select("doc_id", text_or_empty().alias("text")), ["doc_id", "text"], ORDINARY, 13)
     lines = some.select(F.explode(F.split("text", "\n")).alias("line")).distinct()
     shingles = [g for g in vocabulary() if g.count(" ") == GRAMS - 1]
-    cut = written(hash_sample(written(lines, "lines"), "line", ORDINARY, 17).select(words(F.col("line")).alias("words")), "words")
+    cut = written(hash_sample(written(lines, "lines"), ["line"], ORDINARY, 17).select(words(F.col("line")).alias("words")), "words")
     number = F.pmod(F.xxhash64("words"), F.lit(VARIANTS * 50)).cast("int")
     # Written before they are filtered: a filter pushed below would cut the line anew for every n-gram.
     ordinary = written(cut.select("words", grams("words").alias("grams"), number.alias("number")), "ordinary")

@@ -201,7 +201,7 @@ def groups(points: np.ndarray, reach: int) -> np.ndarray:
 def links(nodes: DataFrame, reach: int = REACH) -> DataFrame:
     """Stars (a, b) over the distinct longs ``fingerprint`` of ``nodes`` that join all pairs within ``reach``."""
     total = nodes.count()
-    sample = hash_sample(nodes.select("fingerprint"), "fingerprint", SAMPLE, 5).toPandas()["fingerprint"]
+    sample = hash_sample(nodes.select("fingerprint"), ["fingerprint"], SAMPLE, 5).toPandas()["fingerprint"]
     points = sample.to_numpy(np.int64).view(np.uint64)
     tree, _ = plant(points, max(16, SHARD * len(points) // max(total, 1)), reach)
 

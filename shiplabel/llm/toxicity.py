@@ -186,13 +186,15 @@ def held_out() -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(text, toxic) of about ``rows`` labelled documents outside the held-out fold."""
+    """(text, toxic) of about ``rows`` labelled documents outside the held-out fold; equal rows count once."""
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     each = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = hash_sample(each, "doc_id", rows, 3)
+    chosen = hash_sample(each, ["doc_id"], rows, 3)
     # About ``rows`` ids and labels: a bounded broadcast, so the texts are read in place.
     texts = docs.select("doc_id", text_or_empty().alias("text"))
-    return written(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "labelled")
+    found = written(texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(), "labelled")
+    # One id may stand for any number of texts.
+    return hash_sample(found, ["doc_id", "text"], rows, 4).select("text", "toxic")
 
 
 def learn(labelled: DataFrame) -> tuple[dict[bytes, float], dict[bytes, float]]:
