@@ -43,7 +43,7 @@ STRAYS = 1000
 MARGIN = 0.5
 SURE = 3.0
 # Code points handled at once inside a task.
-CHARS = 4_000_000
+CHARS = 1_000_000
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -163,17 +163,16 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS, share: int = SHARE) -> Mo
             langs = np.array(batch.column("lang").to_pylist(), dtype=object)
             texts = np.array(batch.column("text").to_pylist(), dtype=object)
             for lang in sorted(set(langs)):
-                own = texts[langs == lang]
-                found = [grams(part, plain)[0] for part in chunks(list(own))]
-                gram, count = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * (len(gram) + 1), pa.string()),
-                        pa.array([None, *gram.view(np.int64)], pa.int64()),
-                        pa.array([len(own), *count], pa.int64()),
-                    ],
-                    ["lang", "gram", "n"],
-                )
+                for part in chunks(list(texts[langs == lang])):
+                    gram, count = np.unique(grams(part, plain)[0], return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([lang] * (len(gram) + 1), pa.string()),
+                            pa.array([None, *gram.view(np.int64)], pa.int64()),
+                            pa.array([len(part), *count], pa.int64()),
+                        ],
+                        ["lang", "gram", "n"],
+                    )
 
     counts = (
         sample.mapInArrow(counted, "lang string, gram long, n long")

@@ -51,7 +51,7 @@ SHARD_TOKENS = 1_000_000
 SHARD_DOCS = 512
 PARTITION_TOKENS = 6_000_000
 # Characters of texts that are encoded together.
-TOGETHER = 8_000_000
+TOGETHER = 4_000_000
 
 
 class Encoder:
