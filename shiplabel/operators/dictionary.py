@@ -38,6 +38,9 @@ DENSITY_MENTION = f"{NOT_AFTER}([0-9]+){DENSITY_UNIT}{NOT_BEFORE}"
 BROADCAST_BYTES = 64 << 20
 VALUES_PER_PRODUCT = 2_000
 GRAM = 3
+# A word that more values than this hold is common; the common ones are known by buckets of their hashes.
+COMMON_USES = 100
+HEAT_BUCKETS = 1 << 13
 TEXT_ID = ["_text_id", "_text_id2"]
 
 
@@ -82,36 +85,46 @@ def bounded(lower: Column, soft: Column) -> Column:
     return (lower != "") & (start > 0) & left_ok & right_ok
 
 
-def compile_values(attr_dict: DataFrame, min_len: int = MIN_VALUE_LENGTH) -> DataFrame:
-    """Add what matching needs: ``rank``, ``lower`` and ``pattern`` (NULL: never matched)."""
-    norm = X.norm_value("value")
-    usable = F.length(X.strip("value")) >= min_len
-    spelling = Window.partitionBy(*KEY, "attr", "_norm").orderBy("value_ord")
-    numbers = F.array_distinct(F.regexp_extract_all("_norm", F.lit("[0-9]+"), F.lit(0)))
+def value_norm(value: Column, min_len: int = MIN_VALUE_LENGTH) -> Column:
+    """The form of a value that is looked for; NULL if it is too short to be."""
+    return F.when(F.length(X.strip(value)) >= min_len, X.norm_value(value))
+
+
+def _numbers(norm: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(norm, F.lit("[0-9]+"), F.lit(0)))
+
+
+def value_pattern(norm: Column) -> Column:
+    """What ``occurs`` looks for, from the normalised value."""
+    density, numbers = X.is_density(norm), _numbers(norm)
     number = F.when(
         F.size(numbers) > 0, F.concat(F.lit("(?:"), F.array_join(numbers, "|"), F.lit(")"))
     ).otherwise("[0-9]+")
     quoted = F.concat(
-        F.lit(r"\Q"), F.replace("_norm", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")
+        F.lit(r"\Q"), F.replace(norm, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")
     )
-    body = F.when(F.col("_density"), F.concat(number, F.lit(DENSITY_UNIT))).otherwise(quoted)
-    pattern = F.struct(
-        F.col("_norm").alias("norm"),
-        mark_runs(F.col("_norm")).alias("mark"),
-        F.rlike("_norm", F.lit(r"\A[a-z0-9](?s:.*[a-z0-9])?\z")).alias("plain"),
+    body = F.when(density, F.concat(number, F.lit(DENSITY_UNIT))).otherwise(quoted)
+    return F.struct(
+        norm.alias("norm"),
+        mark_runs(norm).alias("mark"),
+        F.rlike(norm, F.lit(r"\A[a-z0-9](?s:.*[a-z0-9])?\z")).alias("plain"),
         F.concat(F.lit(NOT_AFTER), body, F.lit(NOT_BEFORE)).alias("regex"),
-        F.col("_density").alias("density"),
+        density.alias("density"),
         numbers.alias("numbers"),
     )
+
+
+def compile_values(attr_dict: DataFrame, min_len: int = MIN_VALUE_LENGTH) -> DataFrame:
+    """Add what matching needs: ``rank``, ``lower`` and ``pattern`` (NULL: never matched)."""
+    spelling = Window.partitionBy(*KEY, "attr", "_norm").orderBy("value_ord")
     return (
-        attr_dict.withColumn("_norm", F.when(usable, norm))
-        .withColumn("_density", X.is_density("_norm"))
+        attr_dict.withColumn("_norm", value_norm(F.col("value"), min_len))
         .withColumn("_nth", F.row_number().over(spelling))
         .select(
             *attr_dict.columns,
             (-F.length("value")).alias("rank"),
             F.lower("value").alias("lower"),
-            F.when(F.col("_norm").isNotNull() & (F.col("_nth") == 1), pattern).alias("pattern"),
+            F.when(F.col("_norm").isNotNull() & (F.col("_nth") == 1), value_pattern(F.col("_norm"))).alias("pattern"),
         )
     )
 
@@ -206,57 +219,82 @@ def text_anchors(goods: Column, gram: int, heuristic: bool = True) -> Column:
     )
 
 
-def _rarest(words: DataFrame, prefix: str) -> DataFrame:
-    """Of the rows of a value, one for each of its words (``_word``), the one whose word the fewest values share."""
-    columns = ["rank", "value", "lower", "pattern"]
-    popularity = words.groupBy(*KEY, "_word").agg(F.count("*").alias("_uses"))
+def _heat(words: DataFrame) -> Column:
+    """How many values share the words of a bucket (array by bucket; 0: none of them is common), from rows of ``_words``.
+
+    It only chooses between the words of a value, so words that share a bucket may share its heat.
+    At most HEAT_BUCKETS numbers are fetched.
+    """
+    uses = words.select(F.explode("_words").alias("_word")).groupBy("_word").agg(F.count("*").alias("_uses"))
+    common = uses.where(F.col("_uses") > COMMON_USES)
+    hottest = common.groupBy(_bucket(F.col("_word")).alias("_bucket")).agg(F.max("_uses").alias("_uses"))
+    heat = [0] * HEAT_BUCKETS
+    for bucket, n in hottest.collect():
+        heat[bucket] = n
+    return F.split(F.lit(",".join(map(str, heat))), ",").cast("array<bigint>")
+
+
+def _bucket(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(HEAT_BUCKETS)).cast("int")
+
+
+def _rarest(words: Column, heat: Column) -> Column:
+    """The word of an array that the fewest values share, then the longest one."""
+    places = F.transform(words, lambda w: F.struct(F.get(heat, _bucket(w)), -F.length(w), w.alias("word")))
+    return F.array_min(places)["word"]
+
+
+def _other_anchors(norm: Column, runs: Column, gram: int) -> Column:
+    """Anchors of densities and of values without a run."""
+    density, numbers = X.is_density(norm), _numbers(norm)
     return (
-        words.join(popularity, [*KEY, "_word"])
-        .groupBy(*KEY, "attr", "value_ord")
-        .agg(
-            F.min_by(
-                F.struct(*columns, F.concat(F.lit(prefix), F.col("_word")).alias("anchor")),
-                F.struct("_uses", -F.length("_word"), "_word"),
-            ).alias("_best")
-        )
-        .select(*KEY, "attr", "value_ord", "_best.*")
+        F.when(density & (F.size(numbers) > 0), _prefixed("d:", numbers))
+        .when(density, F.array(F.lit("d:*")))
+        .when(norm.isNotNull() & (F.size(runs) == 0), F.array(F.concat(F.lit("g:"), F.substring(norm, 1, gram))))
     )
 
 
-def value_anchors(compiled: DataFrame, gram: int, heuristic: bool = True) -> DataFrame:
+def _runs(norm: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(norm, F.lit(RUN), F.lit(0)))
+
+
+def match_anchors(attr_dict: DataFrame, gram: int, min_len: int = MIN_VALUE_LENGTH) -> DataFrame:
+    """``hs_code, product, attr, value_ord, value, anchor``: one row per value that matching looks for, and anchor.
+
+    Nothing else of a value is moved: its pattern follows from it (``value_pattern``), and of several
+    spellings the caller takes the first where a text states them.
+    """
+    norm = F.col("_norm")
+    listed = attr_dict.select(*KEY, "attr", "value_ord", "value", value_norm(F.col("value"), min_len).alias("_norm")).where("_norm IS NOT NULL")
+    listed = listed.withColumn("_words", F.when(~X.is_density(norm), _runs(norm)))
+    by_run = F.array(F.concat(F.lit("t:"), _rarest(F.col("_words"), _heat(listed))))
+    anchors = F.coalesce(_other_anchors(norm, _runs(norm), gram), by_run)
+    return listed.select(*KEY, "attr", "value_ord", "value", F.explode(F.array_distinct(anchors)).alias("anchor"))
+
+
+def value_anchors(compiled: DataFrame, gram: int) -> DataFrame:
     """One row per value and anchor; the rarest run of a plain value is its anchor.
 
     For the substring rule a value is also anchored at its rarest word between blanks: all
     its words stand between blanks in a text that rule finds it in.
     """
     empty = F.array().cast("array<string>")
-    runs = F.array_distinct(F.regexp_extract_all("pattern.norm", F.lit(RUN), F.lit(0)))
-    listed = compiled.where("value IS NOT NULL")
-    others = F.concat(
-        F.array(F.concat(F.lit("v:"), F.col("value"))),
-        F.when(
-            F.col("pattern.density") & (F.size("pattern.numbers") > 0),
-            _prefixed("d:", F.col("pattern.numbers")),
-        )
-        .when(F.col("pattern.density"), F.array(F.lit("d:*")))
-        .when(
-            F.col("pattern").isNotNull() & (F.size(runs) == 0),
-            F.array(F.concat(F.lit("g:"), F.substring("pattern.norm", 1, gram))),
-        )
-        .otherwise(empty),
-    )
+    norm = F.col("pattern.norm")
     columns = [*KEY, "attr", "value_ord", "rank", "value", "lower", "pattern"]
-    direct = listed.select(*columns, F.explode(F.array_distinct(others)).alias("anchor"))
-    by_run = listed.where("pattern IS NOT NULL AND NOT pattern.density").select(
-        *columns, F.explode(runs).alias("_word")
+    listed = compiled.where("value IS NOT NULL").select(*columns)
+    by_run = listed.withColumn("_words", F.when(F.col("pattern").isNotNull() & ~F.col("pattern.density"), _runs(norm)))
+    rarest_run = F.array_compact(F.array(F.concat(F.lit("t:"), _rarest(F.col("_words"), _heat(by_run)))))
+    spoken = F.filter(F.split("lower", f"{X.WS}+"), lambda w: w != "")
+    words = F.when(F.size(spoken) > 0, F.array_distinct(spoken)).otherwise(F.array(F.lit("")))
+    by_word = listed.withColumn("_words", words)
+    rarest_word = F.array(F.concat(F.lit("s:"), _rarest(words, _heat(by_word))))
+    anchors = F.concat(
+        F.array(F.concat(F.lit("v:"), F.col("value"))),
+        F.coalesce(_other_anchors(norm, _runs(norm), gram), empty),
+        rarest_run,
+        rarest_word,
     )
-    anchored = direct.unionByName(_rarest(by_run, "t:"))
-    if not heuristic:
-        return anchored
-    apart = F.split("lower", f"{X.WS}+")
-    spoken = F.filter(apart, lambda w: w != "")
-    by_word = listed.select(*columns, F.explode(F.when(F.size(spoken) > 0, spoken).otherwise(F.array(F.lit("")))).alias("_word"))
-    return anchored.unionByName(_rarest(by_word.distinct(), "s:"))
+    return by_run.select(*columns, F.explode(F.array_distinct(anchors)).alias("anchor"))
 
 
 def anchored_pairs(texts: DataFrame, anchors: Column, values: DataFrame) -> DataFrame:
@@ -300,7 +338,7 @@ def _attach_by_anchor(
         more = [replied]
     keyed = with_text_id(goods, *more)
     texts = durable(keyed.dropDuplicates(TEXT_ID))
-    pairs = anchored_pairs(texts, anchors, value_anchors(compiled, gram, heuristic))
+    pairs = anchored_pairs(texts, anchors, value_anchors(compiled, gram))
     # Only what the text states, the substring rule finds or a reply names goes on.
     by_reply = F.startswith("anchor", F.lit("v:"))
     states = by_reply | occurs(F.col("_text"), F.col("pattern"))

@@ -15,12 +15,13 @@ from shiplabel.operators.dictionary import (
     anchored_pairs,
     attach_dictionary,
     bounded,
-    compile_values,
     fits_broadcast,
+    match_anchors,
     occurs,
     text_anchors,
     text_forms,
-    value_anchors,
+    value_norm,
+    value_pattern,
     with_names,
     with_text_id,
 )
@@ -163,20 +164,32 @@ def match_by_tokens(
     """
     if negation not in ("documented", "inert"):
         raise ValueError(f"negation must be 'documented' or 'inert', not {negation!r}")
-    compiled = compile_values(attr_dict, min_len)
     gram = min(min_len, GRAM)
     keyed = with_text_id(goods)
     texts = durable(keyed.select(*TEXT_ID, *GOODS_KEY).dropDuplicates(TEXT_ID))
-    values = value_anchors(compiled, gram, heuristic=False).where("pattern IS NOT NULL AND NOT startswith(anchor, 'v:')")
+    values = match_anchors(attr_dict, gram, min_len)
     pairs = anchored_pairs(texts, text_anchors(F.col("goods_shipped"), gram, heuristic=False), values)
-    text, pattern = F.col("_text"), F.col("pattern")
-    read = texts.select(*TEXT_ID, text_forms(F.col("goods_shipped")).alias("_text"))
-    negated = _negated(text, pattern, window) if negation == "documented" else F.lit(False)
-    hits = (
-        pairs.select(*TEXT_ID, "attr", "rank", "value", "pattern")
+    text = F.col("_text")
+    # Texts are moved as they are; what is derived from them and from values is not.
+    read = texts.select(*TEXT_ID, "goods_shipped").repartition(*TEXT_ID).select(*TEXT_ID, text_forms(F.col("goods_shipped")).alias("_text"))
+
+    def judge(pattern: Column) -> Column:
+        negated = _negated(text, pattern, window) if negation == "documented" else F.lit(False)
+        stated = occurs(text, pattern)
+        return F.when(stated, F.struct(pattern["norm"].alias("norm"), negated.alias("negated")))
+
+    # One expression, so that a pattern is made once for a pair, not once for each of its parts.
+    judged = X.let(value_norm(F.col("value"), min_len), lambda norm: X.let(value_pattern(norm), judge))
+    stated_values = (
+        pairs.select(*TEXT_ID, "attr", "value_ord", "value")
         .join(read, TEXT_ID)
-        .where(occurs(text, pattern))
-        .select(*TEXT_ID, "attr", F.struct("rank", "value").alias("place"), negated.alias("negated"))
+        .select(*TEXT_ID, "attr", "value_ord", "value", judged.alias("_judged"))
+        .where("_judged IS NOT NULL")
+        .select(*TEXT_ID, "attr", F.col("_judged.norm").alias("_norm"), F.struct("value_ord", "value", "_judged.negated").alias("_v"))
+    )
+    # Of several spellings of a value the first one counts; few pairs are left here.
+    hits = stated_values.groupBy(*TEXT_ID, "attr", "_norm").agg(F.min("_v").alias("_v")).select(
+        *TEXT_ID, "attr", F.struct((-F.length("_v.value")).alias("rank"), F.col("_v.value").alias("value")).alias("place"), "_v.negated"
     )
     best = hits.groupBy(*TEXT_ID, "attr").agg(
         F.min(F.when(~F.col("negated"), F.col("place"))).alias("best"),
@@ -191,7 +204,7 @@ def match_by_tokens(
         F.coalesce(F.col("_found")[n["attr"]]["blocked"], F.lit(0)).alias("blocked"),
     )
     return (
-        with_names(keyed, compiled)
+        with_names(keyed, attr_dict)
         .join(found, TEXT_ID, "left")
         .withColumn("found", F.transform("_names", of_attr))
         .drop(*TEXT_ID, "_names", "_found")

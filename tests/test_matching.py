@@ -248,3 +248,26 @@ def test_strategies_agree_on_refused_values_and_common_words(spark, monkeypatch,
     ]
     assert both[0] == both[1] and len(both[0]) == len(texts)
     assert mode == "inert" or any(f["blocked"] for found in both[1].values() for f in found)
+
+
+def test_values_are_moved_without_patterns(spark):
+    """A value travels as itself with one anchor, its rarest run; of several spellings the first one is stated."""
+    from shiplabel.operators.dictionary import match_anchors
+
+    listed = [("9011", "P", "Lot", 0, f"Lot {i} {i % 3}", i) for i in range(400)]
+    listed += [("9011", "P", "Color", 1, v, i) for i, v in enumerate(["dark-red", "Dark Red", "DARK-RED", "x"])]
+    known = spark.createDataFrame(listed, "hs_code string, product string, attr string, attr_ord int, value string, value_ord int")
+    anchors = match_anchors(known, 3)
+    assert anchors.columns == ["hs_code", "product", "attr", "value_ord", "value", "anchor"]
+    of_lots = anchors.where("attr = 'Lot'").collect()
+    # "lot" is common; a number that is longer than the line number is not
+    assert len(of_lots) == 400 and all(r["anchor"] != "t:lot" for r in of_lots)
+    assert all(r["anchor"] == f"t:{r['value_ord']}" for r in of_lots if r["value_ord"] >= 10)
+    texts = [("9011", "P", t) for t in ("a dark-red lot 7 1", "not DARK RED, lot 399 0", "lot 12", "lot 3 0 and lot 30 0")]
+    goods = spark.createDataFrame(texts, "hs_code string, product string, goods_shipped string")
+    found = lambda how: {
+        r["goods_shipped"]: sorted((f["attr"], f["value"], f["blocked"]) for f in r["found"])
+        for r in M.match_goods(goods, known, strategy=how).collect()
+    }
+    assert found("anchored") == found("broadcast")
+    assert found("anchored")["a dark-red lot 7 1"] == [("Color", "dark-red", 0), ("Lot", "Lot 7 1", 0)]
