@@ -16,6 +16,10 @@ SAMPLE_SEED = 42
 MIN_ATTRIBUTES = 3
 # A summary is a report of a column's first values.
 SUMMARY_VALUES = 8
+# Rows of a table that are read first for its first values.
+HEAD_ROWS = 200_000
+# Rows of a table that is always sent whole to every task.
+FEW_ROWS = 100_000
 # Cuts of the surveyed code. They are arguments here and off (None) unless a caller
 # passes these numbers for identical results.
 PARITY_VALUES = 30
@@ -86,6 +90,30 @@ def cell_text(df: DataFrame, column: str) -> Column:
     return c.cast("string")
 
 
+def _melted(df: DataFrame, columns: Sequence[str], by: str, ord_column: str) -> DataFrame:
+    """``by, ord, column, value, _key``: one row for each filled cell; cells with the same ``_key`` are one value."""
+    pairs = F.array(
+        *(F.struct(F.lit(c).alias("column"), X.strip(cell_text(df, c)).alias("value")) for c in columns)
+    )
+    filled = F.filter(pairs, lambda p: p["value"].isNotNull() & (p["value"] != ""))
+    return df.select(by, ord_column, F.inline(filled)).withColumn("_key", F.lower("value"))
+
+
+def _first_seen(melted: DataFrame, by: str, ord_column: str) -> DataFrame:
+    return melted.groupBy(by, "column", "_key").agg(F.min(F.struct(ord_column, "value")).alias("_first"))
+
+
+def _head_bound(df: DataFrame, ord_column: str, rows: int):
+    """A value of the order column with about ``HEAD_ROWS`` of the ``rows`` up to it, from a sample; None: take all rows."""
+    if rows <= 4 * HEAD_ROWS:
+        return None
+    every = max(1, HEAD_ROWS // 100)
+    sampled = df.where(F.col(ord_column).isNotNull() & (F.pmod(F.xxhash64(ord_column), F.lit(every)) == 0)).select(ord_column)
+    # A hundred values.
+    found = sampled.orderBy(ord_column).limit(HEAD_ROWS // every).agg(F.max(ord_column)).first()[0]
+    return found
+
+
 def first_values(
     df: DataFrame,
     columns: Sequence[str],
@@ -95,22 +123,39 @@ def first_values(
 ) -> DataFrame:
     """``by, column, place, value``: each column's first ``limit`` (None: all) distinct values in row order.
 
-    Distinctness ignores case and outer blanks; the first spelling is kept. All
-    columns and groups are done in one pass, partially aggregated before the shuffle.
+    Distinctness ignores case and outer blanks; the first spelling is kept. With a ``limit`` the rows are
+    written once, and the first HEAD_ROWS of them are read first: a column of a group that shows ``limit``
+    values there is settled, and of the others only values that are new after those rows go on. So hardly any
+    row of a large table is sorted or moved, and the result is that of all rows.
     """
-    pairs = F.array(
-        *(F.struct(F.lit(c).alias("column"), X.strip(cell_text(df, c)).alias("value")) for c in columns)
-    )
-    filled = F.filter(pairs, lambda p: p["value"].isNotNull() & (p["value"] != ""))
-    melted = df.select(by, ord_column, F.inline(filled))
-    first_seen = (
-        melted.groupBy(by, "column", F.lower("value").alias("_key"))
-        .agg(F.min(F.struct(ord_column, "value")).alias("_first"))
-        .select(by, "column", "_first.*")
-    )
+    if limit is None:
+        first_seen = _first_seen(_melted(df, columns, by, ord_column), by, ord_column)
+        return _placed(first_seen, by, ord_column, limit, None)
+    own = {c: cell_text(df, c) for c in columns}
+    df = durable(df.select(F.col(by), F.col(ord_column), *(v.alias(c) for c, v in own.items() if c not in (by, ord_column))))
+    bound = _head_bound(df, ord_column, df.count())
+    if bound is None:
+        return _placed(_first_seen(_melted(df, columns, by, ord_column), by, ord_column), by, ord_column, limit, largest_group(df, [by]))
+    # A row without an order comes first.
+    in_head = F.coalesce(F.col(ord_column) <= F.lit(bound), F.lit(True))
+    head = durable(_first_seen(_melted(df.where(in_head), columns, by, ord_column), by, ord_column))
+    shown = head.groupBy(by, "column").agg(F.count("*").alias("_shown"))
+    # Fewer than limit rows for each column of a group.
+    few = F.broadcast if shown.count() * limit <= FEW_ROWS else lambda rows: rows
+    pair = [F.col(by).eqNullSafe(F.col("_by")), F.col("column") == F.col("_column")]
+    settled = shown.where(F.col("_shown") >= limit).select(F.col(by).alias("_by"), F.col("column").alias("_column"))
+    opened = head.join(settled, pair, "left_anti")
+    known = opened.select(F.col(by).alias("_by"), F.col("column").alias("_column"), F.col("_key").alias("_known"))
+    later = _melted(df.where(~in_head), columns, by, ord_column)
+    fresh = later.join(few(settled), pair, "left_anti").join(few(known), [*pair, F.col("_key") == F.col("_known")], "left_anti")
+    first_seen = head.unionByName(_first_seen(fresh, by, ord_column))
+    return _placed(first_seen, by, ord_column, limit, largest_group(df, [by]))
+
+
+def _placed(first_seen: DataFrame, by: str, ord_column: str, limit: int | None, largest: int | None) -> DataFrame:
     # A column of a group has no more distinct values than the group has rows.
-    largest = None if limit is None else largest_group(df, [by])
-    placed = first_in_groups(first_seen, [by, "column"], [ord_column, "value"], limit, "place", largest)
+    seen = first_seen.select(by, "column", "_first.*")
+    placed = first_in_groups(seen, [by, "column"], [ord_column, "value"], limit, "place", largest)
     return placed.select(by, "column", "place", "value")
 
 
@@ -161,23 +206,26 @@ def sample_goods(
     seeded hashes. Which hashes are small enough is read off counts of their first digits, so
     no group is sorted; only about ``limit`` rows of each are.
     """
+    described = rows.where(F.col("goods_shipped").isNotNull()).select(by, X.strip("goods_shipped").alias("goods_shipped"), ord_column)
+    # Without an order column this is a hash aggregation: nothing is sorted.
     goods = durable(
-        rows.where(F.col("goods_shipped").isNotNull())
-        .select(by, X.strip("goods_shipped").alias("goods_shipped"), ord_column)
-        .groupBy(by, "goods_shipped")
-        .agg(F.min(ord_column).alias("first_ord"))
-        .withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}|"), "goods_shipped")))
+        described.select(by, "goods_shipped").distinct().withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}|"), "goods_shipped")))
     )
     near = smallest_in_groups(goods, [by], "_hash", limit + 1)
     drawn = F.row_number().over(Window.partitionBy(by).orderBy("_hash", "goods_shipped"))
     kept = near.withColumn("_drawn", drawn).where(F.col("_drawn") <= limit + 1)
     group = Window.partitionBy(by)
     sampled = F.max("_drawn").over(group) > limit
+    kept = durable(kept.withColumn("_sampled", sampled).where(F.col("_drawn") <= limit))
+    # Only groups that come whole are put into first-seen order.
+    whole = kept.where(~F.col("_sampled")).select(F.col(by).alias("_by"), F.col("goods_shipped").alias("_goods"))
+    same = F.col(by).eqNullSafe(F.col("_by")) & (F.col("goods_shipped") == F.col("_goods"))
+    seen = described.join(whole, same, "left_semi") if not whole.isEmpty() else described.where("false")
+    first = seen.groupBy(by, "goods_shipped").agg(F.min(ord_column).alias("first_ord")).toDF("_by", "_goods", "first_ord")
     by_hash = F.when(F.col("_sampled"), F.col("_hash"))
     place = F.row_number().over(group.orderBy(by_hash, "first_ord", "goods_shipped"))
     return (
-        kept.withColumn("_sampled", sampled)
-        .where(F.col("_drawn") <= limit)
+        kept.join(first, same, "left")
         .withColumn("place", place.cast("bigint"))
         .select(by, "place", "goods_shipped")
     )
@@ -254,39 +302,50 @@ def read_attribute_replies(replies: DataFrame, max_values: int | None = None) ->
     )
 
 
-def fallback_candidates(
-    df: DataFrame, by: str = "category", ord_column: str = "ord", max_values: int | None = None
-) -> DataFrame:
-    """``by, attr, rank, definition, values`` from columns, in the order they are tried."""
-    candidates = [(a, c, d) for a, c, d in FALLBACKS if c in df.columns]
+def _candidates(df: DataFrame, by: str, ord_column: str) -> list[tuple[str, str | Column, str]]:
+    """(column, attribute, definition) of the columns that can stand in for an attribute, in the order they are tried."""
+    fixed = [(c, a, d) for a, c, d in FALLBACKS if c in df.columns]
     derived = [c for c in keyword_columns(df.columns) if c not in (by, ord_column)]
-    columns = list(dict.fromkeys([c for _, c, _ in candidates] + derived))
-    if not columns:
-        return df.sparkSession.createDataFrame(
-            [], f"{by} string, attr string, rank int, definition string, values array<string>"
+    return fixed + [(c, X.attr_name(F.lit(c)), KEYWORD_DEFINITION.format(c)) for c in derived]
+
+
+def fallback_candidates(df: DataFrame, by: str = "category", ord_column: str = "ord") -> DataFrame:
+    """``by, column, attr, rank, definition`` of the columns with values, in the order they are tried; no value is listed."""
+    candidates = _candidates(df, by, ord_column)
+    if not candidates:
+        return df.sparkSession.createDataFrame([], f"{by} string, column string, attr string, rank int, definition string")
+    columns = list(dict.fromkeys(c for c, _, _ in candidates))
+    has_title = lambda c: F.size(X.title_values(F.array(X.strip(cell_text(df, c))))) > 0
+    filled = df.groupBy(by).agg(*(F.coalesce(F.max(has_title(c)), F.lit(False)).alias(f"_{i}") for i, c in enumerate(columns)))
+    known = F.array(
+        *(
+            F.struct(
+                F.lit(c).alias("column"),
+                (F.lit(a) if isinstance(a, str) else a).alias("attr"),
+                F.lit(i).alias("rank"),
+                F.lit(d).alias("definition"),
+                F.col(f"_{columns.index(c)}").alias("filled"),
+            )
+            for i, (c, a, d) in enumerate(candidates)
         )
-    observed = (
-        first_values(df, columns, max_values, by, ord_column)
-        .groupBy(by, "column")
-        .agg(F.array_sort(F.collect_list(F.struct("place", "value")))["value"].alias("values"))
     )
-    known = [
-        F.struct(F.lit(c).alias("column"), F.lit(a).alias("attr"), F.lit(i).alias("rank"), F.lit(d).alias("definition"))
-        for i, (a, c, d) in enumerate(candidates)
-    ] + [
-        F.struct(
-            F.lit(c).alias("column"),
-            X.attr_name(F.lit(c)).alias("attr"),
-            F.lit(len(candidates) + i).alias("rank"),
-            F.lit(KEYWORD_DEFINITION.format(c)).alias("definition"),
-        )
-        for i, c in enumerate(derived)
-    ]
-    matching = F.filter(F.array(*known), lambda k: k["column"] == F.col("column"))
+    return filled.select(by, F.inline(known)).where("filled").drop("filled")
+
+
+def fallback_choices(
+    df: DataFrame, existing: DataFrame, by: str = "category", ord_column: str = "ord", minimum: int = MIN_ATTRIBUTES
+) -> DataFrame:
+    """``by, column, attr, rank, definition``: which columns stand in for categories with fewer than ``minimum`` attributes."""
+    filled = existing.where(F.size("values") > 0)
+    have = filled.groupBy(by).agg(F.count("*").alias("_have"))
+    fresh = fallback_candidates(df, by, ord_column).join(filled.select(by, "attr"), [by, "attr"], "left_anti")
+    once = fresh.groupBy(by, "attr").agg(F.min(F.struct("rank", "definition", "column")).alias("c")).select(by, "attr", "c.*")
+    nth = F.row_number().over(Window.partitionBy(by).orderBy("rank"))
     return (
-        observed.select(by, F.explode(matching).alias("k"), X.title_values("values").alias("values"))
-        .select(by, "k.attr", "k.rank", "k.definition", "values")
-        .where(F.size("values") > 0)
+        once.withColumn("_nth", nth)
+        .join(have, by, "left")
+        .where(F.col("_nth") <= minimum - F.coalesce("_have", F.lit(0)))
+        .select(by, "column", "attr", "rank", "definition")
     )
 
 
@@ -300,23 +359,26 @@ def fallback_attributes(
 ) -> DataFrame:
     """Attributes taken from columns for categories with fewer than ``minimum`` from a reply.
 
-    ``existing`` holds ``by, attr, values``; only its non-empty attributes count.
+    ``existing`` holds ``by, attr, values``; only its non-empty attributes count. Which columns are taken
+    is settled first, from whether they have values at all; only these are listed.
     """
-    filled = existing.where(F.size("values") > 0)
-    have = filled.groupBy(by).agg(F.count("*").alias("_have"))
-    fresh = fallback_candidates(df, by, ord_column, max_values).join(
-        filled.select(by, "attr"), [by, "attr"], "left_anti"
-    )
-    once = fresh.groupBy(by, "attr").agg(
-        F.min(F.struct("rank", "definition", "values")).alias("c")
-    ).select(by, "attr", "c.*")
-    nth = F.row_number().over(Window.partitionBy(by).orderBy("rank"))
-    return (
-        once.withColumn("_nth", nth)
-        .join(have, by, "left")
-        .where(F.col("_nth") <= minimum - F.coalesce("_have", F.lit(0)))
-        .select(by, "attr", "rank", "definition", "values")
+    candidates = _candidates(df, by, ord_column)
+    columns = list(dict.fromkeys(c for c, _, _ in candidates))
+    chosen = fallback_choices(df, existing, by, ord_column, minimum)
+    if not columns:
+        return chosen.select(by, "attr", "rank", "definition", F.array().cast("array<string>").alias("values"))
+    chosen = durable(chosen)
+    taken = chosen.groupBy(by).agg(F.collect_set("column").alias("_taken"))
+    cell = lambda c: F.when(F.array_contains("_taken", c), cell_text(df, c)).alias(c)
+    # One row for each category.
+    wanted = df.join(F.broadcast(taken), by).select(by, ord_column, *(cell(c) for c in columns))
+    observed = (
+        first_values(wanted, columns, max_values, by, ord_column)
+        .groupBy(by, "column")
+        .agg(F.array_sort(F.collect_list(F.struct("place", "value")))["value"].alias("values"))
     )
+    # Without the values (which every chosen column has) the lists need not be made.
+    return chosen.join(observed, [by, "column"], "left").select(by, "attr", "rank", "definition", X.title_values("values").alias("values"))
 
 
 def inferred_schema(
@@ -347,7 +409,8 @@ def inferred_schema(
         F.coalesce("definition", "_def").alias("definition"),
         F.when(replied, F.col("values")).otherwise(F.col("_values")).alias("values"),
         F.when(replied, "reply").otherwise("fallback").alias("source"),
-    ).where("values IS NOT NULL")
+        (replied | F.col("_rank").isNotNull()).alias("_listed"),
+    ).where("_listed")
     order = F.row_number().over(Window.partitionBy(by).orderBy("_place"))
     return chosen.select(
         by, "attr", (order - 1).cast("int").alias("attr_ord"), "definition", "values", "source"

@@ -163,3 +163,34 @@ def test_label_replies_with_repeated_keys_and_nan_are_read(spark):
     got = [r["category"] for r in L.read_label_replies(items, table).orderBy("batch_no", "pos").collect()]
     failed = ["Unclassified"] * 2
     assert got == ["a", "b", "a", "NaN", *failed, "7", "", *failed, *failed]
+
+
+@pytest.mark.parametrize("limit", [1, 3, 50])
+def test_first_values_of_a_large_table_are_those_of_all_rows(spark, limit, monkeypatch):
+    """The first rows settle what shows enough values there; late, rare and differently spelled values still count."""
+    monkeypatch.setattr(I, "HEAD_ROWS", 100)
+    n = F.col("id")
+    df = spark.range(5000).select(
+        F.when(n % 11 == 0, None).when(n % 2 == 0, "a").otherwise("b").alias("category"),
+        F.when(n == 4990, None).otherwise(F.format_string("%05d", n * 7 % 5003)).alias("ord"),
+        F.when(n % 3 == 0, F.concat(F.lit("V"), n % 40)).otherwise(F.concat(F.lit(" v"), n % 40)).alias("many"),
+        F.when(n * 7 % 5003 > 4000, "late").otherwise("early").alias("few"),
+        (n / 8).alias("number"),
+    )
+    columns = ["many", "few", "number"]
+    melted = I._melted(df, columns, "category", "ord")
+    want = I._placed(I._first_seen(melted, "category", "ord"), "category", "ord", limit, None)
+    rows = lambda d: sorted((str(r["category"]), r["column"], r["place"], r["value"]) for r in d.collect())
+    assert I._head_bound(df, "ord", 5000) is not None
+    got = rows(I.first_values(df, columns, limit))
+    assert got == rows(want) and (limit == 1 or ("b", "few", 2, "late") in got)
+
+
+def test_lists_are_made_only_for_columns_that_are_taken(spark):
+    """Telemetry needs no list of values, and the plan makes none."""
+    df = spark.createDataFrame([("a", 1, "x", 2.0), ("b", 2, "y", 3.0)], "category string, ord int, shipment_origin string, weight_in_kg double")
+    replies = spark.createDataFrame([("a", '{"attributes":[]}')], "category string, reply string")
+    schema = I.inferred_schema(df, replies)
+    assert {r["attr"] for r in schema.where("category = 'b'").collect()} == {"Origin_Country", "Weight_In_Kg"}
+    plan = I.telemetry(schema)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_first" not in plan
