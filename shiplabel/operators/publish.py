@@ -17,6 +17,8 @@ from shiplabel.operators.scale import PART_SIZE, durable, lists_in_parts, rank_i
 
 GOODS = [*KEY, "goods_shipped"]
 FILE_ITSELF = -1
+# Most rows of one file of a per-product folder.
+FILE_ROWS = 200_000
 
 # --- fixed values -----------------------------------------------------------
 PREFIX = "attr_"
@@ -299,9 +301,10 @@ def write_table(
     format: str = "parquet",
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
+    rows_per_file: int = 0,
 ) -> None:
-    """Parquet as the main copy; CSV comes with a header, JSON as lines."""
-    writer = df.write.mode(mode).partitionBy(*partition_by)
+    """Parquet as the main copy; CSV comes with a header, JSON as lines. ``rows_per_file`` bounds a file (0: it does not)."""
+    writer = df.write.mode(mode).partitionBy(*partition_by).option("maxRecordsPerFile", rows_per_file)
     if format == "csv":
         # As they are: without these options Spark trims values.
         for side in ("Leading", "Trailing"):
@@ -318,7 +321,8 @@ def export_per_product(flat: DataFrame, attr_dict: DataFrame, folder: str) -> li
 
     Products with the same columns are written together: one scan of ``flat`` and one write for each
     distinct list of columns, however many products there are; then every product's part of
-    the output takes its name. With an ``ord`` column the rows of a product follow it.
+    the output takes its name. With an ``ord`` column the rows of a product follow it. A file of the
+    folder holds FILE_ROWS rows at most, because whoever reads it takes a file to a task.
     """
     listed = durable(
         attr_dict.groupBy(*KEY, "attr")
@@ -339,7 +343,7 @@ def export_per_product(flat: DataFrame, attr_dict: DataFrame, folder: str) -> li
         columns = [*KEY, "shipment_id", "goods_shipped", *own, *flags]
         mine = rows.join(same, KEY).repartitionByRange("file", *order).sortWithinPartitions("file", *order)
         target = f"{folder}/.columns-{number}"
-        write_table(mine.select("file", *(f"`{c}`" for c in columns)), target, "csv", ["file"])
+        write_table(mine.select("file", *(f"`{c}`" for c in columns)), target, "csv", ["file"], rows_per_file=FILE_ROWS)
         names = [r["file"] for r in same.select("file").distinct().collect()]
         _take_names(spark, target, folder, names, mine.select(*(f"`{c}`" for c in columns)))
         files += names

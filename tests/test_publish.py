@@ -346,3 +346,22 @@ def test_products_that_begin_alike_keep_their_files(spark):
     assert all(len(f) <= len("hs_0901_.csv") + 120 for f in files)
     again = [r[0] for r in rows.select(X.product_file("hs", "product")).collect()]
     assert again == files
+
+
+def test_files_of_a_product_are_bounded(spark, tmp_path, monkeypatch):
+    """A file is read by one task, so a large product has several; together they are what one file was."""
+    rows = [("9011", "P", str(i), f"g{i:03d}", f"{i:03d}", {"Color": ["red", "Blue", "RED"][i % 3]}) for i in range(100)]
+    kind = "hs_code string, product string, shipment_id string, goods_shipped string, ord string, attributes map<string,string>"
+    known = spark.createDataFrame([("9011", "P", "Color", 0, "red", 0)], ATTR_DICT_SCHEMA)
+    flat = P.per_product(spark.createDataFrame(rows, kind), ["Color"])
+    summaries = {}
+    for most in (1000, 9):
+        monkeypatch.setattr(P, "FILE_ROWS", most)
+        (name,) = P.export_per_product(flat, known, f"{tmp_path}/{most}")
+        sizes = [f.read_text().count("\n") - 1 for f in (tmp_path / str(most) / name).glob("part-*")]
+        assert sum(sizes) == 100 and max(sizes) <= most
+        summaries[most] = [tuple(r) for r in published.folder_schema_master(spark, f"{tmp_path}/{most}").collect()]
+        # rows in order, file after file
+        got = published.read_folder(spark, f"{tmp_path}/{most}").orderBy("ord").collect()
+        assert [r["goods_shipped"] for r in got] == [f"g{i:03d}" for i in range(100)]
+    assert summaries[9] == summaries[1000]
