@@ -66,3 +66,16 @@ def test_empty_deliveries(spark, tmp_path):
     assert profiles.distribution(spark, str(tmp_path)).count() == 0
     with pytest.raises(ValueError):
         profiles.record(none, str(tmp_path), "a/b")
+
+
+def test_deliveries_read_what_was_joined_once(spark, tmp_path, monkeypatch):
+    """Each delivery reads a written table, so the tables that shipments are made of are not joined again."""
+    from shiplabel.plans import queries
+
+    read = []
+    monkeypatch.setattr(queries.profiles, "record", lambda rows, *_, **__: read.append(set(rows.inputFiles())))
+    rows = deliveries(spark)[0]
+    rows.write.parquet(f"{tmp_path}/rows")
+    queries._recorded(spark, spark.read.parquet(f"{tmp_path}/rows"), ("category",))
+    assert len(read) == 4 and all(files == read[0] for files in read)
+    assert read[0] and not any(str(tmp_path) in file for file in read[0])
