@@ -10,10 +10,11 @@
    chunks. A task returns a star for each group it sees, never its pairs.
 4. Stars are contracted to components by alternating large-star and small-star steps.
 
-``one_of_each`` with a least similarity joins near copies by their exact sets of shingles instead. Two
-texts that share 0.8 of their shingles may differ in 20 of 64 bits, a reach at which no vantage
-point splits anything, so pairs are found there by bands of MinHash values: texts that share a band
-are compared on shingle hashes, first with the smallest of the band, then with each other where that
+``one_of_each`` with a least similarity runs steps 1 to 4, too, on fingerprints of shingle sets, and
+checks each link it found on the exact sets. Two texts that share 0.8 of their shingles may differ in 20
+of 64 bits, but above a reach of 2 no vantage point splits random fingerprints. So a second search adds
+the pairs further apart, by bands of MinHash values: texts that share a band and are not linked yet are
+compared on shingle hashes, first with the smallest of the band, then with each other where that
 leaves more than one group. Texts themselves never move.
 
 Null and empty texts have fingerprint zero and link like any other. A component is named by its
@@ -76,7 +77,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     digest = xxhash.xxh64_digest
     spans = zip(starts, stops[shingle - 1 :]) if len(words) > shingle else [(0, len(joined) + 1)]
     hashes = np.frombuffer(b"".join([digest(joined[a : b - 1], seed) for a, b in spans]), np.uint8)
-    hashes = hashes.reshape(-1, BITS // 8)
+    return majority(hashes.reshape(-1, BITS // 8))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes (a row of 8 bytes each), as a signed 64-bit number."""
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), COUNTED):
         counts += np.unpackbits(hashes[at : at + COUNTED], axis=1).sum(axis=0, dtype=np.uint32)
@@ -295,28 +300,45 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 
 
 def set_bands(docs: DataFrame, shingle: int = SIMILAR_SHINGLE) -> DataFrame:
-    """doc_id, content, node (a hash of the shingle set), its size, and the set's band keys, of every document."""
+    """doc_id, content, node (a hash of the shingle set), its size, the set's fingerprint and band keys, of every document."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            nodes, sizes, bands = [], [], []
+            nodes, sizes, prints, bands = [], [], [], []
             for text in batch.column("text"):
                 hashes = shingle_set(text.as_py(), shingle)
                 nodes.append(xxhash.xxh64_intdigest(hashes.tobytes()))
                 sizes.append(len(hashes))
+                prints.append(majority(hashes.view(np.uint8).reshape(-1, BITS // 8)))
                 bands.append(band_keys(hashes))
             columns = [
                 batch.column("doc_id"),
                 batch.column("content"),
                 pa.array(np.array(nodes, np.uint64).view(np.int64)),
                 pa.array(sizes, pa.int64()),
+                pa.array(prints, pa.int64()),
                 pa.array(bands, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "content", "node", "size", "bands"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "content", "node", "size", "fingerprint", "bands"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("content"), "text")
-    return rows.mapInArrow(batches, f"doc_id {kind}, content long, node long, size long, bands array<long>")
+    return rows.mapInArrow(batches, f"doc_id {kind}, content long, node long, size long, fingerprint long, bands array<long>")
+
+
+def close_nodes(nodes: DataFrame, reach: int) -> DataFrame:
+    """Stars (a, b) over the nodes (node, fingerprint) whose fingerprints the vantage-point search links or are equal."""
+    prints = written(nodes.groupBy("fingerprint").agg(F.min("node").alias("first"), F.count("*").alias("_rows")), "prints")
+    far = links(prints, reach)
+    a = prints.select(F.col("fingerprint").alias("a"), F.col("first").alias("_a"))
+    b = prints.select(F.col("fingerprint").alias("b"), F.col("first").alias("_b"))
+    counts = far.groupBy("b").agg(F.count("*").alias("_rows"))
+    far = skew_join(far.join(a, "a"), b, ["b"], spread_by=["a"], counts=counts).select("_a", "_b")
+    # Different sets with one fingerprint are rare, but may be many.
+    firsts = prints.where("_rows > 1")
+    equal = skew_join(nodes.select("node", "fingerprint"), firsts.drop("_rows"), ["fingerprint"], spread_by=["node"], counts=firsts.drop("first"))
+    equal = equal.where("node <> first").select("node", "first")
+    return written(far.union(equal).toDF("a", "b"), "close")
 
 
 def shared_buckets(nodes: DataFrame) -> DataFrame:
@@ -447,30 +469,41 @@ def within_buckets(members: DataFrame, sets: DataFrame, least: float) -> DataFra
     return paired.groupBy("bucket", "low", "high").applyInPandas(compared, "a long, b long")
 
 
-def similar(docs: DataFrame, prints: DataFrame, least: float, shingle: int) -> DataFrame:
+def similar(docs: DataFrame, prints: DataFrame, least: float, shingle: int, reach: int = REACH) -> DataFrame:
     """(node, root) of all nodes of ``prints`` that exact similarities from ``least`` join to a smaller one.
 
-    Nodes that share a band key are compared: first all of a bucket with its smallest node, which
+    Nodes whose fingerprints the vantage-point search links are compared, and linked if similar. Then nodes
+    that share a band key and are in different groups are: first all of a bucket with its smallest node, which
     settles buckets of near copies; then, in buckets with other nodes, those with each other.
     """
     by_id = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")
-    nodes = prints.groupBy("node").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.min(by_id).alias("holder"))
+    firsts = [F.first(c).alias(c) for c in ("size", "fingerprint", "bands")]
+    nodes = prints.groupBy("node").agg(*firsts, F.min(by_id).alias("holder"))
     # Four shingles or fewer are only as similar as that if they are equal, and equal sets are one node.
     fewest = next(n for n in range(1, 1000) if n >= least * (n + 1))
     nodes = written(nodes.where(F.col("size") >= fewest), "nodes")
+    close = close_nodes(nodes.select("node", "fingerprint"), reach)
     members = shared_buckets(nodes.select("node", "bands"))
-    needed = members.select("node").distinct()
+    needed = members.select("node").union(close.select("a")).union(close.select("b")).distinct()
     holders = written(nodes.select("node", "holder.doc_id", "holder.content").join(needed, "node", "left_semi"), "holders")
     sets = sets_of(docs, holders, shingle)
-    stars = members.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    settled = written(similar_pairs(close, sets, least).where("similar").select("a", "b"), "settled")
+    grouped = components(settled).toDF("node", "known")
+    # What fingerprints have linked is not compared again.
+    placed = members.join(grouped, "node", "left").withColumn("known", F.coalesce("known", "node"))
+    centres = members.groupBy("centre").agg(F.count("*").alias("_rows"))
+    heads = grouped.select(F.col("node").alias("centre"), F.col("known").alias("head"))
+    placed = skew_join(placed, heads, ["centre"], "left", ["node"], centres).withColumn("head", F.coalesce("head", "centre"))
+    placed = written(placed, "placed")
+    stars = placed.where("known <> head").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     judged = written(similar_pairs(stars, sets, least), "judged")
-    # A bucket is open if some of its nodes are not similar to its centre.
-    known = members.join(judged.toDF("node", "centre", "similar"), ["node", "centre"], "left")
-    known = known.select("bucket", "node", F.when(F.col("similar"), F.col("centre")).otherwise(F.col("node")).alias("known"))
+    # A bucket is open if some of its nodes are not in the group of its centre.
+    known = placed.join(judged.toDF("node", "centre", "similar"), ["node", "centre"], "left")
+    known = known.select("bucket", "node", F.when(F.col("similar"), F.col("head")).otherwise(F.col("known")).alias("known"))
     known = written(known, "known")
     open_buckets = known.groupBy("bucket").agg(F.min("known").alias("low"), F.max("known").alias("high")).where("low < high")
     rest = within_buckets(known.join(open_buckets.select("bucket"), "bucket", "left_semi"), sets, least)
-    return components(judged.where("similar").select("a", "b").unionByName(rest))
+    return components(settled.union(judged.where("similar").select("a", "b")).unionByName(rest))
 
 
 def one_of_each(docs: DataFrame, reach: int = REACH, shingle: int = SHINGLE, least: float | None = None) -> DataFrame:
@@ -478,12 +511,12 @@ def one_of_each(docs: DataFrame, reach: int = REACH, shingle: int = SHINGLE, lea
 
     Ids that are null or stand for several texts are told apart by the text's hash, so a row goes
     only if another row of its component stays. With ``least`` components link texts whose exact sets
-    of shingles have at least this similarity; no reach of 64 bits tells these from others, so
-    pairs are found by bands of MinHash values then.
+    of shingles have at least this similarity: those of the texts within ``reach`` that have it, and those that
+    bands of MinHash values find further apart.
     """
     if least is not None:
         prints = written(set_bands(docs, shingle), "prints")
-        return _first_rows(docs, prints, similar(docs, prints, least, shingle))
+        return _first_rows(docs, prints, similar(docs, prints, least, shingle, reach))
     key = F.struct("doc_id", F.xxhash64(text_or_empty()).alias("content")).alias("doc_id")
     prints = fingerprints(docs.select(key, "text"), shingle).select("doc_id.*", F.col("fingerprint").alias("node"))
     prints = written(prints, "fingerprints")

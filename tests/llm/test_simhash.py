@@ -173,6 +173,38 @@ def test_near_copies_by_exact_similarity(spark, monkeypatch):
     assert simhash.one_of_each(docs.where("false"), shingle=simhash.SIMILAR_SHINGLE, least=simhash.SIMILAR).count() == 0
 
 
+def test_vantage_points_find_near_copies_of_sets(spark, monkeypatch):
+    import random
+
+    # Without any shared band, only the vantage-point search finds links.
+    monkeypatch.setattr(simhash, "shared_buckets", lambda nodes: nodes.select(F.lit(0).cast("long").alias("bucket"), "node", F.col("node").alias("centre")).where("false"))
+    rng = random.Random(31)
+    rows, kept = [], []
+    for i in range(30):
+        base = prose(rng, 1500)
+        rows += [(10 * i, base), (10 * i + 1, base + " Ending.")]
+    texts = dict(rows)
+    prints = {i: simhash.majority(simhash.shingle_set(t).view(np.uint8).reshape(-1, 8)) for i, t in rows}
+    for i in texts:
+        twin = i % 10 == 1 and ((prints[i] ^ prints[i - 1]) & (2**64 - 1)).bit_count() <= simhash.REACH
+        kept += [] if twin else [i]
+    assert len(kept) < 40
+    got = simhash.one_of_each(documents(spark, rows), shingle=simhash.SIMILAR_SHINGLE, least=simhash.SIMILAR)
+    assert sorted(r["doc_id"] for r in got.collect()) == kept
+
+
+def test_close_fingerprints_are_checked_on_sets(spark, monkeypatch):
+    # All fingerprints are equal, and still only similar texts are linked.
+    import random
+
+    monkeypatch.setattr(simhash, "majority", lambda hashes: 5)
+    rng = random.Random(32)
+    near, apart = pairs_from(rng, 0.8, 0.95, 5), pairs_from(rng, 0.55, 0.79, 5)
+    rows = list(enumerate(t for p in near + apart for t in p))
+    got = simhash.one_of_each(documents(spark, rows), shingle=simhash.SIMILAR_SHINGLE, least=simhash.SIMILAR)
+    assert sorted(r["doc_id"] for r in got.collect()) == [0, 2, 4, 6, 8, *range(10, 20)]
+
+
 def test_empty(spark):
     assert simhash.near_duplicates(documents(spark, [])).count() == 0
     assert simhash.components(spark.createDataFrame([], "a long, b long")).count() == 0
