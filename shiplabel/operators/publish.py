@@ -146,8 +146,11 @@ def observed_values(wide: DataFrame, ord_column: str = "ord", file_column: str =
     Case is ignored, the first spelling in row order is kept. ``c`` is the place of
     the column among the attribute columns; a further row with ``FILE_ITSELF`` there
     keeps files without any value. An empty value tells that the file has the column
-    (a cell that is not NULL), whatever values it takes.
+    (a cell that is not NULL), whatever values it takes. Rows with the same cells become one before
+    their cells are unfolded.
     """
+    columns = [F.col(f"`{c}`") for c in attribute_columns(wide)]
+    wide = wide.groupBy(file_column, *columns).agg(F.min(ord_column).alias(ord_column))
     cells = F.array(
         *(
             F.struct(
@@ -266,22 +269,24 @@ def shipment_attributes(
     return grouped.select("shipment_id", F.coalesce("_product", F.lit("")).alias("product"), attrs.alias("attrs"))
 
 
-def new_shipments(stored: DataFrame, incoming: DataFrame, ord_column: str | None = None) -> DataFrame:
+def new_shipments(
+    stored: DataFrame, incoming: DataFrame, ord_column: str | None = None, counts: DataFrame | None = None
+) -> DataFrame:
     """The (description, shipment) rows that ``incoming`` adds to ``stored``, with their ``ord_column`` if named.
 
     New descriptions keep all their rows; a description already stored gains each
     unseen shipment once. Pairs are joined as rows, so no list grows with a
-    description's popularity.
+    description's popularity. ``counts`` (a description's rows of ``incoming``, or more, as ``_rows``)
+    saves the passes that count them.
     """
     pair = [*GOODS, "shipment_id"]
     done = stored.select(*GOODS).distinct()
     order = [ord_column] if ord_column else []
     arrived = incoming.select(*pair, *order)
-    once = arrived.groupBy(*pair).agg(F.min(ord_column).alias(ord_column)) if order else arrived.distinct()
-    fresh = skew_join(arrived, done, GOODS, "left_anti")
-    more = skew_join(once, done, GOODS, "left_semi").join(
-        stored.select(*pair).distinct(), pair, "left_anti"
-    )
+    fresh = skew_join(arrived, done, GOODS, "left_anti", ["shipment_id", *order], counts)
+    known = skew_join(arrived, done, GOODS, "left_semi", ["shipment_id", *order], counts)
+    once = known.groupBy(*pair).agg(F.min(ord_column).alias(ord_column)) if order else known.distinct()
+    more = once.join(stored.select(*pair).distinct(), pair, "left_anti")
     return fresh.unionByName(more)
 
 

@@ -263,8 +263,11 @@ def extract_stage(
     this_run = f"id-{run_id}"  # never read back as a number or a date
     mine = lambda name: f"{folder}/{name}/run={this_run}"
     rows = extraction_rows(spark.read.parquet(f"{folder}/labelled"), attr_dict, options)
+    # Codes and texts are normalised once; the descriptions and their numbers of rows are counted once.
+    rows = durable(rows.select(*GOODS, "shipment_id", "ord"))
+    counts = durable(rows.groupBy(*GOODS).agg(F.count("*").alias("_rows")))
     stored, pairs, spent = earlier("classified"), earlier("goods_shipments"), earlier("token_usage")
-    items = durable(extraction_items(rows, attr_dict, options, stored))
+    items = durable(extraction_items(counts, attr_dict, options, stored))
     replied, costs = None, spark.range(0).select(F.col("id").alias("cost"))
     if answer is not None:
         used = 0 if spent is None else spent.agg(F.sum("cost")).first()[0] or 0
@@ -286,12 +289,10 @@ def extract_stage(
     done = spark.read.parquet(mine("classified")).select(*GOODS)
     if stored is not None:
         done = done.unionByName(stored.select(*GOODS))
-    seen = skew_join(
-        rows.select(*GOODS, "shipment_id", "ord"), done.distinct(), GOODS, "left_semi", spread_by=["shipment_id", "ord"]
-    )
+    seen = skew_join(rows, done.distinct(), GOODS, "left_semi", ["shipment_id", "ord"], counts)
     if options.dedup_shipments:
         seen = seen.groupBy(*GOODS, "shipment_id").agg(F.min("ord").alias("ord"))
-    added = seen if pairs is None else publish.new_shipments(pairs, seen, "ord")
+    added = seen if pairs is None else publish.new_shipments(pairs, seen, "ord", counts)
     publish.write_table(added.withColumn("run_no", F.lit(number)), mine("goods_shipments"))
 
 

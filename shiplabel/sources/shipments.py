@@ -179,8 +179,12 @@ def hs_filter(df: DataFrame, codes: Iterable[str]) -> DataFrame:
 
 
 def with_dictionary(df: DataFrame, attr_dict: DataFrame) -> DataFrame:
-    """Rows whose heading has any dictionary."""
-    return df.join(attr_dict.select("hs_code").distinct(), "hs_code", "left_semi")
+    """Rows whose heading has any dictionary.
+
+    A heading is four digits, so there are few: they go to the rows, which stay where they are. Dealt by
+    heading, all rows would meet in as many tasks as there are headings.
+    """
+    return df.join(F.broadcast(attr_dict.select("hs_code").distinct()), "hs_code", "left_semi")
 
 
 def of_heading(df: DataFrame, code: str) -> DataFrame:

@@ -55,6 +55,18 @@ def test_schema_master_in_parts(spark):
     assert [s.get("b") for s in schemas] == [["one"], None, None]
 
 
+def test_equal_rows_are_one_before_cells_are_unfolded(spark):
+    rows = spark.range(1000).select(
+        F.lit("a.csv").alias("file"), (1000 - F.col("id")).alias("ord"), F.concat(F.lit("v"), F.col("id") % 3).alias("attr_A"),
+        F.concat(F.lit("W"), F.col("id") % 2).alias("attr_B"),
+    )
+    found = P.observed_values(rows)
+    firsts = {(r["attr"], r["value"]): r["first_ord"] for r in found.collect()}
+    assert firsts == {("a", "v0"): 1, ("a", "v2"): 2, ("a", "v1"): 3, ("b", "W1"): 1, ("b", "W0"): 2, ("", ""): 1}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan[plan.index("Generate") :]
+
+
 def test_shipment_map_last_write_wins(spark, wide):
     got = {r["shipment_id"]: (r["product"], r["attrs"]) for r in P.shipment_attributes(wide).collect()}
     assert got == {
@@ -233,6 +245,22 @@ def test_merge_shipments(spark):
 # --- sources -----------------------------------------------------------------
 
 
+def test_new_shipments_by_known_counts(spark, monkeypatch):
+    from shiplabel.operators import scale
+
+    schema = "hs_code string, product string, goods_shipped string, shipment_id string, ord long"
+    goods = ("9011", "P", "red ring")
+    stored = spark.createDataFrame([(*goods, "1", 0), (*goods, "2", 1)], schema)
+    rows = [(*goods, str(i % 50), i) for i in range(300)] + [("9011", "P", "rod", "7", 400), ("9011", "P", "rod", "7", 401)]
+    arrived = spark.createDataFrame(rows, schema)
+    counts = arrived.groupBy("hs_code", "product", "goods_shipped").agg(F.count("*").alias("_rows"))
+    want = sorted([(*goods, str(i), i) for i in range(50) if i not in (1, 2)] + [("9011", "P", "rod", "7", 400), ("9011", "P", "rod", "7", 401)])
+    monkeypatch.setattr(scale, "hot_keys", lambda counts, on, floor: [(r[0], 4) for r in counts.select(F.xxhash64(*on)).collect()])
+    for known in (None, counts):
+        got = P.new_shipments(stored, arrived, "ord", known)
+        assert sorted(tuple(r) for r in got.select(*arrived.columns).collect()) == want
+
+
 def test_csv_keeps_codes_and_nulls(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shiplabel.operators import publish as P
 from shiplabel.plans import runs
 from shiplabel.plans import views as V
+from shiplabel.sources import shipments as S
 from shiplabel.sources.shipments import clean as S_clean
 from shiplabel.streaming import incremental
 
@@ -223,6 +224,40 @@ def test_goods_per_product_and_heading_filter(spark):
     assert goods.groupBy("product").count().agg(F.max("count")).first()[0] == 2
 
 
+def test_rows_stay_where_they_are_for_the_dictionary(spark):
+    rows = spark.range(600, numPartitions=6).select(F.when(F.col("id") < 500, "9011").otherwise("1234").alias("hs_code"), "id")
+    kept = S.with_dictionary(rows, V.attr_dict(spark))
+    assert kept.count() == 500
+    # One heading, and still as many tasks as before.
+    assert kept.select(F.spark_partition_id()).distinct().count() == 5
+
+
+def test_a_run_normalises_each_row_once(spark, tmp_path, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    original = runs.extraction_rows
+
+    def counted(*args):
+        def batches(found):
+            for batch in found:
+                seen.add(batch.num_rows)
+                yield batch
+
+        rows = original(*args)
+        return rows.mapInArrow(batches, rows.schema)
+
+    monkeypatch.setattr(runs, "extraction_rows", counted)
+    raw, known = V.shipments(spark, SF), V.attr_dict(spark)
+    for run in range(2):
+        before = seen.value
+        mine = raw.where(F.col("shipment_id").cast("bigint") % 2 == run)
+        runs.run(
+            spark, mine, f"{tmp_path}/out", run_id=str(run), attr_dict=known, definition=V.DEFINITION,
+            options=options(stages=("load", "label", "extract")),
+        )
+        labelled = spark.read.parquet(f"{tmp_path}/out/labelled")
+        assert seen.value - before == original(labelled, known, options()).count() > 1000
+
+
 def test_incremental_stream(spark, tmp_path):
     rows = V.shipments(spark, SF).select(
         F.lit("0901").alias("hs_code"), F.col("category").alias("product"), F.trim("goods_shipped").alias("goods_shipped"), "shipment_id"
