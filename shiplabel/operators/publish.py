@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplabel.functions import text as X
@@ -35,7 +35,7 @@ def attribute_names(attr_dict: DataFrame) -> list[str]:
 def flat_attributes(rows: DataFrame, attrs: Sequence[str], flags: bool = False) -> DataFrame:
     """One ``attr_<name>`` column per attribute, empty where the product has none.
 
-    A projection: the column list comes from the dictionary, so no pivot job and
+    ``rows`` may also be descriptions without shipments. A projection: the column list comes from the dictionary, so no pivot job and
     no shuffle are needed. ``flags`` adds ``attr_<name>_is_custom`` columns of 0/1.
     """
     columns = []
@@ -47,8 +47,8 @@ def flat_attributes(rows: DataFrame, attrs: Sequence[str], flags: bool = False)
             columns.append(
                 F.when(value.isNotNull(), F.coalesce(custom, F.lit(0))).alias(f"{PREFIX}{a}{FLAG_SUFFIX}")
             )
-    kept = [c for c in ("ord",) if c in rows.columns]
-    return rows.select(*KEY, "shipment_id", "goods_shipped", *kept, *columns)
+    kept = [c for c in ("shipment_id", "goods_shipped", "ord") if c in rows.columns]
+    return rows.select(*KEY, *kept, *columns)
 
 
 def with_shipments(classified: DataFrame, shipments: DataFrame, order: Sequence[str] = ()) -> DataFrame:
@@ -114,6 +114,21 @@ def nested_records(classified: DataFrame, lists: DataFrame, raw: bool = False) -
     )
 
 
+def placed_descriptions(classified: DataFrame, attrs: Sequence[str], flags: bool = False) -> DataFrame:
+    """Classified descriptions in the shape of flat rows, with their place among all: ``_at`` and ``_shared``.
+
+    Names of files and columns are made once for each description, not for each of its rows. ``_at`` follows
+    (file, run, description); products whose names make the same file may share one.
+    """
+    wide = per_product(classified.withColumn("ord", F.col("run_no")), attrs, flags)
+    order = ["file", "ord", "goods_shipped"]
+    same = Window.partitionBy(*order)
+    numbered = rank_in_groups(wide, [], order, "_at")
+    return durable(
+        numbered.withColumns({"_at": F.min("_at").over(same), "_shared": F.count("*").over(same) > 1}).drop("ord")
+    )
+
+
 def completed_products(classified: DataFrame) -> DataFrame:
     """``key, completed``: how many descriptions of each product are classified."""
     return classified.groupBy(F.concat("hs_code", F.lit("::"), "product").alias("key")).agg(
@@ -285,8 +300,9 @@ def new_shipments(
     arrived = incoming.select(*pair, *order)
     fresh = skew_join(arrived, done, GOODS, "left_anti", ["shipment_id", *order], counts)
     known = skew_join(arrived, done, GOODS, "left_semi", ["shipment_id", *order], counts)
-    once = known.groupBy(*pair).agg(F.min(ord_column).alias(ord_column)) if order else known.distinct()
-    more = once.join(stored.select(*pair).distinct(), pair, "left_anti")
+    # Joined first, rows are sorted by pair once, for the join and for what makes them one.
+    unseen = known.join(stored.select(*pair), pair, "left_anti")
+    more = unseen.groupBy(*pair).agg(F.min(ord_column).alias(ord_column)) if order else unseen.distinct()
     return fresh.unionByName(more)
 
 

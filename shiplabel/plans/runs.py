@@ -326,14 +326,22 @@ def publish_stage(
     pairs = spark.read.parquet(f"{folder}/goods_shipments").drop("run")
     names = publish.attribute_names(attr_dict)
     # Rows of a file: runs one after the other, descriptions of a run sorted, shipments as they were read.
+    # What a description is the same for in all its rows is made before it meets its shipments.
     read = F.struct("run_no", "ord")
     placed = pairs.select(*GOODS, "shipment_id", read.alias("_read"))
-    rows = publish.with_shipments(classified, placed, ["_read"]).withColumn(
-        "ord", F.struct("run_no", "goods_shipped", "_read")
+    wide = publish.placed_descriptions(classified, names, options.custom_flags)
+    own = [c for c in wide.columns if c not in (*GOODS, "_at", "_shared")]
+    # Where one place has rows of several descriptions, they come as they were read.
+    tie = F.when(F.col("_shared"), F.col("_read")).alias("_tie")
+    flat = publish.with_shipments(wide, placed, ["_read"]).select(
+        *KEY, "shipment_id", "goods_shipped", F.struct("_at", tie, "_read").alias("ord"), *(f"`{c}`" for c in own)
     )
-    flat = publish.per_product(rows, names, options.custom_flags)
     publish.write_table(flat, f"{base}/flat", partition_by=["hs_code"])
     ordered = spark.read.schema(flat.schema).parquet(f"{base}/flat")
+    # Rows of a description say the same, so the first one of each tells the values and their order.
+    ties = placed.join(wide.where("_shared").select(*GOODS).distinct(), GOODS, "left_semi")
+    earliest = ties.groupBy(*GOODS).agg(F.min("_read").alias("_tie"))
+    firsts = wide.join(earliest, GOODS, "left").withColumn("ord", F.struct("_at", "_tie"))
     lists = publish.goods_to_shipments(pairs.withColumn("ord", read), part_size=publish.PART_SIZE)
     tables = {
         "nested": lambda: publish.nested_records(classified, lists, options.raw_values),
@@ -345,8 +353,8 @@ def publish_stage(
             options.token_budget,
             options.batch_size,
         ),
-        "schema_master": lambda: publish.schema_master(ordered),
-        "shipment_attributes": lambda: publish.shipment_attributes(ordered),
+        "schema_master": lambda: publish.schema_master(firsts),
+        "shipment_attributes": lambda: publish.shipment_attributes(ordered, ["ord._at", "ord._tie"]),
     }
     status = [(version, "flat", None)]
     for name, table in tables.items():

@@ -258,6 +258,29 @@ def test_a_run_normalises_each_row_once(spark, tmp_path, monkeypatch):
         assert seen.value - before == original(labelled, known, options()).count() > 1000
 
 
+def test_descriptions_are_named_once_and_share_a_place_in_the_order_of_rows(spark, tmp_path, monkeypatch):
+    """Names of files are made for descriptions, not rows; two products of one file come as their rows were read."""
+    named = []
+    original = P.per_product
+    monkeypatch.setattr(P, "per_product", lambda rows, *a: named.append(rows.count()) or original(rows, *a))
+    known = spark.createDataFrame(
+        [("9011", "A/B", "Color", 0, "Red", 0), ("9011", "A_B", "Color", 0, "Blue", 0)], V.ATTR_DICT_SCHEMA
+    )
+    rows = [(0, "s1", "A/B"), (1, "s1", "A_B"), (2, "s2", "A_B"), (3, "s2", "A/B"), (4, "s3", "A_B")]
+    labelled = spark.createDataFrame(
+        [(o, "9011", "red blue z", s, c) for o, s, c in rows],
+        "ord long, hs_code string, goods_shipped string, shipment_id string, category string",
+    )
+    P.write_table(labelled, f"{tmp_path}/labelled")
+    tables = runs.run(spark, None, str(tmp_path), run_id="a", attr_dict=known, options=options(stages=("extract", "publish")))
+    assert named == [2]
+    got = {r["shipment_id"]: (r["product"], r["attrs"]["color"]) for r in tables["shipment_attributes"].collect()}
+    assert got == {"s1": ("A_B", "Blue"), "s2": ("A/B", "Red"), "s3": ("A_B", "Blue")}
+    (master,) = tables["schema_master"].collect()
+    assert json.loads(master["schema_json"]) == {"color": ["Red", "Blue"]}
+    assert tables["flat"].count() == 5
+
+
 def test_incremental_stream(spark, tmp_path):
     rows = V.shipments(spark, SF).select(
         F.lit("0901").alias("hs_code"), F.col("category").alias("product"), F.trim("goods_shipped").alias("goods_shipped"), "shipment_id"

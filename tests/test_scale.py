@@ -107,6 +107,18 @@ def test_parts_join_to_the_whole_list(spark, skewed):
     assert got == want
 
 
+def test_only_rows_of_large_groups_are_numbered_for_lists(spark, skewed, monkeypatch):
+    seen = []
+    original = scale.rank_in_groups
+    monkeypatch.setattr(scale, "rank_in_groups", lambda df, *a: seen.append(df) or original(df, *a))
+    lists = lambda: sorted(map(str, scale.lists_in_parts(skewed, ["g"], ["ord"], "v", "vs", part_size=7).collect()))
+    gathered = lists()
+    assert not seen
+    monkeypatch.setattr(scale, "NODE_ROWS", 40)
+    assert lists() == gathered
+    assert {r["g"] for r in seen[0].select("g").distinct().collect()} == {"hot"}
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("known_counts", [False, True])
 def test_skew_join_equals_join(spark, skewed, how, known_counts):
