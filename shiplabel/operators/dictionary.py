@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiplabel.functions import text as X
-from shiplabel.operators.scale import durable, skew_join
+from shiplabel.operators.scale import durable, skew_join, with_possible_partner
 
 KEY = ["hs_code", "product"]
 
@@ -38,8 +38,9 @@ DENSITY_MENTION = f"{NOT_AFTER}([0-9]+){DENSITY_UNIT}{NOT_BEFORE}"
 BROADCAST_BYTES = 64 << 20
 VALUES_PER_PRODUCT = 2_000
 GRAM = 3
-# A word that more values than this hold is common; the common ones are known by buckets of their hashes.
+# A word that more values than this hold is common; so many of the commonest are known by their hashes, in buckets.
 COMMON_USES = 100
+HEAT_WORDS = 1 << 13
 HEAT_BUCKETS = 1 << 13
 TEXT_ID = ["_text_id", "_text_id2"]
 
@@ -220,27 +221,42 @@ def text_anchors(goods: Column, gram: int, heuristic: bool = True) -> Column:
 
 
 def _heat(words: DataFrame) -> Column:
-    """How many values share the words of a bucket (array by bucket; 0: none of them is common), from rows of ``_words``.
+    """How many values share a common word, from rows of ``_words``: by bucket of its hash, see ``_uses``.
 
-    It only chooses between the words of a value, so words that share a bucket may share its heat.
-    At most HEAT_BUCKETS numbers are fetched.
+    It only chooses between the words of a value. Each word has its own number: a rare word that took over that of a
+    common one would lose to it, and values anchored at a common word meet nearly all texts. HEAT_WORDS numbers at
+    most are fetched, the largest ones, so a word without a number is no commoner than any that has one.
     """
-    uses = words.select(F.explode("_words").alias("_word")).groupBy("_word").agg(F.count("*").alias("_uses"))
-    common = uses.where(F.col("_uses") > COMMON_USES)
-    hottest = common.groupBy(_bucket(F.col("_word")).alias("_bucket")).agg(F.max("_uses").alias("_uses"))
-    heat = [0] * HEAT_BUCKETS
-    for bucket, n in hottest.collect():
-        heat[bucket] = n
-    return F.split(F.lit(",".join(map(str, heat))), ",").cast("array<bigint>")
-
-
-def _bucket(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(HEAT_BUCKETS)).cast("int")
+    # An outer explode: the other one has Spark evaluate the words a second time, in a filter.
+    each = words.select(F.explode_outer("_words").alias("_word")).where("_word IS NOT NULL")
+    uses = each.groupBy("_word").agg(F.count("*").alias("_uses")).where(F.col("_uses") > COMMON_USES)
+    hottest = uses.select(F.xxhash64("_word").alias("_hash"), "_uses").orderBy(F.desc("_uses"), "_hash").limit(HEAT_WORDS)
+    first, others = {}, [{} for _ in range(HEAT_BUCKETS)]
+    for word, n in hottest.collect():
+        bucket = word % HEAT_BUCKETS
+        if first.setdefault(bucket, (word, n))[0] != word:
+            others[bucket][word] = n
+    numbers = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+    pairs = [first.get(b, (0, 0)) for b in range(HEAT_BUCKETS)]
+    listed = F.split(F.lit(",".join(";".join(f"{w}={n}" for w, n in o.items()) for o in others)), ",")
+    return F.struct(numbers(p[0] for p in pairs).alias("word"), numbers(p[1] for p in pairs).alias("uses"), listed.alias("others"))
+
+
+def _uses(word: Column, heat: Column) -> Column:
+    """The number that ``_heat`` has for a word, 0 if it has none."""
+    place = F.xxhash64(word)
+    bucket = F.pmod(place, F.lit(HEAT_BUCKETS)).cast("int")
+    of_others = F.str_to_map(F.get(heat["others"], bucket), F.lit(";"), F.lit("="))[place.cast("string")].cast("bigint")
+    return (
+        F.when(F.get(heat["word"], bucket) == place, F.get(heat["uses"], bucket))
+        .when(F.get(heat["others"], bucket) == "", F.lit(0).cast("bigint"))
+        .otherwise(F.coalesce(of_others, F.lit(0).cast("bigint")))
+    )
 
 
 def _rarest(words: Column, heat: Column) -> Column:
     """The word of an array that the fewest values share, then the longest one."""
-    places = F.transform(words, lambda w: F.struct(F.get(heat, _bucket(w)), -F.length(w), w.alias("word")))
+    places = F.transform(words, lambda w: F.struct(_uses(w, heat), -F.length(w), w.alias("word")))
     return F.array_min(places)["word"]
 
 
@@ -269,7 +285,9 @@ def match_anchors(attr_dict: DataFrame, gram: int, min_len: int = MIN_VALUE_LENG
     listed = listed.withColumn("_words", F.when(~X.is_density(norm), _runs(norm)))
     by_run = F.array(F.concat(F.lit("t:"), _rarest(F.col("_words"), _heat(listed))))
     anchors = F.coalesce(_other_anchors(norm, _runs(norm), gram), by_run)
-    return listed.select(*KEY, "attr", "value_ord", "value", F.explode(F.array_distinct(anchors)).alias("anchor"))
+    # A column first and an outer explode: see _heat, and a generator shares no parts of its expression.
+    listed = listed.select(*KEY, "attr", "value_ord", "value", F.array_distinct(anchors).alias("_anchors"))
+    return listed.select(*KEY, "attr", "value_ord", "value", F.explode_outer("_anchors").alias("anchor")).where("anchor IS NOT NULL")
 
 
 def value_anchors(compiled: DataFrame, gram: int) -> DataFrame:
@@ -301,12 +319,13 @@ def anchored_pairs(texts: DataFrame, anchors: Column, values: DataFrame) -> Data
     """Texts (``TEXT_ID`` and more) and values (``value_anchors``) that share an anchor; a pair may come twice.
 
     How many texts hold an anchor is counted first: those of a common one are dealt to as many
-    tasks as their number asks for.
+    tasks as their number asks for. Values whose anchor no text holds are left where they are.
     """
+    on = [*KEY, "anchor"]
     tokens = durable(texts.select(*KEY, *TEXT_ID, anchors.alias("_anchors"))).select(
         *KEY, *TEXT_ID, F.explode("_anchors").alias("anchor")
     )
-    return skew_join(tokens, values, [*KEY, "anchor"], spread_by=[TEXT_ID[0]])
+    return skew_join(tokens, with_possible_partner(values, tokens, on), on, spread_by=[TEXT_ID[0]])
 
 
 def with_text_id(goods: DataFrame, *more: Column) -> DataFrame:

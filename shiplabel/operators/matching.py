@@ -115,7 +115,7 @@ def match_rows(
     """
     goods = durable(rows.groupBy(GOODS_KEY).agg(F.count("*").alias("_rows")))
     matched = match_goods(
-        goods, attr_dict, negation=negation, min_len=min_len, window=window, strategy=strategy
+        goods, attr_dict, negation=negation, min_len=min_len, window=window, strategy=strategy, distinct=True
     )
     results = {"found": F.col("found")} if derive is None else derive
     narrow = matched.select(*GOODS_KEY, *(c.alias(name) for name, c in results.items()))
@@ -130,16 +130,17 @@ def match_goods(
     min_len: int = MIN_VALUE_LENGTH,
     window: int = NEGATION_WINDOW,
     strategy: str = "auto",
+    distinct: bool = False,
 ) -> DataFrame:
     """Add ``found`` (see :func:`stated`) to goods; products without dictionary vanish.
 
     ``broadcast`` ships the dictionary to the rows, ``anchored`` is :func:`match_by_tokens`,
-    ``auto`` measures the dictionary and decides.
+    ``auto`` measures the dictionary and decides. ``distinct``: goods are a written table without repeats.
     """
     if strategy == "auto":
         strategy = "broadcast" if fits_broadcast(attr_dict) else "anchored"
     if strategy == "anchored":
-        return match_by_tokens(goods, attr_dict, negation=negation, min_len=min_len, window=window)
+        return match_by_tokens(goods, attr_dict, negation=negation, min_len=min_len, window=window, distinct=distinct)
     return (
         attach_dictionary(goods, attr_dict, min_len=min_len, strategy=strategy, heuristic=False)
         .withColumn("found", stated(F.col("attrs"), F.col("goods_shipped"), negation, window))
@@ -154,19 +155,22 @@ def match_by_tokens(
     negation: str = "documented",
     min_len: int = MIN_VALUE_LENGTH,
     window: int = NEGATION_WINDOW,
+    distinct: bool = False,
 ) -> DataFrame:
     """``found`` by a join, for dictionaries of any size.
 
     Texts and values meet on tokens a matching text must contain; each pair is verified
     against the text, and an aggregation keeps the best value of each text and attribute.
     What it holds are verified hits, partially reduced to one before the shuffle: a minimum, and
-    the refused values, of which a text has no more than negators.
+    the refused values, of which a text has no more than negators. ``distinct`` goods are
+    not made so, nor written, again.
     """
     if negation not in ("documented", "inert"):
         raise ValueError(f"negation must be 'documented' or 'inert', not {negation!r}")
     gram = min(min_len, GRAM)
     keyed = with_text_id(goods)
-    texts = durable(keyed.select(*TEXT_ID, *GOODS_KEY).dropDuplicates(TEXT_ID))
+    texts = keyed.select(*TEXT_ID, *GOODS_KEY)
+    texts = texts if distinct else durable(texts.dropDuplicates(TEXT_ID))
     values = match_anchors(attr_dict, gram, min_len)
     pairs = anchored_pairs(texts, text_anchors(F.col("goods_shipped"), gram, heuristic=False), values)
     text = F.col("_text")

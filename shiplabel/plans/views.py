@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiplabel.operators.scale import durable
+
 ATTR_DICT_SCHEMA = (
     "hs_code string, product string, attr string, attr_ord int, value string, value_ord int"
 )
@@ -96,11 +98,12 @@ def attr_dict(spark: SparkSession, only: tuple[str, ...] = tuple(ATTRIBUTES)) ->
 def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dictionary of heading 9011 and, as values of each of its products, a lot for every line item but each fifth."""
     known = attr_dict(spark).where("hs_code = '9011'")
-    line = table(spark, sf_dir, "lineitem").where("l_orderkey % 5 <> 0")
+    # The lines are written, because several steps read the dictionary.
+    line = durable(table(spark, sf_dir, "lineitem").where("l_orderkey % 5 <> 0").select("l_orderkey", "l_linenumber").distinct())
     lot = line.select(
         F.concat_ws(" ", F.lit("Lot"), "l_orderkey", "l_linenumber").alias("value"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("int").alias("value_ord"),
-    ).distinct()
+    )
     listed = lot.withColumn("product", F.explode(F.array(*(F.lit(p) for p in PRODUCTS)))).select(
         F.lit("9011").alias("hs_code"), "product", F.lit("Lot").alias("attr"), F.lit(99).alias("attr_ord"), "value", "value_ord"
     )

@@ -271,3 +271,23 @@ def test_values_are_moved_without_patterns(spark):
     }
     assert found("anchored") == found("broadcast")
     assert found("anchored")["a dark-red lot 7 1"] == [("Color", "dark-red", 0), ("Lot", "Lot 7 1", 0)]
+
+
+@pytest.mark.parametrize("buckets", [1, 8192])
+def test_rare_words_keep_their_own_number_beside_common_ones(spark, monkeypatch, buckets):
+    """A rare word whose hash falls in the bucket of a common one stays the anchor: few texts meet its value."""
+    from shiplabel.operators import dictionary as D
+
+    monkeypatch.setattr(D, "HEAT_BUCKETS", buckets)
+    listed = [("9011", "P", "Lot", 0, f"lot k{i} position{i % 3}", i) for i in range(600)]
+    known = spark.createDataFrame(listed, "hs_code string, product string, attr string, attr_ord int, value string, value_ord int")
+    assert all(r["anchor"] == f"t:k{r['value_ord']}" for r in D.match_anchors(known, 3).collect())
+    texts = spark.createDataFrame([("9011", "P", f"tea lot k{i} position{i % 3}") for i in range(0, 900, 3)], GOODS_SCHEMA)
+    keyed = D.with_text_id(texts)
+    pairs = D.anchored_pairs(keyed, D.text_anchors(F.col("goods_shipped"), 3, heuristic=False), D.match_anchors(known, 3))
+    assert pairs.count() == 200
+    compiled = compile_values(known)
+    by_rule = D.anchored_pairs(keyed, D.text_anchors(F.col("goods_shipped"), 3), D.value_anchors(compiled, 3))
+    assert by_rule.count() == 400  # by its run and, for the substring rule, by its word
+    found = M.match_goods(texts, known, strategy="anchored").select("goods_shipped", F.col("found")[0]["value"].alias("v"))
+    assert sorted(r["v"] for r in found.collect() if r["v"]) == sorted(f"lot k{i} position{i % 3}" for i in range(0, 600, 3))

@@ -139,3 +139,17 @@ def test_hot_rows_get_several_salts(spark, skewed):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_rows_without_a_partner_mostly_go(spark):
+    """All rows that have a partner stay, whatever the number of bits; a filter with enough of them drops nearly all others."""
+    wide = spark.range(40_000).selectExpr("id", "IF(id % 50 = 7, NULL, 'x' || id) AS g", "id % 3 AS h")
+    some = wide.where("id % 40 = 0").select("g", "h").union(wide.where("id % 400 = 0").select("g", "h"))
+    partners = {r["id"] for r in wide.join(some, ["g", "h"], "left_semi").collect()}
+    kept = lambda **more: scale.with_possible_partner(wide, some, ["g", "h"], **more)
+    assert kept().columns == wide.columns and kept().schema == wide.schema
+    ids = [r["id"] for r in kept().collect()]
+    assert len(ids) == len(set(ids)) and partners <= set(ids) and len(ids) < len(partners) + 6000
+    assert partners <= {r["id"] for r in kept(most_bits=scale.FILTER_ROW_BITS).collect()}
+    assert kept().join(some, ["g", "h"]).count() == wide.join(some, ["g", "h"]).count()
+    assert scale.with_possible_partner(wide, some.limit(0), ["g", "h"]).isEmpty()
