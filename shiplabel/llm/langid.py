@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiplabel.llm.common import hash_sample, id_remainder, text_or_empty, written
+from shiplabel.llm.common import at_ranks, hash_sample, id_remainder, text_or_empty, written
 
 NGRAM = 4
 HASHES = 2
@@ -235,8 +235,11 @@ def identified(docs: DataFrame) -> DataFrame:
     return predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def least_known(labelled: DataFrame, model: Model, rows: int = TRAIN_ROWS) -> float:
-    """MARGIN of the share of n-grams that all but one in STRAYS of ``labelled`` (about ``rows`` of it) have explained."""
+def least_known(labelled: DataFrame, model: Model) -> float:
+    """MARGIN of the share of n-grams that all but one in STRAYS of ``labelled`` have explained.
+
+    Every row counts. The share at that place is found by counting, see ``at_ranks``.
+    """
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text")
     shared = labelled.sparkSession.sparkContext.broadcast(vars(model))
 
@@ -246,10 +249,19 @@ def least_known(labelled: DataFrame, model: Model, rows: int = TRAIN_ROWS) -> fl
             for part in chunks(batch.column("text").to_pylist()):
                 best, total, _ = fitted.known(part, plain)
                 some = total > 0
-                yield pa.RecordBatch.from_arrays([pa.array(best[some] / total[some], pa.float64())], ["known"])
-
-    shares = hash_sample(usable, ["text"], rows, 9).mapInArrow(batches, "known double")
-    return MARGIN * (shares.agg(F.percentile("known", F.lit(1 / STRAYS))).first()[0] or 0.0)
+                # The bits of numbers that are not negative are ordered as the numbers are.
+                known = np.asarray(best[some] / total[some], np.float64) + 0.0
+                yield pa.RecordBatch.from_arrays([pa.array(known.view(np.int64), pa.int64())], ["known"])
+
+    shares = written(usable.mapInArrow(batches, "known long"), "known")
+    rows = shares.count()
+    if not rows:
+        return 0.0
+    # Between two rows the share is taken in proportion.
+    place = (rows - 1) / STRAYS
+    lower = int(place)
+    low, high = np.array(at_ranks(shares, "known", [lower, min(lower + 1, rows - 1)]), np.int64).view(np.float64)
+    return float(MARGIN * (low + (place - lower) * (high - low)))
 
 
 def known_language(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 import time
 
+import numpy as np
 import pytest
 from helpers import clashing, documents, odd_rows, prose
 from pyspark.sql import functions as F
@@ -62,6 +63,32 @@ def test_known_language_rejects_unlearned_texts(spark):
     assert langid.known_language(none).count() == 123
 
 
+def test_least_known_goes_by_all_held_out_rows(spark):
+    """More rows than a training sample holds: each of them counts, also those that are explained least."""
+    rng = random.Random(12)
+    model = langid.train(documents(spark, [(i, prose(rng, 60), "en") for i in range(40)]))
+    strange = lambda: "".join(rng.choices("bcdfghjklmnpqrstvwxz", k=rng.randint(3, 12)))
+    mixed = lambda: " ".join(strange() if rng.random() < 0.3 else prose(rng, 1) for _ in range(rng.randint(8, 30)))
+    texts = [mixed() for _ in range(langid.TRAIN_ROWS + 3000)]
+    labelled = documents(spark, [(i, t, "en") for i, t in enumerate(texts)] + [(-1, "xqzk", None), (-2, "...", "en"), (-3, None, "en")])
+    best, total, _ = model.known(texts, langid.letters())
+    shares = np.sort(best / total)
+    assert len(set(shares[:60])) > 50
+    expected = langid.MARGIN * np.percentile(shares, 100 / langid.STRAYS)
+    assert langid.least_known(labelled, model) == pytest.approx(expected, rel=1e-12)
+    few = labelled.where("doc_id BETWEEN 0 AND 4")
+    assert langid.least_known(few, model) == pytest.approx(langid.MARGIN * np.percentile((best / total)[:5], 100 / langid.STRAYS), rel=1e-12)
+    assert langid.least_known(labelled.where("doc_id < 0"), model) == 0.0
+
+
+def test_values_at_ranks(spark):
+    rng = random.Random(3)
+    values = [rng.choice([0, 1, 5, 1 << 20, (1 << 62) + 3, rng.getrandbits(62)]) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    ranks = [0, 1, 99, 250, 251, 499]
+    assert common.at_ranks(df, "v", ranks) == [sorted(values)[r] for r in ranks]
+
+
 def test_language_filters_answer_all_inserted_grams(spark):
     docs = documents(spark, [(i, "the river and the house", "en") for i in range(8)] + [(20 + i, "der fluss und das haus", "de") for i in range(8)])
     model = langid.train(docs)
